@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from zonewise import dims
-from zonewise.functions.numeric import bucketize, lookup
+from zonewise.functions.numeric import bucketize, lookup, round_exact
 
 _BOROUGH_BY_UPPER = {name.upper(): prefix for prefix, name in dims.BOROUGH_NAMES.items()}
 _BOROUGH_BY_NAME = {name: prefix for prefix, name in dims.BOROUGH_NAMES.items()}
@@ -109,10 +109,14 @@ def model_phase(n_batches: Column, inertia: Column) -> Column:
 
 
 def recommendation_reason(status: Column, hours: Column, score: Column) -> Column:
+    # rounding first makes the text independent of the formatter's rule for ties
+    hours_text = F.format_string("%.1f", round_exact(hours, 1))
+    score_text = F.format_string("%.2f", round_exact(score, 2))
     return (
-        F.when(status == "CRITICAL", F.format_string("Near limit (%.1fh) → Safe Corridor", hours))
-        .when(status == "WARNING", F.format_string("Approaching limit (%.1fh) → avoiding hazardous", hours))
-        .otherwise(F.format_string("Best available zone (score %.2f)", score))
+        F.when(status == "CRITICAL", F.concat(F.lit("Near limit ("), hours_text, F.lit("h) → Safe Corridor")))
+        .when(status == "WARNING",
+              F.concat(F.lit("Approaching limit ("), hours_text, F.lit("h) → avoiding hazardous")))
+        .otherwise(F.concat(F.lit("Best available zone (score "), score_text, F.lit(")")))
     )
 
 

@@ -25,6 +25,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_time(spark.read.schema(schemas.EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
+def event_stream(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
+    """The same table as a file stream. The pattern matches just this name; as a pattern it may be a single
+    file as well as a folder, which a plain stream path may not."""
+    stream = spark.readStream.schema(schemas.EVENTS).options(**options)
+    return with_time(stream.parquet(f"{sf_dir}/events.parque[t]"))
+
+
 def with_time(rows: DataFrame) -> DataFrame:
     """Event time as a timestamp (watermarks need one) in place of the zone-less `ts`."""
     return rows.withColumn("event_time", F.col("ts").cast("timestamp")).drop("ts")
@@ -64,11 +71,11 @@ def readings(events_: DataFrame) -> DataFrame:
     )
 
 
-def workers(events_: DataFrame) -> DataFrame:
+def workers(events_: DataFrame, keep: list[str] | None = None) -> DataFrame:
     number = F.lpad((F.pmod("user_id", F.lit(50)) + 1).cast("string"), 2, "0")
     return events_.filter(F.col("event_type").isin(WORKER_TYPES)).select(
         "event_id", F.concat(F.lit("W-"), number).alias("worker_id"),
-        zone_at(F.col("event_id")).alias("zone_id"), "event_time",
+        zone_at(F.col("event_id")).alias("zone_id"), "event_time", *(keep or []),
     )
 
 
