@@ -56,7 +56,11 @@ def running_exposure(
     readings: DataFrame, order: Column, bucket: Column, profile: dims.ExposureProfile = dims.PER_READING,
     keys: list[str] | None = None, aqi: str = "aqi",
 ) -> DataFrame:
-    """Exposure of the worker after every reading. Add a day to `keys` to start anew each day."""
+    """Exposure of the worker after every reading. Add a day to `keys` to start anew each day.
+
+    The readings are read twice (for the bucket totals and for the rows), so hand in a stored table rather
+    than the result of another join.
+    """
     totals = running_totals(
         readings, keys or ["worker_id"], order, bucket, _measures(F.col(aqi), profile)
     )

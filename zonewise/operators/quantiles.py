@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SALTS = 64
+
 
 def interpolated(low: Column, high: Column, fraction: Column) -> Column:
     """Linear interpolation measured from the nearer end, which keeps the result inside [low, high]."""
@@ -46,7 +48,12 @@ def exact_quantiles(
     # Distinct values with their counts carry the same information in fewer rows.
     counted = present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     if keys:
-        spread = counted.join(outline.select(*keys, "n", spans.alias("_spans")), keys)
+        # salted, so that a key with most of the values is not joined in one task
+        salt = F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")
+        every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        spread = counted.withColumn("_salt", salt).join(
+            outline.select(*keys, "n", spans.alias("_spans"), every_salt.alias("_salt")), [*keys, "_salt"]
+        )
     else:
         spread = counted.select("*", outline.select(F.struct("n", spans.alias("_spans"))).scalar().alias("_o")) \
             .select("_v", "_c", "_o.n", "_o._spans")

@@ -114,7 +114,7 @@ def _standard_sql(columns: list[str]) -> str:
 
 @registry.add(sql.query(_standard_sql(_LIVE), sql.state("day")))
 def standardised_features(spark, sf_dir):
-    rows = common.scored_zones(spark, sf_dir, ["day"]).select("zone_id", "day", *_LIVE)
+    rows = common.stored_zones(spark, sf_dir, ["day"]).select("zone_id", "day", *_LIVE)
     return cluster.standardised(rows, _LIVE)
 
 
@@ -139,7 +139,7 @@ sil AS (SELECT *, CASE WHEN n_in_cluster > 1 THEN coalesce((b - a) / nullif(grea
 
 
 def _labelled_points(spark, sf_dir):
-    rows = common.scored_zones(spark, sf_dir, ["day"])
+    rows = common.stored_zones(spark, sf_dir, ["day"])
     number = {n: i for i, n in enumerate(dims.CLUSTER_NAMES)}
     from zonewise.functions.numeric import lookup
     named = rows.withColumn("label", lookup(common.live_label(), number)) \

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zonewise.functions.numeric import bucketize
 from zonewise.operators import zones
 from zonewise.plans import sql
+from zonewise.session import checkpointed
 from zonewise.sources import feeds
 
 
@@ -15,6 +16,12 @@ def scored_zones(spark: SparkSession, sf_dir: str, by: list[str] | None = None)
     return zones.scored(zones.fused_means(feeds.readings(feeds.events(spark, sf_dir)), by))
 
 
+def stored_zones(spark: SparkSession, sf_dir: str, by: list[str] | None = None) -> DataFrame:
+    """The same state written once to the shared folder, for queries that use it more than once: a few rows
+    per zone instead of another pass over the readings."""
+    return checkpointed(scored_zones(spark, sf_dir, by), "zones")
+
+
 # Labels for queries that only need some: by hazard (AQI above speed) and by PM2.5.
 LIVE_STEPS = [(68, "Permanently Hazardous"), (64, "Peak Hour Hazardous"), (60, "Weather Sensitive")]
 OFFLINE_STEPS = [(52, "Permanently Hazardous"), (48, "Peak Hour Hazardous"), (45, "Weather Sensitive")]

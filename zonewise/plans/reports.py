@@ -44,7 +44,8 @@ def cluster_members(spark, sf_dir):
     sql.state(), _LABELLED,
 ))
 def cluster_composition(spark, sf_dir):
-    return report.cluster_composition(labelled(spark, sf_dir))
+    stored = common.stored_zones(spark, sf_dir).withColumn("cluster", common.live_label())
+    return report.cluster_composition(stored)
 
 
 _PIVOT = ", ".join(

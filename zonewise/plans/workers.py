@@ -9,6 +9,7 @@ from zonewise.functions import air, labels
 from zonewise.functions.numeric import percent_of
 from zonewise.operators import exposure, recommend, report
 from zonewise.plans import Registry, common, sql
+from zonewise.session import checkpointed
 from zonewise.sources import feeds
 
 registry = Registry()
@@ -55,7 +56,9 @@ _RUNNING_WINDOW = "WINDOW w AS (PARTITION BY worker_id ORDER BY ts, event_id ROW
     AS_OF_SQL,
 ))
 def worker_exposure_running(spark, sf_dir):
-    rows = exposure.running_exposure(workers_with_air(spark, sf_dir), F.col("seq"), feeds.day_bucket())
+    rows = exposure.running_exposure(
+        checkpointed(workers_with_air(spark, sf_dir)), F.col("seq"), feeds.day_bucket()
+    )
     return rows.select(
         "event_id", "worker_id", "count", "n_high", "hours_in_high_aqi", "daily_avg_aqi", "exposure_status"
     )
@@ -209,7 +212,7 @@ final AS (SELECT *, zone_score * {sql.weight('cluster')} AS final_score FROM (
 
 
 def final_daily(spark, sf_dir, by):
-    scores = common.scored_zones(spark, sf_dir, by)
+    scores = common.stored_zones(spark, sf_dir, by)
     named = scores.select("zone_id", *(by or []), common.live_label().alias("cluster"))
     return recommend.final_scores(scores, named, by)
 
@@ -255,17 +258,14 @@ rec AS (SELECT t.worker_id, t.zone_id, t.zone_id AS current_zone, p.rec_zone, p.
   FROM totals t JOIN policy p ON p.status = t.exposure_status)"""
 
 
-def recommended(spark, sf_dir):
-    policies = recommend.policy(final_daily(spark, sf_dir, None))
-    return recommend.recommendations(worker_totals(spark, sf_dir), policies)
-
-
 @registry.add(sql.query(
     "SELECT *, substr(reason, 1, 55) AS short_reason FROM rec",
     sql.state(), FINAL_SQL, AS_OF_SQL, TOTALS_SQL, RECOMMEND_SQL,
 ))
 def recommend_policy(spark, sf_dir):
-    return recommended(spark, sf_dir).withColumn("short_reason", labels.shorten(F.col("reason")))
+    policies = recommend.policy(final_daily(spark, sf_dir, None))
+    return recommend.recommendations(worker_totals(spark, sf_dir), policies) \
+        .withColumn("short_reason", labels.shorten(F.col("reason")))
 
 
 @registry.add(sql.query(
@@ -277,9 +277,10 @@ def recommend_policy(spark, sf_dir):
 ))
 def exposure_overlay(spark, sf_dir):
     """Exposure with recommendations on top; one worker lacks either side."""
-    own = worker_totals(spark, sf_dir).filter(F.col("worker_id") != "W-01") \
-        .select("worker_id", "zone_id", "exposure_status", "count")
-    rec = recommended(spark, sf_dir).filter(F.col("worker_id") != "W-02") \
+    totals = checkpointed(worker_totals(spark, sf_dir))
+    own = totals.filter(F.col("worker_id") != "W-01").select("worker_id", "zone_id", "exposure_status", "count")
+    policies = recommend.policy(final_daily(spark, sf_dir, None))
+    rec = recommend.recommendations(totals, policies).filter(F.col("worker_id") != "W-02") \
         .select("worker_id", "zone_id", "exposure_status", "rec_zone")
     return recommend.overlaid(own, rec)
 
@@ -290,7 +291,7 @@ offline AS (SELECT zone_id, {common.OFFLINE_LABEL_SQL} AS cluster FROM fused WHE
 
 
 def _label_tables(spark, sf_dir):
-    state = common.scored_zones(spark, sf_dir)
+    state = common.stored_zones(spark, sf_dir)
     live = state.filter(F.col("avg_speed") > 48).select("zone_id", common.live_label().alias("cluster"))
     offline = state.filter(F.col("avg_pm25") > 46).select("zone_id", common.offline_label().alias("cluster"))
     return live, offline

@@ -120,7 +120,7 @@ def event_names(spark, sf_dir):
     sql.state("day"),
 ))
 def anomaly_zones(spark, sf_dir):
-    return zones.anomaly_summary(common.scored_zones(spark, sf_dir, ["day"]), ["day"])
+    return zones.anomaly_summary(common.stored_zones(spark, sf_dir, ["day"]), ["day"])
 
 
 @registry.add(sql.query(
@@ -162,7 +162,7 @@ _MAP_STATUS = "CASE WHEN zone_score > 0.7e0 THEN 'Good' WHEN zone_score > 0.4e0
     sql.state(), sql.ZONES,
 ))
 def zone_map(spark, sf_dir):
-    scores = common.scored_zones(spark, sf_dir)
+    scores = common.stored_zones(spark, sf_dir)
     shown = scores.select("zone_id", "zone_score", "avg_aqi", "avg_speed", "event_type")
     clusters = scores.select("zone_id", common.live_label().alias("cluster"))
     workers = report.workers_per_zone(feeds.workers(feeds.events(spark, sf_dir)))

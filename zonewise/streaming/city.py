@@ -51,6 +51,7 @@ class City:
     k: int = 4
     seed: int = 42
     clustering: bool = True
+    snapshot_format: str | None = None  # besides the score table, whose batches are Parquet snapshots already
     score_ttl: int = TTL_SECONDS["zone_score"]
     label_ttl: int = TTL_SECONDS["cluster_label"]
     _model_lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
@@ -105,12 +106,17 @@ class City:
             return
         state = zones.fuse(
             self.traffic.read().drop("updated_at", "expires_at"), self.pollution.read().drop("updated_at", "expires_at")
-        )
-        scores = zones.scored(state).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        self.zone_scores.upsert(scores, writer, batch_id)
-        write_snapshot(scores.select(*ZONE_SCORE.fieldNames()), f"{self.root}/snapshots", writer, batch_id)
-        if self.clustering:
-            self._recluster(state, writer, batch_id)
+        ).persist()  # one row per zone, used by the scores and the model
+        try:
+            scores = zones.scored(state).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            self.zone_scores.upsert(scores, writer, batch_id)
+            if self.snapshot_format:
+                write_snapshot(scores.select(*ZONE_SCORE.fieldNames()), f"{self.root}/snapshots", writer, batch_id,
+                               self.snapshot_format)
+            if self.clustering:
+                self._recluster(state, writer, batch_id)
+        finally:
+            state.unpersist()
 
     def _recluster(self, state: DataFrame, writer: str, batch_id: int) -> None:
         with self._model_lock:  # the traffic and the pollution query both advance the model
