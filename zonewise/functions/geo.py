@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,20 +61,17 @@ def grid_midpoint(zone_id: Column) -> tuple[Column, Column]:
 def nearest_zone(lat: Column, lon: Column, centroids: list[tuple[str, float, float]] | None = None) -> Column:
     """Zone with the smallest squared distance; the first in zone order wins a tie.
 
-    The centroids are constants, so the search unrolls into arithmetic inside generated code and needs
-    neither a join nor an array.
+    The centroids are constants, so the search unrolls into arithmetic inside generated code and needs no
+    join. A missing coordinate gives the first zone.
     """
     centroids = centroids or dims.zone_centroids()
     distances = [
         (lat - F.lit(z_lat)) * (lat - F.lit(z_lat)) + (lon - F.lit(z_lon)) * (lon - F.lit(z_lon))
         for _, z_lat, z_lon in centroids
     ]
-    smallest = F.least(*distances)
-    return reduce(
-        lambda chain, pair: chain.when(pair[0] == smallest, F.lit(pair[1][0])),
-        zip(distances, centroids),
-        F,
-    ).otherwise(F.lit(centroids[0][0]))
+    first_smallest = F.array_position(F.array(*distances), F.least(*distances)).cast("int")
+    names = F.array(*[F.lit(zone) for zone, _, _ in centroids])
+    return F.coalesce(F.get(names, first_smallest - F.lit(1)), F.lit(centroids[0][0]))
 
 
 def bounding_box_zone(lat: Column, lon: Column, position: Column) -> Column:

@@ -63,27 +63,23 @@ def percent_of(col: Column, limit: Number) -> Column:
 
 
 def round_exact(col: Column, digits: int) -> Column:
-    """Round the exact binary value to `digits` decimals, ties to even.
+    """Round the exact binary value to `digits` decimals (at most 11), ties to even.
 
     Spark's `round` and `bround` round the decimal text of a double, so 2.675 becomes 2.68 although the
     stored number is below it. Here the product with 10**digits is split into its rounded value and its
     rounding error, which decides on which side of the midpoint the number really lies.
     """
-    scale = float(10 ** digits)
-    split = 134217729.0  # 2**27 + 1
-    scale_high = split * scale - (split * scale - scale)
-    scale_low = scale - scale_high
-    product = col * F.lit(scale)
-    shifted = col * F.lit(split)
+    if not 0 <= digits <= 11:
+        raise ValueError("10**digits must fit into half of a double's mantissa")
+    scale = F.lit(float(10 ** digits))
+    product = col * scale
+    shifted = col * F.lit(134217729.0)  # 2**27 + 1 cuts the mantissa in two halves
     high = shifted - (shifted - col)
-    low = col - high
-    error = ((high * F.lit(scale_high) - product) + high * F.lit(scale_low) + low * F.lit(scale_high)) \
-        + low * F.lit(scale_low)
+    error = (high * scale - product) + (col - high) * scale
     whole = F.floor(product).cast("double")
     above = (product - whole - F.lit(0.5)) + error
-    odd = whole - F.floor(whole / F.lit(2.0)).cast("double") * F.lit(2.0)
-    rounded = F.when(above > 0, whole + F.lit(1.0)).when(above < 0, whole).otherwise(whole + odd)
-    return F.when(col.isNotNull(), rounded / F.lit(scale))
+    rounded = F.when(above > 0, whole + F.lit(1.0)).when(above < 0, whole).otherwise(F.rint(product))
+    return rounded / scale
 
 
 def fixed_point(col: Column, digits: int = 2) -> Column:

@@ -30,9 +30,8 @@ def segments(spark, sf_dir):
 
 def stations(spark, sf_dir):
     """(latitude, longitude, value) rows of the PM2.5 feed."""
-    lat, lon = common.point()
     rows = feeds.events(spark, sf_dir).filter(F.col("event_type").isin(feeds.POLLUTION_TYPES) & (F.col("value") > 0))
-    return rows.select(lat.alias("latitude"), lon.alias("longitude"), "value")
+    return common.placed(rows).select(F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), "value")
 
 
 def _pick(i: int, p: float) -> str:

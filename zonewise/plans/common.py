@@ -13,7 +13,8 @@ from zonewise.sources import feeds
 
 
 def scored_zones(spark: SparkSession, sf_dir: str, by: list[str] | None = None) -> DataFrame:
-    return zones.scored(zones.fused_means(feeds.readings(feeds.events(spark, sf_dir)), by))
+    scored = zones.scored(zones.fused_means(feeds.readings(feeds.events(spark, sf_dir)), by))
+    return feeds.day_text(scored) if by and "day" in by else scored
 
 
 def stored_zones(spark: SparkSession, sf_dir: str, by: list[str] | None = None) -> DataFrame:
@@ -44,11 +45,13 @@ LIVE_LABEL_SQL = _steps_sql("(avg_aqi - avg_speed)", LIVE_STEPS)
 OFFLINE_LABEL_SQL = _steps_sql("avg_pm25", OFFLINE_STEPS)
 
 
-def point() -> tuple[Column, Column]:
-    """A place in the city for an event: latitude from k, longitude from the user."""
-    lat = F.lit(40.48) + feeds.props_k().cast("double") * F.lit(0.0044)
-    lon = F.lit(-74.26) + F.pmod("user_id", F.lit(560)).cast("double") * F.lit(0.001)
-    return lat, lon
+def placed(events_: DataFrame) -> DataFrame:
+    """The events with a place in the city: latitude from k, longitude from the user. The place is a projection
+    of its own, so what uses it many times does not parse k again."""
+    return events_.withColumns({
+        "lat": F.lit(40.48) + feeds.props_k().cast("double") * F.lit(0.0044),
+        "lon": F.lit(-74.26) + F.pmod("user_id", F.lit(560)).cast("double") * F.lit(0.001),
+    })
 
 
 LAT_SQL = "(40.48e0 + CAST(k AS DOUBLE) * 0.0044e0)"

@@ -85,15 +85,14 @@ def latest_extract(spark, sf_dir):
 
 
 def _pollution_csv(spark, sf_dir) -> str:
-    lat, lon = common.point()
     parameter = F.when(F.col("event_type") == "error", "PM25").when(F.col("event_type") == "purchase", " no2 ") \
         .otherwise("o3")
     path = scratch_path(spark, "pollution-csv")
-    rows = feeds.events(spark, sf_dir).select(
+    rows = common.placed(feeds.events(spark, sf_dir)).select(
         F.concat(F.lit("ST-"), F.col("user_id").cast("string")).alias("location"), parameter.alias("parameter"),
         F.col("value"), F.col("event_id").cast("string").alias("unit"),
         F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date_utc"),
-        lat.alias("latitude"), lon.alias("longitude"), F.lit("left out").alias("extra"),
+        F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.lit("left out").alias("extra"),
     )
     sink.write_csv(rows, path, schemas.POLLUTION_CSV.fieldNames())
     return path
@@ -143,7 +142,7 @@ _CONDITION = (
 ))
 def weather_csv_messages(spark, sf_dir):
     """One file per day, with metadata lines above the header and columns in an order of its own."""
-    rows = feeds.weather(feeds.events(spark, sf_dir)).withColumn("day", feeds.day())
+    rows = feeds.day_text(feeds.weather(feeds.events(spark, sf_dir)).withColumn("day", feeds.day()))
     temperature = F.when(F.col("humidity") == 13, "").otherwise(F.col("temperature").cast("string"))
     humidity = F.when(F.col("humidity") < 90, F.col("humidity").cast("string")).otherwise("")
     data = rows.select(
@@ -192,7 +191,6 @@ _DOC_NO2 = "CASE WHEN k = 0 THEN 15e0 ELSE CAST(k AS DOUBLE) END"
 ))
 def station_documents(spark, sf_dir):
     """Nested sensor documents: the last value per parameter, defaults, and stations without a place left out."""
-    lat, lon = common.point()
     k = feeds.props_k().cast("double")
 
     def sensor(name, value):
@@ -202,13 +200,14 @@ def station_documents(spark, sf_dir):
     value = F.when(F.col("event_type") != "signup", F.col("value"))
     location = F.struct(
         F.col("event_id").alias("id"),
-        F.struct(F.when(F.col("event_type") == "view", 0.0).otherwise(lat).alias("latitude"), lon.alias("longitude"))
+        F.struct(F.when(F.col("event_type") == "view", 0.0).otherwise(F.col("lat")).alias("latitude"),
+                 F.col("lon").alias("longitude"))
         .alias("coordinates"),
         F.array(sensor("no2", F.lit(1.0)), sensor("PM25", value), sensor("no2", k), sensor("pm25", F.lit(None)))
         .alias("sensors"),
     )
     path = scratch_path(spark, "stations-json")
-    feeds.events(spark, sf_dir).select(F.array(location).alias("results")).write.json(path)
+    common.placed(feeds.events(spark, sf_dir)).select(F.array(location).alias("results")).write.json(path)
     documents = files.read_sensor_locations(spark, path, multi_line=False)
     return files.station_messages(documents).select("station_id", "zone_id", "pm25", "no2", "aqi")
 

@@ -105,8 +105,9 @@ _CONDITION = (
 def weather_conditions(spark, sf_dir):
     from zonewise.functions.numeric import exact_mean
     condition = labels.weather_condition(F.col("temperature"), F.col("humidity"), F.col("windspeed"))
-    return feeds.weather(feeds.events(spark, sf_dir)).groupBy(feeds.day(), condition.alias("condition")).agg(
-        F.count(F.lit(1)).alias("n"), exact_mean(F.col("temperature")).alias("avg_temperature")
+    return feeds.day_text(
+        feeds.weather(feeds.events(spark, sf_dir)).groupBy(feeds.day(), condition.alias("condition"))
+        .agg(F.count(F.lit(1)).alias("n"), exact_mean(F.col("temperature")).alias("avg_temperature"))
     )
 
 
@@ -117,9 +118,9 @@ def weather_conditions(spark, sf_dir):
 def weather_latest(spark, sf_dir):
     """The last reading of each day; all buffers are numbers, so this stays in hash aggregation."""
     order = feeds.order()
-    return feeds.weather(feeds.events(spark, sf_dir)).groupBy(feeds.day()).agg(
+    return feeds.day_text(feeds.weather(feeds.events(spark, sf_dir)).groupBy(feeds.day()).agg(
         *[F.max_by(c, order).alias(c) for c in ("temperature", "humidity", "windspeed")]
-    )
+    ))
 
 
 def _round_sql(expr: str, digits: int) -> str:
@@ -134,10 +135,13 @@ def _round_sql(expr: str, digits: int) -> str:
 def exact_rounding(spark, sf_dir):
     """Unit conversion and divisions rounded on the exact binary value."""
     value = F.col("value")
-    return feeds.events(spark, sf_dir).select(
-        "event_id", round_exact(value * F.lit(dims.MPH_TO_KMH), 2).alias("speed_kmh"),
-        round_exact(value / F.lit(7.0), 1).alias("seventh"), round_exact(value / F.lit(2.0), 2).alias("half"),
+    raw = feeds.events(spark, sf_dir).select(
+        "event_id", (value * F.lit(dims.MPH_TO_KMH)).alias("speed_kmh"), (value / F.lit(7.0)).alias("seventh"),
+        (value / F.lit(2.0)).alias("half"),
     )
+    return raw.withColumns({
+        name: round_exact(F.col(name), digits) for name, digits in (("speed_kmh", 2), ("seventh", 1), ("half", 2))
+    })
 
 
 @registry.add(sql.query(

@@ -109,7 +109,7 @@ def worker_exposure_daily(spark, sf_dir):
     """The same totals with a fresh start every day."""
     rows = workers_with_air(spark, sf_dir).withColumn("day", feeds.day())
     totals = exposure.exposure_totals(rows, F.col("seq"), keys=["worker_id", "day"])
-    return totals.select("worker_id", "day", "count", "n_high", "daily_avg_aqi")
+    return feeds.day_text(totals).select("worker_id", "day", "count", "n_high", "daily_avg_aqi")
 
 
 _CYCLE_AQI = f"greatest({sql.index('pm25', dims.PM25_BREAKPOINTS)}, {sql.index('no2', dims.NO2_BREAKPOINTS)})"

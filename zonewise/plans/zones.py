@@ -50,7 +50,7 @@ def zone_score_daily(spark, sf_dir):
 def zone_score_inverted(spark, sf_dir):
     state = zones.fused_means(feeds.readings(feeds.events(spark, sf_dir)), ["day"])
     scored = zones.scored(state, inverted=True, congestion_below=25.0, pollution_above=100.0)
-    return scored.select("zone_id", "day", "zone_score", "event_type")
+    return feeds.day_text(scored).select("zone_id", "day", "zone_score", "event_type")
 
 
 @registry.add(sql.query(
@@ -251,8 +251,8 @@ nearest AS (SELECT event_id, value, event_type, zone_id FROM (
 
 @registry.add(sql.query("SELECT event_id, zone_id FROM nearest", NEAREST_SQL))
 def nearest_zone(spark, sf_dir):
-    lat, lon = common.point()
-    return feeds.events(spark, sf_dir).select("event_id", geo.nearest_zone(lat, lon).alias("zone_id"))
+    events = common.placed(feeds.events(spark, sf_dir))
+    return events.select("event_id", geo.nearest_zone(F.col("lat"), F.col("lon")).alias("zone_id"))
 
 
 _BOXES = " ".join(
@@ -265,9 +265,8 @@ _BOXES = " ".join(
     f"SELECT event_id, CASE {_BOXES} ELSE 'MN' END || '-0' || CAST(event_id % 6 + 1 AS VARCHAR) AS zone_id FROM ev"
 ))
 def bbox_zone(spark, sf_dir):
-    lat, lon = common.point()
-    zone = geo.bounding_box_zone(lat, lon, F.col("event_id"))
-    return feeds.events(spark, sf_dir).select("event_id", zone.alias("zone_id"))
+    zone = geo.bounding_box_zone(F.col("lat"), F.col("lon"), F.col("event_id"))
+    return common.placed(feeds.events(spark, sf_dir)).select("event_id", zone.alias("zone_id"))
 
 
 _ADJACENT = sql.case("substr(a.zone_id, 1, 2)", dims.ADJACENT_BOROUGH, "NULL")
