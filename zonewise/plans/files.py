@@ -296,7 +296,7 @@ _ALL_SPEEDS = f"(SELECT zone_id, {sql.mean('speed_kmh')} AS avg_speed FROM traff
 def latest_table(spark, sf_dir):
     """Two batches of zone means: the second only has fast zones, the others keep their first value."""
     traffic = feeds.traffic(feeds.events(spark, sf_dir))
-    schema = schemas._struct(zone_id=schemas._S, avg_speed=schemas._D)
+    schema = schemas.struct(zone_id=schemas._S, avg_speed=schemas._D)
     table = LatestTable(spark, scratch_path(spark, "latest"), schema, ("zone_id",), 86_400)
 
     def means(rows):

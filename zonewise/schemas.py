@@ -2,18 +2,19 @@
 
 from pyspark.sql import types as T
 
-_S, _D, _L = T.StringType(), T.DoubleType(), T.LongType()
+_S, _D, _L, _I = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType()
 
 
-def _struct(**columns: T.DataType) -> T.StructType:
+def struct(**columns: T.DataType) -> T.StructType:
+    """A schema of nullable columns."""
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in columns.items()])
 
 
 # stream messages
-TRAFFIC = _struct(segment_id=_S, speed_kmh=_D, borough=_S, zone_id=_S, timestamp=_S, lat=_D, lon=_D)
-POLLUTION = _struct(station_id=_S, zone_id=_S, pm25=_D, no2=_D, aqi=_D, timestamp=_S, lat=_D, lon=_D)
-WEATHER = _struct(temperature=_D, humidity=_D, windspeed=_D, condition=_S, timestamp=_S)
-WORKER = _struct(worker_id=_S, zone_id=_S, borough=_S, timestamp=_S, mobility_type=_S)
+TRAFFIC = struct(segment_id=_S, speed_kmh=_D, borough=_S, zone_id=_S, timestamp=_S, lat=_D, lon=_D)
+POLLUTION = struct(station_id=_S, zone_id=_S, pm25=_D, no2=_D, aqi=_D, timestamp=_S, lat=_D, lon=_D)
+WEATHER = struct(temperature=_D, humidity=_D, windspeed=_D, condition=_S, timestamp=_S)
+WORKER = struct(worker_id=_S, zone_id=_S, borough=_S, timestamp=_S, mobility_type=_S)
 TOPICS = {
     "traffic_stream": TRAFFIC,
     "pollution_stream": POLLUTION,
@@ -23,34 +24,34 @@ TOPICS = {
 
 # CSV files
 TRAFFIC_CSV_COLUMNS = ["SPEED", "LINK_ID", "DATA_AS_OF", "BOROUGH", "LINK_POINTS", "TRAVEL_TIME", "STATUS"]
-POLLUTION_CSV = _struct(location=_S, parameter=_S, value=_D, unit=_S, date_utc=_S, latitude=_D, longitude=_D)
+POLLUTION_CSV = struct(location=_S, parameter=_S, value=_D, unit=_S, date_utc=_S, latitude=_D, longitude=_D)
 
 # nested JSON documents
-_COORDINATES = _struct(latitude=_D, longitude=_D)
-SENSOR_LOCATIONS = _struct(results=T.ArrayType(_struct(
+_COORDINATES = struct(latitude=_D, longitude=_D)
+SENSOR_LOCATIONS = struct(results=T.ArrayType(struct(
     id=_L,
     coordinates=_COORDINATES,
-    sensors=T.ArrayType(_struct(parameter=_struct(name=_S), latest=_struct(value=_D))),
+    sensors=T.ArrayType(struct(parameter=struct(name=_S), latest=struct(value=_D))),
 )))
-MEASUREMENT_PAGE = _struct(results=T.ArrayType(_struct(
-    location=_struct(name=_S, coordinates=_COORDINATES),
+MEASUREMENT_PAGE = struct(results=T.ArrayType(struct(
+    location=struct(name=_S, coordinates=_COORDINATES),
     value=_D,
-    parameter=_struct(units=_S),
-    period=_struct(datetimeFrom=_struct(utc=_S)),
-    date=_struct(utc=_S),
+    parameter=struct(units=_S),
+    period=struct(datetimeFrom=struct(utc=_S)),
+    date=struct(utc=_S),
 )))
-HOURLY_WEATHER = _struct(hourly=_struct(
+HOURLY_WEATHER = struct(hourly=struct(
     time=T.ArrayType(_S),
     temperature_2m=T.ArrayType(_D),
     relativehumidity_2m=T.ArrayType(_D),
     windspeed_10m=T.ArrayType(_D),
 ))
-LABEL_METADATA = _struct(
+LABEL_METADATA = struct(
     zone_labels=T.MapType(_S, _S),
     cluster_name_map=T.MapType(_S, _S),
     feature_cols=T.ArrayType(_S),
     silhouette_score=_D,
-    n_clusters=T.IntegerType(),
+    n_clusters=_I,
     inertia=_D,
 )
 
@@ -63,3 +64,16 @@ EVENTS = T.StructType([
     T.StructField("value", _D),
     T.StructField("props", _S),
 ])
+
+# state tables of the streaming queries
+TRAFFIC_STATE = struct(zone_id=_S, avg_speed=_D, borough=_S, n_rows=_L)
+POLLUTION_STATE = struct(zone_id=_S, avg_aqi=_D, avg_pm25=_D, avg_no2=_D, n_rows=_L)
+ZONE_SCORE = struct(zone_id=_S, avg_speed=_D, avg_aqi=_D, avg_pm25=_D, zone_score=_D, event_type=_S, borough=_S)
+ZONE_LABEL = struct(zone_id=_S, cluster=_S)
+WEATHER_STATE = struct(place=_S, temperature=_D, humidity=_D, windspeed=_D, condition=_S)
+EXPOSURE_PART = struct(
+    worker_id=_S, count=_L, n_high=_L, aqi_units=_L, last_order=T.DecimalType(38, 0), last_zone_ord=_I
+)
+MODEL_STATE = struct(
+    n_batches=_I, idx=_I, k=_I, centroid=T.ArrayType(_D), count=_L, lows=T.ArrayType(_D), highs=T.ArrayType(_D), inertia=_D
+)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from zonewise import dims
+from zonewise import dims, schemas
 from zonewise.functions.numeric import default_if_falsy, order_key
 from zonewise.operators import exposure, online_kmeans, zones
 from zonewise.sinks.tables import TTL_SECONDS, BatchTable, LatestTable, write_snapshot
@@ -23,24 +23,6 @@ from zonewise.sinks.tables import TTL_SECONDS, BatchTable, LatestTable, write_sn
 FOREVER = 100 * 365 * 86_400
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-TRAFFIC_STATE = _schema("zone_id string, avg_speed double, borough string, n_rows bigint")
-POLLUTION_STATE = _schema("zone_id string, avg_aqi double, avg_pm25 double, avg_no2 double, n_rows bigint")
-ZONE_SCORE = _schema(
-    "zone_id string, avg_speed double, avg_aqi double, avg_pm25 double, zone_score double, event_type string, "
-    "borough string, batch_id bigint"
-)
-LABEL = _schema("zone_id string, cluster string")
-WEATHER = _schema("place string, temperature double, humidity double, windspeed double, condition string")
-EXPOSURE_PART = _schema(
-    "worker_id string, count bigint, n_high bigint, aqi_units bigint, last_order decimal(38,0), last_zone_ord int"
-)
-MODEL_STATE = _schema(online_kmeans.STATE_SCHEMA)
-
-
 @dataclass
 class City:
     """Tables under `root` and the batch handlers that maintain them."""
@@ -60,14 +42,13 @@ class City:
         def latest(name: str, schema: T.StructType, keys: tuple[str, ...], ttl: int) -> LatestTable:
             return LatestTable(self.spark, f"{self.root}/{name}", schema, keys, ttl)
 
-        self.traffic = latest("traffic", TRAFFIC_STATE, ("zone_id",), FOREVER)
-        self.pollution = latest("pollution", POLLUTION_STATE, ("zone_id",), FOREVER)
-        score = T.StructType([f for f in ZONE_SCORE.fields if f.name != "batch_id"])
-        self.zone_scores = latest("zone_scores", score, ("zone_id",), self.score_ttl)
-        self.labels = latest("labels", LABEL, ("zone_id",), self.label_ttl)
-        self.weather = latest("weather", WEATHER, ("place",), TTL_SECONDS["weather"])
-        self.exposure_parts = BatchTable(self.spark, f"{self.root}/exposure", EXPOSURE_PART)
-        self.models = BatchTable(self.spark, f"{self.root}/models", MODEL_STATE)
+        self.traffic = latest("traffic", schemas.TRAFFIC_STATE, ("zone_id",), FOREVER)
+        self.pollution = latest("pollution", schemas.POLLUTION_STATE, ("zone_id",), FOREVER)
+        self.zone_scores = latest("zone_scores", schemas.ZONE_SCORE, ("zone_id",), self.score_ttl)
+        self.labels = latest("labels", schemas.ZONE_LABEL, ("zone_id",), self.label_ttl)
+        self.weather = latest("weather", schemas.WEATHER_STATE, ("place",), TTL_SECONDS["weather"])
+        self.exposure_parts = BatchTable(self.spark, f"{self.root}/exposure", schemas.EXPOSURE_PART)
+        self.models = BatchTable(self.spark, f"{self.root}/models", schemas.MODEL_STATE)
 
     # --- batch handlers -----------------------------------------------------------------------------
 
@@ -108,11 +89,11 @@ class City:
             self.traffic.read().drop("updated_at", "expires_at"), self.pollution.read().drop("updated_at", "expires_at")
         ).persist()  # one row per zone, used by the scores and the model
         try:
-            scores = zones.scored(state).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            scores = zones.scored(state)
             self.zone_scores.upsert(scores, writer, batch_id)
             if self.snapshot_format:
-                write_snapshot(scores.select(*ZONE_SCORE.fieldNames()), f"{self.root}/snapshots", writer, batch_id,
-                               self.snapshot_format)
+                columns = schemas.ZONE_SCORE.fieldNames()
+                write_snapshot(scores.select(*columns), f"{self.root}/snapshots", writer, batch_id, self.snapshot_format)
             if self.clustering:
                 self._recluster(state, writer, batch_id)
         finally:
