@@ -10,7 +10,8 @@ from zonewise import schemas
 from zonewise.sinks.files import keyed_messages, publish, write_csv
 from zonewise.sinks.tables import BatchTable, LatestTable, bounded_history, replace_ranking, write_snapshot
 from zonewise.sources.streams import read_topic
-from zonewise.streaming import city, metrics, windows
+from zonewise.operators.forecast import autoregressive_step
+from zonewise.streaming import city, cycle, metrics, windows
 
 ONCE = {"availableNow": True}
 
@@ -247,3 +248,49 @@ def test_published_messages_come_back_as_a_topic(spark, tmp_path):
     assert {(r["segment_id"], r["speed_kmh"]) for r in spark.table("published").collect()} == {("s1", 20.0), ("s2", 30.0)}
     write_csv(rows, str(tmp_path / "csv"), ["speed_kmh", "segment_id"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == ["speed_kmh", "segment_id"]
+
+
+def test_recommendation_cycles(spark, tmp_path, town):
+    zones = ["MN-01", "MN-02", "SI-01"]
+    town.worker_zones.upsert(
+        spark.createDataFrame([("W-01", "MN-01"), ("W-02", "SI-01"), ("W-03", "QN-01")], schemas.WORKER_ZONE), "workers", 0
+    )
+    offline = spark.createDataFrame([("MN-01", "Permanently Hazardous"), ("SI-01", "Safe Corridor")], schemas.ZONE_LABEL)
+    job = cycle.RecommendationCycle(spark, str(tmp_path / "cycle"), town, offline)
+    series = {"MN-01": [80.0, 82.0, 85.0, 90.0, 96.0], "MN-02": [60.0] * 5, "SI-01": [20.0, 10.0, 30.0, 20.0, 25.0]}
+    for i in range(5):
+        rows = [(z, 30.0, series[z][i], 5.0, 0.9 if z == "MN-01" else 0.6, "NORMAL", "") for z in zones]
+        town.zone_scores.upsert(spark.createDataFrame(rows, schemas.ZONE_SCORE), "traffic", i)
+        job.run(i)
+    job.run(4)  # the same cycle again
+
+    import numpy as np
+    got = {r["zone_id"]: r for r in job.forecasts(4).collect()}
+    for zone in zones:
+        expected = float(np.clip(autoregressive_step(np.array([series[zone]]))[0], 0, 500))
+        assert got[zone]["current_aqi"] == series[zone][4]
+        assert got[zone]["forecast_aqi"] == pytest.approx(expected)
+    exposure = {r["worker_id"]: r for r in job.exposure().collect()}
+    assert (exposure["W-01"]["count"], exposure["W-01"]["high_aqi_minutes"]) == (5, 12.5)
+    assert exposure["W-02"]["total_minutes"] == 12.5 and exposure["W-03"]["daily_avg_aqi"] == 50.0
+    ranking = [(r["zone_id"], r["final_score"]) for r in job.ranking().orderBy("position").collect()]
+    assert [z for z, _ in ranking] == ["MN-02", "SI-01", "MN-01"] and ranking[2][1] == 0.9 * 0.1
+    advice = {r["worker_id"]: r["rec_zone"] for r in job.recommendations.read().collect()}
+    assert advice == {"W-01": "MN-02", "W-02": "MN-02", "W-03": "MN-02"}
+    counts = {r["exposure_status"]: r["n"] for r in job.status_counts.batch("cycle", 4).collect()}
+    assert counts == {"SAFE": 3, "WARNING": 0, "CRITICAL": 0}
+
+
+def test_metrics_history(spark, tmp_path):
+    topic = Topic(tmp_path / "t")
+    for i in range(3):
+        topic.send(traffic("MN-01", 20.0, f"2024-01-01T00:0{i}:00"))
+    query = topic.stream(spark, schemas.TRAFFIC, maxFilesPerTrigger=1).writeStream.format("noop").trigger(**ONCE) \
+        .option("checkpointLocation", str(tmp_path / "c")).start()
+    query.awaitTermination()
+    table = BatchTable(spark, str(tmp_path / "metrics"), schemas.PROGRESS)
+    for _ in range(2):
+        metrics.record(table, query, "traffic")
+    points = metrics.history(table, 2).collect()
+    assert [r["batch"] for r in points] == [1, 2] and all(r["input_rows"] == 1 for r in points)
+    assert table.read().count() == 3

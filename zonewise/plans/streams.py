@@ -131,4 +131,4 @@ def stream_metrics(spark, sf_dir):
     town, root = _new_city(spark)
     queries = _run(town, {"pollution": feeds.pollution(feeds.event_stream(spark, sf_dir))}, root)
     return metrics.progress_rows(spark, queries["pollution"], "pollution") \
-        .select("name", "batch_id", "input_rows", "rows_per_sec", "duration_ms", "lag_class")
+        .select("name", "batch", "input_rows", "rows_per_sec", "duration_ms", "lag_class")

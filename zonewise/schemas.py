@@ -77,3 +77,13 @@ EXPOSURE_PART = struct(
 MODEL_STATE = struct(
     n_batches=_I, idx=_I, k=_I, centroid=T.ArrayType(_D), count=_L, lows=T.ArrayType(_D), highs=T.ArrayType(_D), inertia=_D
 )
+WORKER_ZONE = struct(worker_id=_S, zone_id=_S)
+ZONE_READING = struct(zone_id=_S, avg_aqi=_D)
+RECOMMENDATION = struct(
+    worker_id=_S, zone_id=_S, current_zone=_S, rec_zone=_S, rec_label=_S, rec_score=_D, status=_S, exposure_status=_S,
+    reason=_S, hours_in_high_aqi=_D, daily_avg_aqi=_D, who_pct=_D,
+)
+STATUS_COUNT = struct(exposure_status=_S, n=_L)
+PROGRESS = struct(
+    name=_S, batch=_L, ts=_S, input_rows=_L, rows_per_sec=_D, duration_ms=_L, late_rows=_L
+)

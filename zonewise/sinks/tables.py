@@ -37,6 +37,10 @@ class BatchTable:
     def has_batch(self, writer: str, batch_id: int) -> bool:
         return path_exists(self.spark, f"{self.path}/batches/writer={writer}/batch_id={batch_id}/_SUCCESS")
 
+    def batch(self, writer: str, batch_id: int) -> DataFrame:
+        """The rows one batch has written."""
+        return self.read().filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+
     def read(self) -> DataFrame:
         """All rows with the columns `writer` and `batch_id`."""
         stored = T.StructType([*self.schema.fields, T.StructField("writer", T.StringType()),
@@ -68,7 +72,7 @@ class LatestTable:
 
     def batch(self, writer: str, batch_id: int) -> DataFrame:
         """The rows one batch has written."""
-        return self.versions().filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+        return self._batches.batch(writer, batch_id)
 
     def versions(self) -> DataFrame:
         """Every row ever written, with `writer` and `batch_id`."""
@@ -94,7 +98,8 @@ class LatestTable:
         base = self.spark.read.schema(rows.schema).parquet(f"{self.path}/snapshots/upto={done[-1]}")
         return base.unionByName(rows.filter(F.col("batch_id") > done[-1]))
 
-    def _newest(self) -> DataFrame:
+    def newest(self) -> DataFrame:
+        """The newest row per key, expired or not."""
         payload = [c for c in self.schema.fieldNames() if c not in self.keys]
         row = F.struct(*payload, "updated_at", "writer", "batch_id")
         return self._since_snapshot().groupBy(*self.keys).agg(
@@ -105,7 +110,7 @@ class LatestTable:
         """Rows that have not expired, with `updated_at` and `expires_at`."""
         expires = F.col("updated_at") + F.make_dt_interval(secs=F.lit(self.ttl_seconds))
         moment = F.current_timestamp() if now is None else now
-        return self._newest().withColumn("expires_at", expires).filter(F.col("expires_at") > moment) \
+        return self.newest().withColumn("expires_at", expires).filter(F.col("expires_at") > moment) \
             .select(*self.schema.fieldNames(), "updated_at", "expires_at")
 
     def lookup(self, dimension: DataFrame, now: Column | None = None, **defaults) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from zonewise import dims, schemas
+from zonewise.functions.geo import zone_at
 from zonewise.functions.numeric import default_if_falsy, order_key
 from zonewise.operators import exposure, online_kmeans, zones
 from zonewise.sinks.tables import TTL_SECONDS, BatchTable, LatestTable, write_snapshot
@@ -47,6 +48,7 @@ class City:
         self.zone_scores = latest("zone_scores", schemas.ZONE_SCORE, ("zone_id",), self.score_ttl)
         self.labels = latest("labels", schemas.ZONE_LABEL, ("zone_id",), self.label_ttl)
         self.weather = latest("weather", schemas.WEATHER_STATE, ("place",), TTL_SECONDS["weather"])
+        self.worker_zones = latest("worker_zones", schemas.WORKER_ZONE, ("worker_id",), TTL_SECONDS["worker_zone"])
         self.exposure_parts = BatchTable(self.spark, f"{self.root}/exposure", schemas.EXPOSURE_PART)
         self.models = BatchTable(self.spark, f"{self.root}/models", schemas.MODEL_STATE)
 
@@ -80,6 +82,10 @@ class City:
             .withColumn("aqi", F.coalesce("aqi", F.lit(exposure.UNKNOWN_ZONE_AQI)))
         parts = exposure.partial_exposure(known, arrival(rows).cast("decimal(38,0)"), self.profile)
         self.exposure_parts.write(parts, "workers", batch_id)
+        written = self.exposure_parts.batch("workers", batch_id)
+        self.worker_zones.upsert(
+            written.select("worker_id", zone_at(F.col("last_zone_ord")).alias("zone_id")), "workers", batch_id
+        )
 
     def _refresh(self, table: LatestTable, writer: str, batch_id: int) -> None:
         # the means just written tell whether the batch had rows, so the source is read only once
@@ -173,3 +179,9 @@ def start_city(
         name: start_query(stream, handlers[name], f"{checkpoint_root}/{name}", trigger=trigger)
         for name, stream in streams.items()
     }
+
+
+def run_city(city: City, streams: dict[str, DataFrame], checkpoint_root: str, trigger: dict | None = None) -> None:
+    """Start the queries and wait until one of them ends."""
+    start_city(city, streams, checkpoint_root, trigger)
+    city.spark.streams.awaitAnyTermination()

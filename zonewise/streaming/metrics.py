@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from zonewise.functions.labels import lag_bucket
-from pyspark.sql import functions as F
-
-PROGRESS = (
-    "name string, batch_id bigint, ts string, input_rows bigint, rows_per_sec double, duration_ms bigint, "
-    "late_rows bigint"
-)
+from zonewise.operators.report import recent_history
+from zonewise.schemas import PROGRESS
+from zonewise.sinks.tables import TTL_SECONDS, BatchTable, bounded_history
 
 
 def progress_rows(spark: SparkSession, query: StreamingQuery, name: str | None = None) -> DataFrame:
@@ -26,3 +24,16 @@ def progress_rows(spark: SparkSession, query: StreamingQuery, name: str | None =
             float(report["processedRowsPerSecond"]), report["durationMs"].get("triggerExecution"), late,
         ))
     return spark.createDataFrame(rows, PROGRESS).withColumn("lag_class", lag_bucket(F.col("duration_ms")))
+
+
+def record(table: BatchTable, query: StreamingQuery, name: str) -> None:
+    """Store the reports of a query; recording again replaces the rows of the same batches."""
+    rows = progress_rows(table.spark, query, name).drop("lag_class")
+    for batch in [r["batch"] for r in rows.select("batch").collect()]:  # at most the 100 reports
+        table.write(rows.filter(F.col("batch") == batch).coalesce(1), name, batch)
+
+
+def history(table: BatchTable, shown: int = 15, kept: int = 20, now: Column | None = None) -> DataFrame:
+    """The newest points, in order of time, out of a history that is bounded in length and age."""
+    points = table.read().withColumn("ts", F.to_timestamp("ts"))
+    return recent_history(bounded_history(points, "ts", kept, TTL_SECONDS["history"], now), "ts", shown)
