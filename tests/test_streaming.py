@@ -47,7 +47,7 @@ def pollution(zone, aqi, time, pm25=12.0):
 
 @pytest.fixture
 def town(spark, tmp_path):
-    return city.City(spark, str(tmp_path / "city"))
+    return city.City(spark, str(tmp_path / "city"), compact_every=2)
 
 
 def run(town, tmp_path, **streams):
@@ -201,11 +201,15 @@ def test_latest_table(spark, tmp_path):
     assert read("2024-01-01 00:04:30") == {"a": 3.0, "b": 2.0}
     assert read("2024-01-01 00:05:00") == {"a": 3.0}
     assert read("2024-01-01 01:00:00") == {}
-    table.compact(1)
+    table.compact("q", 1)
     table.upsert(rows(("c", 4.0)), "q", 2, moment("2024-01-01 00:04:10"))
-    assert read("2024-01-01 00:04:30") == {"a": 3.0, "b": 2.0, "c": 4.0}
-    table.compact(2)
-    assert read("2024-01-01 00:04:30") == {"a": 3.0, "b": 2.0, "c": 4.0}
+    table.upsert(rows(("d", 5.0)), "slow", 0, moment("2024-01-01 00:04:20"))  # another writer counts its own batches
+    expected = {"a": 3.0, "b": 2.0, "c": 4.0, "d": 5.0}
+    assert read("2024-01-01 00:04:30") == expected
+    table.compact("q", 2)
+    table.compact("slow", 0)
+    assert read("2024-01-01 00:04:30") == expected
+    assert table.versions().count() == 5
     dimension = spark.createDataFrame([("a",), ("z",)], "key string")
     found = table.lookup(dimension, moment("2024-01-01 00:04:30"), value=0.5).collect()
     assert {r["key"]: r["value"] for r in found} == {"a": 3.0, "z": 0.5}

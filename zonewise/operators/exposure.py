@@ -83,16 +83,20 @@ def partial_exposure(
     )
 
 
+def added_parts(parts: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Several partial rows per key as one, still addable."""
+    return parts.groupBy(*(keys or ["worker_id"])).agg(
+        *[F.sum(n).alias(n) for n in ("count", "n_high", "aqi_units")],
+        F.max_by("last_zone_ord", "last_order").alias("last_zone_ord"), F.max("last_order").alias("last_order"),
+    )
+
+
 def combined_exposure(
-    partials: DataFrame, profile: dims.ExposureProfile = dims.PER_READING, keys: list[str] | None = None
+    parts: DataFrame, profile: dims.ExposureProfile = dims.PER_READING, keys: list[str] | None = None
 ) -> DataFrame:
     """Add partial rows up and derive hours, mean and status."""
-    totals = partials.groupBy(*(keys or ["worker_id"])).agg(
-        *[F.sum(n).alias(n) for n in ("count", "n_high", "aqi_units")],
-        F.max_by("last_zone_ord", "last_order").alias("_zone"),
-    )
-    return totals.withColumn("zone_id", zone_at(F.col("_zone"))).withColumns(exposure_columns(profile)) \
-        .drop("aqi_units", "_zone")
+    totals = added_parts(parts, keys).withColumn("zone_id", zone_at(F.col("last_zone_ord")))
+    return totals.withColumns(exposure_columns(profile)).drop("aqi_units", "last_zone_ord", "last_order")
 
 
 def exposure_totals(
@@ -100,10 +104,9 @@ def exposure_totals(
     keys: list[str] | None = None, aqi: str = "aqi",
 ) -> DataFrame:
     """Exposure per worker over all readings, in one aggregate."""
-    return partial_exposure(readings, order, profile, keys, aqi) \
-        .withColumnRenamed("last_zone_ord", "_zone") \
-        .withColumn("zone_id", zone_at(F.col("_zone"))).withColumns(exposure_columns(profile)) \
-        .drop("aqi_units", "_zone", "last_order")
+    totals = partial_exposure(readings, order, profile, keys, aqi)
+    return totals.withColumn("zone_id", zone_at(F.col("last_zone_ord"))).withColumns(exposure_columns(profile)) \
+        .drop("aqi_units", "last_zone_ord", "last_order")
 
 
 def protective_aqi(current: Column, forecast: Column) -> Column:

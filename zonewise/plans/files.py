@@ -303,7 +303,7 @@ def latest_table(spark, sf_dir):
         return rows.groupBy("zone_id").agg(exact_mean(F.col("speed_kmh")).alias("avg_speed"))
 
     table.upsert(means(traffic), "traffic", 0)
-    table.compact(0)
+    table.compact("traffic", 0)
     table.upsert(means(traffic.filter(F.col("speed_kmh") > 150)), "traffic", 1)
     return table.read().select("zone_id", "avg_speed")
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from zonewise.plans import Registry, sql
+from zonewise.plans import Registry, common, sql
 from zonewise.plans.workers import _totals_sql
 from zonewise.session import scratch_path
 from zonewise.sinks.tables import LatestTable
 from zonewise.sources import feeds
-from zonewise.streaming import city, metrics, windows
+from zonewise.streaming import city, cycle, metrics, windows
 
 registry = Registry()
 
@@ -115,6 +115,34 @@ def stream_weather(spark, sf_dir):
     return newest.select("temperature", "humidity", "windspeed", "condition")
 
 
+_CYCLE = f"""
+last AS (SELECT worker_id, arg_max(zone_id, event_id) AS zone_id FROM worker GROUP BY worker_id),
+named AS (SELECT s.zone_id, s.zone_score * {sql.weight(common.OFFLINE_LABEL_SQL)} AS final_score,
+    {common.OFFLINE_LABEL_SQL} AS cluster FROM scored s),
+best AS (SELECT * FROM named ORDER BY final_score DESC, {sql.zone_ord('zone_id')} LIMIT 1)"""
+
+
+@registry.add(sql.query(
+    "SELECT l.worker_id, l.zone_id, b.zone_id AS rec_zone, b.cluster AS rec_label, b.final_score AS rec_score, "
+    "CAST(CASE WHEN coalesce(s.avg_aqi, 50e0) > 40 THEN 1 ELSE 0 END AS DOUBLE) * 2.5e0 / 60e0 AS hours_in_high_aqi, "
+    "CAST(CAST(coalesce(s.avg_aqi, 50e0) * 1e6 AS BIGINT) AS DOUBLE) / 1e6 AS daily_avg_aqi, 'SAFE' AS status "
+    "FROM last l LEFT JOIN scored s USING (zone_id), best b",
+    _STREAM_DEFAULTS, _STREAM_STATE, _CYCLE,
+))
+def stream_recommendations(spark, sf_dir):
+    """One recommendation cycle on the state the traffic, pollution and worker queries have left."""
+    town, root = _new_city(spark)
+    events = feeds.event_stream(spark, sf_dir)
+    traffic = feeds.traffic(events).withColumn("borough", F.lit(""))
+    _run(town, {"pollution": feeds.pollution(events), "traffic": traffic, "workers": feeds.workers(events)}, root)
+    offline = town.zone_scores.read().select("zone_id", common.offline_label().alias("cluster"))
+    job = cycle.RecommendationCycle(spark, f"{root}/cycle", town, offline)
+    job.run(0)
+    return job.recommendations.read().select(
+        "worker_id", "zone_id", "rec_zone", "rec_label", "rec_score", "hours_in_high_aqi", "daily_avg_aqi", "status"
+    )
+
+
 @registry.add()
 def stream_labels(spark, sf_dir):
     """Zone labels from the online model that the traffic and pollution queries advance."""

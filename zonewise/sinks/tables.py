@@ -6,13 +6,14 @@ the same folder again, so replays change nothing, and two queries never overwrit
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonewise.sources.files import path_exists
+from zonewise.sources.files import list_folder, path_exists
 
 # Seconds a stored value lives.
 TTL_SECONDS = {
@@ -24,12 +25,21 @@ TTL_SECONDS = {
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Rows appended per (writer, batch), each batch exactly once."""
+    """Rows appended per (writer, batch), each batch exactly once.
+
+    `compact` merges the batches of a writer into a snapshot that later reads start from, so a long-running
+    query does not read ever more small files.
+    """
 
     spark: SparkSession
     path: str
     schema: T.StructType
 
+    @property
+    def _stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField("writer", T.StringType()),
+                             T.StructField("batch_id", T.LongType())])
+
     def write(self, rows: DataFrame, writer: str, batch_id: int) -> None:
         rows.select(*self.schema.fieldNames()).write.mode("overwrite") \
             .parquet(f"{self.path}/batches/writer={writer}/batch_id={batch_id}")
@@ -37,18 +47,43 @@ class BatchTable:
     def has_batch(self, writer: str, batch_id: int) -> bool:
         return path_exists(self.spark, f"{self.path}/batches/writer={writer}/batch_id={batch_id}/_SUCCESS")
 
+    def batches(self) -> DataFrame:
+        """Every row ever written, with `writer` and `batch_id`."""
+        folder = f"{self.path}/batches"
+        if not path_exists(self.spark, folder):
+            return self.spark.createDataFrame([], self._stored)
+        return self.spark.read.schema(self._stored).parquet(folder)
+
     def batch(self, writer: str, batch_id: int) -> DataFrame:
         """The rows one batch has written."""
-        return self.read().filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+        return self.batches().filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+
+    def snapshots(self) -> dict[str, int]:
+        """The newest finished snapshot of each writer, by the last batch it covers."""
+        root = f"{self.path}/snapshots"
+        found: dict[str, int] = {}
+        for folder in list_folder(self.spark, root):
+            for name in list_folder(self.spark, f"{root}/{folder}"):
+                if path_exists(self.spark, f"{root}/{folder}/{name}/_SUCCESS"):
+                    writer = folder.removeprefix("writer=")
+                    found[writer] = max(found.get(writer, -1), int(name.removeprefix("upto=")))
+        return found
 
     def read(self) -> DataFrame:
-        """All rows with the columns `writer` and `batch_id`."""
-        stored = T.StructType([*self.schema.fields, T.StructField("writer", T.StringType()),
-                               T.StructField("batch_id", T.LongType())])
-        folder = f"{self.path}/batches"
-        if not path_exists(self.spark, folder):
-            return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).parquet(folder)
+        """All rows, merged as far as there are snapshots; the batches these cover are pruned as partitions."""
+        rows = self.batches()
+        for writer, upto in self.snapshots().items():
+            base = self.spark.read.schema(self._stored).parquet(f"{self.path}/snapshots/writer={writer}/upto={upto}")
+            covered = (F.col("writer") == writer) & (F.col("batch_id") <= upto)
+            rows = rows.filter(~covered).unionByName(base)
+        return rows
+
+    def compact(self, writer: str, upto: int, merge: Callable[[DataFrame], DataFrame]) -> None:
+        """Store `merge` of the writer's rows up to a finished batch. The old batches stay where they are."""
+        rows = self.read().filter((F.col("writer") == writer) & (F.col("batch_id") <= upto))
+        merged = merge(rows).withColumns({"writer": F.lit(writer), "batch_id": F.lit(upto).cast("bigint")})
+        merged.select(*self._stored.fieldNames()).write.mode("overwrite") \
+            .parquet(f"{self.path}/snapshots/writer={writer}/upto={upto}")
 
 
 @dataclass(frozen=True)
@@ -76,35 +111,17 @@ class LatestTable:
 
     def versions(self) -> DataFrame:
         """Every row ever written, with `writer` and `batch_id`."""
-        return self._batches.read()
-
-    def _snapshots(self) -> list[int]:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/snapshots")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(
-            int(n.split("=")[1]) for n in names
-            if n.startswith("upto=") and path_exists(self.spark, f"{self.path}/snapshots/{n}/_SUCCESS")
-        )
-
-    def _since_snapshot(self) -> DataFrame:
-        rows = self.versions()
-        done = self._snapshots()
-        if not done:
-            return rows
-        # batches the snapshot covers are pruned as partitions
-        base = self.spark.read.schema(rows.schema).parquet(f"{self.path}/snapshots/upto={done[-1]}")
-        return base.unionByName(rows.filter(F.col("batch_id") > done[-1]))
+        return self._batches.batches()
+
+    def _newest_of(self, rows: DataFrame) -> DataFrame:
+        payload = [c for c in rows.columns if c not in self.keys]
+        return rows.groupBy(*self.keys).agg(
+            F.max_by(F.struct(*payload), F.struct("updated_at", "batch_id", "writer")).alias("_r")
+        ).select(*self.keys, "_r.*")
 
     def newest(self) -> DataFrame:
         """The newest row per key, expired or not."""
-        payload = [c for c in self.schema.fieldNames() if c not in self.keys]
-        row = F.struct(*payload, "updated_at", "writer", "batch_id")
-        return self._since_snapshot().groupBy(*self.keys).agg(
-            F.max_by(row, F.struct("updated_at", "batch_id", "writer")).alias("_r")
-        ).select(*self.keys, "_r.*")
+        return self._newest_of(self._batches.read())
 
     def read(self, now: Column | None = None) -> DataFrame:
         """Rows that have not expired, with `updated_at` and `expires_at`."""
@@ -118,17 +135,9 @@ class LatestTable:
         joined = dimension.join(self.read(now).drop("updated_at", "expires_at"), list(self.keys), "left")
         return joined.withColumns({n: F.coalesce(n, F.lit(v)) for n, v in defaults.items()}) if defaults else joined
 
-    def compact(self, upto: int) -> None:
-        """Write the newest rows of all batches up to `upto` as a snapshot, which later reads start from.
-
-        All writers of the table must have finished batch `upto`. Old batches stay until they are removed.
-        """
-        covered = self._since_snapshot().filter(F.col("batch_id") <= upto)
-        payload = [c for c in covered.columns if c not in self.keys]
-        covered.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*payload), F.struct("updated_at", "batch_id", "writer")).alias("_r")
-        ).select(*self.keys, "_r.*").select(*covered.columns) \
-            .write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={upto}")
+    def compact(self, writer: str, upto: int) -> None:
+        """Keep only the newest row per key of a writer's batches up to `upto` for later reads."""
+        self._batches.compact(writer, upto, self._newest_of)
 
 
 def bounded_history(rows: DataFrame, time: str = "ts", n: int = 20, max_age_seconds: int | None = None,

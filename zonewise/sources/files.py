@@ -292,5 +292,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    return [entry.getPath().getName() for entry in entries]
+
+
 def _iso(now: Column | None) -> Column:
     return F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")

@@ -22,6 +22,7 @@ from zonewise.operators import exposure, online_kmeans, zones
 from zonewise.sinks.tables import TTL_SECONDS, BatchTable, LatestTable, write_snapshot
 
 FOREVER = 100 * 365 * 86_400
+SMALL = 10_000  # rows that one task handles at once
 
 
 @dataclass
@@ -34,6 +35,7 @@ class City:
     k: int = 4
     seed: int = 42
     clustering: bool = True
+    compact_every: int = 100  # batches
     snapshot_format: str | None = None  # besides the score table, whose batches are Parquet snapshots already
     score_ttl: int = TTL_SECONDS["zone_score"]
     label_ttl: int = TTL_SECONDS["cluster_label"]
@@ -86,6 +88,9 @@ class City:
         self.worker_zones.upsert(
             written.select("worker_id", zone_at(F.col("last_zone_ord")).alias("zone_id")), "workers", batch_id
         )
+        if self._compaction_due(batch_id):
+            self.worker_zones.compact("workers", batch_id)
+            self.exposure_parts.compact("workers", batch_id, exposure.added_parts)
 
     def _refresh(self, table: LatestTable, writer: str, batch_id: int) -> None:
         # the means just written tell whether the batch had rows, so the source is read only once
@@ -95,6 +100,8 @@ class City:
             self.traffic.read().drop("updated_at", "expires_at"), self.pollution.read().drop("updated_at", "expires_at")
         ).persist()  # one row per zone, used by the scores and the model
         try:
+            if state.count() <= SMALL:  # a handful of zones: one task saves the shuffles of the steps below
+                state = state.coalesce(1)
             scores = zones.scored(state)
             self.zone_scores.upsert(scores, writer, batch_id)
             if self.snapshot_format:
@@ -104,6 +111,12 @@ class City:
                 self._recluster(state, writer, batch_id)
         finally:
             state.unpersist()
+        if self._compaction_due(batch_id):
+            for latest in (table, self.zone_scores, *([self.labels] if self.clustering else [])):
+                latest.compact(writer, batch_id)
+
+    def _compaction_due(self, batch_id: int) -> bool:
+        return batch_id % self.compact_every == self.compact_every - 1
 
     def _recluster(self, state: DataFrame, writer: str, batch_id: int) -> None:
         with self._model_lock:  # the traffic and the pollution query both advance the model
