@@ -49,7 +49,7 @@ def test_pollution_csv(spark, tmp_path):
     raw = files.read_pollution(spark, path)
     assert files.pm25_readings(raw).count() == 1
     numbered = raw.withColumn("n", F.monotonically_increasing_id())
-    rows = files.pollution_messages(numbered, F.col("n"), F.lit(0).cast("bigint"), keep=["n"]).orderBy("n").collect()
+    rows = files.pollution_messages(numbered, F.col("n"), keep=["n"]).orderBy("n").collect()
     assert [(r["pm25"], r["no2"]) for r in rows] == [(10.0, 0.0), (10.0, 30.0), (0.0, 30.0), (0.0, 0.0)]
     assert rows[0]["station_id"] == "A�" and rows[3]["station_id"] == "NYC-004"
     assert rows[0]["aqi"] == round(50 / 12 * 10, 1) and rows[3]["lat"] == 40.7128

@@ -26,6 +26,8 @@ def frame(spark, events):
 
 
 def bucket(width):
+    if width is None:
+        return None  # chosen from the data
     return F.floor(F.col("i") / F.lit(width)).cast("bigint")
 
 
@@ -36,10 +38,10 @@ def by_key(events):
     return grouped
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
+@pytest.mark.parametrize("width", [1, 7, 1000, None])
 def test_forward_fill(frame, events, width):
     got = {r["i"]: r["last"] for r in ordered.forward_fill(
-        frame, ["key"], F.col("i"), bucket(width), {"last": F.col("x")}).collect()}
+        frame, ["key"], F.col("i"), {"last": F.col("x")}, bucket(width)).collect()}
     assert len(got) == len(events)
     for rows in by_key(events).values():
         last = None
@@ -48,21 +50,30 @@ def test_forward_fill(frame, events, width):
             assert got[i] == last
 
 
-@pytest.mark.parametrize("width", [1, 13])
+@pytest.mark.parametrize("width", [1, 13, None])
 def test_running_totals_and_positions(frame, events, width):
     got = {r["i"]: (r["total"], r["seen"]) for r in ordered.running_totals(
-        frame, ["key"], F.col("i"), bucket(width), {"total": F.col("n"), "seen": F.lit(1)}).collect()}
+        frame, ["key"], F.col("i"), {"total": F.col("n"), "seen": F.lit(1)}, bucket(width)).collect()}
     for rows in by_key(events).values():
         for j, row in enumerate(rows):
             assert got[row[0]] == (sum(r[3] for r in rows[: j + 1]), j + 1)
-    places = ordered.row_positions(frame, F.col("i"), bucket(width)).collect()
+    places = ordered.row_positions(frame, F.col("i"), bucket=bucket(width)).collect()
     assert all(r["position"] == r["i"] for r in places)
 
 
+def test_even_buckets_follow_the_densest_key(frame, events):
+    hot = len(by_key(events)["hot"])
+    sizes = frame.groupBy("key", ordered.even_buckets(frame, ["key"], F.col("i"), 20).alias("b")).count().collect()
+    assert max(r["count"] for r in sizes) < 60 and len([r for r in sizes if r["key"] == "hot"]) >= hot // 40
+    one = frame.limit(1)
+    assert ordered.running_totals(one, ["key"], F.col("i"), {"t": F.lit(1)}).first()["t"] == 1
+    assert ordered.running_totals(frame.limit(0), ["key"], F.col("i"), {"t": F.lit(1)}).count() == 0
+
+
 @pytest.mark.parametrize("chunk", [4, 16, 4096])
 def test_trailing_values(frame, events, chunk):
     got = {r["i"]: list(r["history"]) for r in ordered.trailing_values(
-        frame, ["key"], F.col("i"), bucket(50), F.col("n"), 4, chunk=chunk).collect()}
+        frame, ["key"], F.col("i"), F.col("n"), 4, chunk=chunk, bucket=bucket(50)).collect()}
     assert len(got) == len(events)
     for rows in by_key(events).values():
         for j, row in enumerate(rows):
@@ -75,7 +86,7 @@ def test_as_of(spark, events, strict):
     right = [(i, k, x) for i, k, x, n in events if n >= 3 and x is not None]
     joined = ordered.as_of(
         spark.createDataFrame(left, "i bigint, key string"), spark.createDataFrame(right, "i bigint, key string, x double"),
-        ["key"], "i", "x", bucket(20), default=75.0, strict=strict,
+        ["key"], "i", "x", default=75.0, strict=strict, bucket=bucket(20) if strict else None,
     )
     got = {r["i"]: r["x"] for r in joined.collect()}
     assert len(got) == len(left)

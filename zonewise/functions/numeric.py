@@ -87,15 +87,24 @@ def fixed_point(col: Column, digits: int = 2) -> Column:
     return F.rint(col * F.lit(float(10 ** digits))).cast("bigint")
 
 
+def exact_sum_units(units: Column) -> Column:
+    """Sum of whole units as a double, rounded once.
+
+    The upper and lower bits are added up apart: each is a plain long that stays in hash aggregation and has
+    room for more rows than a table can hold, and joining them again is exact up to the final rounding.
+    """
+    upper = F.sum(F.shiftright(units, 20)).cast("double") * F.lit(1048576.0)
+    return upper + F.sum(units.bitwiseAND(F.lit(1048575))).cast("double")
+
+
 def exact_mean(col: Column, digits: int = 2) -> Column:
     """Mean of a measure with at most `digits` decimals.
 
     Adding whole units makes the result independent of the order in which partial sums meet, so a retried
-    task, a replayed micro-batch and a batch job all give the same double. The sum is a plain long that
-    stays in hash aggregation, and overflow raises instead of wrapping.
+    task, a replayed micro-batch and a batch job all give the same double.
     """
     count = F.nullif(F.count(col), F.lit(0)).cast("double")
-    return F.sum(fixed_point(col, digits)).cast("double") / (count * F.lit(float(10 ** digits)))
+    return exact_sum_units(fixed_point(col, digits)) / (count * F.lit(float(10 ** digits)))
 
 
 def _spread(col: Column, digits: int) -> tuple[Column, Column]:

@@ -12,15 +12,16 @@ from zonewise.functions.numeric import fixed_point, percent_of, stable_hash
 from zonewise.operators.ordered import as_of, running_totals
 
 UNKNOWN_ZONE_AQI = 75.0
-AQI_DIGITS = 6
+AQI_DIGITS = 4  # leaves a worker's running sum room for 10**12 readings
 _AQI_UNITS = float(10 ** AQI_DIGITS)
 
 
 def with_known_air(
-    workers: DataFrame, pollution: DataFrame, order: str, bucket: Column, aqi: str = "aqi", strict: bool = False
+    workers: DataFrame, pollution: DataFrame, order: str, aqi: str = "aqi", strict: bool = False,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Each worker position with the latest AQI known for its zone at that moment, 75 before any."""
-    return as_of(workers, pollution, ["zone_id"], order, aqi, bucket, default=UNKNOWN_ZONE_AQI, strict=strict)
+    return as_of(workers, pollution, ["zone_id"], order, aqi, UNKNOWN_ZONE_AQI, strict, bucket)
 
 
 def valid_zone(zone_id: Column, worker_id: Column, time: Column) -> Column:
@@ -53,8 +54,8 @@ def exposure_columns(profile: dims.ExposureProfile) -> dict[str, Column]:
 
 
 def running_exposure(
-    readings: DataFrame, order: Column, bucket: Column, profile: dims.ExposureProfile = dims.PER_READING,
-    keys: list[str] | None = None, aqi: str = "aqi",
+    readings: DataFrame, order: Column, profile: dims.ExposureProfile = dims.PER_READING,
+    keys: list[str] | None = None, aqi: str = "aqi", bucket: Column | None = None,
 ) -> DataFrame:
     """Exposure of the worker after every reading. Add a day to `keys` to start anew each day.
 
@@ -62,7 +63,7 @@ def running_exposure(
     than the result of another join.
     """
     totals = running_totals(
-        readings, keys or ["worker_id"], order, bucket, _measures(F.col(aqi), profile)
+        readings, keys or ["worker_id"], order, _measures(F.col(aqi), profile), bucket
     )
     return totals.withColumns(exposure_columns(profile)).drop("aqi_units")
 

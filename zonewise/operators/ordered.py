@@ -10,7 +10,8 @@ along the order (an hour, a range of ids):
    (key, bucket) gives the final answer.
 
 Rows are shuffled once, by (key, bucket), and no join is needed. `order` must be a unique number (see
-`order_key`) and `bucket` must never decrease along it.
+`order_key`). The buckets follow from the densest key unless the caller gives a `bucket` expression, which
+must never decrease along the order.
 """
 
 from __future__ import annotations
@@ -19,9 +20,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET, _ORDER = "_bucket", "_order"
+ROWS_PER_BUCKET = 1_000_000
 
 
-def _staged(rows: DataFrame, order: Column, bucket: Column, extra: dict[str, Column]) -> DataFrame:
+def even_buckets(rows: DataFrame, keys: list[str], order: Column, target: int = ROWS_PER_BUCKET) -> Column:
+    """Equal stretches of the order, such that the densest key has about `target` rows in each.
+
+    The width is a scalar subquery over one count per key. Small data ends up in one bucket, and a key that
+    holds a third of a huge table in as many as it needs.
+    """
+    place = order.cast("double")
+    density = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")
+    )
+    width = density.agg(F.min((F.col("hi") - F.col("lo")) / F.col("n"))).scalar() * F.lit(float(target))
+    return F.floor(place / F.when(width > 0, width).otherwise(F.lit(1e300))).cast("bigint")
+
+
+def _staged(
+    rows: DataFrame, keys: list[str], order: Column, bucket: Column | None, extra: dict[str, Column]
+) -> DataFrame:
+    if bucket is None:
+        bucket = even_buckets(rows, keys, order)
     return rows.select(
         "*", order.alias(_ORDER), bucket.alias(_BUCKET), *[c.alias(f"_in_{n}") for n, c in extra.items()]
     )
@@ -38,10 +58,10 @@ def _finish(scanned: DataFrame) -> DataFrame:
 
 
 def forward_fill(
-    rows: DataFrame, keys: list[str], order: Column, bucket: Column, fills: dict[str, Column]
+    rows: DataFrame, keys: list[str], order: Column, fills: dict[str, Column], bucket: Column | None = None
 ) -> DataFrame:
     """Add, per entry of `fills`, its last non-null value up to and including the row."""
-    staged = _staged(rows, order, bucket, fills)
+    staged = _staged(rows, keys, order, bucket, fills)
     tails = staged.groupBy(*keys, _BUCKET).agg(*[
         F.max_by(f"_in_{n}", F.when(F.col(f"_in_{n}").isNotNull(), F.col(_ORDER))).alias(f"_in_{n}")
         for n in fills
@@ -57,13 +77,13 @@ def forward_fill(
 
 
 def running_totals(
-    rows: DataFrame, keys: list[str], order: Column, bucket: Column, sums: dict[str, Column]
+    rows: DataFrame, keys: list[str], order: Column, sums: dict[str, Column], bucket: Column | None = None
 ) -> DataFrame:
     """Add, per entry of `sums`, its running total up to and including the row.
 
     Use whole numbers (`fixed_point`) as inputs: their totals do not depend on the bucket borders.
     """
-    staged = _staged(rows, order, bucket, sums)
+    staged = _staged(rows, keys, order, bucket, sums)
     totals = staged.groupBy(*keys, _BUCKET).agg(*[F.sum(f"_in_{n}").alias(f"_in_{n}") for n in sums])
     earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
@@ -76,16 +96,16 @@ def running_totals(
 
 
 def row_positions(
-    rows: DataFrame, order: Column, bucket: Column, name: str = "position", keys: list[str] | None = None
+    rows: DataFrame, order: Column, name: str = "position", keys: list[str] | None = None, bucket: Column | None = None
 ) -> DataFrame:
     """0-based position along the order, over all rows or per key."""
-    counted = running_totals(rows, keys or [], order, bucket, {name: F.lit(1)})
+    counted = running_totals(rows, keys or [], order, {name: F.lit(1)}, bucket)
     return counted.withColumn(name, F.col(name) - F.lit(1))
 
 
 def trailing_values(
-    rows: DataFrame, keys: list[str], order: Column, bucket: Column, value: Column, length: int,
-    name: str = "history", chunk: int = 4096,
+    rows: DataFrame, keys: list[str], order: Column, value: Column, length: int, name: str = "history",
+    chunk: int = 4096, bucket: Column | None = None,
 ) -> DataFrame:
     """Add the last `length` values up to the row, oldest first, as an array.
 
@@ -93,7 +113,7 @@ def trailing_values(
     front of the next one, so every frame is complete inside one chunk.
     """
     numbered = row_positions(
-        rows.select("*", order.alias("_seq"), value.alias("_value")), F.col("_seq"), bucket, "_pos", keys
+        rows.select("*", order.alias("_seq"), value.alias("_value")), F.col("_seq"), "_pos", keys, bucket
     )
     home = F.floor(F.col("_pos") / F.lit(chunk)).cast("bigint")
     tail = F.pmod(F.col("_pos"), F.lit(chunk)) >= F.lit(chunk - (length - 1))
@@ -109,14 +129,14 @@ def trailing_values(
 
 
 def as_of(
-    left: DataFrame, right: DataFrame, keys: list[str], order: str, value: str, bucket: Column,
-    default=None, strict: bool = False,
+    left: DataFrame, right: DataFrame, keys: list[str], order: str, value: str, default=None, strict: bool = False,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Join each left row with the latest `value` of the right side known at its `order`.
 
     Both sides are stacked and the value is filled forward, so a key that holds most of the rows is still
     spread over its buckets. `strict` looks only at right rows before the left row; otherwise a right row
-    at the same moment counts. `bucket` is an expression over `order`.
+    at the same moment counts.
     """
     left_columns = left.columns
     stacked = left.withColumn("_side", F.lit(0 if strict else 1)).withColumn("_known", F.lit(None).cast("double")) \
@@ -125,6 +145,6 @@ def as_of(
             allowMissingColumns=True,
         )
     sequence = F.col(order).cast("decimal(37,0)") * F.lit(2) + F.col("_side")
-    filled = forward_fill(stacked, keys, sequence, bucket, {value: F.col("_known")})
+    filled = forward_fill(stacked, keys, sequence, {value: F.col("_known")}, bucket)
     found = filled.filter(F.col("_side") == F.lit(0 if strict else 1)).select(*left_columns, value)
     return found if default is None else found.withColumn(value, F.coalesce(F.col(value), F.lit(default)))

@@ -21,9 +21,6 @@ def _round(expr: str, digits: int) -> str:
     return f"CAST(printf('%.{digits}f', {expr}) AS DOUBLE)"
 
 
-_ID_STRETCH = 100_000  # rows per bucket of consecutive ids
-
-
 def _traffic_csv(spark, sf_dir) -> str:
     """Traffic as CSV with untidy headers; every ninth k has no speed, every eleventh an unreadable one."""
     rows = feeds.events(spark, sf_dir).filter(F.col("event_type").isin(feeds.TRAFFIC_TYPES)).withColumn("k", feeds.props_k())
@@ -52,7 +49,7 @@ _CSV_SPEED = "CASE WHEN k % 9 = 0 THEN 30e0 ELSE speed_kmh END"
 ))
 def traffic_csv_messages(spark, sf_dir):
     raw = files.read_traffic(spark, _traffic_csv(spark, sf_dir)).withColumn("id", F.col("LINK_ID").cast("bigint"))
-    placed = row_positions(raw, F.col("id"), F.floor(F.col("id") / F.lit(_ID_STRETCH)))
+    placed = row_positions(raw, F.col("id"))
     return files.traffic_messages(placed, F.col("position")) \
         .select("segment_id", "speed_kmh", "speed_mph", "borough", "zone_id")
 
@@ -110,9 +107,7 @@ def _pollution_csv(spark, sf_dir) -> str:
 def pollution_csv_messages(spark, sf_dir):
     """Messages from the CSV: filled stations, nearest zones, combined index; other parameters drop out."""
     rows = files.read_pollution(spark, _pollution_csv(spark, sf_dir)).withColumn("id", F.col("unit").cast("bigint"))
-    messages = files.pollution_messages(
-        rows, F.col("id"), F.floor(F.col("id") / F.lit(_ID_STRETCH)), keep=["id"]
-    )
+    messages = files.pollution_messages(rows, F.col("id"), keep=["id"])
     return messages.select(F.col("id").alias("event_id"), "station_id", "zone_id", "pm25", "no2", "aqi")
 
 

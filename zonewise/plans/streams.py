@@ -125,7 +125,7 @@ best AS (SELECT * FROM named ORDER BY final_score DESC, {sql.zone_ord('zone_id')
 @registry.add(sql.query(
     "SELECT l.worker_id, l.zone_id, b.zone_id AS rec_zone, b.cluster AS rec_label, b.final_score AS rec_score, "
     "CAST(CASE WHEN coalesce(s.avg_aqi, 50e0) > 40 THEN 1 ELSE 0 END AS DOUBLE) * 2.5e0 / 60e0 AS hours_in_high_aqi, "
-    "CAST(CAST(coalesce(s.avg_aqi, 50e0) * 1e6 AS BIGINT) AS DOUBLE) / 1e6 AS daily_avg_aqi, 'SAFE' AS status "
+    "CAST(CAST(coalesce(s.avg_aqi, 50e0) * 1e4 AS BIGINT) AS DOUBLE) / 1e4 AS daily_avg_aqi, 'SAFE' AS status "
     "FROM last l LEFT JOIN scored s USING (zone_id), best b",
     _STREAM_DEFAULTS, _STREAM_STATE, _CYCLE,
 ))

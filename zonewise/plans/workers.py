@@ -19,16 +19,11 @@ def _ordered(rows):
     return rows.withColumn("seq", feeds.order())
 
 
-def _seq_day():
-    """Day number of an order key."""
-    return F.floor(F.col("seq") / F.lit(86_400_000_000 * 10.0 ** 19)).cast("bigint")
-
-
 def workers_with_air(spark, sf_dir):
     """Worker positions with the AQI last known for their zone."""
     events = feeds.events(spark, sf_dir)
     workers, pollution = _ordered(feeds.workers(events)), _ordered(feeds.pollution(events))
-    return exposure.with_known_air(workers, pollution.select("zone_id", "seq", "aqi"), "seq", _seq_day())
+    return exposure.with_known_air(workers, pollution.select("zone_id", "seq", "aqi"), "seq")
 
 
 AS_OF_SQL = """
@@ -49,15 +44,15 @@ _RUNNING_WINDOW = "WINDOW w AS (PARTITION BY worker_id ORDER BY ts, event_id ROW
 
 @registry.add(sql.query(
     "SELECT event_id, worker_id, n AS count, n_high, CAST(n_high AS DOUBLE) / 60e0 AS hours_in_high_aqi, "
-    "CAST(units AS DOUBLE) / (CAST(n AS DOUBLE) * 1e6) AS daily_avg_aqi, "
+    "CAST(units AS DOUBLE) / (CAST(n AS DOUBLE) * 1e4) AS daily_avg_aqi, "
     f"{sql.status('CAST(n_high AS DOUBLE) / 60e0')} AS exposure_status FROM (SELECT event_id, worker_id, "
     "count(*) OVER w AS n, CAST(sum(CASE WHEN aqi > 100 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_high, "
-    f"CAST(sum({sql.units('aqi', 6)}) OVER w AS BIGINT) AS units FROM aired {_RUNNING_WINDOW})",
+    f"CAST(sum({sql.units('aqi', 4)}) OVER w AS BIGINT) AS units FROM aired {_RUNNING_WINDOW})",
     AS_OF_SQL,
 ))
 def worker_exposure_running(spark, sf_dir):
     rows = exposure.running_exposure(
-        checkpointed(workers_with_air(spark, sf_dir)), F.col("seq"), feeds.day_bucket()
+        checkpointed(workers_with_air(spark, sf_dir)), F.col("seq")
     )
     return rows.select(
         "event_id", "worker_id", "count", "n_high", "hours_in_high_aqi", "daily_avg_aqi", "exposure_status"
@@ -68,10 +63,10 @@ def _totals_sql(high: float = 100.0, minutes: float = 1.0) -> str:
     hours = f"(CAST(n_high AS DOUBLE) * {sql.num(minutes)} / 60e0)"
     return f"""
 sums AS (SELECT worker_id, count(*) AS count, CAST(sum(CASE WHEN aqi > {sql.num(high)} THEN 1 ELSE 0 END) AS BIGINT) AS n_high,
-    CAST(sum({sql.units('aqi', 6)}) AS BIGINT) AS units, arg_max(zone_id, event_id) AS zone_id FROM aired GROUP BY worker_id),
+    CAST(sum({sql.units('aqi', 4)}) AS BIGINT) AS units, arg_max(zone_id, event_id) AS zone_id FROM aired GROUP BY worker_id),
 totals AS (SELECT worker_id, zone_id, count, n_high, CAST(n_high AS DOUBLE) * {sql.num(minutes)} AS high_aqi_minutes,
     CAST(count AS DOUBLE) * {sql.num(minutes)} AS total_minutes, {hours} AS hours_in_high_aqi,
-    CAST(units AS DOUBLE) / 1e6 AS aqi_sum, CAST(units AS DOUBLE) / (CAST(count AS DOUBLE) * 1e6) AS daily_avg_aqi,
+    CAST(units AS DOUBLE) / 1e4 AS aqi_sum, CAST(units AS DOUBLE) / (CAST(count AS DOUBLE) * 1e4) AS daily_avg_aqi,
     {sql.status(hours)} AS exposure_status, least(100e0, {hours} / 8e0 * 100e0) AS who_pct FROM sums)"""
 
 
@@ -101,7 +96,7 @@ _DAILY_KEYS = "worker_id, day"
 
 @registry.add(sql.query(
     f"SELECT worker_id, day, count(*) AS count, CAST(sum(CASE WHEN aqi > 100 THEN 1 ELSE 0 END) AS BIGINT) AS n_high, "
-    f"CAST(sum({sql.units('aqi', 6)}) AS DOUBLE) / (CAST(count(*) AS DOUBLE) * 1e6) AS daily_avg_aqi "
+    f"CAST(sum({sql.units('aqi', 4)}) AS DOUBLE) / (CAST(count(*) AS DOUBLE) * 1e4) AS daily_avg_aqi "
     f"FROM aired GROUP BY {_DAILY_KEYS}",
     AS_OF_SQL,
 ))
@@ -117,12 +112,12 @@ _CYCLE_AQI = f"greatest({sql.index('pm25', dims.PM25_BREAKPOINTS)}, {sql.index('
 
 @registry.add(sql.query(
     "SELECT event_id, worker_id, n AS n_cycles, CAST(n_high AS DOUBLE) * 2.5e0 AS high_aqi_minutes, "
-    "CAST(n AS DOUBLE) * 2.5e0 AS total_minutes, CAST(units AS DOUBLE) / 1e6 AS aqi_sum, "
+    "CAST(n AS DOUBLE) * 2.5e0 AS total_minutes, CAST(units AS DOUBLE) / 1e4 AS aqi_sum, "
     f"{sql.status('CAST(n_high AS DOUBLE) * 2.5e0 / 60e0')} AS exposure_status, "
     "least(100e0, CAST(n_high AS DOUBLE) * 2.5e0 / 60e0 / 8e0 * 100e0) AS who_pct "
     "FROM (SELECT event_id, worker_id, count(*) OVER w AS n, "
     "CAST(sum(CASE WHEN aqi > 40 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_high, "
-    f"CAST(sum({sql.units('aqi', 6)}) OVER w AS BIGINT) AS units FROM (SELECT event_id, station_id AS worker_id, ts, "
+    f"CAST(sum({sql.units('aqi', 4)}) OVER w AS BIGINT) AS units FROM (SELECT event_id, station_id AS worker_id, ts, "
     f"{_CYCLE_AQI} AS aqi FROM pollution) {_RUNNING_WINDOW})"
 ))
 def exposure_cycles(spark, sf_dir):
@@ -137,7 +132,7 @@ def exposure_cycles(spark, sf_dir):
             air.aqi_from_breakpoints(F.col("no2"), dims.NO2_BREAKPOINTS),
         ).alias("aqi"),
     )
-    running = exposure.running_exposure(rows, feeds.order(), feeds.day_bucket(), dims.PER_CYCLE)
+    running = exposure.running_exposure(rows, feeds.order(), dims.PER_CYCLE)
     return running.select(
         "event_id", "worker_id", F.col("count").alias("n_cycles"), "high_aqi_minutes", "total_minutes", "aqi_sum",
         "exposure_status", "who_pct",

@@ -103,7 +103,3 @@ def order() -> Column:
     """Unique order of the events: time, then id."""
     return order_key(F.col("event_time"), F.col("event_id"))
 
-
-def day_bucket() -> Column:
-    """Days since the epoch; never decreases along `order`."""
-    return F.floor(F.unix_micros("event_time") / F.lit(86_400_000_000)).cast("bigint")

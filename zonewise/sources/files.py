@@ -108,7 +108,7 @@ def pm25_readings(pollution: DataFrame) -> DataFrame:
 
 
 def filled_stations(
-    readings: DataFrame, order: Column, bucket: Column, station: str = "station_id"
+    readings: DataFrame, order: Column, station: str = "station_id", bucket: Column | None = None
 ) -> DataFrame:
     """Per reading the last PM2.5 and NO2 its station has sent so far, 0 before the first, never negative.
 
@@ -117,14 +117,14 @@ def filled_stations(
     parameter = F.lower(F.trim("parameter"))
     is_pm25 = parameter.contains("pm25")
     is_no2 = ~is_pm25 & parameter.contains("no2")
-    filled = forward_fill(readings.filter(is_pm25 | is_no2), [station], order, bucket, {
+    filled = forward_fill(readings.filter(is_pm25 | is_no2), [station], order, {
         "pm25": F.when(is_pm25, clamp(F.col("value"), 0)), "no2": F.when(is_no2, clamp(F.col("value"), 0)),
-    })
+    }, bucket)
     return filled.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("pm25", "no2")})
 
 
 def pollution_messages(
-    pollution: DataFrame, position: Column, bucket: Column, now: Column | None = None, keep: list[str] | None = None
+    pollution: DataFrame, position: Column, now: Column | None = None, keep: list[str] | None = None
 ) -> DataFrame:
     """Cleaned stream messages, one per PM2.5 or NO2 reading, keyed by station."""
     named = F.trim(F.coalesce(
@@ -134,9 +134,9 @@ def pollution_messages(
     readings = pollution.select(
         named.alias("station_id"), "parameter", F.coalesce("value", F.lit(0.0)).alias("value"),
         F.coalesce("latitude", F.lit(CITY_LAT)).alias("lat"), F.coalesce("longitude", F.lit(CITY_LON)).alias("lon"),
-        position.alias("_position"), bucket.alias("_stretch"), *(keep or []),
+        position.alias("_position"), *(keep or []),
     )
-    filled = filled_stations(readings, F.col("_position"), F.col("_stretch"))
+    filled = filled_stations(readings, F.col("_position"))
     return filled.select(
         "station_id", nearest_zone(F.col("lat"), F.col("lon")).alias("zone_id"),
         round_exact(F.col("pm25"), 2).alias("pm25"), round_exact(F.col("no2"), 2).alias("no2"),
