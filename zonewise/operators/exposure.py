@@ -18,10 +18,10 @@ _AQI_UNITS = float(10 ** AQI_DIGITS)
 
 def with_known_air(
     workers: DataFrame, pollution: DataFrame, order: str, aqi: str = "aqi", strict: bool = False,
-    bucket: Column | None = None,
+    bucket: Column | None = None, time: str | None = None,
 ) -> DataFrame:
     """Each worker position with the latest AQI known for its zone at that moment, 75 before any."""
-    return as_of(workers, pollution, ["zone_id"], order, aqi, UNKNOWN_ZONE_AQI, strict, bucket)
+    return as_of(workers, pollution, ["zone_id"], order, aqi, UNKNOWN_ZONE_AQI, strict, bucket, time)
 
 
 def valid_zone(zone_id: Column, worker_id: Column, time: Column) -> Column:

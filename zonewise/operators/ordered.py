@@ -23,18 +23,19 @@ _BUCKET, _ORDER = "_bucket", "_order"
 ROWS_PER_BUCKET = 1_000_000
 
 
-def even_buckets(rows: DataFrame, keys: list[str], order: Column, target: int = ROWS_PER_BUCKET) -> Column:
-    """Equal stretches of the order, such that the densest key has about `target` rows in each.
+def even_buckets(rows: DataFrame, keys: list[str], along: Column, target: int = ROWS_PER_BUCKET) -> Column:
+    """Equal stretches of `along`, such that the densest key has about `target` rows in each.
 
-    The width is a scalar subquery over one count per key. Small data ends up in one bucket, and a key that
-    holds a third of a huge table in as many as it needs.
+    `along` is the order itself or, cheaper, the number it starts with. The width is a scalar subquery over one
+    count per key. Small data ends up in one bucket, and a key that holds a third of a huge table in as many
+    as it needs.
     """
-    place = order.cast("double")
     density = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")
+        F.count(F.lit(1)).cast("double").alias("n"), F.min(along).alias("lo"), F.max(along).alias("hi")
     )
-    width = density.agg(F.min((F.col("hi") - F.col("lo")) / F.col("n"))).scalar() * F.lit(float(target))
-    return F.floor(place / F.when(width > 0, width).otherwise(F.lit(1e300))).cast("bigint")
+    span = F.col("hi").cast("double") - F.col("lo").cast("double")
+    width = density.agg(F.min(span / F.col("n"))).scalar() * F.lit(float(target))
+    return F.floor(along.cast("double") / F.when(width > 0, width).otherwise(F.lit(1e300))).cast("bigint")
 
 
 def _staged(
@@ -130,20 +131,24 @@ def trailing_values(
 
 def as_of(
     left: DataFrame, right: DataFrame, keys: list[str], order: str, value: str, default=None, strict: bool = False,
-    bucket: Column | None = None,
+    bucket: Column | None = None, time: str | None = None,
 ) -> DataFrame:
     """Join each left row with the latest `value` of the right side known at its `order`.
 
     Both sides are stacked and the value is filled forward, so a key that holds most of the rows is still
     spread over its buckets. `strict` looks only at right rows before the left row; otherwise a right row
-    at the same moment counts.
+    at the same moment counts. A timestamp column `time` that both sides have and that `order` starts with
+    makes laying out the buckets cheaper.
     """
     left_columns = left.columns
     stacked = left.withColumn("_side", F.lit(0 if strict else 1)).withColumn("_known", F.lit(None).cast("double")) \
         .unionByName(
-            right.select(*keys, order, F.lit(1 if strict else 0).alias("_side"), F.col(value).alias("_known")),
+            right.select(*keys, order, *([time] if time else []), F.lit(1 if strict else 0).alias("_side"),
+                         F.col(value).alias("_known")),
             allowMissingColumns=True,
         )
+    if bucket is None and time:
+        bucket = even_buckets(stacked, keys, F.unix_micros(time))
     sequence = F.col(order).cast("decimal(37,0)") * F.lit(2) + F.col("_side")
     filled = forward_fill(stacked, keys, sequence, {value: F.col("_known")}, bucket)
     found = filled.filter(F.col("_side") == F.lit(0 if strict else 1)).select(*left_columns, value)

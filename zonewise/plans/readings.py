@@ -190,10 +190,15 @@ def station_fill(spark, sf_dir):
         "event_id", F.concat(F.lit("ST-"), F.col("user_id").cast("string")).alias("station_id"),
         parameter.alias("parameter"), "value", "event_time",
     )
-    return files.filled_stations(readings, feeds.order()) \
+    return files.filled_stations(readings, feeds.order(), bucket=feeds.stretches(readings, ["station_id"])) \
         .select("event_id", "station_id", "pm25", "no2")
 
 
+def _histories(spark, sf_dir):
+    rows = feeds.pollution(feeds.events(spark, sf_dir)).select("event_id", "zone_id", "aqi", "event_time")
+    return forecast.with_history(rows, feeds.order(), bucket=feeds.stretches(rows, ["zone_id"]))
+
+
 _HISTORY = (
     "SELECT event_id, zone_id, count(*) OVER w AS n, first_value(aqi) OVER w AS oldest, "
     "CAST(sum(CAST(aqi * 1e6 AS BIGINT)) OVER w AS BIGINT) AS units "
@@ -205,7 +210,7 @@ _HISTORY = (
 def aqi_history(spark, sf_dir):
     """The last 12 readings of the zone at every reading: how many, the oldest, and their sum in millionths."""
     from zonewise.functions.numeric import fixed_point
-    rows = forecast.with_history(feeds.pollution(feeds.events(spark, sf_dir)), feeds.order())
+    rows = _histories(spark, sf_dir)
     total = F.aggregate("history", F.lit(0).cast("bigint"), lambda acc, x: acc + fixed_point(x, 6))
     return rows.select(
         "event_id", "zone_id", F.size("history").cast("bigint").alias("n"), F.get("history", F.lit(0)).alias("oldest"),
@@ -216,5 +221,5 @@ def aqi_history(spark, sf_dir):
 @registry.add()
 def aqi_forecast(spark, sf_dir):
     """AR(3) forecast at every reading; least squares is not plain SQL, the tests compare it with numpy."""
-    rows = forecast.with_history(feeds.pollution(feeds.events(spark, sf_dir)), feeds.order())
+    rows = _histories(spark, sf_dir)
     return rows.select("event_id", "zone_id", "aqi", forecast.forecast_aqi(F.col("history")).alias("forecast_aqi"))

@@ -23,7 +23,7 @@ def workers_with_air(spark, sf_dir):
     """Worker positions with the AQI last known for their zone."""
     events = feeds.events(spark, sf_dir)
     workers, pollution = _ordered(feeds.workers(events)), _ordered(feeds.pollution(events))
-    return exposure.with_known_air(workers, pollution.select("zone_id", "seq", "aqi"), "seq")
+    return exposure.with_known_air(workers, pollution.select("zone_id", "seq", "event_time", "aqi"), "seq", time="event_time")
 
 
 AS_OF_SQL = """
@@ -51,9 +51,8 @@ _RUNNING_WINDOW = "WINDOW w AS (PARTITION BY worker_id ORDER BY ts, event_id ROW
     AS_OF_SQL,
 ))
 def worker_exposure_running(spark, sf_dir):
-    rows = exposure.running_exposure(
-        checkpointed(workers_with_air(spark, sf_dir)), F.col("seq")
-    )
+    known = checkpointed(workers_with_air(spark, sf_dir))
+    rows = exposure.running_exposure(known, F.col("seq"), bucket=feeds.stretches(known, ["worker_id"]))
     return rows.select(
         "event_id", "worker_id", "count", "n_high", "hours_in_high_aqi", "daily_avg_aqi", "exposure_status"
     )
@@ -132,7 +131,9 @@ def exposure_cycles(spark, sf_dir):
             air.aqi_from_breakpoints(F.col("no2"), dims.NO2_BREAKPOINTS),
         ).alias("aqi"),
     )
-    running = exposure.running_exposure(rows, feeds.order(), dims.PER_CYCLE)
+    running = exposure.running_exposure(
+        rows, feeds.order(), dims.PER_CYCLE, bucket=feeds.stretches(rows, ["worker_id"])
+    )
     return running.select(
         "event_id", "worker_id", F.col("count").alias("n_cycles"), "high_aqi_minutes", "total_minutes", "aqi_sum",
         "exposure_status", "who_pct",

@@ -301,7 +301,7 @@ def round_robin_zone(spark, sf_dir):
     events = feeds.events(spark, sf_dir)
     borough = F.get(F.array(*[F.lit(b) for b in dims.BOROUGHS]), F.pmod(feeds.props_k(), F.lit(5)))
     rows = events.filter(F.col("event_type").isin(feeds.TRAFFIC_TYPES)).select("event_id", "event_time", borough.alias("b"))
-    placed = row_positions(rows, feeds.order())
+    placed = row_positions(rows, feeds.order(), bucket=feeds.stretches(rows, []))
     return placed.select("event_id", "position", geo.nth_zone_of(F.col("b"), F.col("position")).alias("zone_id"))
 
 
