@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from zonewise import dims
 from zonewise.operators import cluster, features, online_kmeans, silhouette
@@ -66,7 +65,7 @@ def distances(x):
     return np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
 
 
-def reference_silhouette(x, labels):
+def expected_silhouette(x, labels):
     d, out = distances(x), []
     for i, own in enumerate(labels):
         mates = [j for j, l in enumerate(labels) if l == own and j != i]
@@ -92,7 +91,7 @@ def test_offline_model(spark, matrix, model, tmp_path):
     assert [hazard[n] for n in dims.CLUSTER_NAMES] == sorted(hazard.values(), reverse=True)
 
     values = cluster.silhouettes(matrix, model).toPandas().set_index("zone_id").loc[pdf.index]["silhouette"]
-    assert np.allclose(values, reference_silhouette(x, labels), atol=1e-8)
+    assert np.allclose(values, expected_silhouette(x, labels), atol=1e-8)
 
     points, centroids, shares = cluster.project(matrix, model)
     singular = np.linalg.svd(x, compute_uv=False) ** 2
@@ -130,7 +129,7 @@ def test_silhouette_blocks_and_singletons(spark):
     frame = spark.createDataFrame(
         [(i, l, *map(float, p)) for i, (l, p) in enumerate(zip(labels, x))], "zone_id int, label int, a double, b double, c double"
     )
-    expected = reference_silhouette(x, labels)
+    expected = expected_silhouette(x, labels)
     for block_rows in (17, 1024):
         rows = silhouette.silhouette_rows(frame, ["a", "b", "c"], block_rows=block_rows).collect()
         assert len(rows) == 200

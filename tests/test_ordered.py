@@ -112,7 +112,7 @@ def test_exact_quantiles(spark, accuracy):
         assert r["quantile"] == pytest.approx(np.percentile(everything, r["probability"] * 100), abs=1e-12)
 
 
-def reference_forecast(history):
+def expected_forecast(history):
     y = np.array(history)
     if len(y) < 4:
         return y[-1]
@@ -129,6 +129,6 @@ def test_forecast(spark):
     for r in frame.select("i", forecast.forecast_aqi(F.col("h")).alias("f")).collect():
         history = histories[r["i"]]
         assert 0.0 <= r["f"] <= 500.0
-        assert r["f"] == pytest.approx(reference_forecast(history), rel=1e-6, abs=1e-6)
+        assert r["f"] == pytest.approx(expected_forecast(history), rel=1e-6, abs=1e-6)
         if len(history) < 4:
             assert r["f"] == history[-1]

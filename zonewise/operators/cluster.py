@@ -9,10 +9,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonewise import dims
+from zonewise.functions.geo import borough_name
 from zonewise.functions.numeric import exact_mean, exact_stddev_pop
 from zonewise.operators.features import live_features
 from zonewise.operators.silhouette import silhouette_mean, silhouette_rows
@@ -184,14 +186,12 @@ def project(features: DataFrame, model: ZoneModel, key: str = "zone_id") -> tupl
     return points, flat(centers, "label"), [float(v) for v in pca.explainedVariance.toArray()]
 
 
-def _vectors(model: KMeansModel):
-    from pyspark.ml.linalg import Vectors
+def _vectors(model: KMeansModel) -> list:
     return [Vectors.dense(c) for c in model.clusterCenters()]
 
 
 def assignment_table(labels: DataFrame, features: DataFrame, silhouette: DataFrame) -> DataFrame:
     """Zone, cluster, borough, features and silhouette in one row, sorted by cluster and zone."""
-    from zonewise.functions.geo import borough_name
     return (
         labels.select("zone_id", "cluster").join(features, "zone_id")
         .join(silhouette.select("zone_id", "silhouette"), "zone_id")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from zonewise import dims
 from zonewise.functions.geo import borough_name, zone_ordinal
 from zonewise.functions.labels import event_class_name, marker_radius, score_bucket, status_rank
-from zonewise.functions.numeric import exact_mean
+from zonewise.functions.numeric import exact_mean, exact_stddev_samp
 from zonewise.operators.quantiles import exact_quantiles
 
 
@@ -133,7 +133,6 @@ def distinct_counts(rows: DataFrame, columns: list[str], approximate: bool = Fal
 
 def column_summary(rows: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
     """(column, count, mean, std, min, q1, median, q3, max) with exact quartiles, one row per column."""
-    from zonewise.functions.numeric import exact_stddev_samp
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     long = rows.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter(F.col("value").isNotNull())
     stats = long.groupBy("column").agg(

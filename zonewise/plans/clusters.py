@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from zonewise import dims
 from zonewise.functions import geo
+from zonewise.functions.air import aqi_proxy
+from zonewise.functions.numeric import exact_mean, lookup
 from zonewise.operators import cluster, features, online_kmeans, report, silhouette, zones
 from zonewise.plans import Registry, common, sql
 from zonewise.plans.zones import NEAREST_SQL
@@ -140,7 +142,6 @@ sil AS (SELECT *, CASE WHEN n_in_cluster > 1 THEN coalesce((b - a) / nullif(grea
 def _labelled_points(spark, sf_dir):
     rows = common.stored_zones(spark, sf_dir, ["day"])
     number = {n: i for i, n in enumerate(dims.CLUSTER_NAMES)}
-    from zonewise.functions.numeric import lookup
     named = rows.withColumn("label", lookup(common.live_label(), number)) \
         .withColumn("point", F.concat_ws("/", "zone_id", "day"))
     return cluster.standardised(named.select("point", "label", *_LIVE), _LIVE)
@@ -267,8 +268,6 @@ _NAME_LIST = "[" + ", ".join(f"'{n}'" for n in dims.CLUSTER_NAMES) + "]"
 ))
 def hazard_rank(spark, sf_dir):
     """Five groups of days named by hazard; the fifth has no name of its own."""
-    from zonewise.functions.air import aqi_proxy
-    from zonewise.functions.numeric import exact_mean
     groups = common.scored_zones(spark, sf_dir, ["day"]) \
         .groupBy(F.pmod(F.substring("day", 9, 2).cast("int"), F.lit(5)).alias("cluster_id")) \
         .agg(exact_mean(F.col("avg_aqi"), 6).alias("avg_aqi"), exact_mean(F.col("avg_speed"), 6).alias("avg_speed"),
@@ -283,7 +282,6 @@ def hazard_rank(spark, sf_dir):
     sql.state("day"), _GROUPS,
 ))
 def hazard_rank_online(spark, sf_dir):
-    from zonewise.functions.numeric import exact_mean
     groups = common.scored_zones(spark, sf_dir, ["day"]) \
         .groupBy(F.pmod(F.substring("day", 9, 2).cast("int"), F.lit(5)).alias("cluster_id")) \
         .agg(exact_mean(F.col("avg_aqi"), 6).alias("avg_aqi"), exact_mean(F.col("avg_speed"), 6).alias("avg_speed"))

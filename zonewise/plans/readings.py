@@ -7,7 +7,9 @@ from pyspark.sql import types as T
 
 from zonewise import dims
 from zonewise.functions import labels
-from zonewise.functions.numeric import default_if_falsy, first_number, first_text, round_exact
+from zonewise.functions.numeric import (
+    default_if_falsy, exact_mean, first_number, first_text, fixed_point, lookup, round_exact,
+)
 from zonewise.operators import forecast
 from zonewise.plans import Registry, sql
 from zonewise.sources import feeds, files, streams
@@ -30,7 +32,6 @@ _RAW_BOROUGH = (
 ))
 def borough_clean(spark, sf_dir):
     """Both name policies over messy borough texts."""
-    from zonewise.functions.numeric import lookup
     raw = feeds.events(spark, sf_dir).select(F.expr(_RAW_BOROUGH).alias("raw"))
     named = raw.select(
         "raw", labels.borough_lenient(F.col("raw")).alias("lenient"), labels.borough_strict(F.col("raw")).alias("strict")
@@ -103,7 +104,6 @@ _CONDITION = (
     "FROM weather GROUP BY ALL"
 ))
 def weather_conditions(spark, sf_dir):
-    from zonewise.functions.numeric import exact_mean
     condition = labels.weather_condition(F.col("temperature"), F.col("humidity"), F.col("windspeed"))
     return feeds.day_text(
         feeds.weather(feeds.events(spark, sf_dir)).groupBy(feeds.day(), condition.alias("condition"))
@@ -209,7 +209,6 @@ _HISTORY = (
 @registry.add(sql.query(_HISTORY))
 def aqi_history(spark, sf_dir):
     """The last 12 readings of the zone at every reading: how many, the oldest, and their sum in millionths."""
-    from zonewise.functions.numeric import fixed_point
     rows = _histories(spark, sf_dir)
     total = F.aggregate("history", F.lit(0).cast("bigint"), lambda acc, x: acc + fixed_point(x, 6))
     return rows.select(

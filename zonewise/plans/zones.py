@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from zonewise import dims
 from zonewise.functions import air, geo, labels
-from zonewise.functions.numeric import exact_mean
+from zonewise.functions.numeric import exact_mean, lookup
 from zonewise.operators import report, zones
 from zonewise.operators.ordered import row_positions
 from zonewise.plans import Registry, common, sql
@@ -108,7 +108,6 @@ _ALIASES = {"click": "CONGESTION", "view": "NORMAL", "error": "POLLUTION", "purc
 ))
 def event_names(spark, sf_dir):
     """Short aliases and missing names brought to the four classes."""
-    from zonewise.functions.numeric import lookup
     raw = feeds.events(spark, sf_dir).select(lookup(F.col("event_type"), _ALIASES).alias("event_type"))
     return report.event_counts(raw)
 
@@ -156,7 +155,8 @@ _MAP_STATUS = "CASE WHEN zone_score > 0.7e0 THEN 'Good' WHEN zone_score > 0.4e0
 
 @registry.add(sql.query(
     f"SELECT z.zone_id, {sql.borough('z.zone_id')} AS borough, zone_score, avg_aqi, avg_speed, s.event_type, "
-    f"{common.LIVE_LABEL_SQL} AS cluster, coalesce(workers, 0) AS workers, {_MAP_STATUS} AS status, "
+    f"CASE WHEN s.zone_id IS NULL THEN '' ELSE {common.LIVE_LABEL_SQL} END AS cluster, "
+    f"coalesce(workers, 0) AS workers, {_MAP_STATUS} AS status, "
     "500 + coalesce(workers, 0) * 80 AS radius FROM zones z LEFT JOIN scored s USING (zone_id) "
     "LEFT JOIN (SELECT zone_id, count(*) AS workers FROM worker GROUP BY zone_id) USING (zone_id)",
     sql.state(), sql.ZONES,

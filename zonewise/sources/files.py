@@ -25,7 +25,7 @@ WIND_NAMES = ["windspeed_10m", "windspeed_10m (km/h)", "windspeed", "wind_speed"
 TIME_NAMES = ["time", "date", "datetime", "timestamp"]
 SUMMARY_STATE = "36"
 SUMMARY_PARAMETERS = {"PM2.5 - Local Conditions": "pm25", "Nitrogen dioxide (NO2)": "no2"}
-SOCRATA_COLUMNS = {
+EXTRACT_COLUMNS = {
     "speed": "SPEED", "link_id": "LINK_ID", "data_as_of": "DATA_AS_OF", "borough": "BOROUGH",
     "link_points": "LINK_POINTS", "travel_time": "TRAVEL_TIME", "status": "STATUS",
 }
@@ -91,8 +91,8 @@ def traffic_messages(traffic: DataFrame, position: Column, now: Column | None =
 
 def latest_traffic_extract(rows: DataFrame, n: int = 50_000) -> DataFrame:
     """The most recent n rows of an open-data extract, under the CSV's column names."""
-    return rows.orderBy(F.col("data_as_of").desc()).limit(n).withColumnsRenamed(SOCRATA_COLUMNS) \
-        .select(*SOCRATA_COLUMNS.values())
+    return rows.orderBy(F.col("data_as_of").desc()).limit(n).withColumnsRenamed(EXTRACT_COLUMNS) \
+        .select(*EXTRACT_COLUMNS.values())
 
 
 # --- pollution --------------------------------------------------------------------------------------
