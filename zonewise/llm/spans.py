@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,22 @@ def prepared(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").bitwiseAND(F.lit((1 << _TAG_BITS) - 1)).alias("tag"), F.col("text").cast("binary").alias("t"))
 
 
+def _compressed(batches):
+    for b in batches:
+        texts = pa.array([zstandard.compress(t.as_py() or b"", 3) for t in b.column(2)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*b.columns[:2], texts], names=["doc_id", "tag", "t"])
+
+
+def text_of(compressed: bytes) -> bytes:
+    return zstandard.decompress(compressed)
+
+
 def place(tag: int, at: int) -> int:
     return tag << _AT_BITS | at
 
 
 def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """(doc_id, t, lows, counts): each text with its marks (doc_id, at, n), whose `at` was made by `place`.
+    """(doc_id, t, lows, counts): each text, compressed, with its marks (doc_id, at, n), whose `at` was made by `place`.
 
     A document's marks are at most as many as its words or bytes, so they may meet in one row.
     """
@@ -28,5 +40,6 @@ def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
         "doc_id", F.shiftright("at", _AT_BITS).alias("tag"),
         F.col("at").bitwiseAND(F.lit((1 << _AT_BITS) - 1)).alias("low"), "n")
     by_doc = marks.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("low", "n")).alias("m"))
-    return rows.join(by_doc, ["doc_id", "tag"], "left").select(
+    packed = rows.mapInArrow(_compressed, rows.schema)
+    return packed.join(by_doc, ["doc_id", "tag"], "left").select(
         "doc_id", "t", F.col("m.low").alias("lows"), F.col("m.n").alias("counts"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +14,15 @@ from zonewise.llm import text as T
 from zonewise.session import checkpointed
 
 WINDOW, SEED_WORDS = 13, 3
-#: Super-k-mers of one minimiser that a task sorts at once; the windows of a more frequent one become rows of their own.
-ROWS_AT_ONCE = 200_000
+#: Text that a bucket gets on average, and windows of a bucket that a task sorts; those of a fuller bucket become rows of
+#: their own.
+BUCKET_BYTES, AT_ONCE = 8 << 20, 4_000_000
+_PART_BYTES = 8 << 20
 _ODD, _OTHER = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-_SENT = "key bigint, doc_id bigint, at bigint, n int, words binary"
-_FOUND = "doc_id bigint, at bigint, n int, a bigint, b bigint"
-_SENT_ARROW = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("words", pa.binary())])
-_FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+_SENT = "bucket bigint, rows bigint, covered bigint, packed binary"
+_FOUND = "doc_id bigint, at bigint, n bigint, a bigint, b bigint"
+_SENT_ARROW = pa.schema([("bucket", pa.int64()), ("rows", pa.int64()), ("covered", pa.int64()), ("packed", pa.binary())])
+_FOUND_ARROW = pa.schema([(c, pa.int64()) for c in ("doc_id", "at", "n", "a", "b")])
 
 
 def _super_kmers(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -31,40 +34,52 @@ def _super_kmers(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarra
     return seeds[place[first]].view(np.int64), first, np.diff(np.concatenate((first, [len(place)])))
 
 
-def _sent(batches, window: int):
-    """The super-k-mers of each document, packed. Of equal ones in a part of the input only that of the smallest doc_id
-    travels as text; it covers the others, which go as places alone."""
+def _packed(rows: list[tuple], covered: list[tuple]) -> bytes:
+    """Super-k-mers (document, place, number of windows, words), then places of covered ones, as one string."""
+    numbers = np.array([r[:3] for r in rows + covered], np.int64)
+    return zstandard.compress(numbers.T.tobytes() + b" ".join([r[3] for r in rows]), 3)
+
+
+def _unpacked(packed: bytes, rows: int, covered: int) -> tuple[np.ndarray, bytes]:
+    data = zstandard.decompress(packed)
+    size = 24 * (rows + covered)
+    return np.frombuffer(data[:size], np.int64).reshape(3, -1), data[size:]
+
+
+def _sent(batches, window: int, buckets: int):
+    """The super-k-mers of each document, packed by bucket. Of equal ones in a part of the input only that of the smallest
+    doc_id travels as text; it covers the others, which go as places alone."""
     for b in batches:
         sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()
-        for low, high in T.parts(sizes):
+        for low, high in T.parts(sizes, _PART_BYTES):
             rows, least = [], {}
-            ids, tags, texts = (c.slice(low, high - low).to_pylist() for c in b.columns)
-            for doc, tag, words in zip(ids, tags, T.words_of(texts)):
+            ids, tags, texts = (c.slice(low, high - low) for c in b.columns)
+            for doc, tag, text in zip(ids.to_pylist(), tags.to_pylist(), texts):
+                words = (text.as_py() or b"").split()
                 if len(words) < window:
                     continue
                 for key, at, n in zip(*(x.tolist() for x in _super_kmers(words, window))):
                     packed = b" ".join(words[at:at + n + window - 1])
-                    rows.append((key, doc, spans.place(tag, at), n, packed))
+                    rows.append((doc, spans.place(tag, at), n, packed, key % buckets))
                     if doc < least.get(packed, doc + 1):
                         least[packed] = doc
-            if rows:
-                keys, docs, ats, counts, packed = zip(*rows)
-                stays = [doc == least[p] for doc, p in zip(docs, packed)]
-                yield T.batch(
-                    _SENT_ARROW, [k if s else k ^ at for k, s, at in zip(keys, stays, ats)], docs, ats, counts,
-                    [p if s else None for p, s in zip(packed, stays)])
+            sent = {}
+            for row in rows:
+                sent.setdefault(row[4], ([], []))[row[0] != least[row[3]]].append(row)
+            if sent:
+                out = [(k, len(x), len(y), _packed(x, y)) for k, (x, y) in sent.items()]
+                yield T.batch(_SENT_ARROW, *zip(*out))
 
 
-def _windows(rows: pa.RecordBatch, window: int):
+def _windows(numbers: np.ndarray, words: bytes, window: int) -> np.ndarray:
     """Two numbers, document and place of every window of some super-k-mers."""
-    docs, places, counts = (rows.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
-    hashes = T.word_hashes(b" ".join(rows.column(4).to_pylist()).split())
+    docs, places, counts = numbers
+    hashes = T.word_hashes(words.split())
     ones, twos = T.chain(hashes, window, _ODD), T.chain(T.mix(hashes), window, _OTHER)
-    counts = counts.astype(np.int64)
     row = np.repeat(np.arange(len(counts)), counts)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = (np.cumsum(counts + window - 1) - (counts + window - 1))[row] + inside
-    return ones[at], twos[at], docs[row], places[row] + inside
+    return np.stack((ones[at].view(np.int64), twos[at].view(np.int64), docs[row], places[row] + inside))
 
 
 def _covered(ones, twos, docs, places):
@@ -81,57 +96,45 @@ def _covered(ones, twos, docs, places):
     return docs[new], places[new], places[last] - places[new] + 1
 
 
-def _found(rows: pa.RecordBatch, window: int, large: bool):
-    if large:
-        ones, twos, docs, places = _windows(rows, window)
-        return T.batch(_FOUND_ARROW, docs, places, np.ones(len(docs), np.int32), ones.view(np.int64), twos.view(np.int64))
-    docs, places, counts = _covered(*_windows(rows, window))
-    none = pa.nulls(len(docs), pa.int64())
-    return T.batch(_FOUND_ARROW, docs, places, counts.astype(np.int32), none, none)
-
-
 def _counted(batches, window: int, at_once: int):
-    """Sorts the windows of every minimiser's super-k-mers, which arrive together, and gives the covered ones. A minimiser with
-    more than `at_once` super-k-mers isn't held: its windows go on with their numbers, one a row."""
-    held, size, crowded = [], 0, None
+    """Sorts the windows of each bucket, whose rows arrive one after another, and gives the covered ones. A bucket of more than `at_once` windows
+    isn't held: its windows go on with their numbers, one a row."""
+    held, size, bucket, full = [], 0, None, False
+
+    def out(full):
+        found = np.concatenate(held, axis=1)
+        if full:
+            return T.batch(_FOUND_ARROW, found[2], found[3], np.ones_like(found[2]), found[0], found[1])
+        docs, places, counts = _covered(*found)
+        none = pa.nulls(len(docs), pa.int64())
+        return T.batch(_FOUND_ARROW, docs, places, counts, none, none)
+
     for b in batches:
-        alone = b.filter(pc.is_null(b.column(4)))
-        if alone.num_rows:
-            none = pa.nulls(alone.num_rows, pa.int64())
-            yield T.batch(_FOUND_ARROW, *alone.columns[1:4], none, none)
-        b = b.filter(pc.is_valid(b.column(4)))
-        for low in range(0, b.num_rows, 20_000):
-            part = b.slice(low, 20_000)
-            if crowded is not None:
-                n = int(np.searchsorted(part.column(0).to_numpy(), crowded, "right"))
-                if n:
-                    yield _found(part.slice(0, n), window, True)
-                part = part.slice(n)
-                if not part.num_rows:
-                    continue
-                crowded = None
-            held.append(part)
-            size += part.num_rows
-            if size < 50_000:
-                continue
-            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            keys = whole.column(0).to_numpy()
-            cut = int(np.searchsorted(keys, keys[-1], "left"))
-            if cut:
-                yield _found(whole.slice(0, cut), window, False)
-            held, size = [whole.slice(cut)], len(keys) - cut
-            if size > at_once:
-                for at in range(cut, len(keys), 20_000):
-                    yield _found(whole.slice(at, 20_000), window, True)
-                held, size, crowded = [], 0, keys[-1]
-    if size:
-        yield _found(pa.Table.from_batches(held).combine_chunks().to_batches()[0], window, False)
-
-
-def covered_windows(docs: DataFrame, window: int = WINDOW, at_once: int = ROWS_AT_ONCE) -> DataFrame:
+        for key, rows, covered, packed in zip(*(c.to_pylist() for c in b.columns[:3]), b.column(3)):
+            if key != bucket:
+                if held:
+                    yield out(full)
+                held, size, bucket, full = [], 0, key, False
+            numbers, words = _unpacked(packed.as_py(), rows, covered)
+            if covered:
+                none = pa.nulls(covered, pa.int64())
+                yield T.batch(_FOUND_ARROW, *numbers[:, rows:], none, none)
+            held.append(_windows(numbers[:, :rows], words, window))
+            size += held[-1].shape[1]
+            full |= size > at_once
+            if full:
+                yield out(full)
+                held = []
+    if held:
+        yield out(full)
+
+
+def covered_windows(docs: DataFrame, window: int = WINDOW, at_once: int = AT_ONCE) -> DataFrame:
     """(doc_id, at, n): stretches of `n` windows from `at` that also start in a document with a smaller doc_id."""
-    sent = docs.mapInArrow(lambda it: _sent(it, window), _SENT)
-    found = sent.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: _counted(it, window, at_once), _FOUND)
+    size = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    buckets = 8 + size // BUCKET_BYTES
+    sent = docs.mapInArrow(lambda it: _sent(it, window, buckets), _SENT)
+    found = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _counted(it, window, at_once), _FOUND)
     found = checkpointed(found, "windows")
     crowded = found.filter("a IS NOT NULL")
     least = crowded.groupBy("a", "b").agg(F.min("doc_id").alias("least"))
@@ -139,7 +142,7 @@ def covered_windows(docs: DataFrame, window: int = WINDOW, at_once: int = ROWS_A
     return found.filter("a IS NULL").select("doc_id", "at", "n").union(late)
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, at_once: int = ROWS_AT_ONCE) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, at_once: int = AT_ONCE) -> DataFrame:
     """Per document: doc_id, n_words, n_removed and `kept`, the words left, joined by one space.
 
     A word goes if a window of `window` words over it also starts in a document with a smaller doc_id. Windows
@@ -147,7 +150,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, at_once: int = ROWS_A
     bucket of that seed, where two 64-bit numbers of each window are sorted; equal windows
     always meet, as they share their least seed.
 
-    Documents of fewer words than the window lose nothing; a null text has no words and an empty `kept`. Rows with the same id are one
+    The texts meet their marks compressed. Documents of fewer words than the window lose nothing; a null text has no words and an empty `kept`. Rows with the same id are one
     document's, compared with those of smaller ids only, so exact repeats of a row keep what it keeps. Rows
     without an id keep everything. Other columns are not read; an empty table gives no rows.
     """
@@ -157,8 +160,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, at_once: int = ROWS_A
 
     def one(batches):
         for b in batches:
-            for doc, text, lows, counts in zip(*(b.column(k).to_pylist() for k in range(4))):
-                words = text.split() if text else []
+            for doc, text, lows, counts in zip(*(b.column(k) for k in range(4))):
+                doc, lows, counts = doc.as_py(), lows.as_py(), counts.as_py()
+                words = spans.text_of(text.as_py()).split()
                 kept = words
                 if lows:
                     low, count = np.array(lows), np.array(counts)
