@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewise.llm import simhash, windows
+from zonewise.llm import decontaminate, quality, simhash, windows
 from zonewise.plans import Registry
 
 registry = Registry()
@@ -46,3 +46,47 @@ FROM w LEFT JOIN kept USING (doc_id)
 def op10_substring_dedup(spark, sf_dir):
     found = windows.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@registry.add()
+def op9_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.graded(docs, quality.model(docs, table(spark, sf_dir, "labels")))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(13, len(ws)) AS n,
+         unnest(list_transform(range(1, greatest(len(ws) - 12, 1) + 1), lambda i: array_to_string(ws[i:i + 12], ' '))) AS win
+  FROM b WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i,
+         unnest(list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' '))) AS win
+  FROM d, sizes WHERE len(ws) >= n),
+hits AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, win)),
+h AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(ws) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+@registry.add(OP4_SQL)
+def op4_benchmark_decontamination(spark, sf_dir):
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
