@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,8 +15,10 @@ from zonewise.llm import text as T
 
 BITS = 18
 #: Labelled documents that the fit reads at most, those with the smallest hash of their id.
-SAMPLE = 12_000
-STEPS, RATE, DECAY = 200, 0.1, 1e-6
+SAMPLE = 8_000
+STEPS, RATE, DECAY = 200, 0.1, 5e-4
+#: Sampled documents that must share a feature for it to get a weight.
+LEAST = 5
 SELECT = 0.5
 _DIGIT, _UPPER, _LOWER = (bytes(range(*r)) for r in ((48, 58), (65, 91), (97, 123)))
 #: The kind of each byte: upper, lower, digit and beyond ASCII as one letter, punctuation as it is.
@@ -29,19 +33,23 @@ def grade(quality: Column, toxic: Column) -> Column:
 
 
 def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features and their values: each different word counts 1, each shape of a word (its kinds of bytes,
-    repeats shortened) as its share of the words, times 8."""
-    words, shapes, total = set(), {}, 0
+    """Hashed features and their values: each different word, and each beginning of 4 and 5 bytes, counts 1; each
+    shape of a word (its kinds of bytes, shortened) and a repeat of the word before count their share of the words, times 8."""
+    words, shapes, total, last = set(), {}, 0, None
     for piece in T.pieces(text or b""):
         words.update(piece.translate(T.WORD_TABLE).split())
-        tokens = piece.translate(_KINDS).split()
+        tokens = piece.split()
         total += len(tokens)
-        for t in tokens:
-            s = t[:1] + t[-2:] if len(t) > 3 else t
-            shapes[s] = shapes.get(s, 0) + 1
-    keys = [*words, *(b"\0" + s for s in shapes)]
+        kinds = piece.translate(_KINDS).split()
+        for shape, n in Counter(k[:1] + k[-2:] if len(k) > 3 else k for k in kinds).items():
+            shapes[shape] = shapes.get(shape, 0) + n
+        again = sum(map(operator.eq, tokens, [last, *tokens[:-1]]))
+        shapes[b"again"] = shapes.get(b"again", 0) + again
+        last = tokens[-1] if tokens else last
+    begins = {b"\1" + w[:n] for w in words for n in (4, 5)}
+    keys = [*words, *begins, *(b"\0" + s for s in shapes)]
     values = np.ones(len(keys))
-    values[len(words):] = [8 * n / total for n in shapes.values()]
+    values[len(keys) - len(shapes):] = [8 * n / max(total, 1) for n in shapes.values()]
     return (T.word_hashes(keys) & np.uint64((1 << BITS) - 1)).astype(np.int64), values
 
 
@@ -71,8 +79,10 @@ def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = 3) -> O
         return Ordinal(weights, np.linspace(-20, -10, grades - 1))
     y = np.array([g for g, _, _ in rows])
     row = np.repeat(np.arange(len(rows)), [len(k) for _, k, _ in rows])
-    keys, at = np.unique(np.concatenate([k for _, k, _ in rows]), return_inverse=True)
-    values = np.concatenate([v for _, _, v in rows])
+    keys, values = np.concatenate([k for _, k, _ in rows]), np.concatenate([v for _, _, v in rows])
+    common = np.bincount(keys)[keys] >= min(LEAST, len(rows))
+    row, values = row[common], values[common]
+    keys, at = np.unique(keys[common], return_inverse=True)
     low = np.array([(y <= k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
     cuts = np.log(low / (1 - low))
     # the thresholds are the first cut and the logarithms of the gaps after it, so their order can't change
@@ -94,7 +104,7 @@ def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = 3) -> O
             np.bincount(at, d_score[row] * values, n) + DECAY * point[:n], [d_theta.sum()],
             np.exp(point[n + 1:]) * np.cumsum(d_theta[::-1])[::-1][1:]))
         one, two = 0.9 * one + 0.1 * slope, 0.999 * two + 0.001 * slope * slope
-        point = point - RATE * (one / (1 - 0.9 ** step)) / (np.sqrt(two / (1 - 0.999 ** step)) + 1e-8)
+        point = point - RATE * (1 - step / (STEPS + 1)) * (one / (1 - 0.9 ** step)) / (np.sqrt(two / (1 - 0.999 ** step)) + 1e-8)
     weights[keys] = point[:n]
     return Ordinal(weights, thresholds(point))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewise.llm import decontaminate, quality, simhash, windows
+from zonewise.llm import decontaminate, lines, quality, simhash, warc, windows
 from zonewise.plans import Registry
 
 registry = Registry()
@@ -90,3 +90,48 @@ def op4_benchmark_decontamination(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+OP2_SQL = r"""
+WITH l AS (
+  SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+d AS (SELECT DISTINCT doc_id, source, unnest(ls) AS line FROM l),
+often AS (
+  SELECT d.source, line FROM d JOIN (SELECT source, count(*) AS pages FROM documents GROUP BY source) p
+    ON d.source IS NOT DISTINCT FROM p.source
+  WHERE trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    ')) <> ''
+  GROUP BY d.source, line, pages HAVING count(*) >= 3 AND count(*) > 0.05 * pages),
+e AS (SELECT doc_id, source, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM l),
+k AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(e.line, chr(10) ORDER BY i) AS t
+  FROM e LEFT JOIN often ON e.source IS NOT DISTINCT FROM often.source AND e.line = often.line
+  WHERE often.line IS NULL GROUP BY e.doc_id)
+SELECT l.doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(ls), 0) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS kept_sha256
+FROM l LEFT JOIN k USING (doc_id)
+"""
+
+
+@registry.add(OP2_SQL)
+def op2_line_dedup(spark, sf_dir):
+    found = lines.without_boilerplate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+o AS (SELECT t, min(page_id) AS original FROM p GROUP BY t)
+SELECT page_id, CAST(strlen(p.t) AS BIGINT) AS payload_bytes,
+       translate(array_to_string(list_transform(range(0, 8), lambda i:
+         lpad(to_base(CAST('0x' || substr(h, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT), 32), 4, '0')), ''),
+         '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM p JOIN o USING (t)
+"""
+
+
+@registry.add(OP7_SQL)
+def op7_warc_revisits(spark, sf_dir):
+    return warc.archived(spark, table(spark, sf_dir, "pages"))
