@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewise.llm import decontaminate, lines, quality, simhash, warc, windows
+from zonewise.llm import chat, decontaminate, lines, quality, simhash, topk, warc, windows
 from zonewise.plans import Registry
 
 registry = Registry()
@@ -135,3 +135,43 @@ FROM p JOIN o USING (t)
 @registry.add(OP7_SQL)
 def op7_warc_revisits(spark, sf_dir):
     return warc.archived(spark, table(spark, sf_dir, "pages"))
+
+
+OP1_SQL = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS place, role, text
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+        WHERE conv_id IS NOT NULL)),
+p AS (
+  SELECT conv_id, place, max(place) OVER (PARTITION BY conv_id) AS last,
+         string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix
+  FROM t),
+first AS (SELECT min(conv_id) AS conv_id, last, prefix FROM p WHERE place = last GROUP BY last, prefix),
+kept AS (
+  SELECT conv_id, last FROM first ANTI JOIN (SELECT DISTINCT prefix FROM p WHERE place < last) q USING (prefix))
+SELECT t.conv_id, place, last AS n_turns, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered
+FROM t JOIN kept USING (conv_id)
+"""
+
+
+@registry.add(OP1_SQL)
+def op1_chat_snapshots(spark, sf_dir):
+    return chat.collapsed(table(spark, sf_dir, "conversations"))
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20
+"""
+
+
+@registry.add(OP6_SQL)
+def op6_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "id % 20 = 0")
