@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewise.llm import chat, decontaminate, lines, quality, simhash, topk, warc, windows
+from zonewise.llm import chat, decontaminate, lines, quality, repeats, simhash, topk, warc, windows
 from zonewise.plans import Registry
 
 registry = Registry()
@@ -175,3 +175,9 @@ WHERE rank <= 20
 @registry.add(OP6_SQL)
 def op6_exact_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "id % 20 = 0")
+
+
+@registry.add()
+def op3_suffix_array_dedup(spark, sf_dir):
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

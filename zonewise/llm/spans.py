@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAG_BITS, _AT_BITS = 20, 40
+_TAG_BITS, AT_BITS = 20, 40
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -28,18 +29,19 @@ def text_of(compressed: bytes) -> bytes:
 
 
 def place(tag: int, at: int) -> int:
-    return tag << _AT_BITS | at
+    return tag << AT_BITS | at
 
 
-def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """(doc_id, t, lows, counts): each text, compressed, with its marks (doc_id, at, n), whose `at` was made by `place`.
+def with_marks(rows: DataFrame, marks: DataFrame, how: str = "left") -> DataFrame:
+    """(doc_id, t, places, counts): each text, compressed, with its marks (doc_id, at, n), whose `at` was made by `place`.
 
     A document's marks are at most as many as its words or bytes, so they may meet in one row.
     """
-    marks = marks.select(
-        "doc_id", F.shiftright("at", _AT_BITS).alias("tag"),
-        F.col("at").bitwiseAND(F.lit((1 << _AT_BITS) - 1)).alias("low"), "n")
-    by_doc = marks.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("low", "n")).alias("m"))
+    by_doc = marks.groupBy("doc_id", F.shiftright("at", AT_BITS).alias("tag")).agg(F.collect_list(F.struct("at", "n")).alias("m"))
     packed = rows.mapInArrow(_compressed, rows.schema)
-    return packed.join(by_doc, ["doc_id", "tag"], "left").select(
-        "doc_id", "t", F.col("m.low").alias("lows"), F.col("m.n").alias("counts"))
+    return packed.join(by_doc, ["doc_id", "tag"], how).select(
+        "doc_id", "t", F.col("m.at").alias("places"), F.col("m.n").alias("counts"))
+
+
+def offsets(places: list[int]) -> np.ndarray:
+    return np.array(places, np.int64) & ((1 << AT_BITS) - 1)

@@ -165,7 +165,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, at_once: int = AT_ONC
                 words = spans.text_of(text.as_py()).split()
                 kept = words
                 if lows:
-                    low, count = np.array(lows), np.array(counts)
+                    low, count = spans.offsets(lows), np.array(counts)
                     starts, ends = T.merged(low, low + count + window - 1)
                     kept, at = [], 0
                     for x, y in zip(starts.tolist(), ends.tolist()):
