@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewise.llm import chat, decontaminate, lines, quality, repeats, simhash, topk, warc, windows
+from zonewise.llm import chat, decontaminate, lines, pieces, quality, repeats, simhash, topk, warc, windows
 from zonewise.plans import Registry
 
 registry = Registry()
@@ -181,3 +181,12 @@ def op6_exact_top_k(spark, sf_dir):
 def op3_suffix_array_dedup(spark, sf_dir):
     found = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@registry.add()
+def op5_sentencepiece(spark, sf_dir, tokenizer: str = TOKENIZER):
+    model = pieces.load(tokenizer)
+    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), model), model)

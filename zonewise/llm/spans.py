@@ -18,7 +18,7 @@ def prepared(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").bitwiseAND(F.lit((1 << _TAG_BITS) - 1)).alias("tag"), F.col("text").cast("binary").alias("t"))
 
 
-def _compressed(batches):
+def compressed(batches):
     for b in batches:
         texts = pa.array([zstandard.compress(t.as_py() or b"", 3) for t in b.column(2)], pa.binary())
         yield pa.RecordBatch.from_arrays([*b.columns[:2], texts], names=["doc_id", "tag", "t"])
@@ -38,7 +38,7 @@ def with_marks(rows: DataFrame, marks: DataFrame, how: str = "left") -> DataFram
     A document's marks are at most as many as its words or bytes, so they may meet in one row.
     """
     by_doc = marks.groupBy("doc_id", F.shiftright("at", AT_BITS).alias("tag")).agg(F.collect_list(F.struct("at", "n")).alias("m"))
-    packed = rows.mapInArrow(_compressed, rows.schema)
+    packed = rows.mapInArrow(compressed, rows.schema)
     return packed.join(by_doc, ["doc_id", "tag"], how).select(
         "doc_id", "t", F.col("m.at").alias("places"), F.col("m.n").alias("counts"))
 
