@@ -259,16 +259,19 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
     return rows.select("doc_id", "n_words", "ids").mapInArrow(one, "doc_id bigint, n_words bigint, text string")
 
 
-def digests(rows: DataFrame, model: Model) -> DataFrame:
-    """Per document: doc_id, n_words, n_tokens, ids_sha256 (ids, comma-joined), text_sha256 (of the decoded text)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("text_sha256", pa.string())])
+def with_digests(rows: DataFrame, model: Model) -> DataFrame:
+    """Per document: doc_id, n_words, n_tokens, ids, ids_sha256 (of the ids, comma-joined), text_sha256 (of the decoded text)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())),
+                        ("ids_sha256", pa.string()), ("text_sha256", pa.string())])
     texts = model.texts
 
     def one(batches):
         for b in batches:
             for doc, n, ids in zip(*b.columns):
-                ids = ids.values.to_numpy()
-                yield T.batch(schema, [doc.as_py()], [n.as_py()], [len(ids)], [hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest()],
-                              [hashlib.sha256(decoded(ids, texts).encode()).hexdigest()])
+                numbers = ids.values.to_numpy()
+                yield T.batch(schema, [doc.as_py()], [n.as_py()], [len(numbers)], [numbers],
+                              [hashlib.sha256(",".join(map(str, numbers.tolist())).encode()).hexdigest()],
+                              [hashlib.sha256(decoded(numbers, texts).encode()).hexdigest()])
 
-    return rows.select("doc_id", "n_words", "ids").mapInArrow(one, "doc_id bigint, n_words bigint, n_tokens bigint, ids_sha256 string, text_sha256 string")
+    return rows.select("doc_id", "n_words", "ids").mapInArrow(
+        one, "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>, ids_sha256 string, text_sha256 string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from zonewise.llm import chat, decontaminate, lines, pieces, quality, repeats, simhash, topk, warc, windows
 from zonewise.plans import Registry
 
@@ -189,4 +190,9 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 @registry.add()
 def op5_sentencepiece(spark, sf_dir, tokenizer: str = TOKENIZER):
     model = pieces.load(tokenizer)
-    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return pieces.with_digests(pieces.encode(table(spark, sf_dir, "documents"), model), model).drop("ids")
+
+
+@registry.add(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -15,6 +15,7 @@ from zonewise.llm.components import components
 from zonewise.session import checkpointed
 
 SHINGLE, SEED, THRESHOLD = 3, 42, 3
+BROADCAST_IDS = 1_000_000
 _CODED = (1 << 31) - 1
 
 
@@ -110,6 +111,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id; documents without an id stay."""
-    first = near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_anti")
+    """One document of each group stays, the one with the smallest doc_id; documents without an id stay.
+
+    The ids that go are sent to every task if they are at most BROADCAST_IDS, and joined otherwise.
+    """
+    gone = checkpointed(near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct(), "copies")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
