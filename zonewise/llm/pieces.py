@@ -11,7 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonewise.llm import spans
@@ -23,6 +24,9 @@ SPACE = "▁"
 LONGEST = 256
 #: Words that every task holds with their ids, the most frequent ones; others are joined.
 DICTIONARY = 2_000_000
+#: Text that a bucket of the vocabulary gets on average.
+BUCKET_BYTES = 4 << 20
+_PART_BYTES = 2 << 20
 #: What a character without a piece of its own costs below the lowest score.
 UNKNOWN = 10.0
 #: Pieces of a model at most; its table is sent to every executor.
@@ -96,70 +100,110 @@ def words_of(text: str | None, pattern: re.Pattern) -> list[str]:
     return words
 
 
+def _packed(words: list[str], counts: list[int]) -> bytes:
+    raw = [w.encode() for w in words]
+    return zstandard.compress(np.array([list(map(len, raw)), counts], np.int64).tobytes() + b"".join(raw), 3)
+
+
+def _unpacked(packed: bytes, size: int) -> tuple[list[bytes], list[int]]:
+    data = zstandard.decompress(packed)
+    sizes, counts = np.frombuffer(data[:16 * size], np.int64).reshape(2, size)
+    ends = (16 * size + np.cumsum(sizes)).tolist()
+    return [data[x:y] for x, y in zip([16 * size, *ends], ends)], counts.tolist()
+
+
 def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
-    """(word, n): the different words of all texts and how often they occur. Each task counts its own before they are shuffled."""
+    """(word, n): the different words of all texts and how often they occur, dealt out by word.
+
+    Each task counts its own words before they travel, packed by bucket; a bucket's words are counted where they meet.
+    """
+    text = F.col("text").cast("string")
+    buckets = 8 + (docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // BUCKET_BYTES
+    sent = pa.schema([("bucket", pa.int64()), ("size", pa.int64()), ("packed", pa.binary())])
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+    pattern_text = model.pattern
+
+    def out(seen):
+        words = np.array(list(seen), object)
+        counts = np.fromiter(seen.values(), np.int64, len(seen))
+        bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows = [(k, int(y - x), _packed(words[order[x:y]].tolist(), counts[order[x:y]].tolist())) for k, (x, y) in enumerate(zip(edges[:-1], edges[1:])) if y > x]
+        return T.batch(sent, *zip(*rows))
 
     def count(batches):
-        pattern, seen = re.compile(model.pattern), Counter()
+        pattern, seen = re.compile(pattern_text), Counter()
+        for b in batches:
+            for t in b.column(0):
+                seen.update(words_of(t.as_py(), pattern))
+                if len(seen) > 250_000:
+                    yield out(seen)
+                    seen = Counter()
+        if seen:
+            yield out(seen)
+
+    def merge(batches):
+        seen, bucket = Counter(), None
         for b in batches:
-            for text in b.column(0):
-                seen.update(words_of(text.as_py(), pattern))
-                if len(seen) > 500_000:
-                    yield T.batch(schema, list(seen), list(seen.values()))
+            for key, size, packed in zip(*(c.to_pylist() for c in b.columns[:2]), b.column(2)):
+                if key != bucket and seen:
+                    yield T.batch(schema, [w.decode() for w in seen], list(seen.values()))
                     seen = Counter()
+                bucket = key
+                for w, n in zip(*_unpacked(packed.as_py(), size)):
+                    seen[w] += n
         if seen:
-            yield T.batch(schema, list(seen), list(seen.values()))
+            yield T.batch(schema, [w.decode() for w in seen], list(seen.values()))
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(count, "word string, n bigint") \
-        .groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(text).mapInArrow(count, "bucket bigint, size bigint, packed binary") \
+        .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "word string, n bigint").repartition(buckets, "word")
 
 
 def encoded(words: DataFrame, model: Model) -> DataFrame:
     """(word, n, ids) of different words: the pieces of the best path through each word's lattice.
 
     Substrings up to the longest piece's length meet the piece table, whose matches are the edges of the lattice; a character
-    without a piece of its own gets an edge with the ids of its bytes. Edges are grouped by word and folded in the order
-    of their ends: the best path to a position is the best one over the edges that end there. Of equal scores the longer
+    without a piece of its own gets an edge that stands for the ids of its bytes. Edges are grouped by word and folded in the
+    order of their ends: the best path to a position is the best one over the edges that end there. Of equal scores the longer
     last piece wins. `words` is dealt out by word, and edges stay where their word is.
     """
     table = model.table(words.sparkSession)
     longest = max((len(p) for p, _, _ in model.pieces), default=1)
     lowest = min((s for _, _, s in model.pieces), default=0.0) - UNKNOWN
     of_byte = F.array(*[F.lit(i) for i in model.of_byte])
-    starts = words.select("word", "n", F.explode(F.sequence(F.lit(0), F.char_length("word") - 1)).alias("start"))
-    parts = starts.select("*", F.explode(F.sequence(
-        F.col("start") + 1, F.least(F.col("start") + longest, F.char_length("word")))).alias("end"))
+    ends = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("end"))
+    parts = ends.select("*", F.explode(F.sequence(F.greatest(F.col("end") - longest, F.lit(0)), F.col("end") - 1)).alias("start"))
     cut = parts.withColumn("piece", F.expr("substring(word, start + 1, end - start)"))
     edges = cut.join(F.broadcast(table), "piece", "left").filter((F.col("id").isNotNull()) | (F.col("end") == F.col("start") + 1))
-    in_bytes = F.transform(
-        F.regexp_extract_all(F.hex(F.encode("piece", "UTF-8")), F.lit("(..)")),
-        lambda x: F.element_at(of_byte, (F.conv(x, 16, 10) + 1).cast("int")))
-    edges = edges.select(
-        "word", "n", F.struct("end", "start", F.coalesce("score", F.lit(lowest)).alias("score"),
-                              F.when(F.col("id").isNotNull(), F.array("id")).otherwise(in_bytes).alias("ids")).alias("edge"))
-    lattice = edges.groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("edge")).alias("edges"))
+    # the edge of a character without a piece has its place, below zero, for an id
+    number = F.coalesce("id", -F.col("end"))
+    lattice = edges.select("word", "n", F.struct("end", "start", F.coalesce("score", F.lit(lowest)).alias("score"), number.alias("id")).alias("edge")) \
+        .groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("edge")).alias("edges"))
     begin = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(best, edge):
         """`best` has the best path to every position up to the end of the edge before."""
         score = F.element_at(best, edge.start + 1).score + edge.score
-        path = F.array(F.struct(score.alias("score"), F.concat(F.element_at(best, edge.start + 1).ids, edge.ids).alias("ids")))
+        path = F.array(F.struct(score.alias("score"), F.array_append(F.element_at(best, edge.start + 1).ids, edge.id).alias("ids")))
         return F.when(F.size(best) == edge.end, F.concat(best, path)).when(
             score > F.element_at(best, -1).score, F.concat(F.slice(best, F.lit(1), edge.end), path)).otherwise(best)
 
-    return lattice.select("word", "n", F.aggregate("edges", begin, step, lambda best: F.element_at(best, -1).ids).alias("ids"))
+    paths = lattice.select("word", "n", F.aggregate("edges", begin, step, lambda best: F.element_at(best, -1).ids).alias("ids"))
+    as_bytes = lambda i: F.transform(
+        F.regexp_extract_all(F.hex(F.encode(F.substr(F.col("word"), -i, F.lit(1)), "UTF-8")), F.lit("(..)")),
+        lambda x: F.element_at(of_byte, (F.conv(x, 16, 10) + 1).cast("int")))
+    spelled = F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(as_bytes(i))))
+    return paths.withColumn("ids", F.when(F.exists("ids", lambda i: i < 0), spelled).otherwise(F.col("ids")))
 
 
 class Dictionary:
     """Ids of words, found by two hashes."""
 
-    def __init__(self, keys: np.ndarray, checks: np.ndarray, ids: list[np.ndarray]) -> None:
+    def __init__(self, keys: np.ndarray, checks: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> None:
         order = np.argsort(keys)
-        self.keys, self.checks = keys[order], checks[order]
-        sizes = np.array([len(i) for i in ids], np.int64)[order]
-        self.ends = np.cumsum(sizes)
-        self.ids = np.concatenate([ids[k] for k in order]).astype(np.int32) if len(order) else np.zeros(0, np.int32)
+        self.keys, self.checks, self.ids = keys[order], checks[order], flat.astype(np.int32)
+        self.begins, self.ends = (ends[:-1][order].astype(np.int64), ends[1:][order].astype(np.int64))
 
     def find(self, words: list[str]) -> dict[str, np.ndarray]:
         """The words that it has, with their ids."""
@@ -171,27 +215,43 @@ class Dictionary:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         hit = np.flatnonzero((self.keys[at] == keys) & (self.checks[at] == checks))
         at = at[hit]
-        ends = self.ends[at].tolist()
-        begins = np.where(at > 0, self.ends[at - 1], 0).tolist()
-        return {words[h]: self.ids[a:b].tobytes() for h, a, b in zip(hit.tolist(), begins, ends)}
+        return {words[h]: self.ids[a:b].tobytes() for h, a, b in zip(hit.tolist(), self.begins[at].tolist(), self.ends[at].tolist())}
+
 
+def _step() -> Column:
+    """An eighth of a doubling of `n`."""
+    return F.floor(F.log2("n") * 8).cast("int")
 
-def dictionary(words: DataFrame, size: int = DICTIONARY) -> Dictionary:
-    """The words (word, n, ids) that occur most often, `size` at most: those of every step of an eighth of a doubling in `n` that fits as a whole."""
-    step = F.floor(F.log2("n") * 8).cast("int")
-    counts = sorted(((r.s, r.c) for r in words.groupBy(step.alias("s")).agg(F.count("*").alias("c")).collect()), reverse=True)
+
+def frequent_enough(least: int | None) -> Column:
+    return F.lit(False) if least is None else _step() >= least
+
+
+def dictionary(words: DataFrame, size: int = DICTIONARY) -> tuple[Dictionary, int | None]:
+    """The words (word, n, ids) that occur most often, `size` at most, and the lowest step of `n` among them: words of the same step
+    are in or out together."""
+    counts = sorted(((r.s, r.c) for r in words.groupBy(_step().alias("s")).agg(F.count("*").alias("c")).collect()), reverse=True)
     least, total = None, 0
-    for s, c in counts:
-        if total + c > size:
+    for step, count in counts:
+        if total + count > size:
             break
-        least, total = s, total + c
-    if least is None:
-        return Dictionary(np.zeros(0, np.uint64), np.zeros(0, np.uint32), [])
-    held = words.filter(step >= least).select(
+        least, total = step, total + count
+    held = words.filter(frequent_enough(least)).select(
         F.xxhash64("word").alias("k"), F.xxhash64(F.lit("word"), "word").bitwiseAND(F.lit(0xFFFFFFFF)).alias("c"), "ids").toArrow()
     ids = held.column("ids").combine_chunks()
     flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
-    return Dictionary(held.column("k").to_numpy().view(np.uint64), held.column("c").to_numpy().astype(np.uint32), [flat[a:b] for a, b in zip(ends[:-1], ends[1:])])
+    return Dictionary(held.column("k").to_numpy().view(np.uint64), held.column("c").to_numpy().astype(np.uint32), flat, ends), least
+
+
+def _written(words: DataFrame) -> DataFrame:
+    """`words` written to the shared folder. Few words are in a task, so their edges are grouped without sorting."""
+    conf, name = words.sparkSession.conf, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = conf.get(name)
+    conf.set(name, "1000000")
+    try:
+        return checkpointed(words, "words")
+    finally:
+        conf.set(name, before)
 
 
 def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
@@ -202,40 +262,43 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
     before it, in parts of 256 characters if it is longer. Repeated documents give a row each, rows without an id
     too. Other columns are not read.
     """
-    words = checkpointed(encoded(vocabulary(docs, model), model), "words")
-    frequent = dictionary(words, size)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tag"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+    words = _written(encoded(vocabulary(docs, model), model))
+    frequent, least = dictionary(words, size)
+    rows = spans.prepared(docs)
     rare_schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("word", pa.string())])
     pattern_text = model.pattern
 
     def rare(batches):
         pattern = re.compile(pattern_text)
         for b in batches:
-            sizes = pc.binary_length(b.column(2)).to_pylist()
-            for low, high in T.parts(sizes, 8 << 20):
-                found = [set(words_of(t.as_py(), pattern)) for t in b.column(2).slice(low, high - low)]
+            sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()
+            for low, high in T.parts(sizes, _PART_BYTES):
+                found = [set(words_of((t.as_py() or b"").decode(), pattern)) for t in b.column(2).slice(low, high - low)]
                 known = frequent.find(list(set().union(*found)))
                 out = [(d, g, w) for d, g, f in zip(*(c.slice(low, high - low).to_pylist() for c in b.columns[:2]), found) for w in f if w not in known]
                 if out:
                     yield T.batch(rare_schema, *zip(*out))
 
-    wanted = rows.mapInArrow(rare, "doc_id bigint, tag bigint, word string").distinct()
-    own = wanted.join(words.select("word", "ids"), "word").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("word", "ids")).alias("own"))
-    packed = rows.withColumn("t", F.col("t").cast("binary")).mapInArrow(spans.compressed, "doc_id bigint, tag bigint, t binary")
+    wanted = rows.mapInArrow(rare, "doc_id bigint, tag bigint, word string")
+    own = wanted.join(words.filter(~frequent_enough(least)).select("word", "ids"), "word") \
+        .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("word", "ids")).alias("own"))
+    packed = rows.mapInArrow(spans.compressed, rows.schema)
     both = packed.join(own, packed.doc_id.eqNullSafe(own.doc_id) & (packed.tag == own.tag), "left").select(packed.doc_id, "t", "own")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def finish(batches):
         pattern = re.compile(pattern_text)
         for b in batches:
-            for low in range(0, b.num_rows, 1_000):
-                part = b.slice(low, 1_000)
+            sizes = [4 * n for n in pc.binary_length(b.column(1)).to_pylist()]
+            for low, high in T.parts(sizes, _PART_BYTES):
+                part = b.slice(low, high - low)
                 found = [words_of(spans.text_of(t.as_py()).decode(), pattern) for t in part.column(1)]
                 known = frequent.find(list(set().union(*found)))
-                for doc, f, mine in zip(part.column(0).to_pylist(), found, part.column(2)):
+                ids = []
+                for f, mine in zip(found, part.column(2)):
                     rest = {w["word"]: np.array(w["ids"], np.int32).tobytes() for w in mine.as_py() or []}
-                    get = {**rest, **{w: known[w] for w in set(f) if w in known}} if rest else known
-                    yield T.batch(schema, [doc], [len(f)], [np.frombuffer(b"".join([get[w] for w in f]), np.int32)])
+                    ids.append(np.frombuffer(b"".join([known.get(w) or rest[w] for w in f]), np.int32))
+                yield T.batch(schema, part.column(0), [len(f) for f in found], ids)
 
     return both.mapInArrow(finish, "doc_id bigint, n_words bigint, ids array<int>")
 
