@@ -18,7 +18,7 @@ BITS = 18
 SAMPLE = 8_000
 STEPS, RATE, DECAY = 200, 0.1, 5e-4
 #: Sampled documents that must share a feature for it to get a weight.
-LEAST = 5
+LEAST = 8
 SELECT = 0.5
 _DIGIT, _UPPER, _LOWER = (bytes(range(*r)) for r in ((48, 58), (65, 91), (97, 123)))
 #: The kind of each byte: upper, lower, digit and beyond ASCII as one letter, punctuation as it is.
@@ -44,7 +44,8 @@ def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         for shape, n in Counter(k[:1] + k[-2:] if len(k) > 3 else k for k in kinds).items():
             shapes[shape] = shapes.get(shape, 0) + n
         again = sum(map(operator.eq, tokens, [last, *tokens[:-1]]))
-        shapes[b"again"] = shapes.get(b"again", 0) + again
+        if again:
+            shapes[b"again"] = shapes.get(b"again", 0) + again
         last = tokens[-1] if tokens else last
     begins = {b"\1" + w[:n] for w in words for n in (4, 5)}
     keys = [*words, *begins, *(b"\0" + s for s in shapes)]
