@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewise.session import scratch_path
+from zonewise.session import checkpointed, scratch_path
 
 #: Fixed values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 _BETWEEN = f"\r\n\r\n{VERSION}\r\n"
+#: Revisits that are sent to every task; more are joined by page.
+BROADCAST_ROWS = 100_000
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -31,8 +33,8 @@ def resolved(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """`pages` (page_id, url, html) with the columns payload, digest, original: the smallest page_id of those with an equal payload
     for records that revisit it, null for responses.
 
-    Only headers (page_id, digest, length) are shuffled, and counted per digest before they are; the pages
-    then meet the list of revisits.
+    Only headers (page_id, digest, length) are shuffled, and counted per digest before they are; the list of revisits then
+    goes to the pages, to every task if it has BROADCAST_ROWS at most.
     """
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -42,7 +44,9 @@ def resolved(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     first = headers.groupBy("digest", "size").agg(F.min("page_id").alias("original"))
     revisits = headers.join(first, ["digest", "size"]).filter(F.col("page_id") > F.col("original")) \
         .select("page_id", "digest", "original").distinct()
-    return rows.join(revisits, ["page_id", "digest"], "left")
+    revisits = checkpointed(revisits, "revisits")
+    few = revisits.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(revisits) if few else revisits, ["page_id", "digest"], "left")
 
 
 def records(pages: DataFrame, min_bytes: int = 0, date: str = DATE) -> DataFrame:
@@ -116,14 +120,15 @@ def captures(archive: DataFrame) -> DataFrame:
     the figures of the response that they refer to, by its header alone."""
     rows = archive.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "payload_digest": base32_sha1(F.col("payload"))})
     rows = rows.select("page_id", "record_id", "record_type", "refers", "payload_bytes", "payload_digest")
-    responses = rows.filter("record_type = 'response'").groupBy(F.col("record_id").alias("refers")).agg(
-        F.max("page_id").alias("to"), F.max("payload_bytes").alias("bytes"), F.max("payload_digest").alias("of"))
-    found = rows.join(responses, "refers", "left")
     own = F.col("record_type") == "response"
+    responses = checkpointed(rows.filter(own).select(
+        F.col("record_id").alias("response"), F.col("page_id").alias("to"), F.col("payload_bytes").alias("bytes"),
+        F.col("payload_digest").alias("of")).distinct(), "responses")
+    # a response meets itself, so no key but a much revisited response's is frequent, and Spark can split that
+    found = rows.withColumn("response", F.when(own, F.col("record_id")).otherwise(F.col("refers"))).join(responses, "response", "left")
     return found.select(
-        "page_id", F.when(own, F.col("payload_bytes")).otherwise(F.col("bytes")).alias("payload_bytes"),
-        F.when(own, F.col("payload_digest")).otherwise(F.col("of")).alias("payload_digest"),
-        "record_type", F.when(~own, F.col("to")).alias("refers_to"))
+        "page_id", F.col("bytes").alias("payload_bytes"), F.col("of").alias("payload_digest"), "record_type",
+        F.when(~own, F.col("to")).alias("refers_to"))
 
 
 def archived(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
