@@ -14,33 +14,26 @@ FEATURES = online_kmeans.FEATURES
 LOWS, HIGHS = [5, 20, 5, 0.3], [70, 200, 60, 1.0]
 
 
-def expected_traffic(segments):
-    out = {}
-    for borough, default in dims.BOROUGH_DEFAULT_SPEED.items():
-        rows = [(lat, speed) for b, lat, speed in segments if b == borough]
-        speeds = np.array([s for _, s in rows]) if rows else np.array([default])
-        lats = np.array([lat for lat, _ in rows])
-        breaks = np.percentile(lats, [0, 16.7, 33.3, 50, 66.7, 83.3, 100]) if len(rows) > 1 else None
-        for i in range(6):
-            chosen = speeds
-            if breaks is not None:
-                mask = (lats >= breaks[i]) & (lats < breaks[i + 1])
-                chosen = speeds[mask] if mask.any() else speeds
-            out[f"{borough}-{i + 1:02d}"] = (chosen.mean(), chosen.std() if len(chosen) > 1 else 0.0, (chosen < 20).mean())
-    return out
-
-
 def test_traffic_features(spark):
-    rng = np.random.default_rng(1)
-    segments = [("MN", round(float(a), 4), round(float(s), 2)) for a, s in zip(rng.uniform(40.7, 40.88, 300), rng.uniform(1, 60, 300))]
-    segments += [("BK", 40.6, 17.0)]  # a single row: no bins
-    segments += [("QN", 40.6, 10.0), ("QN", 40.6, 30.0), ("QN", 40.7, 50.0)]  # equal breaks leave empty bins
-    frame = spark.createDataFrame(segments, "borough_id string, lat double, speed double")
-    rows = features.traffic_features(dims.zones_frame(spark), frame).collect()
-    expected = expected_traffic(segments)
+    """Hand-made segments: six latitudes that each fill a bin of their own, a borough with one segment, one whose equal
+    latitudes leave bins without segments, and boroughs without any."""
+    segments = [("MN", 40.70 + 0.01 * k, speed) for k, pair in enumerate([(10, 30), (12, 16), (50, 50), (19, 21), (8, 8), (25, 35)]) for speed in pair]
+    segments += [("BK", 40.6, 17.0)]
+    segments += [("QN", 40.6, 10.0), ("QN", 40.6, 30.0), ("QN", 40.6, 50.0)]
+    frame = spark.createDataFrame([(b, lat, float(s)) for b, lat, s in segments], "borough_id string, lat double, speed double")
+    rows = {r["zone_id"]: (r["avg_speed"], r["std_speed"], r["pct_slow"]) for r in features.traffic_features(dims.zones_frame(spark), frame).collect()}
     assert len(rows) == 30
-    for r in rows:
-        assert (r["avg_speed"], r["std_speed"], r["pct_slow"]) == pytest.approx(expected[r["zone_id"]], abs=1e-9), r
+    assert rows["MN-01"] == pytest.approx((20.0, 10.0, 0.5))
+    assert rows["MN-02"] == pytest.approx((14.0, 2.0, 1.0))
+    assert rows["MN-03"] == pytest.approx((50.0, 0.0, 0.0))
+    assert rows["MN-04"] == pytest.approx((20.0, 1.0, 0.5))
+    assert rows["MN-05"] == pytest.approx((8.0, 0.0, 1.0))
+    for i in range(1, 7):
+        assert rows[f"BK-0{i}"] == pytest.approx((17.0, 0.0, 1.0))
+        assert rows[f"QN-0{i}"] == pytest.approx((30.0, math.sqrt(800 / 3), 1 / 3))
+        for borough in ("SI", "BX"):
+            default = dims.BOROUGH_DEFAULT_SPEED[borough]
+            assert rows[f"{borough}-0{i}"] == pytest.approx((default, 0.0, float(default < 20)))
 
 
 @pytest.fixture(scope="module")
@@ -188,7 +181,7 @@ def test_online_seeding_names_and_few_rows(spark):
     raw = [c[1] * (hi1 - lo1) + lo1 - (c[0] * (hi0 - lo0) + lo0) for c in model.centroids
            for lo0, hi0, lo1, hi1 in [(model.lows[0], model.highs[0], model.lows[1], model.highs[1])]]
     worst = max(range(4), key=lambda j: raw[j])
-    assert online_kmeans.cluster_names(model)[worst] == dims.CLUSTER_NAMES[0]
+    assert {r["cluster"] for r in named if r["label"] == worst} == {dims.CLUSTER_NAMES[0]}
     restored = online_kmeans.model_from_rows(online_kmeans.model_frame(spark, model).collect())
     assert restored == model
 

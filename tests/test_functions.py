@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,28 @@ def test_classes(spark):
         "t double, h double, w double",
     ).select(labels.weather_condition(F.col("t"), F.col("h"), F.col("w")).alias("c")).collect()
     assert [r["c"] for r in weather] == ["Hot", "Cold", "Windy", "Humid", "Clear"]
+
+
+def test_means_keep_all_digits_and_skip_nan(spark):
+    rng = np.random.default_rng(11)
+    groups = {"small": [0.001, 0.002, 0.003], "close": [8.004, 8.004, 8.001], "same": [0.1] * 7, "negative": [-0.3, -1e-7, 5.0],
+              "bad": [float("nan"), 1.5, None, 2.5], "nothing": [float("nan"), None], "long": (rng.uniform(-1e3, 1e3, 500) / 7).tolist()}
+    for digits in (3, 7, 15):
+        groups[f"d{digits}"] = [round(float(x), digits) for x in rng.uniform(0, 60, 200)]
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    seen = set()
+    for parts in (1, 7):  # the order of rows and partial sums doesn't matter
+        got = frame.repartition(parts).groupBy("g").agg(
+            num.exact_mean(F.col("v")).alias("m"), num.exact_stddev_pop(F.col("v")).alias("p"), num.exact_stddev_samp(F.col("v")).alias("s"))
+        got = {r["g"]: (r["m"], r["p"], r["s"]) for r in got.collect()}
+        seen.add(tuple(sorted(got.items(), key=str)))
+    assert len(seen) == 1
+    for g, values in groups.items():
+        x = np.array([v for v in values if v is not None and not math.isnan(v)])
+        if not len(x):
+            assert got[g] == (None, None, None)
+            continue
+        assert got[g][0] == pytest.approx(math.fsum(x) / len(x), rel=1e-14, abs=1e-15)
+        assert got[g][1] == pytest.approx(x.std(), abs=2e-6) and got[g][2] == pytest.approx(x.std(ddof=1), abs=2e-6)
+    assert got["same"][1] == 0.0 and got["close"][1] > 0.001

@@ -87,45 +87,64 @@ def fixed_point(col: Column, digits: int = 2) -> Column:
     return F.rint(col * F.lit(float(10 ** digits))).cast("bigint")
 
 
-def exact_sum_units(units: Column) -> Column:
-    """Sum of whole units as a double, rounded once.
+def not_nan(col: Column) -> Column:
+    """A measure as a double, null where it is not a number: one bad row must not spoil or stop an aggregate."""
+    col = col.cast("double")
+    return F.when(~F.isnan(col), col)
 
-    The upper and lower bits are added up apart: each is a plain long that stays in hash aggregation and has
-    room for more rows than a table can hold, and joining them again is exact up to the final rounding.
+
+_PART = float(2 ** 26)
+
+
+def sum_parts(col: Column) -> list[Column]:
+    """A measure as three whole numbers: what is before the binary point, 26 bits after it, and 26 more.
+
+    Each is taken off without rounding, so nothing above 2**-52 is lost, and their sums do not depend on the order in which
+    rows or partial sums meet.
     """
-    upper = F.sum(F.shiftright(units, 20)).cast("double") * F.lit(1048576.0)
-    return upper + F.sum(units.bitwiseAND(F.lit(1048575))).cast("double")
+    col = not_nan(col)
+    rest = (col - F.floor(col).cast("double")) * F.lit(_PART)
+    return [F.floor(col), F.floor(rest), F.floor((rest - F.floor(rest).cast("double")) * F.lit(_PART))]
 
 
-def exact_mean(col: Column, digits: int = 2) -> Column:
-    """Mean of a measure with at most `digits` decimals.
+def joined_sum(whole: Column, middle: Column, low: Column) -> Column:
+    """The sum whose parts were added up apart."""
+    return whole.cast("double") + (middle.cast("double") + low.cast("double") / F.lit(_PART)) / F.lit(_PART)
 
-    Adding whole units makes the result independent of the order in which partial sums meet, so a retried
-    task, a replayed micro-batch and a batch job all give the same double.
+
+def exact_mean(col: Column) -> Column:
+    """Mean of all digits of a measure, NaN left out.
+
+    A retried task, a replayed micro-batch and a batch job all give the same double. Sums have room for 10**12 rows of a
+    million each.
     """
-    count = F.nullif(F.count(col), F.lit(0)).cast("double")
-    return exact_sum_units(fixed_point(col, digits)) / (count * F.lit(float(10 ** digits)))
+    total = joined_sum(*[F.sum(part) for part in sum_parts(col)])
+    return total / F.nullif(F.count(not_nan(col)), F.lit(0)).cast("double")
+
+
+#: Decimals of the values that a standard deviation is made of.
+SPREAD_DIGITS = 6
 
 
-def _spread(col: Column, digits: int) -> tuple[Column, Column]:
+def _spread(col: Column) -> tuple[Column, Column]:
     """n * sum(x^2) - sum(x)^2 in whole units, and n."""
-    units = fixed_point(col, digits).cast("decimal(19,0)")
-    n = F.count(col)
+    units = fixed_point(not_nan(col), SPREAD_DIGITS).cast("decimal(19,0)")
+    n = F.count(units)
     total = F.sum(units).cast("decimal(38,0)")
     squares = F.sum((units * units).cast("decimal(38,0)")).cast("decimal(38,0)")
     return (n.cast("decimal(38,0)") * squares - total * total).cast("double"), n.cast("double")
 
 
-def exact_stddev_pop(col: Column, digits: int = 2) -> Column:
-    """Population standard deviation from exact sums; exactly 0 for a constant group."""
-    spread, n = _spread(col, digits)
-    return F.sqrt(spread / F.nullif(n * n, F.lit(0.0))) / F.lit(float(10 ** digits))
+def exact_stddev_pop(col: Column) -> Column:
+    """Population standard deviation from exact sums of millionths; exactly 0 for a constant group."""
+    spread, n = _spread(col)
+    return F.sqrt(spread / F.nullif(n * n, F.lit(0.0))) / F.lit(float(10 ** SPREAD_DIGITS))
 
 
-def exact_stddev_samp(col: Column, digits: int = 2) -> Column:
-    """Sample standard deviation from exact sums; null for a single row."""
-    spread, n = _spread(col, digits)
-    return F.sqrt(spread / F.nullif(n * (n - F.lit(1.0)), F.lit(0.0))) / F.lit(float(10 ** digits))
+def exact_stddev_samp(col: Column) -> Column:
+    """Sample standard deviation from exact sums of millionths; null for a single row."""
+    spread, n = _spread(col)
+    return F.sqrt(spread / F.nullif(n * (n - F.lit(1.0)), F.lit(0.0))) / F.lit(float(10 ** SPREAD_DIGITS))
 
 
 def order_key(time: Column, tie: Column | None = None) -> Column:

@@ -22,12 +22,12 @@ from zonewise.operators.silhouette import silhouette_mean, silhouette_rows
 DIGITS = 6
 
 
-def standardised(rows: DataFrame, columns: list[str], digits: int = DIGITS) -> DataFrame:
+def standardised(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Zero mean and unit population deviation per column; a constant column becomes 0."""
     stats = rows.agg(F.struct(*[
         s
         for c in columns
-        for s in (exact_mean(F.col(c), digits).alias(f"{c}_m"), exact_stddev_pop(F.col(c), digits).alias(f"{c}_s"))
+        for s in (exact_mean(F.col(c)).alias(f"{c}_m"), exact_stddev_pop(F.col(c)).alias(f"{c}_s"))
     ]).alias("s")).scalar()
     return rows.withColumn("_s", stats).withColumns({
         c: F.coalesce(

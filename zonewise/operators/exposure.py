@@ -18,10 +18,10 @@ _AQI_UNITS = float(10 ** AQI_DIGITS)
 
 def with_known_air(
     workers: DataFrame, pollution: DataFrame, order: str, aqi: str = "aqi", strict: bool = False,
-    bucket: Column | None = None, time: str | None = None,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Each worker position with the latest AQI known for its zone at that moment, 75 before any."""
-    return as_of(workers, pollution, ["zone_id"], order, aqi, UNKNOWN_ZONE_AQI, strict, bucket, time)
+    return as_of(workers, pollution, ["zone_id"], order, aqi, UNKNOWN_ZONE_AQI, strict, bucket)
 
 
 def valid_zone(zone_id: Column, worker_id: Column, time: Column) -> Column:
@@ -72,42 +72,42 @@ def partial_exposure(
     readings: DataFrame, order: Column, profile: dims.ExposureProfile = dims.PER_READING,
     keys: list[str] | None = None, aqi: str = "aqi",
 ) -> DataFrame:
-    """Counts per worker that can be added up: one row per key, also when computed per micro-batch.
+    """Counts per worker and zone that can be added up, also when computed per micro-batch.
 
-    The last zone travels as its position in the dimension, so every buffer is a plain number.
+    A row per zone keeps the zone's text, whatever zones there are, out of the buffers: those are plain numbers.
     """
     measures = _measures(F.col(aqi), profile)
-    return readings.groupBy(*(keys or ["worker_id"])).agg(
-        *[F.sum(c).alias(n) for n, c in measures.items()],
-        F.max(order).alias("last_order"),
-        F.max_by(zone_ordinal(F.col("zone_id")), order).alias("last_zone_ord"),
-    )
+    return readings.groupBy(*(keys or ["worker_id"]), "zone_id").agg(
+        *[F.sum(c).alias(n) for n, c in measures.items()], F.max(order).alias("last_order"))
 
 
 def added_parts(parts: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Several partial rows per key as one, still addable."""
-    return parts.groupBy(*(keys or ["worker_id"])).agg(
-        *[F.sum(n).alias(n) for n in ("count", "n_high", "aqi_units")],
-        F.max_by("last_zone_ord", "last_order").alias("last_zone_ord"), F.max("last_order").alias("last_order"),
-    )
+    """Several partial rows per key and zone as one, still addable."""
+    return parts.groupBy(*(keys or ["worker_id"]), "zone_id").agg(
+        *[F.sum(n).alias(n) for n in ("count", "n_high", "aqi_units")], F.max("last_order").alias("last_order"))
+
+
+def last_zones(parts: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The zone of each worker's last reading."""
+    return parts.groupBy(*(keys or ["worker_id"])).agg(F.max_by("zone_id", "last_order").alias("zone_id"))
 
 
 def combined_exposure(
     parts: DataFrame, profile: dims.ExposureProfile = dims.PER_READING, keys: list[str] | None = None
 ) -> DataFrame:
-    """Add partial rows up and derive hours, mean and status."""
-    totals = added_parts(parts, keys).withColumn("zone_id", zone_at(F.col("last_zone_ord")))
-    return totals.withColumns(exposure_columns(profile)).drop("aqi_units", "last_zone_ord", "last_order")
+    """Add partial rows up, a few per worker, and derive the last zone, hours, mean and status."""
+    few = added_parts(parts, keys)
+    totals = few.groupBy(*(keys or ["worker_id"])).agg(
+        *[F.sum(n).alias(n) for n in ("count", "n_high", "aqi_units")], F.max_by("zone_id", "last_order").alias("zone_id"))
+    return totals.withColumns(exposure_columns(profile)).drop("aqi_units")
 
 
 def exposure_totals(
     readings: DataFrame, order: Column, profile: dims.ExposureProfile = dims.PER_READING,
     keys: list[str] | None = None, aqi: str = "aqi",
 ) -> DataFrame:
-    """Exposure per worker over all readings, in one aggregate."""
-    totals = partial_exposure(readings, order, profile, keys, aqi)
-    return totals.withColumn("zone_id", zone_at(F.col("last_zone_ord"))).withColumns(exposure_columns(profile)) \
-        .drop("aqi_units", "last_zone_ord", "last_order")
+    """Exposure per worker over all readings."""
+    return combined_exposure(partial_exposure(readings, order, profile, keys, aqi), profile, keys)
 
 
 def protective_aqi(current: Column, forecast: Column) -> Column:

@@ -41,7 +41,7 @@ def _speed_stats(rows: DataFrame, key: str, prefix: str = "") -> DataFrame:
     return rows.groupBy(key).agg(
         exact_mean(F.col("speed")).alias(f"{prefix}avg_speed"),
         exact_stddev_pop(F.col("speed")).alias(f"{prefix}std_speed"),
-        exact_mean((F.col("speed") < SLOW_MPH).cast("double"), 0).alias(f"{prefix}pct_slow"),
+        exact_mean((F.col("speed") < SLOW_MPH).cast("double")).alias(f"{prefix}pct_slow"),
     )
 
 

@@ -10,42 +10,59 @@ along the order (an hour, a range of ids):
    (key, bucket) gives the final answer.
 
 Rows are shuffled once, by (key, bucket), and no join is needed. `order` must be a unique number (see
-`order_key`). The buckets follow from the densest key unless the caller gives a `bucket` expression, which
-must never decrease along the order.
+`order_key`). The buckets are cut by counts of rows (`dealt_out`)
+unless the caller gives a `bucket` expression, which must never decrease along the order.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET, _ORDER = "_bucket", "_order"
 ROWS_PER_BUCKET = 1_000_000
+CELLS = 1024
+
+
+def _by_keys(rows: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
+    """`rows` with the columns of `table`, which has a row per value of `keys`; nulls are equal, no keys mean one row."""
+    table = table.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in table.columns if c not in keys])
+    if not keys:
+        return rows.join(F.broadcast(table))  # one row
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return rows.join(table, same)
 
 
-def even_buckets(rows: DataFrame, keys: list[str], along: Column, target: int = ROWS_PER_BUCKET) -> Column:
-    """Equal stretches of `along`, such that the densest key has about `target` rows in each.
+def dealt_out(rows: DataFrame, keys: list[str], order: str, target: int = ROWS_PER_BUCKET) -> DataFrame:
+    """`rows` with a bucket: stretches of each key along the column `order` that hold about `target` rows.
 
-    `along` is the order itself or, cheaper, the number it starts with. The width is a scalar subquery over one
-    count per key. Small data ends up in one bucket, and a key that holds a third of a huge table in as many
-    as it needs.
+    Each key's span is cut into cells, and rows are counted per key and cell. A key's cells are put together until they hold `target`
+    rows. A cell with more is cut on between its own first and last order, which for rows of one moment differ in
+    their tie-break. So bursts, keys with a single row and keys that share one moment all keep to the target; only rows that
+    crowd within a cell, too, share a larger bucket.
     """
-    density = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.min(along).alias("lo"), F.max(along).alias("hi")
-    )
-    span = F.col("hi").cast("double") - F.col("lo").cast("double")
-    width = density.agg(F.min(span / F.col("n"))).scalar() * F.lit(float(target))
-    return F.floor(along.cast("double") / F.when(width > 0, width).otherwise(F.lit(1e300))).cast("bigint")
+    spans = _by_keys(rows, keys, rows.groupBy(*keys).agg(F.min(order).alias("_low"), F.max(order).alias("_high")))
+    width = (F.col("_high") - F.col("_low") + F.lit(1)).cast("double")
+    cell = F.floor((F.col(order) - F.col("_low")).cast("double") / width * F.lit(float(CELLS))).cast("bigint")
+    placed = spans.select(*rows.columns, cell.alias("_cell"))
+    counts = placed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    counts = counts.withColumn("_parts", F.ceil(F.col("n") / F.lit(target)).cast("bigint"))
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    first = F.floor(before(F.col("n")) / F.lit(target)).cast("bigint") + before(F.col("_parts") - 1)
+    layout = counts.select(*keys, "_cell", first.alias("_first"), "_parts", "_lo", "_hi")
+    share = (F.col(order) - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
+    inside = F.least(F.floor(share * F.col("_parts")).cast("bigint"), F.col("_parts") - 1)
+    return _by_keys(placed, [*keys, "_cell"], layout).select(*rows.columns, (F.col("_first") + inside).alias(_BUCKET))
 
 
 def _staged(
     rows: DataFrame, keys: list[str], order: Column, bucket: Column | None, extra: dict[str, Column]
 ) -> DataFrame:
-    if bucket is None:
-        bucket = even_buckets(rows, keys, order)
-    return rows.select(
-        "*", order.alias(_ORDER), bucket.alias(_BUCKET), *[c.alias(f"_in_{n}") for n, c in extra.items()]
-    )
+    staged = rows.select("*", order.alias(_ORDER), *[c.alias(f"_in_{n}") for n, c in extra.items()])
+    return dealt_out(staged, keys, _ORDER) if bucket is None else staged.withColumn(_BUCKET, bucket)
 
 
 def _with_start_rows(staged: DataFrame, starts: DataFrame) -> DataFrame:
@@ -131,24 +148,21 @@ def trailing_values(
 
 def as_of(
     left: DataFrame, right: DataFrame, keys: list[str], order: str, value: str, default=None, strict: bool = False,
-    bucket: Column | None = None, time: str | None = None,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Join each left row with the latest `value` of the right side known at its `order`.
 
     Both sides are stacked and the value is filled forward, so a key that holds most of the rows is still
     spread over its buckets. `strict` looks only at right rows before the left row; otherwise a right row
-    at the same moment counts. A timestamp column `time` that both sides have and that `order` starts with
-    makes laying out the buckets cheaper.
+    at the same moment counts.
     """
     left_columns = left.columns
     stacked = left.withColumn("_side", F.lit(0 if strict else 1)).withColumn("_known", F.lit(None).cast("double")) \
         .unionByName(
-            right.select(*keys, order, *([time] if time else []), F.lit(1 if strict else 0).alias("_side"),
+            right.select(*keys, order, F.lit(1 if strict else 0).alias("_side"),
                          F.col(value).alias("_known")),
             allowMissingColumns=True,
         )
-    if bucket is None and time:
-        bucket = even_buckets(stacked, keys, F.unix_micros(time))
     sequence = F.col(order).cast("decimal(37,0)") * F.lit(2) + F.col("_side")
     filled = forward_fill(stacked, keys, sequence, {value: F.col("_known")}, bucket)
     found = filled.filter(F.col("_side") == F.lit(0 if strict else 1)).select(*left_columns, value)

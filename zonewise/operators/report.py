@@ -29,11 +29,11 @@ def status_counts(exposure: DataFrame) -> DataFrame:
     return zero_filled_counts(exposure, "exposure_status", dims.EXPOSURE_STATUSES)
 
 
-def city_kpis(scores: DataFrame, by: list[str] | None = None, digits: int = 6) -> DataFrame:
+def city_kpis(scores: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Mean score, mean AQI, active and compound events."""
     return scores.groupBy(*(by or [])).agg(
-        exact_mean(F.col("zone_score"), digits).alias("avg_zone_score"),
-        exact_mean(F.col("avg_aqi"), digits).alias("avg_city_aqi"),
+        exact_mean(F.col("zone_score")).alias("avg_zone_score"),
+        exact_mean(F.col("avg_aqi")).alias("avg_city_aqi"),
         F.count_if(F.col("event_type") != "NORMAL").alias("active_events"),
         F.count_if(F.col("event_type") == "COMPOUND_EVENT").alias("compound_events"),
     )
@@ -41,7 +41,7 @@ def city_kpis(scores: DataFrame, by: list[str] | None = None, digits: int = 6) -
 
 def mean_exposure(exposure: DataFrame) -> DataFrame:
     return exposure.agg(
-        exact_mean(F.col("hours_in_high_aqi"), 6).alias("avg_hours"), F.count(F.lit(1)).alias("n_workers")
+        exact_mean(F.col("hours_in_high_aqi")).alias("avg_hours"), F.count(F.lit(1)).alias("n_workers")
     )
 
 
@@ -70,8 +70,8 @@ def cluster_cards(labelled: DataFrame) -> DataFrame:
     dimension = dims.names_frame(labelled.sparkSession, "cluster", dims.CLUSTER_NAMES)
     stats = labelled.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n_zones"),
-        exact_mean(F.col("avg_aqi"), 6).alias("mean_aqi"),
-        exact_mean(F.col("avg_speed"), 6).alias("mean_speed"),
+        exact_mean(F.col("avg_aqi")).alias("mean_aqi"),
+        exact_mean(F.col("avg_speed")).alias("mean_speed"),
     )
     weight = F.create_map(*[F.lit(x) for pair in dims.CLUSTER_WEIGHTS.items() for x in pair])
     return dimension.join(stats, "cluster", "left").select(
@@ -131,13 +131,13 @@ def distinct_counts(rows: DataFrame, columns: list[str], approximate: bool = Fal
     return rows.agg(*[count(F.col(c)).alias(f"n_{c}") for c in columns])
 
 
-def column_summary(rows: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
+def column_summary(rows: DataFrame, columns: list[str]) -> DataFrame:
     """(column, count, mean, std, min, q1, median, q3, max) with exact quartiles, one row per column."""
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     long = rows.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter(F.col("value").isNotNull())
     stats = long.groupBy("column").agg(
-        F.count("value").alias("count"), exact_mean(F.col("value"), digits).alias("mean"),
-        exact_stddev_samp(F.col("value"), digits).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
+        F.count("value").alias("count"), exact_mean(F.col("value")).alias("mean"),
+        exact_stddev_samp(F.col("value")).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
     )
     quartiles = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75]).groupBy("column").agg(*[
         F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
@@ -148,14 +148,14 @@ def column_summary(rows: DataFrame, columns: list[str], digits: int = 2) -> Data
     )
 
 
-def histogram(rows: DataFrame, column: str, bins: int = 8, digits: int = 6) -> DataFrame:
+def histogram(rows: DataFrame, column: str, bins: int = 8) -> DataFrame:
     """(bin, low, high, n, mean) over equal-width bins from min to max, the last one closed; empty bins show 0.
 
     A constant column gets the unit range around its value.
     """
     value = F.col(column).cast("double")
     edge = rows.agg(F.struct(
-        F.min(value).alias("lo"), F.max(value).alias("hi"), exact_mean(value, digits).alias("mean")
+        F.min(value).alias("lo"), F.max(value).alias("hi"), exact_mean(value).alias("mean")
     ).alias("e")).scalar()
     flat = F.col("_e.lo") == F.col("_e.hi")
     lo = F.when(flat, F.col("_e.lo") - 0.5).otherwise(F.col("_e.lo"))
@@ -183,5 +183,5 @@ def silhouette_profile(rows: DataFrame) -> DataFrame:
     The order comes from a range-partitioned sort, so a large cluster is not gathered in one task.
     """
     sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n_in_label"))
-    mean = rows.agg(exact_mean(F.col("silhouette"), 9)).scalar()
+    mean = rows.agg(exact_mean(F.col("silhouette"))).scalar()
     return rows.join(sizes, "label").withColumn("mean_silhouette", mean).orderBy("label", "silhouette", "zone_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonewise.functions.geo import zone_ordinal
 from zonewise.functions.labels import event_class, zone_score
-from zonewise.functions.numeric import default_if_falsy, exact_mean, fixed_point
+from zonewise.functions.numeric import default_if_falsy, exact_mean, joined_sum, not_nan, sum_parts
 
 AQI_DIGITS = 6
 
@@ -34,20 +34,21 @@ def traffic_means(traffic: DataFrame, order: Column, by: list[str] | None = None
     """
     by = by or []
     reduced = traffic.groupBy("zone_id", *by, "borough").agg(
-        F.sum(fixed_point(F.col("speed_kmh"))).alias("_units"),
-        F.count("speed_kmh").alias("_n"),
+        *[F.sum(part).alias(f"_part{i}") for i, part in enumerate(sum_parts(F.col("speed_kmh")))],
+        F.count(not_nan(F.col("speed_kmh"))).alias("_n"),
+        F.count(F.lit(1)).alias("_rows"),
         F.min(order).alias("_first"),
     )
     return reduced.groupBy("zone_id", *by).agg(
-        (F.sum("_units").cast("double") / (F.sum("_n").cast("double") * F.lit(100.0))).alias("avg_speed"),
+        (joined_sum(*[F.sum(f"_part{i}") for i in range(3)]) / F.nullif(F.sum("_n"), F.lit(0)).cast("double")).alias("avg_speed"),
         F.min_by("borough", "_first").alias("borough"),
-        F.sum("_n").alias("n_rows"),
+        F.sum("_rows").alias("n_rows"),
     )
 
 
 def pollution_means(pollution: DataFrame, by: list[str] | None = None) -> DataFrame:
     return pollution.groupBy("zone_id", *(by or [])).agg(
-        exact_mean(F.col("aqi"), AQI_DIGITS).alias("avg_aqi"),
+        exact_mean(F.col("aqi")).alias("avg_aqi"),
         exact_mean(F.col("pm25")).alias("avg_pm25"),
         exact_mean(F.col("no2")).alias("avg_no2"),
         F.count(F.lit(1)).alias("n_rows"),
@@ -62,7 +63,7 @@ def fused_means(readings: DataFrame, by: list[str] | None = None) -> DataFrame:
     """
     return readings.groupBy("zone_id", *(by or [])).agg(
         exact_mean(F.col("speed_kmh")).alias("avg_speed"),
-        exact_mean(F.col("aqi"), AQI_DIGITS).alias("avg_aqi"),
+        exact_mean(F.col("aqi")).alias("avg_aqi"),
         exact_mean(F.col("pm25")).alias("avg_pm25"),
         exact_mean(F.col("no2")).alias("avg_no2"),
     )

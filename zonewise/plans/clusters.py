@@ -57,7 +57,7 @@ binned AS (SELECT s.*, CASE WHEN n > 1 AND lat < b6 THEN s.borough_id || '-0' ||
    ELSE 1 END) AS VARCHAR) END AS zone_id FROM segment s JOIN breaks USING (borough_id))"""
 
 _SPEED_STATS = (f"{sql.mean('speed')} AS avg_speed, {sql.stddev_pop('speed')} AS std_speed, "
-                f"{sql.mean('CASE WHEN speed < 20 THEN 1e0 ELSE 0e0 END', 0)} AS pct_slow")
+                f"{sql.mean('CASE WHEN speed < 20 THEN 1e0 ELSE 0e0 END')} AS pct_slow")
 _DEFAULT = sql.case("substr(z.zone_id, 1, 2)", dims.BOROUGH_DEFAULT_SPEED, "30e0")
 FEATURE_SQL = f"""
 by_zone AS (SELECT zone_id, {_SPEED_STATS} FROM binned WHERE zone_id IS NOT NULL GROUP BY zone_id),
@@ -109,7 +109,7 @@ def _standard_sql(columns: list[str]) -> str:
     parts = ", ".join(
         f"coalesce(({c} - m_{c}) / nullif(s_{c}, 0e0), 0e0) AS {c}" for c in columns
     )
-    stats = ", ".join(f"{sql.mean(c, 6)} AS m_{c}, {sql.stddev_pop(c, 6)} AS s_{c}" for c in columns)
+    stats = ", ".join(f"{sql.mean(c)} AS m_{c}, {sql.stddev_pop(c)} AS s_{c}" for c in columns)
     return f"SELECT zone_id, day, {parts} FROM scored, (SELECT {stats} FROM scored)"
 
 
@@ -155,7 +155,7 @@ def silhouette_values(spark, sf_dir):
 
 @registry.add(sql.query(
     "SELECT point AS zone_id, label, silhouette, count(*) OVER (PARTITION BY label) AS n_in_label, "
-    f"(SELECT {sql.mean('silhouette', 9)} FROM sil) AS mean_silhouette FROM sil",
+    f"(SELECT {sql.mean('silhouette')} FROM sil) AS mean_silhouette FROM sil",
     sql.state("day"), _POINTS, SILHOUETTE_SQL,
 ))
 def silhouette_profile(spark, sf_dir):
@@ -221,7 +221,7 @@ _MODEL_SQL = "model(label, n0, " + ", ".join(f"m_{c}" for c in _ONLINE) + ") AS
     f"({i}, {n}, {', '.join(sql.num(v) for v in c)})" for i, (c, n) in enumerate(zip(_CENTROIDS, _COUNTS))
 ) + ")"
 _STEP = f"""
-batch AS (SELECT label, count(*) AS n, {', '.join(f"{sql.mean(c, 9)} AS b_{c}" for c in _ONLINE)} FROM assigned GROUP BY label),
+batch AS (SELECT label, count(*) AS n, {', '.join(f"{sql.mean(c)} AS b_{c}" for c in _ONLINE)} FROM assigned GROUP BY label),
 step AS (SELECT label, n0 + n AS count, {', '.join(
     f"(1e0 - CAST(n AS DOUBLE) / CAST(n0 + n AS DOUBLE)) * m_{c} + CAST(n AS DOUBLE) / CAST(n0 + n AS DOUBLE) * b_{c} AS {c}"
     for c in _ONLINE)} FROM batch JOIN model USING (label))"""
@@ -243,19 +243,23 @@ def centroid_update(spark, sf_dir):
     return online_kmeans.updated_centroids(_assigned(spark, sf_dir), _ONLINE, _CENTROIDS, _COUNTS)
 
 
-_INERTIA = "CASE label " + " ".join(f"WHEN {i} THEN {d}" for i, d in enumerate(_DISTANCES)) + " END"
+_INERTIA = "(" + " + ".join(f"(a.{c} - s.{c}) * (a.{c} - s.{c})" for c in _ONLINE) + ")"
 
 
 @registry.add(sql.query(
-    f"SELECT CAST(sum({sql.units(_INERTIA, 9)}) AS DOUBLE) / 1e9 AS inertia FROM assigned", *_MODEL_CTES
+    f"SELECT CAST(sum({sql.units(_INERTIA, 9)}) AS DOUBLE) / 1e9 AS inertia FROM assigned a JOIN step s USING (label)",
+    *_MODEL_CTES
 ))
 def batch_inertia(spark, sf_dir):
-    """Squared distances to the centroids the rows are labelled with."""
-    return _assigned(spark, sf_dir).agg(online_kmeans.batch_inertia(_ONLINE, _CENTROIDS).alias("inertia"))
+    """Squared distances to the updated centroids of the labels that the rows had before the update."""
+    assigned = _assigned(spark, sf_dir)
+    moved = {r["label"]: r for r in online_kmeans.updated_centroids(assigned, _ONLINE, _CENTROIDS, _COUNTS).collect()}  # k rows
+    updated = [tuple(moved[j][c] for c in _ONLINE) if j in moved else old for j, old in enumerate(_CENTROIDS)]
+    return assigned.agg(online_kmeans.batch_inertia(_ONLINE, updated).alias("inertia"))
 
 
-_GROUPS = (f"groups AS (SELECT CAST(substr(day, 9, 2) AS INTEGER) % 5 AS cluster_id, {sql.mean('avg_aqi', 6)} AS avg_aqi, "
-           f"{sql.mean('avg_speed', 6)} AS avg_speed, {sql.mean('avg_pm25', 6)} * 4e0 AS avg_aqi_proxy FROM scored GROUP BY 1)")
+_GROUPS = (f"groups AS (SELECT CAST(substr(day, 9, 2) AS INTEGER) % 5 AS cluster_id, {sql.mean('avg_aqi')} AS avg_aqi, "
+           f"{sql.mean('avg_speed')} AS avg_speed, {sql.mean('avg_pm25')} * 4e0 AS avg_aqi_proxy FROM scored GROUP BY 1)")
 _NAME_LIST = "[" + ", ".join(f"'{n}'" for n in dims.CLUSTER_NAMES) + "]"
 
 
@@ -270,8 +274,8 @@ def hazard_rank(spark, sf_dir):
     """Five groups of days named by hazard; the fifth has no name of its own."""
     groups = common.scored_zones(spark, sf_dir, ["day"]) \
         .groupBy(F.pmod(F.substring("day", 9, 2).cast("int"), F.lit(5)).alias("cluster_id")) \
-        .agg(exact_mean(F.col("avg_aqi"), 6).alias("avg_aqi"), exact_mean(F.col("avg_speed"), 6).alias("avg_speed"),
-             aqi_proxy(exact_mean(F.col("avg_pm25"), 6)).alias("avg_aqi_proxy"))
+        .agg(exact_mean(F.col("avg_aqi")).alias("avg_aqi"), exact_mean(F.col("avg_speed")).alias("avg_speed"),
+             aqi_proxy(exact_mean(F.col("avg_pm25"))).alias("avg_aqi_proxy"))
     return cluster.hazard_names(groups).select("cluster_id", "hazard", "hazard_rank", "cluster")
 
 
@@ -284,7 +288,7 @@ def hazard_rank(spark, sf_dir):
 def hazard_rank_online(spark, sf_dir):
     groups = common.scored_zones(spark, sf_dir, ["day"]) \
         .groupBy(F.pmod(F.substring("day", 9, 2).cast("int"), F.lit(5)).alias("cluster_id")) \
-        .agg(exact_mean(F.col("avg_aqi"), 6).alias("avg_aqi"), exact_mean(F.col("avg_speed"), 6).alias("avg_speed"))
+        .agg(exact_mean(F.col("avg_aqi")).alias("avg_aqi"), exact_mean(F.col("avg_speed")).alias("avg_speed"))
     return cluster.hazard_names(groups, online=True).select("cluster_id", "hazard", "hazard_rank", "cluster")
 
 

@@ -190,13 +190,13 @@ def station_fill(spark, sf_dir):
         "event_id", F.concat(F.lit("ST-"), F.col("user_id").cast("string")).alias("station_id"),
         parameter.alias("parameter"), "value", "event_time",
     )
-    return files.filled_stations(readings, feeds.order(), bucket=feeds.stretches(readings, ["station_id"])) \
+    return files.filled_stations(readings, feeds.order()) \
         .select("event_id", "station_id", "pm25", "no2")
 
 
 def _histories(spark, sf_dir):
     rows = feeds.pollution(feeds.events(spark, sf_dir)).select("event_id", "zone_id", "aqi", "event_time")
-    return forecast.with_history(rows, feeds.order(), bucket=feeds.stretches(rows, ["zone_id"]))
+    return forecast.with_history(rows, feeds.order())
 
 
 _HISTORY = (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from zonewise import dims
 from zonewise.functions.geo import borough_name
+from zonewise.functions.numeric import exact_mean, exact_stddev_pop
 from zonewise.operators import report
 from zonewise.plans import Registry, common, sql
 from zonewise.sinks.tables import bounded_history
@@ -24,7 +25,7 @@ def labelled(spark, sf_dir, by=None):
 @registry.add(sql.query(
     "SELECT n.cluster, n.weight, coalesce(n_zones, 0) AS n_zones, coalesce(mean_aqi, 0e0) AS mean_aqi, "
     f"coalesce(mean_speed, 0e0) AS mean_speed FROM (VALUES {_NAMES}) n(cluster, weight) LEFT JOIN "
-    f"(SELECT cluster, count(*) AS n_zones, {sql.mean('avg_aqi', 6)} AS mean_aqi, {sql.mean('avg_speed', 6)} AS mean_speed "
+    f"(SELECT cluster, count(*) AS n_zones, {sql.mean('avg_aqi')} AS mean_aqi, {sql.mean('avg_speed')} AS mean_speed "
     "FROM labelled GROUP BY cluster) USING (cluster)",
     sql.state(), _LABELLED,
 ))
@@ -70,10 +71,10 @@ def _quantile_sql(p: float) -> str:
             f"ELSE {low} + ({high} - {low}) * {frac} END")
 
 
-def summary_sql(source: str, column: str, digits: int = 2) -> str:
+def summary_sql(source: str, column: str) -> str:
     return (
-        f"SELECT '{column}' AS \"column\", count(v) AS count, {sql.mean('v', digits)} AS mean, "
-        f"{sql.stddev_samp('v', digits)} AS std, min(v) AS min, {_quantile_sql(0.25)} AS q1, "
+        f"SELECT '{column}' AS \"column\", count(v) AS count, {sql.mean('v')} AS mean, "
+        f"{sql.stddev_samp('v')} AS std, min(v) AS min, {_quantile_sql(0.25)} AS q1, "
         f"{_quantile_sql(0.5)} AS median, {_quantile_sql(0.75)} AS q3, max(v) AS max FROM (SELECT {column} AS v, "
         f"row_number() OVER (ORDER BY {column}) - 1 AS rn, count(*) OVER () AS n FROM {source})"
     )
@@ -87,7 +88,7 @@ def column_summary(spark, sf_dir):
 @registry.add(sql.query(
     "SELECT CAST(b.bin AS INTEGER) AS bin, lo + b.bin * ((hi - lo) / 8e0) AS low, lo + (b.bin + 1) * ((hi - lo) / 8e0) AS high, "
     "coalesce(n, 0) AS n, mean FROM range(8) b(bin), "
-    f"(SELECT min(speed_kmh) AS lo, max(speed_kmh) AS hi, {sql.mean('speed_kmh', 6)} AS mean FROM traffic) e "
+    f"(SELECT min(speed_kmh) AS lo, max(speed_kmh) AS hi, {sql.mean('speed_kmh')} AS mean FROM traffic) e "
     "LEFT JOIN (SELECT least(floor((speed_kmh - lo) / (hi - lo) * 8e0), 7e0) AS slot, count(*) AS n FROM traffic, "
     "(SELECT min(speed_kmh) AS lo, max(speed_kmh) AS hi FROM traffic) GROUP BY 1) c ON c.slot = b.bin"
 ))
@@ -138,3 +139,15 @@ def assignment_table(spark, sf_dir):
     rows = labelled(spark, sf_dir)
     return rows.select("zone_id", borough_name(F.col("zone_id")).alias("borough"), "cluster", "avg_aqi", "avg_speed") \
         .orderBy("cluster", "zone_id")
+
+
+@registry.add(sql.query(
+    f"SELECT zone_id, count(*) AS n, {sql.mean('speed_kmh / 7e0')} AS mean_seventh, {sql.stddev_pop('speed_kmh / 7e0')} AS std_seventh, "
+    f"{sql.mean('-speed_kmh / 700000e0')} AS mean_small FROM traffic GROUP BY zone_id"
+))
+def long_decimal_means(spark, sf_dir):
+    """Means and deviations of values whose decimals don't end."""
+    seventh, small = F.col("speed_kmh") / F.lit(7.0), -F.col("speed_kmh") / F.lit(700000.0)
+    return feeds.traffic(feeds.events(spark, sf_dir)).groupBy("zone_id").agg(
+        F.count(F.lit(1)).alias("n"), exact_mean(seventh).alias("mean_seventh"), exact_stddev_pop(seventh).alias("std_seventh"),
+        exact_mean(small).alias("mean_small"))

@@ -42,25 +42,28 @@ def units(expr: str, digits: int = 2) -> str:
     return f"CAST(({expr}) * {num(10 ** digits)} AS BIGINT)"
 
 
-def mean(expr: str, digits: int = 2) -> str:
-    scale = num(10 ** digits)
-    return (f"(CAST(sum({units(expr, digits)}) AS DOUBLE) / "
-            f"(CAST(nullif(count({expr}), 0) AS DOUBLE) * {scale}))")
+def mean(expr: str) -> str:
+    """The mean of all bits: whole parts and two stretches of 26 binary places are added up as integers."""
+    x, part = f"CAST({expr} AS DOUBLE)", "67108864e0"
+    rest = f"(({x} - floor({x})) * {part})"
+    added = lambda v: f"CAST(sum(CAST(floor({v}) AS BIGINT)) AS DOUBLE)"
+    low = added(f"(({rest} - floor({rest})) * {part})")
+    return f"(({added(x)} + ({added(rest)} + {low} / {part}) / {part}) / CAST(nullif(count({x}), 0) AS DOUBLE))"
 
 
-def _spread(expr: str, digits: int) -> str:
-    u = f"CAST({units(expr, digits)} AS HUGEINT)"
+def _spread(expr: str) -> str:
+    u = f"CAST({units(expr, 6)} AS HUGEINT)"
     return f"CAST(count({expr}) * sum({u} * {u}) - sum({u}) * sum({u}) AS DOUBLE)"
 
 
-def stddev_pop(expr: str, digits: int = 2) -> str:
+def stddev_pop(expr: str) -> str:
     n = f"CAST(count({expr}) AS DOUBLE)"
-    return f"(sqrt({_spread(expr, digits)} / nullif({n} * {n}, 0e0)) / {num(10 ** digits)})"
+    return f"(sqrt({_spread(expr)} / nullif({n} * {n}, 0e0)) / 1e6)"
 
 
-def stddev_samp(expr: str, digits: int = 2) -> str:
+def stddev_samp(expr: str) -> str:
     n = f"CAST(count({expr}) AS DOUBLE)"
-    return f"(sqrt({_spread(expr, digits)} / nullif({n} * ({n} - 1e0), 0e0)) / {num(10 ** digits)})"
+    return f"(sqrt({_spread(expr)} / nullif({n} * ({n} - 1e0), 0e0)) / 1e6)"
 
 
 def zone_ord(column: str) -> str:
@@ -124,7 +127,7 @@ def state(by: str = "") -> str:
     join_key = f"zone_id{extra}"
     return f"""
 t_mean AS (SELECT zone_id{extra}, {mean('speed_kmh')} AS avg_speed FROM traffic GROUP BY {join_key}),
-p_mean AS (SELECT zone_id{extra}, {mean('aqi', 6)} AS avg_aqi, {mean('pm25')} AS avg_pm25, {mean('no2')} AS avg_no2
+p_mean AS (SELECT zone_id{extra}, {mean('aqi')} AS avg_aqi, {mean('pm25')} AS avg_pm25, {mean('no2')} AS avg_no2
            FROM pollution GROUP BY {join_key}),
 fused AS (SELECT {join_key}, coalesce(avg_speed, 40e0) AS avg_speed, coalesce(avg_aqi, 50e0) AS avg_aqi,
                  coalesce(avg_pm25, 10e0) AS avg_pm25, coalesce(avg_no2, 20e0) AS avg_no2

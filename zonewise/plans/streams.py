@@ -72,7 +72,7 @@ def stream_city_scores(spark, sf_dir):
 
 _STREAM_AIR = (
     "aired AS (SELECT w.event_id, w.worker_id, w.zone_id, coalesce(m.aqi, 75e0) AS aqi FROM worker w LEFT JOIN "
-    f"(SELECT zone_id, {sql.mean('aqi', 6)} AS aqi FROM p_full GROUP BY zone_id) m USING (zone_id))"
+    f"(SELECT zone_id, {sql.mean('aqi')} AS aqi FROM p_full GROUP BY zone_id) m USING (zone_id))"
 )
 
 

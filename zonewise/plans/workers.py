@@ -23,7 +23,7 @@ def workers_with_air(spark, sf_dir):
     """Worker positions with the AQI last known for their zone."""
     events = feeds.events(spark, sf_dir)
     workers, pollution = _ordered(feeds.workers(events)), _ordered(feeds.pollution(events))
-    return exposure.with_known_air(workers, pollution.select("zone_id", "seq", "event_time", "aqi"), "seq", time="event_time")
+    return exposure.with_known_air(workers, pollution.select("zone_id", "seq", "event_time", "aqi"), "seq")
 
 
 AS_OF_SQL = """
@@ -52,7 +52,7 @@ _RUNNING_WINDOW = "WINDOW w AS (PARTITION BY worker_id ORDER BY ts, event_id ROW
 ))
 def worker_exposure_running(spark, sf_dir):
     known = checkpointed(workers_with_air(spark, sf_dir))
-    rows = exposure.running_exposure(known, F.col("seq"), bucket=feeds.stretches(known, ["worker_id"]))
+    rows = exposure.running_exposure(known, F.col("seq"))
     return rows.select(
         "event_id", "worker_id", "count", "n_high", "hours_in_high_aqi", "daily_avg_aqi", "exposure_status"
     )
@@ -132,7 +132,7 @@ def exposure_cycles(spark, sf_dir):
         ).alias("aqi"),
     )
     running = exposure.running_exposure(
-        rows, feeds.order(), dims.PER_CYCLE, bucket=feeds.stretches(rows, ["worker_id"])
+        rows, feeds.order(), dims.PER_CYCLE
     )
     return running.select(
         "event_id", "worker_id", F.col("count").alias("n_cycles"), "high_aqi_minutes", "total_minutes", "aqi_sum",
@@ -170,7 +170,7 @@ def status_counts(spark, sf_dir):
 
 
 @registry.add(sql.query(
-    f"SELECT {sql.mean('hours_in_high_aqi', 6)} AS avg_hours, count(*) AS n_workers FROM totals", AS_OF_SQL, TOTALS_SQL,
+    f"SELECT {sql.mean('hours_in_high_aqi')} AS avg_hours, count(*) AS n_workers FROM totals", AS_OF_SQL, TOTALS_SQL,
 ))
 def mean_exposure(spark, sf_dir):
     return report.mean_exposure(worker_totals(spark, sf_dir))

@@ -27,7 +27,7 @@ def zone_traffic_mean(spark, sf_dir):
 
 
 @registry.add(sql.query(
-    f"SELECT zone_id, {sql.mean('aqi', 6)} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25, {sql.mean('no2')} AS avg_no2, "
+    f"SELECT zone_id, {sql.mean('aqi')} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25, {sql.mean('no2')} AS avg_no2, "
     "count(*) AS n_rows FROM pollution GROUP BY zone_id"
 ))
 def zone_pollution_mean(spark, sf_dir):
@@ -60,7 +60,7 @@ def zone_score_inverted(spark, sf_dir):
     " coalesce(p.avg_pm25, 10e0) AS avg_pm25, coalesce(p.avg_no2, 20e0) AS avg_no2 "
     f"FROM (SELECT zone_id, {sql.mean('speed_kmh')} AS avg_speed, {_PREFIX_BOROUGH} AS borough FROM traffic "
     "WHERE k < 50 GROUP BY zone_id) t FULL OUTER JOIN "
-    f"(SELECT zone_id, {sql.mean('aqi', 6)} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25, {sql.mean('no2')} AS avg_no2 "
+    f"(SELECT zone_id, {sql.mean('aqi')} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25, {sql.mean('no2')} AS avg_no2 "
     "FROM pollution WHERE pm25 > 20 GROUP BY zone_id) p USING (zone_id))"
 ))
 def zone_fusion(spark, sf_dir):
@@ -76,7 +76,7 @@ def zone_fusion(spark, sf_dir):
     "SELECT z.zone_id, coalesce(t.avg_speed, 30e0) AS avg_speed, coalesce(p.avg_aqi, 50e0) AS avg_aqi, "
     f"coalesce(p.avg_pm25, 10e0) AS avg_pm25, {sql.density('z.zone_id')} AS density FROM zones z "
     f"LEFT JOIN (SELECT zone_id, {sql.mean('speed_kmh')} AS avg_speed FROM traffic WHERE speed_kmh > 60 GROUP BY 1) t "
-    f"USING (zone_id) LEFT JOIN (SELECT zone_id, {sql.mean('aqi', 6)} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25 "
+    f"USING (zone_id) LEFT JOIN (SELECT zone_id, {sql.mean('aqi')} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25 "
     "FROM pollution WHERE pm25 > 60 GROUP BY 1) p USING (zone_id) "
     "WHERE (SELECT count(DISTINCT zone_id) FROM (SELECT zone_id FROM traffic WHERE speed_kmh > 60 "
     "UNION ALL SELECT zone_id FROM pollution WHERE pm25 > 60)) >= 4",
@@ -125,7 +125,7 @@ def anomaly_zones(spark, sf_dir):
 @registry.add(sql.query(
     "SELECT *, CASE WHEN avg_zone_score > 0.6e0 THEN 'good' WHEN avg_zone_score > 0.4e0 THEN 'fair' ELSE 'bad' END "
     "AS score_class, CASE WHEN avg_city_aqi > 100e0 THEN 'bad' WHEN avg_city_aqi > 50e0 THEN 'fair' ELSE 'good' END "
-    f"AS aqi_class FROM (SELECT day, {sql.mean('zone_score', 6)} AS avg_zone_score, {sql.mean('avg_aqi', 6)} AS "
+    f"AS aqi_class FROM (SELECT day, {sql.mean('zone_score')} AS avg_zone_score, {sql.mean('avg_aqi')} AS "
     "avg_city_aqi, CAST(sum(CASE WHEN event_type <> 'NORMAL' THEN 1 ELSE 0 END) AS BIGINT) AS active_events, "
     "CAST(sum(CASE WHEN event_type = 'COMPOUND_EVENT' THEN 1 ELSE 0 END) AS BIGINT) AS compound_events "
     "FROM scored GROUP BY day)",
@@ -301,7 +301,7 @@ def round_robin_zone(spark, sf_dir):
     events = feeds.events(spark, sf_dir)
     borough = F.get(F.array(*[F.lit(b) for b in dims.BOROUGHS]), F.pmod(feeds.props_k(), F.lit(5)))
     rows = events.filter(F.col("event_type").isin(feeds.TRAFFIC_TYPES)).select("event_id", "event_time", borough.alias("b"))
-    placed = row_positions(rows, feeds.order(), bucket=feeds.stretches(rows, []))
+    placed = row_positions(rows, feeds.order())
     return placed.select("event_id", "position", geo.nth_zone_of(F.col("b"), F.col("position")).alias("zone_id"))
 
 

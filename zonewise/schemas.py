@@ -72,7 +72,7 @@ ZONE_SCORE = struct(zone_id=_S, avg_speed=_D, avg_aqi=_D, avg_pm25=_D, zone_scor
 ZONE_LABEL = struct(zone_id=_S, cluster=_S)
 WEATHER_STATE = struct(place=_S, temperature=_D, humidity=_D, windspeed=_D, condition=_S)
 EXPOSURE_PART = struct(
-    worker_id=_S, count=_L, n_high=_L, aqi_units=_L, last_order=T.DecimalType(38, 0), last_zone_ord=_I
+    worker_id=_S, count=_L, n_high=_L, aqi_units=_L, zone_id=_S, last_order=T.DecimalType(38, 0)
 )
 MODEL_STATE = struct(
     n_batches=_I, idx=_I, k=_I, centroid=T.ArrayType(_D), count=_L, lows=T.ArrayType(_D), highs=T.ArrayType(_D), inertia=_D

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(SHARED_DIR_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {SHARED_DIR_CONF} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="zonewise-")
     spark.conf.set(SHARED_DIR_CONF, folder)

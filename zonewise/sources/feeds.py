@@ -15,7 +15,6 @@ from zonewise import schemas
 from zonewise.functions.air import aqi_combined
 from zonewise.functions.geo import zone_at
 from zonewise.functions.numeric import order_key
-from zonewise.operators.ordered import even_buckets
 
 TRAFFIC_TYPES = ["click", "view"]
 POLLUTION_TYPES = ["error", "purchase"]
@@ -103,9 +102,3 @@ def day_text(rows: DataFrame) -> DataFrame:
 def order() -> Column:
     """Unique order of the events: time, then id."""
     return order_key(F.col("event_time"), F.col("event_id"))
-
-
-
-def stretches(rows: DataFrame, keys: list[str]) -> Column:
-    """Buckets of event time for the ordered scans of `rows` by `keys`."""
-    return even_buckets(rows, keys, F.unix_micros("event_time"))

@@ -90,8 +90,10 @@ def traffic_messages(traffic: DataFrame, position: Column, now: Column | None =
 
 
 def latest_traffic_extract(rows: DataFrame, n: int = 50_000) -> DataFrame:
-    """The most recent n rows of an open-data extract, under the CSV's column names."""
-    return rows.orderBy(F.col("data_as_of").desc()).limit(n).withColumnsRenamed(EXTRACT_COLUMNS) \
+    """The most recent n rows of an open-data extract, under the CSV's column names; of rows of one moment those that come
+    first by their other columns."""
+    others = [c for c in EXTRACT_COLUMNS if c != "data_as_of"]
+    return rows.orderBy(F.col("data_as_of").desc(), *others).limit(n).withColumnsRenamed(EXTRACT_COLUMNS) \
         .select(*EXTRACT_COLUMNS.values())
 
 

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KAFKA_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000"}
+# Options to ask for by name: a rate limit and passing over lost data. Neither is on by default.
+LIVE_ONLY = {"startingOffsets": "latest"}
+RATE_LIMITED = {"maxOffsetsPerTrigger": "10000"}
+SKIP_LOST_DATA = {"failOnDataLoss": "false"}
 
 
 def parse_json(
@@ -34,10 +37,10 @@ def read_topic(
     path: str | None = None, **options: str,
 ) -> DataFrame:
     """A topic as a stream. `source` "kafka" needs the connector on the class path and
-    `kafka__bootstrap__servers`; "text" reads files with one message per line, as the tests do."""
+    `kafka__bootstrap__servers` (and, if wanted, `LIVE_ONLY`, `RATE_LIMITED`, `SKIP_LOST_DATA`); "text" reads files with one message per line, as the tests do."""
     given = {key.replace("__", "."): str(value) for key, value in options.items()}
     if source == "kafka":
-        reader = spark.readStream.format("kafka").options(**{**KAFKA_DEFAULTS, **given}).option("subscribe", topic)
+        reader = spark.readStream.format("kafka").options(**given).option("subscribe", topic)
         return parse_json(reader.load().withColumnRenamed("timestamp", "ingest_ts"), schema)
     stream = spark.readStream.format(source).options(**given)
     lines = stream.load(path) if path else stream.load()

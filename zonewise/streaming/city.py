@@ -16,13 +16,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from zonewise import dims, schemas
-from zonewise.functions.geo import zone_at
 from zonewise.functions.numeric import default_if_falsy, order_key
 from zonewise.operators import exposure, online_kmeans, zones
 from zonewise.sinks.tables import TTL_SECONDS, BatchTable, LatestTable, write_snapshot
 
 FOREVER = 100 * 365 * 86_400
-SMALL = 10_000  # rows that one task handles at once
 
 
 @dataclass
@@ -86,7 +84,7 @@ class City:
         self.exposure_parts.write(parts, "workers", batch_id)
         written = self.exposure_parts.batch("workers", batch_id)
         self.worker_zones.upsert(
-            written.select("worker_id", zone_at(F.col("last_zone_ord")).alias("zone_id")), "workers", batch_id
+            exposure.last_zones(written), "workers", batch_id
         )
         if self._compaction_due(batch_id):
             self.worker_zones.compact("workers", batch_id)
@@ -100,8 +98,6 @@ class City:
             self.traffic.read().drop("updated_at", "expires_at"), self.pollution.read().drop("updated_at", "expires_at")
         ).persist()  # one row per zone, used by the scores and the model
         try:
-            if state.count() <= SMALL:  # a handful of zones: one task saves the shuffles of the steps below
-                state = state.coalesce(1)
             scores = zones.scored(state)
             self.zone_scores.upsert(scores, writer, batch_id)
             if self.snapshot_format:
