@@ -15,7 +15,7 @@ from zonewise.llm import text as T
 
 BITS = 18
 #: Labelled documents that the fit reads at most, those with the smallest hash of their id.
-SAMPLE = 8_000
+SAMPLE = 6_000
 STEPS, RATE, DECAY = 200, 0.1, 5e-4
 #: Sampled documents that must share a feature for it to get a weight.
 LEAST = 8
@@ -79,11 +79,14 @@ def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = 3) -> O
     if not rows:
         return Ordinal(weights, np.linspace(-20, -10, grades - 1))
     y = np.array([g for g, _, _ in rows])
-    row = np.repeat(np.arange(len(rows)), [len(k) for _, k, _ in rows])
-    keys, values = np.concatenate([k for _, k, _ in rows]), np.concatenate([v for _, _, v in rows])
-    common = np.bincount(keys)[keys] >= min(LEAST, len(rows))
-    row, values = row[common], values[common]
-    keys, at = np.unique(keys[common], return_inverse=True)
+    keys = np.concatenate([k for _, k, _ in rows]).astype(np.int32)
+    common = np.bincount(keys, minlength=1 << BITS) >= min(LEAST, len(rows))
+    used = common[keys]
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(k) for _, k, _ in rows])[used]
+    values = np.concatenate([v for _, _, v in rows]).astype(np.float32)[used]
+    place = (np.cumsum(common) - 1).astype(np.int32)
+    at, keys = place[keys[used]], np.flatnonzero(common)
+    del used, place
     low = np.array([(y <= k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
     cuts = np.log(low / (1 - low))
     # the thresholds are the first cut and the logarithms of the gaps after it, so their order can't change
@@ -130,7 +133,7 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tu
     rows = rows.groupBy("doc_id").agg(F.min(F.struct("g", "keys", "values")).alias("r")).select("doc_id", "r.*")
     held = rows.toArrow().sort_by("doc_id")
     keys, values = (held.column(c).combine_chunks() for c in ("keys", "values"))
-    return [(g, keys[k].values.to_numpy(), values[k].values.to_numpy().astype(float)) for k, g in enumerate(held.column("g").to_pylist())]
+    return [(g, keys[k].values.to_numpy(), values[k].values.to_numpy()) for k, g in enumerate(held.column("g").to_pylist())]
 
 
 def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
