@@ -15,7 +15,6 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonewise.llm import spans
 from zonewise.llm import text as T
 from zonewise.session import checkpointed
 
@@ -23,10 +22,10 @@ SPACE = "▁"
 #: A longer word is encoded in parts of so many characters.
 LONGEST = 256
 #: Words that every task holds with their ids, the most frequent ones; others are joined.
-DICTIONARY = 2_000_000
+DICTIONARY = 1_000_000
 #: Text that a bucket of the vocabulary gets on average.
 BUCKET_BYTES = 4 << 20
-_PART_BYTES = 2 << 20
+_PART_BYTES = 4 << 20
 #: What a character without a piece of its own costs below the lowest score.
 UNKNOWN = 10.0
 #: Pieces of a model at most; its table is sent to every executor.
@@ -198,24 +197,36 @@ def encoded(words: DataFrame, model: Model) -> DataFrame:
 
 
 class Dictionary:
-    """Ids of words, found by two hashes."""
+    """Ids of words, found by two hashes. It takes some 20 bytes a word: a model's ids fit two bytes as a rule."""
 
     def __init__(self, keys: np.ndarray, checks: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> None:
         order = np.argsort(keys)
-        self.keys, self.checks, self.ids = keys[order], checks[order], flat.astype(np.int32)
-        self.begins, self.ends = (ends[:-1][order].astype(np.int64), ends[1:][order].astype(np.int64))
+        sizes = np.diff(ends).astype(np.int64)
+        at = np.repeat(ends[:-1][order] - (np.cumsum(sizes[order]) - sizes[order]), sizes[order]) + np.arange(int(sizes.sum()))
+        kind = np.uint16 if flat.max(initial=0) < 1 << 16 else np.int32
+        self.keys, self.checks, self.ids = keys[order], checks[order], flat[at].astype(kind)
+        self.sizes = sizes[order].astype(np.uint16)
+
+    def __getstate__(self):
+        return self.keys, self.checks, self.ids, self.sizes
+
+    def __setstate__(self, state) -> None:
+        self.keys, self.checks, self.ids, self.sizes = state
 
     def find(self, words: list[str]) -> dict[str, np.ndarray]:
-        """The words that it has, with their ids."""
+        """The words that it has, with their ids as bytes of 32-bit numbers."""
         if not len(self.keys) or not words:
             return {}
+        if not hasattr(self, "ends"):
+            self.ends = np.cumsum(self.sizes, dtype=np.int64)
         raw = [w.encode() for w in words]
         keys = np.fromiter((xxhash.xxh64_intdigest(w, _SEEDS[0]) for w in raw), np.uint64, len(raw))
         checks = np.fromiter((xxhash.xxh64_intdigest(w, _SEEDS[1]) & 0xFFFFFFFF for w in raw), np.uint32, len(raw))
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         hit = np.flatnonzero((self.keys[at] == keys) & (self.checks[at] == checks))
-        at = at[hit]
-        return {words[h]: self.ids[a:b].tobytes() for h, a, b in zip(hit.tolist(), self.begins[at].tolist(), self.ends[at].tolist())}
+        ends = self.ends[at[hit]]
+        sizes = self.sizes[at[hit]].tolist()
+        return {words[h]: self.ids[e - n:e].astype(np.int32).tobytes() for h, e, n in zip(hit.tolist(), ends.tolist(), sizes)}
 
 
 def _step() -> Column:
@@ -257,49 +268,72 @@ def _written(words: DataFrame) -> DataFrame:
 def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
     """Per document: doc_id, n_words, ids (array of piece ids).
 
-    Different words are encoded once each. Every task holds the most frequent words with their ids; of the others only those that a document has
-    meet the table of all words, and come back to it. A null or empty text has no ids; a word is encoded with the space signs
+    Different words are encoded once each. Every task holds the most frequent words with their ids; the others that a part of
+    the documents, some of 4 MB, has meet the table of all words, and come back to that part, which travels as one compressed
+    row. A null or empty text has no ids; a word is encoded with the space signs
     before it, in parts of 256 characters if it is longer. Repeated documents give a row each, rows without an id
     too. Other columns are not read.
     """
+    spark = docs.sparkSession
     words = _written(encoded(vocabulary(docs, model), model))
     frequent, least = dictionary(words, size)
-    rows = spans.prepared(docs)
-    rare_schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("word", pa.string())])
+    frequent = spark.sparkContext.broadcast(frequent)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("t"))
     pattern_text = model.pattern
 
-    def rare(batches):
-        pattern = re.compile(pattern_text)
+    def parts(batches):
+        """Texts of about _PART_BYTES, with a number that follows from what they hold."""
         for b in batches:
-            sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
             for low, high in T.parts(sizes, _PART_BYTES):
-                found = [set(words_of((t.as_py() or b"").decode(), pattern)) for t in b.column(2).slice(low, high - low)]
-                known = frequent.find(list(set().union(*found)))
-                out = [(d, g, w) for d, g, f in zip(*(c.slice(low, high - low).to_pylist() for c in b.columns[:2]), found) for w in f if w not in known]
-                if out:
-                    yield T.batch(rare_schema, *zip(*out))
+                part = b.slice(low, high - low)
+                ids, texts = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
+                mark = xxhash.xxh64(repr(ids).encode())
+                for t in texts:
+                    mark.update(f"{len(t)} ".encode())
+                    mark.update(t.encode())
+                yield mark.intdigest() - (1 << 63), ids, texts
+
+    rare_schema = pa.schema([("part", pa.int64()), ("word", pa.string())])
+    sent_schema = pa.schema([("part", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("texts", pa.binary())])
 
-    wanted = rows.mapInArrow(rare, "doc_id bigint, tag bigint, word string")
+    def rare(batches):
+        pattern = re.compile(pattern_text)
+        for mark, _, texts in parts(batches):
+            seen = list({w for t in texts for w in words_of(t, pattern)})
+            known = frequent.value.find(seen)
+            left = [w for w in seen if w not in known]
+            if left:
+                yield T.batch(rare_schema, [mark] * len(left), left)
+
+    def send(batches):
+        for mark, ids, texts in parts(batches):
+            raw = [t.encode() for t in texts]
+            yield T.batch(sent_schema, [mark], [ids], [list(map(len, raw))], [zstandard.compress(b"".join(raw), 6)])
+
+    wanted = rows.mapInArrow(rare, "part bigint, word string")
     own = wanted.join(words.filter(~frequent_enough(least)).select("word", "ids"), "word") \
-        .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("word", "ids")).alias("own"))
-    packed = rows.mapInArrow(spans.compressed, rows.schema)
-    both = packed.join(own, packed.doc_id.eqNullSafe(own.doc_id) & (packed.tag == own.tag), "left").select(packed.doc_id, "t", "own")
+        .groupBy("part").agg(F.collect_list(F.struct("word", "ids")).alias("own"))
+    sent = rows.mapInArrow(send, "part bigint, ids array<bigint>, sizes array<int>, texts binary")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def finish(batches):
         pattern = re.compile(pattern_text)
         for b in batches:
-            sizes = [4 * n for n in pc.binary_length(b.column(1)).to_pylist()]
-            for low, high in T.parts(sizes, _PART_BYTES):
-                part = b.slice(low, high - low)
-                found = [words_of(spans.text_of(t.as_py()).decode(), pattern) for t in part.column(1)]
-                known = frequent.find(list(set().union(*found)))
-                ids = []
-                for f, mine in zip(found, part.column(2)):
-                    rest = {w["word"]: np.array(w["ids"], np.int32).tobytes() for w in mine.as_py() or []}
-                    ids.append(np.frombuffer(b"".join([known.get(w) or rest[w] for w in f]), np.int32))
-                yield T.batch(schema, part.column(0), [len(f) for f in found], ids)
-
+            for ids, sizes, packed, own in zip(*b.columns):
+                raw, ends = zstandard.decompress(packed.as_py()), np.cumsum([0, *sizes.as_py()]).tolist()
+                texts = [raw[x:y].decode() for x, y in zip(ends[:-1], ends[1:])]
+                found = [words_of(t, pattern) for t in texts]
+                known = frequent.value.find(list(set().union(*found)))
+                if own.is_valid:
+                    for w in own:
+                        known[w["word"].as_py()] = w["ids"].values.to_numpy().astype(np.int32).tobytes()
+                for low in range(0, len(found), 200):
+                    some = found[low:low + 200]
+                    yield T.batch(schema, ids.values[low:low + 200], [len(f) for f in some],
+                                  [np.frombuffer(b"".join([known[w] for w in f]), np.int32) for f in some])
+
+    both = sent.join(own, "part", "left").select("ids", "sizes", "texts", "own")
     return both.mapInArrow(finish, "doc_id bigint, n_words bigint, ids array<int>")
 
 
