@@ -107,3 +107,23 @@ def test_histogram_edges(spark):
     assert [r["n"] for r in report.histogram(frame, "x").orderBy("bin").collect()] == [1, 1, 0, 0, 0, 0, 0, 3]
     flat = report.histogram(frame.filter("x = 8"), "x").orderBy("bin").collect()
     assert [r["n"] for r in flat] == [0, 0, 0, 0, 2, 0, 0, 0] and flat[0]["low"] == 7.5
+
+
+def test_sides_without_rows(spark):
+    traffic = spark.createDataFrame([("MN-01", 20.0, "Manhattan", 3)], "zone_id string, avg_speed double, borough string, n_rows bigint")
+    pollution = spark.createDataFrame([("BK-02", 80.0, 30.0, 15.0, 2)], "zone_id string, avg_aqi double, avg_pm25 double, avg_no2 double, n_rows bigint")
+    fused = {r["zone_id"]: r for r in zones.scored(zones.fuse(traffic, pollution)).collect()}
+    assert (fused["MN-01"]["avg_aqi"], fused["MN-01"]["avg_pm25"]) == (50.0, 10.0)
+    assert (fused["BK-02"]["avg_speed"], fused["BK-02"]["borough"]) == (40.0, "")
+    state = zones.fuse(traffic, pollution)
+    assert zones.cluster_inputs(dims.zones_frame(spark), state).count() in (0, 30)
+    own = spark.createDataFrame([("W-02", "MN-01", "SAFE", 4)], "worker_id string, zone_id string, exposure_status string, count bigint")
+    rec = spark.createDataFrame([("W-01", "BK-02", "WARNING", "BK-03")], "worker_id string, zone_id string, exposure_status string, rec_zone string")
+    assert {r["worker_id"] for r in recommend.overlaid(own, rec).collect()} == {"W-01", "W-02"}
+
+
+def test_a_zone_outside_the_dimension_survives_exposure(spark):
+    rows = spark.createDataFrame([("W-01", "MN-01", 1, 60.0), ("W-01", "XX-99", 2, 60.0), ("W-02", None, 1, 10.0)],
+                                 "worker_id string, zone_id string, i bigint, aqi double")
+    found = {r["worker_id"]: r for r in exposure.exposure_totals(rows, F.col("i").cast("decimal(38,0)")).collect()}
+    assert found["W-01"]["zone_id"] == "XX-99" and found["W-01"]["count"] == 2 and found["W-02"]["zone_id"] is None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -66,8 +67,12 @@ def _scaler(columns: list[str]) -> Pipeline:
 
 
 def _best_fit(scaled: DataFrame, k: int, restarts: int, seed: int) -> KMeansModel:
-    fits = (KMeans(k=k, seed=seed + i, featuresCol="features").fit(scaled) for i in range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    """The best of several starts, some of which run side by side."""
+    def fit(start: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + start, featuresCol="features").fit(scaled)
+
+    with ThreadPool(min(restarts, 4)) as pool:
+        return min(pool.map(fit, range(restarts)), key=lambda m: m.summary.trainingCost)
 
 
 def _population_scale(n: int) -> float:

@@ -9,7 +9,7 @@ from zonewise import dims
 from zonewise.functions.air import aqi_proxy
 from zonewise.functions.geo import borough_id, density, nearest_zone
 from zonewise.functions.numeric import exact_mean, exact_stddev_pop, exact_stddev_samp, lookup
-from zonewise.operators.quantiles import exact_quantiles
+from zonewise.operators.quantiles import SALTS, exact_quantiles
 
 # Percent positions of the latitude breaks inside a borough.
 LATITUDE_PERCENTS = [0, 16.7, 33.3, 50, 66.7, 83.3, 100]
@@ -33,8 +33,11 @@ def latitude_zones(traffic: DataFrame, breaks: DataFrame) -> DataFrame:
     )
     in_bin = (F.col("n") > 1) & (F.col("_bin") < F.lit(len(LATITUDE_PERCENTS)))
     zone = F.concat("borough_id", F.lit("-0"), F.col("_bin").cast("string"))
-    return traffic.join(breaks, "borough_id").withColumn("_bin", passed) \
-        .withColumn("zone_id", F.when(in_bin, zone)).drop("_bin", "breaks", "n")
+    # salted, as a few boroughs share all rows
+    salted = traffic.withColumn("_salt", F.pmod(F.xxhash64("lat", "speed"), F.lit(SALTS)).cast("int"))
+    every_salt = breaks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(every_salt, ["borough_id", "_salt"]).withColumn("_bin", passed) \
+        .withColumn("zone_id", F.when(in_bin, zone)).drop("_bin", "breaks", "n", "_salt")
 
 
 def _speed_stats(rows: DataFrame, key: str, prefix: str = "") -> DataFrame:

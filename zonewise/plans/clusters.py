@@ -298,27 +298,27 @@ def hazard_rank_online(spark, sf_dir):
 def kmeans_offline(spark, sf_dir):
     """Zone names from a k-means fit on the feature matrix, with features and silhouettes."""
     matrix = checkpointed(feature_matrix(spark, sf_dir))
-    model = cluster.train(matrix, restarts=2)
+    model = cluster.train(matrix)
     return cluster.assignment_table(cluster.assigned(matrix, model), matrix, cluster.silhouettes(matrix, model))
 
 
 @registry.add()
 def kmeans_sweep(spark, sf_dir):
     """Inertia and silhouette for k = 2..6."""
-    return cluster.sweep(checkpointed(feature_matrix(spark, sf_dir)), restarts=1)
+    return cluster.sweep(checkpointed(feature_matrix(spark, sf_dir)))
 
 
 @registry.add()
 def principal_components(spark, sf_dir):
     matrix = checkpointed(feature_matrix(spark, sf_dir))
-    points, _, _ = cluster.project(matrix, cluster.train(matrix, restarts=1))
+    points, _, _ = cluster.project(matrix, cluster.train(matrix))
     return points
 
 
 @registry.add()
 def predict_zones(spark, sf_dir):
     """A name for every zone and day from the model fitted on the whole feature matrix."""
-    model = cluster.train(checkpointed(feature_matrix(spark, sf_dir)), restarts=1)
+    model = cluster.train(checkpointed(feature_matrix(spark, sf_dir)))
     live = common.scored_zones(spark, sf_dir, ["day"]).select("zone_id", "day", "avg_speed", "avg_pm25")
     return cluster.predict_zones(live, model).select("zone_id", "day", "avg_speed", "avg_pm25", "cluster")
 

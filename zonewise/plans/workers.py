@@ -267,29 +267,27 @@ def recommend_policy(spark, sf_dir):
 @registry.add(sql.query(
     "SELECT coalesce(r.worker_id, e.worker_id) AS worker_id, coalesce(r.zone_id, e.zone_id) AS zone_id, "
     "coalesce(r.exposure_status, e.exposure_status) AS exposure_status, e.count AS count, r.rec_zone "
-    "FROM (SELECT * FROM totals WHERE worker_id <> 'W-01') e FULL OUTER JOIN "
-    "(SELECT * FROM rec WHERE worker_id <> 'W-02') r ON e.worker_id = r.worker_id",
+    "FROM totals e FULL OUTER JOIN rec r ON e.worker_id = r.worker_id",
     sql.state(), FINAL_SQL, AS_OF_SQL, TOTALS_SQL, RECOMMEND_SQL,
 ))
 def exposure_overlay(spark, sf_dir):
-    """Exposure with recommendations on top; one worker lacks either side."""
+    """Exposure with recommendations on top."""
     totals = checkpointed(worker_totals(spark, sf_dir))
-    own = totals.filter(F.col("worker_id") != "W-01").select("worker_id", "zone_id", "exposure_status", "count")
+    own = totals.select("worker_id", "zone_id", "exposure_status", "count")
     policies = recommend.policy(final_daily(spark, sf_dir, None))
-    rec = recommend.recommendations(totals, policies).filter(F.col("worker_id") != "W-02") \
-        .select("worker_id", "zone_id", "exposure_status", "rec_zone")
+    rec = recommend.recommendations(totals, policies).select("worker_id", "zone_id", "exposure_status", "rec_zone")
     return recommend.overlaid(own, rec)
 
 
 _LABELS = f"""
-live AS (SELECT zone_id, {common.LIVE_LABEL_SQL} AS cluster FROM fused WHERE avg_speed > 48),
-offline AS (SELECT zone_id, {common.OFFLINE_LABEL_SQL} AS cluster FROM fused WHERE avg_pm25 > 46)"""
+live AS (SELECT zone_id, {common.LIVE_LABEL_SQL} AS cluster FROM fused),
+offline AS (SELECT zone_id, {common.OFFLINE_LABEL_SQL} AS cluster FROM fused)"""
 
 
 def _label_tables(spark, sf_dir):
     state = common.stored_zones(spark, sf_dir)
-    live = state.filter(F.col("avg_speed") > 48).select("zone_id", common.live_label().alias("cluster"))
-    offline = state.filter(F.col("avg_pm25") > 46).select("zone_id", common.offline_label().alias("cluster"))
+    live = state.select("zone_id", common.live_label().alias("cluster"))
+    offline = state.select("zone_id", common.offline_label().alias("cluster"))
     return live, offline
 
 

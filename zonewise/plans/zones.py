@@ -59,32 +59,31 @@ def zone_score_inverted(spark, sf_dir):
     "coalesce(t.avg_speed, 40e0) AS avg_speed, coalesce(t.borough, '') AS borough, coalesce(p.avg_aqi, 50e0) AS avg_aqi,"
     " coalesce(p.avg_pm25, 10e0) AS avg_pm25, coalesce(p.avg_no2, 20e0) AS avg_no2 "
     f"FROM (SELECT zone_id, {sql.mean('speed_kmh')} AS avg_speed, {_PREFIX_BOROUGH} AS borough FROM traffic "
-    "WHERE k < 50 GROUP BY zone_id) t FULL OUTER JOIN "
+    "GROUP BY zone_id) t FULL OUTER JOIN "
     f"(SELECT zone_id, {sql.mean('aqi')} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25, {sql.mean('no2')} AS avg_no2 "
-    "FROM pollution WHERE pm25 > 20 GROUP BY zone_id) p USING (zone_id))"
+    "FROM pollution GROUP BY zone_id) p USING (zone_id))"
 ))
 def zone_fusion(spark, sf_dir):
-    """Two separate feeds, each with its own quality filter, joined by zone."""
+    """Two separate feeds joined by zone."""
     events = feeds.events(spark, sf_dir)
-    traffic = feeds.traffic(events.filter(feeds.props_k() < 50)) \
-        .withColumn("borough", geo.borough_name(F.col("zone_id")))
-    pollution = feeds.pollution(events).filter(F.col("pm25") > 20)
+    traffic = feeds.traffic(events).withColumn("borough", geo.borough_name(F.col("zone_id")))
+    pollution = feeds.pollution(events)
     return zones.scored(zones.fuse(zones.traffic_means(traffic, feeds.order()), zones.pollution_means(pollution)))
 
 
 @registry.add(sql.query(
     "SELECT z.zone_id, coalesce(t.avg_speed, 30e0) AS avg_speed, coalesce(p.avg_aqi, 50e0) AS avg_aqi, "
     f"coalesce(p.avg_pm25, 10e0) AS avg_pm25, {sql.density('z.zone_id')} AS density FROM zones z "
-    f"LEFT JOIN (SELECT zone_id, {sql.mean('speed_kmh')} AS avg_speed FROM traffic WHERE speed_kmh > 60 GROUP BY 1) t "
+    f"LEFT JOIN (SELECT zone_id, {sql.mean('speed_kmh')} AS avg_speed FROM traffic GROUP BY 1) t "
     f"USING (zone_id) LEFT JOIN (SELECT zone_id, {sql.mean('aqi')} AS avg_aqi, {sql.mean('pm25')} AS avg_pm25 "
-    "FROM pollution WHERE pm25 > 60 GROUP BY 1) p USING (zone_id) "
-    "WHERE (SELECT count(DISTINCT zone_id) FROM (SELECT zone_id FROM traffic WHERE speed_kmh > 60 "
-    "UNION ALL SELECT zone_id FROM pollution WHERE pm25 > 60)) >= 4",
+    "FROM pollution GROUP BY 1) p USING (zone_id) "
+    "WHERE (SELECT count(DISTINCT zone_id) FROM (SELECT zone_id FROM traffic "
+    "UNION ALL SELECT zone_id FROM pollution)) >= 4",
     sql.ZONES,
 ))
 def cluster_inputs(spark, sf_dir):
-    """All zones with the clustering defaults, from the rows above 60 of either feed."""
-    readings = feeds.readings(feeds.events(spark, sf_dir)).filter(F.coalesce("speed_kmh", "pm25") > 60)
+    """All zones with the clustering defaults where a feed has no rows."""
+    readings = feeds.readings(feeds.events(spark, sf_dir))
     inputs = zones.cluster_inputs(dims.zones_frame(spark), zones.fused_means(readings))
     return inputs.select("zone_id", "avg_speed", "avg_aqi", "avg_pm25", "density")
 
@@ -139,14 +138,13 @@ def city_kpis(spark, sf_dir):
 
 
 @registry.add(sql.query(
-    "SELECT zone_id, substr(zone_id, 1, 2) AS borough_id FROM (SELECT zone_id FROM traffic WHERE speed_kmh > 200 "
-    "UNION SELECT zone_id FROM pollution WHERE pm25 > 200)"
+    "SELECT zone_id, substr(zone_id, 1, 2) AS borough_id FROM (SELECT zone_id FROM traffic "
+    "UNION SELECT zone_id FROM pollution)"
 ))
 def key_union(spark, sf_dir):
-    """Zones that appear in either feed with a reading above 200."""
+    """Zones that appear in either feed."""
     events = feeds.events(spark, sf_dir)
-    seen = feeds.traffic(events).filter(F.col("speed_kmh") > 200).select("zone_id") \
-        .union(feeds.pollution(events).filter(F.col("pm25") > 200).select("zone_id")).distinct()
+    seen = feeds.traffic(events).select("zone_id").union(feeds.pollution(events).select("zone_id")).distinct()
     return seen.select("zone_id", geo.borough_id(F.col("zone_id")).alias("borough_id"))
 
 
