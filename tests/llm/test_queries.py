@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -122,6 +123,25 @@ def test_repeated_windows(spark, at_once):
     assert sorted((r.doc_id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == repeated_words(rows, 13)
 
 
+def test_super_kmers_of_long_texts_in_pieces(monkeypatch):
+    """A text gone through in pieces gives the same windows, each once, at the same places."""
+    text = " ".join(f"w{k % 97}" for k in range(700)).encode()
+    batch = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([3]), pa.array([text])], names=["doc_id", "tag", "t"])
+
+    def sent():
+        found = []
+        for b in windows._sent([batch], 13, 4):
+            for rows, covered, packed in zip(*(c.to_pylist() for c in b.columns[1:])):
+                numbers, words = windows._unpacked(packed, rows, covered)
+                ones, twos, docs, places = windows._windows(numbers[:, :rows], words, 13)
+                found += zip(places.tolist(), ones.tolist(), twos.tolist(), docs.tolist())
+        return sorted(found)
+
+    whole = sent()
+    monkeypatch.setattr(windows, "_PART_BYTES", 300)
+    assert sent() == whole and [p & (1 << 40) - 1 for p, *_ in whole] == list(range(688))
+
+
 def test_words_beyond_the_window_keep_their_document(spark):
     (row,) = windows.without_repeats(documents(spark, [(None, "a b " * 20)])).collect()
     assert (row.n_words, row.n_removed) == (40, 0)

@@ -55,14 +55,18 @@ def _sent(batches, window: int, buckets: int):
             rows, least = [], {}
             ids, tags, texts = (c.slice(low, high - low) for c in b.columns)
             for doc, tag, text in zip(ids.to_pylist(), tags.to_pylist(), texts):
-                words = (text.as_py() or b"").split()
-                if len(words) < window:
-                    continue
-                for key, at, n in zip(*(x.tolist() for x in _super_kmers(words, window))):
-                    packed = b" ".join(words[at:at + n + window - 1])
-                    rows.append((doc, spans.place(tag, at), n, packed, key % buckets))
-                    if doc < least.get(packed, doc + 1):
-                        least[packed] = doc
+                words, base = [], 0
+                for piece in T.pieces(text.as_py() or b"", _PART_BYTES):
+                    words += piece.split()
+                    if len(words) < window:
+                        continue
+                    for key, at, n in zip(*(x.tolist() for x in _super_kmers(words, window))):
+                        packed = b" ".join(words[at:at + n + window - 1])
+                        rows.append((doc, spans.place(tag, base + at), n, packed, key % buckets))
+                        if doc < least.get(packed, doc + 1):
+                            least[packed] = doc
+                    base += len(words) - window + 1  # the next piece begins with the first window that isn't whole yet
+                    words = words[1 - window:]
             sent = {}
             for row in rows:
                 sent.setdefault(row[4], ([], []))[row[0] != least[row[3]]].append(row)
