@@ -298,3 +298,14 @@ def test_metrics_history(spark, tmp_path):
     points = metrics.history(table, 2).collect()
     assert [r["batch"] for r in points] == [1, 2] and all(r["input_rows"] == 1 for r in points)
     assert table.read().count() == 3
+
+
+def test_city_queries_stop_together(spark, tmp_path):
+    town = city.City(spark, str(tmp_path / "city"))
+    topics = {name: Topic(tmp_path / name) for name in ("traffic", "pollution")}
+    topics["traffic"].send(traffic("MN-01", 12.0, "2024-01-01T00:00:00Z"))
+    topics["pollution"].send(pollution("MN-01", 80.0, "2024-01-01T00:00:00Z"))
+    streams = {"traffic": topics["traffic"].stream(spark, schemas.TRAFFIC), "pollution": topics["pollution"].stream(spark, schemas.POLLUTION)}
+    before = set(q.id for q in spark.streams.active)
+    city.run_city(town, streams, str(tmp_path / "checkpoints"), ONCE)
+    assert {q.id for q in spark.streams.active} == before

@@ -160,8 +160,10 @@ class City:
 
 
 def arrival(rows: DataFrame) -> Column:
-    """Order inside a batch: event time, then an id if the stream has one."""
-    return order_key(F.col("event_time"), F.col("event_id") if "event_id" in rows.columns else None)
+    """Order inside a batch: event time, then an id if the stream has one, else a hash of the row, so that rows of one moment have
+    the same order whenever the batch runs."""
+    tie = F.col("event_id") if "event_id" in rows.columns else F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << 62) - 1))
+    return order_key(F.col("event_time"), tie)
 
 
 def start_query(
@@ -191,6 +193,10 @@ def start_city(
 
 
 def run_city(city: City, streams: dict[str, DataFrame], checkpoint_root: str, trigger: dict | None = None) -> None:
-    """Start the queries and wait until one of them ends."""
-    start_city(city, streams, checkpoint_root, trigger)
-    city.spark.streams.awaitAnyTermination()
+    """Start the queries side by side, wait until one of them ends, and stop the others."""
+    queries = start_city(city, streams, checkpoint_root, trigger)
+    try:
+        city.spark.streams.awaitAnyTermination()
+    finally:
+        for query in queries.values():
+            query.stop()
