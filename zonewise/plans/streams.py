@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonewise.functions.geo import borough_name
@@ -160,3 +163,17 @@ def stream_metrics(spark, sf_dir):
     queries = _run(town, {"pollution": feeds.pollution(feeds.event_stream(spark, sf_dir))}, root)
     return metrics.progress_rows(spark, queries["pollution"], "pollution") \
         .select("name", "batch", "input_rows", "rows_per_sec", "duration_ms", "lag_class")
+
+
+@registry.add(sql.query(
+    "SELECT name, CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS late_rows "
+    "FROM ev, (VALUES ('pollution'), ('traffic')) q(name) GROUP BY name"
+))
+def stream_input_rows(spark, sf_dir):
+    """Rows that two queries read and rows that came too late, added up over their micro-batches."""
+    town, root = _new_city(spark)
+    events = feeds.event_stream(spark, sf_dir)
+    streams = {"pollution": feeds.pollution(events), "traffic": feeds.traffic(events).withColumn("borough", F.lit(""))}
+    queries = _run(town, streams, root)
+    rows = reduce(DataFrame.union, [metrics.progress_rows(spark, query, name) for name, query in queries.items()])
+    return rows.groupBy("name").agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
