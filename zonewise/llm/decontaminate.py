@@ -166,6 +166,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     take no part, an item of fewer words than the window is one window, and equal ids are one
     item. Repeated documents give a row each. Other columns are not read.
     """
+    T.small_batches(docs.sparkSession)
     found = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("t"),
         *[F.lit(None).cast(kind).alias(name) for name, kind in (x.split(" ") for x in _RESULT.split(", ")[2:])])
@@ -182,6 +183,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that aren't contaminated, as they are. One pass, block after block, without a shuffle."""
+    T.small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def clean(batches, blocks):

@@ -25,7 +25,7 @@ LONGEST = 256
 DICTIONARY = 1_000_000
 #: Text that a bucket of the vocabulary gets on average.
 BUCKET_BYTES = 4 << 20
-_PART_BYTES = 4 << 20
+_PART_BYTES = 2 << 20
 #: What a character without a piece of its own costs below the lowest score.
 UNKNOWN = 10.0
 #: Pieces of a model at most; its table is sent to every executor.
@@ -136,7 +136,7 @@ def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             for t in b.column(0):
                 seen.update(words_of(t.as_py(), pattern))
-                if len(seen) > 250_000:
+                if len(seen) > 150_000:
                     yield out(seen)
                     seen = Counter()
         if seen:
@@ -269,12 +269,13 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
     """Per document: doc_id, n_words, ids (array of piece ids).
 
     Different words are encoded once each. Every task holds the most frequent words with their ids; the others that a part of
-    the documents, some of 4 MB, has meet the table of all words, and come back to that part, which travels as one compressed
+    the documents, some of 2 MB, has meet the table of all words, and come back to that part, which travels as one compressed
     row. A null or empty text has no ids; a word is encoded with the space signs
     before it, in parts of 256 characters if it is longer. Repeated documents give a row each, rows without an id
     too. Other columns are not read.
     """
     spark = docs.sparkSession
+    T.small_batches(spark)
     words = _written(encoded(vocabulary(docs, model), model))
     frequent, least = dictionary(words, size)
     frequent = spark.sparkContext.broadcast(frequent)

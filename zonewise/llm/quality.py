@@ -146,6 +146,7 @@ def graded(docs: DataFrame, fit: Ordinal) -> DataFrame:
 
     Null and empty texts have no features and a score of 0. Repeated rows give a row each; other columns are not read.
     """
+    T.small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.float64()) for c in ("score", "expected_grade", "tail_1", "tail_2")), ("selected", pa.bool_())])
 
     def one(batches):
@@ -161,6 +162,7 @@ def graded(docs: DataFrame, fit: Ordinal) -> DataFrame:
 
 def selected(docs: DataFrame, fit: Ordinal) -> DataFrame:
     """The documents that the classifier selects, as they are; one pass without a shuffle."""
+    T.small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def one(batches):

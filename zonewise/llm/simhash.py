@@ -38,6 +38,7 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fp) of every row with an id; a null or empty text has fingerprint 0. `fp` is signed."""
+    T.small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def one(batches):

@@ -7,9 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import SparkSession
 
 #: Bytes of text that a task turns into words or arrays at a time.
 PART_BYTES = 2 << 20
+#: Rows of an Arrow batch of texts.
+ROWS_PER_BATCH = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 WHITE = b"\t\n\x0b\x0c\r "
 
 #: A-Z in lower case, every ASCII byte that is neither a letter nor a digit as a space.
@@ -18,6 +22,12 @@ WORD_TABLE = bytes(
 )
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long rows: Arrow hands a task ROWS_PER_BATCH at a time, unless the session asks for fewer."""
+    if int(spark.conf.get(_BATCH_CONF)) > ROWS_PER_BATCH:
+        spark.conf.set(_BATCH_CONF, str(ROWS_PER_BATCH))
+
+
 def pieces(text: bytes, size: int = PART_BYTES) -> Iterator[bytes]:
     """The text in pieces of about `size` bytes, cut before white space, so that no word is cut."""
     at = 0
