@@ -1,7 +1,7 @@
 """A training corpus from raw documents: five stages, each written as Parquet and read again by the next.
 
-Each stage takes (spark, docs, sf_dir) and works on all documents that the one before kept. All but the last return the
-columns of `documents`.
+Each stage takes (spark, docs, sf_dir) and works on all documents that the one before kept. All but the last return
+the columns of `documents`.
 """
 
 from __future__ import annotations

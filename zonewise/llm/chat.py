@@ -15,9 +15,9 @@ _ORDER = ("turn", "role", "text")
 def turns(logs: DataFrame) -> DataFrame:
     """(conv_id, place, role, text): each different turn once, numbered from 1 within its conversation.
 
-    The order is turn (nulls last), role, text. Rows are dealt out by ranges of (conv_id, turn, role, text), so a conversation that holds
-    a third of all rows spans many tasks; each task numbers its own rows, and a small table says with what number a conversation goes on
-    in the next task.
+    The order is turn (nulls last), role, text. Rows are dealt out by ranges of (conv_id, turn, role, text), so a
+    conversation that holds a third of all rows spans many tasks; each task numbers its own rows, and a small table
+    says with what number a conversation goes on in the next task.
     """
     rows = logs.select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.coalesce(F.col("turn").cast("bigint"), F.lit((1 << 63) - 1)).alias("turn"),
@@ -37,8 +37,8 @@ def turns(logs: DataFrame) -> DataFrame:
 def prefixes(numbered: DataFrame) -> DataFrame:
     """(conv_id, place, last, a, b): two rolling hashes of the turns up to `place`.
 
-    A turn's hash includes its place, and a prefix's is the exclusive or of its turns', so it rolls on over any split: each part
-    of a conversation starts from what the parts before it add up to.
+    A turn's hash includes its place, and a prefix's is the exclusive or of its turns', so it rolls on over any
+    split: each part of a conversation starts from what the parts before it add up to.
     """
     hashed = numbered.select(
         "conv_id", "part", "place", F.xxhash64("place", "role", "text").alias("x"),
@@ -54,9 +54,11 @@ def prefixes(numbered: DataFrame) -> DataFrame:
 
 
 def maximal(prefix: DataFrame) -> DataFrame:
-    """(conv_id, last): conversations that are no prefix of a longer one; of equal ones that with the smallest conv_id.
+    """(conv_id, last): conversations that are no prefix of a longer one; of equal ones that with the smallest
+    conv_id.
 
-    Many snapshots share a prefix, so prefixes are counted per hash before they meet: one row per different prefix remains.
+    Many snapshots share a prefix, so prefixes are counted per hash before they meet: one row per different prefix
+    remains.
     """
     ends = prefix.filter("place = last").select("conv_id", "last", "a", "b")
     inner = prefix.filter("place < last").select("place", "a", "b").distinct()
@@ -72,10 +74,11 @@ def rendered(role: Column, text: Column) -> Column:
 def collapsed(logs: DataFrame) -> DataFrame:
     """The rendered turns of maximal conversations: conv_id, place (from 1), n_turns, rendered.
 
-    A snapshot whose turns begin a longer conversation goes, and of equal conversations all but that with the smallest conv_id. A turn is
-    its role and text; turn numbers give the order only. Repeated rows are one turn, rows with the same turn number but other
-    contents are turns in the order of role and text, a null turn comes last, a null role is "unknown" and a null text is empty; rows
-    without conv_id take no part. An empty table gives no rows. Other columns are not read.
+    A snapshot whose turns begin a longer conversation goes, and of equal conversations all but that with the
+    smallest conv_id. A turn is its role and text; turn numbers give the order only. Repeated rows are one turn,
+    rows with the same turn number but other contents are turns in the order of role and text, a null turn comes
+    last, a null role is "unknown" and a null text is empty; rows without conv_id take no part. An empty table gives
+    no rows. Other columns are not read.
     """
     numbered = checkpointed(turns(logs), "numbered")
     longest = maximal(prefixes(numbered))

@@ -157,14 +157,14 @@ def _searched(batches, suffixes: Suffixes, more: bool):
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit (words inside a matched window), lows and highs (the matched runs of words), items (ids whose
-    windows occur, as sorted strings), longest, longest_at, longest_item, longest_item_at (the longest verbatim match
-    of a window or more), contaminated (n_hit is a twentieth of the words or more).
-
-    Each part of the input is a shard with its own suffix array, so no document is shuffled. The benchmark is
-    looked up in blocks of bounded size; a block's result is an input of the next. Null and empty texts have no words; items without id or text
-    take no part, an item of fewer words than the window is one window, and equal ids are one
-    item. Repeated documents give a row each. Other columns are not read.
+    """Per document: doc_id, n_words, n_hit (words inside a matched window), lows and highs (the matched runs of
+    words), items (ids whose windows occur, as sorted strings), longest, longest_at, longest_item, longest_item_at
+    (the longest verbatim match of a window or more), contaminated (n_hit is a twentieth of the words or more).
+
+    Each part of the input is a shard with its own suffix array, so no document is shuffled. The benchmark is looked
+    up in blocks of bounded size; a block's result is an input of the next. Null and empty texts have no words;
+    items without id or text take no part, an item of fewer words than the window is one window, and equal ids are
+    one item. Repeated documents give a row each. Other columns are not read.
     """
     T.small_batches(docs.sparkSession)
     found = docs.select(

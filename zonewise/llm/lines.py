@@ -29,8 +29,8 @@ def _blank(line: Column) -> Column:
 def boilerplate(docs: DataFrame, host: Column, text: Column, ratio: float, min_pages: int) -> DataFrame:
     """(host, drop): per host the keys of its boilerplate lines.
 
-    A page counts once for each different line. A host's lines are at most its mean number of lines a page divided by `ratio`, so
-    they fit one row whatever the number of its pages.
+    A page counts once for each different line. A host's lines are at most its mean number of lines a page divided
+    by `ratio`, so they fit one row whatever the number of its pages.
     """
     pages = docs.groupBy(host.alias("host")).agg(F.count("*").alias("pages"))
     lines = docs.select(host.alias("host"), F.explode(F.array_distinct(_lines(text))).alias("line"))
@@ -46,9 +46,10 @@ def without_boilerplate(
 ) -> DataFrame:
     """The documents with `text` rid of boilerplate, and the columns n_lines and n_dropped.
 
-    A line is what stands between newlines. It goes from every page of a host if more than `ratio` of the host's pages, and
-    `min_pages` at least, have it; blank lines stay. Pages are rows, repeated ones too. Rows without a host are one host's. A null text stays null
-    and has no lines. A text may become empty; its row stays. Columns named host or drop do no harm.
+    A line is what stands between newlines. It goes from every page of a host if more than `ratio` of the host's
+    pages, and `min_pages` at least, have it; blank lines stay. Pages are rows, repeated ones too. Rows without a
+    host are one host's. A null text stays null and has no lines. A text may become empty; its row stays. Columns
+    named host or drop do no harm.
     """
     found = checkpointed(boilerplate(docs, F.col(host), F.col(text), ratio, min_pages), "lines")
     n_lines = found.agg(F.sum(F.size("drop"))).first()[0] or 0

@@ -35,8 +35,8 @@ _SEEDS = (42, xxhash.xxh64_intdigest(b"word", 42))
 
 
 def _pattern(pieces: list[str]) -> str:
-    """Words end before a space sign and, if no piece holds both, between letters and other characters. Letters that some
-    piece joins with others count as others."""
+    """Words end before a space sign and, if no piece holds both, between letters and other characters. Letters that
+    some piece joins with others count as others."""
     pairs = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
     others: set[str] = set()
     while len(others) < 100:
@@ -51,8 +51,8 @@ def _pattern(pieces: list[str]) -> str:
 
 @dataclass
 class Model:
-    """Pieces of a SentencePiece model that stand for text (piece, id, score), the ids of bytes, the bytes of each id, and
-    the pattern of the words that no piece reaches beyond."""
+    """Pieces of a SentencePiece model that stand for text (piece, id, score), the ids of bytes, the bytes of each
+    id, and the pattern of the words that no piece reaches beyond."""
 
     pieces: list[tuple[str, int, float]]
     of_byte: list[int]
@@ -114,7 +114,8 @@ def _unpacked(packed: bytes, size: int) -> tuple[list[bytes], list[int]]:
 def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
     """(word, n): the different words of all texts and how often they occur, dealt out by word.
 
-    Each task counts its own words before they travel, packed by bucket; a bucket's words are counted where they meet.
+    Each task counts its own words before they travel, packed by bucket; a bucket's words are counted where they
+    meet.
     """
     text = F.col("text").cast("string")
     buckets = 8 + (docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // BUCKET_BYTES
@@ -128,7 +129,10 @@ def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
         bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows = [(k, int(y - x), _packed(words[order[x:y]].tolist(), counts[order[x:y]].tolist())) for k, (x, y) in enumerate(zip(edges[:-1], edges[1:])) if y > x]
+        rows = [
+            (k, int(y - x), _packed(words[order[x:y]].tolist(), counts[order[x:y]].tolist()))
+            for k, (x, y) in enumerate(zip(edges[:-1], edges[1:])) if y > x
+        ]
         return T.batch(sent, *zip(*rows))
 
     def count(batches):
@@ -162,10 +166,11 @@ def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
 def encoded(words: DataFrame, model: Model) -> DataFrame:
     """(word, n, ids) of different words: the pieces of the best path through each word's lattice.
 
-    Substrings up to the longest piece's length meet the piece table, whose matches are the edges of the lattice; a character
-    without a piece of its own gets an edge that stands for the ids of its bytes. Edges are grouped by word and folded in the
-    order of their ends: the best path to a position is the best one over the edges that end there. Of equal scores the longer
-    last piece wins. `words` is dealt out by word, and edges stay where their word is.
+    Substrings up to the longest piece's length meet the piece table, whose matches are the edges of the lattice; a
+    character without a piece of its own gets an edge that stands for the ids of its bytes. Edges are grouped by
+    word and folded in the order of their ends: the best path to a position is the best one over the edges that end
+    there. Of equal scores the longer last piece wins. `words` is dealt out by word, and edges stay where their word
+    is.
     """
     table = model.table(words.sparkSession)
     longest = max((len(p) for p, _, _ in model.pieces), default=1)
@@ -177,8 +182,9 @@ def encoded(words: DataFrame, model: Model) -> DataFrame:
     edges = cut.join(F.broadcast(table), "piece", "left").filter((F.col("id").isNotNull()) | (F.col("end") == F.col("start") + 1))
     # the edge of a character without a piece has its place, below zero, for an id
     number = F.coalesce("id", -F.col("end"))
-    lattice = edges.select("word", "n", F.struct("end", "start", F.coalesce("score", F.lit(lowest)).alias("score"), number.alias("id")).alias("edge")) \
-        .groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("edge")).alias("edges"))
+    edge = F.struct("end", "start", F.coalesce("score", F.lit(lowest)).alias("score"), number.alias("id"))
+    lattice = edges.select("word", "n", edge.alias("edge")).groupBy("word").agg(
+        F.first("n").alias("n"), F.array_sort(F.collect_list("edge")).alias("edges"))
     begin = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(best, edge):
@@ -239,8 +245,8 @@ def frequent_enough(least: int | None) -> Column:
 
 
 def dictionary(words: DataFrame, size: int = DICTIONARY) -> tuple[Dictionary, int | None]:
-    """The words (word, n, ids) that occur most often, `size` at most, and the lowest step of `n` among them: words of the same step
-    are in or out together."""
+    """The words (word, n, ids) that occur most often, `size` at most, and the lowest step of `n` among them: words
+    of the same step are in or out together."""
     counts = sorted(((r.s, r.c) for r in words.groupBy(_step().alias("s")).agg(F.count("*").alias("c")).collect()), reverse=True)
     least, total = None, 0
     for step, count in counts:
@@ -268,11 +274,11 @@ def _written(words: DataFrame) -> DataFrame:
 def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
     """Per document: doc_id, n_words, ids (array of piece ids).
 
-    Different words are encoded once each. Every task holds the most frequent words with their ids; the others that a part of
-    the documents, some of 2 MB, has meet the table of all words, and come back to that part, which travels as one compressed
-    row. A null or empty text has no ids; a word is encoded with the space signs
-    before it, in parts of 256 characters if it is longer. Repeated documents give a row each, rows without an id
-    too. Other columns are not read.
+    Different words are encoded once each. Every task holds the most frequent words with their ids; the others that
+    a part of the documents, some of 2 MB, has meet the table of all words, and come back to that part, which
+    travels as one compressed row. A null or empty text has no ids; a word is encoded with the space signs before
+    it, in parts of 256 characters if it is longer. Repeated documents give a row each, rows without an id too.
+    Other columns are not read.
     """
     spark = docs.sparkSession
     T.small_batches(spark)
@@ -339,7 +345,8 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
 
 
 def decoded(ids: list[int] | np.ndarray, texts: list[bytes]) -> str:
-    """The text of some ids: that of their pieces, without the space that stands for its beginning. Bytes that are no UTF-8 come back as U+FFFD."""
+    """The text of some ids: that of their pieces, without the space that stands for its beginning. Bytes that are
+    no UTF-8 come back as U+FFFD."""
     text = b"".join([texts[i] for i in ids])
     return (text[1:] if text[:1] == b" " else text).decode(errors="replace")
 
@@ -358,7 +365,8 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def with_digests(rows: DataFrame, model: Model) -> DataFrame:
-    """Per document: doc_id, n_words, n_tokens, ids, ids_sha256 (of the ids, comma-joined), text_sha256 (of the decoded text)."""
+    """Per document: doc_id, n_words, n_tokens, ids, ids_sha256 (of the ids, comma-joined), text_sha256 (of the
+    decoded text)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())),
                         ("ids_sha256", pa.string()), ("text_sha256", pa.string())])
     texts = model.texts

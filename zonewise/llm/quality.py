@@ -34,7 +34,8 @@ def grade(quality: Column, toxic: Column) -> Column:
 
 def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features and their values: each different word, and each beginning of 4 and 5 bytes, counts 1; each
-    shape of a word (its kinds of bytes, shortened) and a repeat of the word before count their share of the words, times 8."""
+    shape of a word (its kinds of bytes, shortened) and a repeat of the word before count their share of the words,
+    times 8."""
     words, shapes, total, last = set(), {}, 0, None
     for piece in T.pieces(text or b""):
         words.update(piece.translate(T.WORD_TABLE).split())
@@ -71,7 +72,8 @@ class Ordinal:
 
 
 def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = 3) -> Ordinal:
-    """The most likely weights and thresholds, by Adam steps over all rows (grade, keys, values), with a small decay.
+    """The most likely weights and thresholds, by Adam steps over all rows (grade, keys, values), with a small
+    decay.
 
     Without rows every document gets the highest grade.
     """
@@ -141,13 +143,15 @@ def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
 
 
 def graded(docs: DataFrame, fit: Ordinal) -> DataFrame:
-    """Per document: doc_id, score, expected_grade, tail_1 and tail_2 (P(grade >= 1), P(grade >= 2)), selected (tail_2
-    is SELECT or more).
+    """Per document: doc_id, score, expected_grade, tail_1 and tail_2 (P(grade >= 1), P(grade >= 2)), selected
+    (tail_2 is SELECT or more).
 
-    Null and empty texts have no features and a score of 0. Repeated rows give a row each; other columns are not read.
+    Null and empty texts have no features and a score of 0. Repeated rows give a row each; other columns are not
+    read.
     """
     T.small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.float64()) for c in ("score", "expected_grade", "tail_1", "tail_2")), ("selected", pa.bool_())])
+    figures = ("score", "expected_grade", "tail_1", "tail_2")
+    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.float64()) for c in figures), ("selected", pa.bool_())])
 
     def one(batches):
         for b in batches:

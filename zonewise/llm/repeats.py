@@ -50,12 +50,12 @@ class Rolling:
 
 
 def _items(data: np.ndarray, count: int, length: int) -> tuple[np.ndarray, ...]:
-    """The strings of `length` bytes that start at the first `count` positions, in groups that share an anchor and a block
-    of distances from it: (first start, number, rank pair, full) per group, then first start and number of runs of strings without an
-    anchor.
+    """The strings of `length` bytes that start at the first `count` positions, in groups that share an anchor and a
+    block of distances from it: (first start, number, rank pair, full) per group, then first start and number of
+    runs of strings without an anchor.
 
-    The rank pair names the two halves of the bytes that all strings of the block, here or anywhere, have in common; `full`
-    names the bytes that this group's strings cover, with their distances.
+    The rank pair names the two halves of the bytes that all strings of the block, here or anywhere, have in common;
+    `full` names the bytes that this group's strings cover, with their distances.
     """
     one, two = Rolling(data, _BASES[0]), Rolling(data, _BASES[1])
     anchors = np.flatnonzero(one.all(GRAM) < np.uint64((1 << 64) // EVERY))
@@ -95,7 +95,10 @@ def _packed(bucket_of: np.ndarray, columns: list[np.ndarray]):
     buckets = bucket_of[order]
     table = np.stack([c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64) for c in columns])[:, order]
     edges = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1], [True])))
-    rows = [(int(buckets[a]), int(b - a), zstandard.compress(np.ascontiguousarray(table[:, a:b]).tobytes(), 3)) for a, b in zip(edges[:-1], edges[1:])]
+    rows = [
+        (int(buckets[a]), int(b - a), zstandard.compress(np.ascontiguousarray(table[:, a:b]).tobytes(), 3))
+        for a, b in zip(edges[:-1], edges[1:])
+    ]
     return T.batch(_PACKED, *zip(*rows))
 
 
@@ -125,8 +128,8 @@ def _groups(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sampled(batches, length: int, buckets: int):
-    """Groups of strings of each document, packed by the first rank. Of equal ones in a part of the input one travels, marked
-    as matched already; a group without an anchor goes on by position."""
+    """Groups of strings of each document, packed by the first rank. Of equal ones in a part of the input one
+    travels, marked as matched already; a group without an anchor goes on by position."""
     for b in batches:
         sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()
         for low, high in T.parts(sizes, _PART_BYTES):
@@ -141,7 +144,9 @@ def _sampled(batches, length: int, buckets: int):
                     base = spans.place(tag, begin)
                     kinds = np.concatenate((np.zeros(len(start), np.int64), np.full(len(bare), 2)))
                     fill = np.arange(len(bare), dtype=np.uint64) * np.uint64(_BASES[0]) + np.uint64(doc & 0xFFFFFFFF)
-                    found.append((np.concatenate((pair, T.mix(fill))), np.concatenate((full, fill)), np.full(len(kinds), doc), base + np.concatenate((start, bare)), np.concatenate((n, m)), kinds))
+                    found.append((
+                        np.concatenate((pair, T.mix(fill))), np.concatenate((full, fill)), np.full(len(kinds), doc),
+                        base + np.concatenate((start, bare)), np.concatenate((n, m)), kinds))
             if found:
                 pair, full, docs, at, n, kinds = (np.concatenate(x) for x in zip(*found))
                 order, new = _same(kinds, pair, full)
@@ -156,8 +161,9 @@ def _sampled(batches, length: int, buckets: int):
 
 
 def _ranked(batches, at_once: int):
-    """Sorts each bucket by rank pair and drops strings whose first rank, or pair, is unique; equal groups of the rest are
-    matched, others with the same pair stay open, to be compared string by string. In a bucket of more than `at_once` rows all stay open."""
+    """Sorts each bucket by rank pair and drops strings whose first rank, or pair, is unique; equal groups of the
+    rest are matched, others with the same pair stay open, to be compared string by string. In a bucket of more than
+    `at_once` rows all stay open."""
     held, size, bucket, crowded = [], 0, None, False
 
     def out():
@@ -208,8 +214,8 @@ def _ranked(batches, at_once: int):
 
 
 def _positions(batches, length: int, buckets: int):
-    """Two hashes of every string that is still open, packed by the first; equal ones in a part of the input are matched, and one
-    of them travels."""
+    """Two hashes of every string that is still open, packed by the first; equal ones in a part of the input are
+    matched, and one of them travels."""
     for b in batches:
         for low, high in T.parts([sum(c) for c in b.column(3).to_pylist()], 1 << 20):
             found = []
@@ -222,7 +228,8 @@ def _positions(batches, length: int, buckets: int):
                     for s in range(x, y, _SEGMENT):
                         e = min(s + _SEGMENT, y)
                         piece = data[s:e + length - 1]
-                        found.append((*(Rolling(piece, base).all(length) for base in _BASES), np.full(e - s, doc), spans.place(tag, s) + np.arange(e - s)))
+                        hashes = (Rolling(piece, base).all(length) for base in _BASES)
+                        found.append((*hashes, np.full(e - s, doc), spans.place(tag, s) + np.arange(e - s)))
             if found:
                 one, two, docs, at = (np.concatenate(x) for x in zip(*found))
                 order, new = _same(one, two)
@@ -233,7 +240,8 @@ def _positions(batches, length: int, buckets: int):
 
 
 def _repeated(batches, at_once: int):
-    """Of each bucket the strings that occur twice. A bucket that grows beyond `at_once` rows is cut down to its different strings."""
+    """Of each bucket the strings that occur twice. A bucket that grows beyond `at_once` rows is cut down to its
+    different strings."""
     held, size, bucket = [], 0, None
 
     def out():
@@ -273,11 +281,12 @@ def _repeated(batches, at_once: int):
 def repeated_strings(rows: DataFrame, length: int = LENGTH, at_once: int = AT_ONCE) -> DataFrame:
     """(doc_id, at, n): runs of `n` positions from `at` whose next `length` bytes also start anywhere else.
 
-    Prefix doubling with ranks for the positions: a string is ranked by its first half, strings with a unique rank go,
-    then by the pair of ranks at the next offset, strings with a unique pair go, until the whole length is compared. Not every
-    position travels: strings that start near each other share the next anchor, a position that its own next bytes choose, so
-    equal strings share it too, and they are ranked as one group by the bytes that all of them have. Groups that are
-    equal as a whole are settled in one row. What is open, at the edges of repeats, is settled by position.
+    Prefix doubling with ranks for the positions: a string is ranked by its first half, strings with a unique rank
+    go, then by the pair of ranks at the next offset, strings with a unique pair go, until the whole length is
+    compared. Not every position travels: strings that start near each other share the next anchor, a position that
+    its own next bytes choose, so equal strings share it too, and they are ranked as one group by the bytes that all
+    of them have. Groups that are equal as a whole are settled in one row. What is open, at the edges of repeats, is
+    settled by position.
     """
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     buckets = 8 + size // BUCKET_BYTES
@@ -292,12 +301,14 @@ def repeated_strings(rows: DataFrame, length: int = LENGTH, at_once: int = AT_ON
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, at_once: int = AT_ONCE) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans (removed runs), lows and sizes (the runs), `kept` (bytes left).
-
-    A byte goes if a string of `length` bytes over it also starts anywhere else, in another document or this one; overlaps
-    count. Strings are judged on the input. A text is its bytes in UTF-8, whole, a null one empty; shorter texts lose nothing. A repeated
-    row of an id is compared like any other document's; rows that share an id and a text all lose what repeats. Rows without an id keep everything and match
-    nothing. Other columns are not read; an empty table gives no rows.
+    """Per document: doc_id, n_bytes, n_removed, n_spans (removed runs), lows and sizes (the runs), `kept` (bytes
+    left).
+
+    A byte goes if a string of `length` bytes over it also starts anywhere else, in another document or this one;
+    overlaps count. Strings are judged on the input. A text is its bytes in UTF-8, whole, a null one empty; shorter
+    texts lose nothing. A repeated row of an id is compared like any other document's; rows that share an id and a
+    text all lose what repeats. Rows without an id keep everything and match nothing. Other columns are not read; an
+    empty table gives no rows.
     """
     rows = spans.prepared(docs)
     marks = repeated_strings(rows.filter("doc_id IS NOT NULL"), length, at_once)

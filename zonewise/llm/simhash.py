@@ -79,10 +79,11 @@ def _anchors(half: Column, index: Column, reach: int) -> Column:
 def links(prints: DataFrame) -> DataFrame:
     """Pairs (f, g), f < g, of different fingerprints in `prints` (column fp) that differ in 1 to 3 bits.
 
-    Two such fingerprints differ in at most one bit in one of their halves. The anchors of a half are the
-    codewords of a covering code of radius 1: each fingerprint is at home with its nearest anchor and is copied to all
-    anchors within 1 + 1 bits, 17 at most, so that the two meet at the home of either. A pair that meets in both halves is kept for the
-    first. Input fingerprints are different, so one has at most 43,744 partners, whatever the input's size.
+    Two such fingerprints differ in at most one bit in one of their halves. The anchors of a half are the codewords
+    of a covering code of radius 1: each fingerprint is at home with its nearest anchor and is copied to all anchors
+    within 1 + 1 bits, 17 at most, so that the two meet at the home of either. A pair that meets in both halves is
+    kept for the first. Input fingerprints are different, so one has at most 43,744 partners, whatever the input's
+    size.
     """
     halves = prints.select("fp", F.posexplode(F.array(
         F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32))).alias("i", "half"))
@@ -99,9 +100,10 @@ def links(prints: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): documents whose fingerprints link, directly or through others.
 
-    component_id is the smallest doc_id of the group. Equal fingerprints are one node, named by its smallest
-    doc_id, so copies are never paired. Null and empty texts have fingerprint 0 and link like any other; rows without an id take no part; a repeated id
-    keeps a row per occurrence; other columns are not read; an empty table gives no rows.
+    component_id is the smallest doc_id of the group. Equal fingerprints are one node, named by its smallest doc_id,
+    so copies are never paired. Null and empty texts have fingerprint 0 and link like any other; rows without an id
+    take no part; a repeated id keeps a row per occurrence; other columns are not read; an empty table gives no
+    rows.
     """
     prints = checkpointed(fingerprints(docs, id_column, text_column), "fingerprints")
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")

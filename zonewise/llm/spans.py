@@ -33,7 +33,8 @@ def place(tag: int, at: int) -> int:
 
 
 def with_marks(rows: DataFrame, marks: DataFrame, how: str = "left") -> DataFrame:
-    """(doc_id, t, places, counts): each text, compressed, with its marks (doc_id, at, n), whose `at` was made by `place`.
+    """(doc_id, t, places, counts): each text, compressed, with its marks (doc_id, at, n), whose `at` was made by
+    `place`.
 
     A document's marks are at most as many as its words or bytes, so they may meet in one row.
     """

@@ -18,11 +18,12 @@ _BLOCK_DDL = "block bigint, pivot int, near double, far double, ids binary, data
 
 
 def vectors(table: DataFrame, id_column: str, vector_column: str, scale: float = 64) -> DataFrame:
-    """(id, v): floor(scale * x) of each component x. Vectors that are null or hold a null or non-finite component are left out, as
-    are those without an id; repeated rows count once."""
+    """(id, v): floor(scale * x) of each component x. Vectors that are null or hold a null or non-finite component
+    are left out, as are those without an id; repeated rows count once."""
     x = F.col(vector_column).cast("array<double>")
     sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return table.select(F.col(id_column).cast("bigint").alias("id"), F.transform(x, lambda c: F.floor(c * scale).cast("double")).alias("v"), sound.alias("ok")) \
+    whole = F.transform(x, lambda c: F.floor(c * scale).cast("double"))
+    return table.select(F.col(id_column).cast("bigint").alias("id"), whole.alias("v"), sound.alias("ok")) \
         .filter("id IS NOT NULL AND ok").select("id", "v").distinct()
 
 
@@ -61,8 +62,8 @@ def _loaded(data: bytes, rows: int, width: int) -> np.ndarray:
 
 
 def indexed(rows: DataFrame, fixed: np.ndarray, by_pivot: bool = True, block: int = BLOCK) -> DataFrame:
-    """Blocks of at most `block` vectors sorted by their nearest pivot and their distance from it; with `by_pivot` a block is an
-    annulus of one pivot.
+    """Blocks of at most `block` vectors sorted by their nearest pivot and their distance from it; with `by_pivot` a
+    block is an annulus of one pivot.
 
     Vectors are dealt out by ranges of (pivot, distance), so a pivot may have any number of them.
     """
@@ -105,8 +106,9 @@ def indexed(rows: DataFrame, fixed: np.ndarray, by_pivot: bool = True, block: in
 def _bounds(queries: np.ndarray, pivot: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
     """(queries, annuli): no vector x of an annulus around its pivot p has a larger product with q.
 
-    d(q, x) >= max(d(q, p) - far, near - d(q, p)) by the triangle inequality, and q.x = q.p + q.(x - p) <= q.p + |q| far. The first
-    bounds q.x = (|q|^2 + |x|^2 - d^2) / 2 with |x| <= |p| + far. Half a unit more allows for rounding: products are whole.
+    d(q, x) >= max(d(q, p) - far, near - d(q, p)) by the triangle inequality, and q.x = q.p + q.(x - p) <= q.p + |q|
+    far. The first bounds q.x = (|q|^2 + |x|^2 - d^2) / 2 with |x| <= |p| + far. Half a unit more allows for
+    rounding: products are whole.
     """
     length, away = np.linalg.norm(queries, axis=1)[:, None], _distances(queries, pivot)
     gap = np.maximum(np.maximum(away - far[None, :], near[None, :] - away), 0)
@@ -124,7 +126,8 @@ def _products(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
 
 
 def _routes(asked: DataFrame, index: DataFrame, fixed: np.ndarray) -> DataFrame:
-    """(q, block, high, bound): for each block of queries and each annulus the bound of every query, and the highest.
+    """(q, block, high, bound): for each block of queries and each annulus the bound of every query, and the
+    highest.
 
     The annuli of a pivot come in lists, and a block of queries meets the lists of each pivot.
     """
@@ -147,11 +150,11 @@ def _routes(asked: DataFrame, index: DataFrame, fixed: np.ndarray) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, asked: DataFrame, index: DataFrame, width: int, k: int, share: int) -> DataFrame:
-    """(q, query_id, vec_id, score): the k best of each query in the annuli that its block is paired with (q, block, high,
-    bound, floor).
+    """(q, query_id, vec_id, score): the k best of each query in the annuli that its block is paired with (q, block,
+    high, bound, floor).
 
-    A block of queries goes through its annuli from the highest bound down, in runs of about `share` that each task takes one of,
-    and skips those whose bounds are below the k-th score that its queries have already.
+    A block of queries goes through its annuli from the highest bound down, in runs of about `share` that each task
+    takes one of, and skips those whose bounds are below the k-th score that its queries have already.
     """
     ddl = "q bigint, query_id bigint, vec_id bigint, score bigint"
     schema = pa.schema([(c, pa.int64()) for c in ("q", "query_id", "vec_id", "score")])
@@ -208,14 +211,14 @@ def top_k(
     table: DataFrame, id_column: str, vector_column: str, is_query: str, k: int = 20, scale: float = 64, block: int = BLOCK,
     share: int = 64,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row that `is_query` picks (a condition on `id`), the `k` largest inner
-    products with vectors of other ids, ties to the smaller id; all, if there are fewer.
-
-    Queries travel in blocks of near neighbours. Each block first looks into the annulus with the highest bound, which gives its
-    queries a k-th score to begin with; then it goes through the annuli whose bound reaches that score for one of its queries, from the
-    highest bound down, and stops looking where bounds fall below the k-th score. Every vector is indexed. Components beyond a vector's length count as
-    0, scores must fit a long, equal rows count once, and rows that share an id are candidates each. An empty
-    table gives no rows.
+    """(query_id, rank, vec_id, score): for each row that `is_query` picks (a condition on `id`), the `k` largest
+    inner products with vectors of other ids, ties to the smaller id; all, if there are fewer.
+
+    Queries travel in blocks of near neighbours. Each block first looks into the annulus with the highest bound,
+    which gives its queries a k-th score to begin with; then it goes through the annuli whose bound reaches that
+    score for one of its queries, from the highest bound down, and stops looking where bounds fall below the k-th
+    score. Every vector is indexed. Components beyond a vector's length count as 0, scores must fit a long, equal
+    rows count once, and rows that share an id are candidates each. An empty table gives no rows.
     """
     rows = checkpointed(vectors(table, id_column, vector_column, scale), "vectors")
     width = max(rows.agg(F.max(F.size("v"))).first()[0] or 1, 1)

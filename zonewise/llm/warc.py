@@ -30,11 +30,11 @@ def _record_id(page: Column, digest: Column) -> Column:
 
 
 def resolved(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """`pages` (page_id, url, html) with the columns payload, digest, original: the smallest page_id of those with an equal payload
-    for records that revisit it, null for responses.
+    """`pages` (page_id, url, html) with the columns payload, digest, original: the smallest page_id of those with
+    an equal payload for records that revisit it, null for responses.
 
-    Only headers (page_id, digest, length) are shuffled, and counted per digest before they are; the list of revisits then
-    goes to the pages, to every task if it has BROADCAST_ROWS at most.
+    Only headers (page_id, digest, length) are shuffled, and counted per digest before they are; the list of
+    revisits then goes to the pages, to every task if it has BROADCAST_ROWS at most.
     """
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -88,11 +88,12 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE) ->
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record under `path`: page_id, url, record_id, record_type, digest, refers (a record id), payload (binary; empty for
-    revisits), intact (a response's payload has the digest and its block the length that the headers state).
+    """A row per record under `path`: page_id, url, record_id, record_type, digest, refers (a record id), payload
+    (binary; empty for revisits), intact (a response's payload has the digest and its block the length that the
+    headers state).
 
-    Large files are split between records. A payload of another writer that holds the line that begins a record, after an empty line, is not
-    intact, and neither is what follows in it.
+    Large files are split between records. A payload of another writer that holds the line that begins a record,
+    after an empty line, is not intact, and neither is what follows in it.
     """
     whole = spark.read.option("lineSep", _BETWEEN).text(path).select(
         F.regexp_replace("value", f"^{VERSION}\r\n", "").alias("value")).filter("value != ''")
@@ -116,8 +117,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captures(archive: DataFrame) -> DataFrame:
-    """Per record of `read`: page_id, payload_bytes, payload_digest, record_type, refers_to (the response's page_id). Revisits get
-    the figures of the response that they refer to, by its header alone."""
+    """Per record of `read`: page_id, payload_bytes, payload_digest, record_type, refers_to (the response's
+    page_id). Revisits get the figures of the response that they refer to, by its header alone."""
     rows = archive.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "payload_digest": base32_sha1(F.col("payload"))})
     rows = rows.select("page_id", "record_id", "record_type", "refers", "payload_bytes", "payload_digest")
     own = F.col("record_type") == "response"
@@ -134,9 +135,9 @@ def captures(archive: DataFrame) -> DataFrame:
 def archived(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Writes `pages` to new archives in the shared folder and gives the captures that they hold.
 
-    Per row: page_id, payload_bytes, payload_digest, record_type, refers_to. Null html is an empty payload. Of equal payloads of `min_bytes`
-    at least, rows with the smallest page_id are responses and others revisits; rows without a page_id, and
-    smaller payloads, are responses. An empty table gives no rows.
+    Per row: page_id, payload_bytes, payload_digest, record_type, refers_to. Null html is an empty payload. Of equal
+    payloads of `min_bytes` at least, rows with the smallest page_id are responses and others revisits; rows without
+    a page_id, and smaller payloads, are responses. An empty table gives no rows.
     """
     path = scratch_path(spark, "archive")
     write(pages, path, min_bytes)

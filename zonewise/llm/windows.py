@@ -47,8 +47,8 @@ def _unpacked(packed: bytes, rows: int, covered: int) -> tuple[np.ndarray, bytes
 
 
 def _sent(batches, window: int, buckets: int):
-    """The super-k-mers of each document, packed by bucket. Of equal ones in a part of the input only that of the smallest
-    doc_id travels as text; it covers the others, which go as places alone."""
+    """The super-k-mers of each document, packed by bucket. Of equal ones in a part of the input only that of the
+    smallest doc_id travels as text; it covers the others, which go as places alone."""
     for b in batches:
         sizes = pc.fill_null(pc.binary_length(b.column(2)), 0).to_pylist()
         for low, high in T.parts(sizes, _PART_BYTES):
@@ -101,8 +101,8 @@ def _covered(ones, twos, docs, places):
 
 
 def _counted(batches, window: int, at_once: int):
-    """Sorts the windows of each bucket, whose rows arrive one after another, and gives the covered ones. A bucket of more than `at_once` windows
-    isn't held: its windows go on with their numbers, one a row."""
+    """Sorts the windows of each bucket, whose rows arrive one after another, and gives the covered ones. A bucket
+    of more than `at_once` windows isn't held: its windows go on with their numbers, one a row."""
     held, size, bucket, full = [], 0, None, False
 
     def out(full):
@@ -149,14 +149,15 @@ def covered_windows(docs: DataFrame, window: int = WINDOW, at_once: int = AT_ONC
 def without_repeats(docs: DataFrame, window: int = WINDOW, at_once: int = AT_ONCE) -> DataFrame:
     """Per document: doc_id, n_words, n_removed and `kept`, the words left, joined by one space.
 
-    A word goes if a window of `window` words over it also starts in a document with a smaller doc_id. Windows
-    are judged on the input. Consecutive windows whose least seed of three words is the same one travel as one packed string to the
-    bucket of that seed, where two 64-bit numbers of each window are sorted; equal windows
-    always meet, as they share their least seed.
+    A word goes if a window of `window` words over it also starts in a document with a smaller doc_id. Windows are
+    judged on the input. Consecutive windows whose least seed of three words is the same one travel as one packed
+    string to the bucket of that seed, where two 64-bit numbers of each window are sorted; equal windows always
+    meet, as they share their least seed.
 
-    The texts meet their marks compressed. Documents of fewer words than the window lose nothing; a null text has no words and an empty `kept`. Rows with the same id are one
-    document's, compared with those of smaller ids only, so exact repeats of a row keep what it keeps. Rows
-    without an id keep everything. Other columns are not read; an empty table gives no rows.
+    The texts meet their marks compressed. Documents of fewer words than the window lose nothing; a null text has no
+    words and an empty `kept`. Rows with the same id are one document's, compared with those of smaller ids only, so
+    exact repeats of a row keep what it keeps. Rows without an id keep everything. Other columns are not read; an
+    empty table gives no rows.
     """
     rows = spans.prepared(docs)
     marks = covered_windows(rows.filter("doc_id IS NOT NULL"), window, at_once)
