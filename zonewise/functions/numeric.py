@@ -99,8 +99,8 @@ _PART = float(2 ** 26)
 def sum_parts(col: Column) -> list[Column]:
     """A measure as three whole numbers: what is before the binary point, 26 bits after it, and 26 more.
 
-    Each is taken off without rounding, so nothing above 2**-52 is lost, and their sums do not depend on the order in which
-    rows or partial sums meet.
+    Each is taken off without rounding, so nothing above 2**-52 is lost, and their sums do not depend on the order
+    in which rows or partial sums meet.
     """
     col = not_nan(col)
     rest = (col - F.floor(col).cast("double")) * F.lit(_PART)
@@ -115,8 +115,8 @@ def joined_sum(whole: Column, middle: Column, low: Column) -> Column:
 def exact_mean(col: Column) -> Column:
     """Mean of all digits of a measure, NaN left out.
 
-    A retried task, a replayed micro-batch and a batch job all give the same double. Sums have room for 10**12 rows of a
-    million each.
+    A retried task, a replayed micro-batch and a batch job all give the same double. Sums have room for 10**12 rows
+    of a million each.
     """
     total = joined_sum(*[F.sum(part) for part in sum_parts(col)])
     return total / F.nullif(F.count(not_nan(col)), F.lit(0)).cast("double")

@@ -27,7 +27,8 @@ CELLS = 1024
 
 
 def _by_keys(rows: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
-    """`rows` with the columns of `table`, which has a row per value of `keys`; nulls are equal, no keys mean one row."""
+    """`rows` with the columns of `table`, which has a row per value of `keys`; nulls are equal, no keys mean one
+    row."""
     table = table.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in table.columns if c not in keys])
     if not keys:
         return rows.join(F.broadcast(table))  # one row
@@ -38,10 +39,10 @@ def _by_keys(rows: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
 def dealt_out(rows: DataFrame, keys: list[str], order: str, target: int = ROWS_PER_BUCKET) -> DataFrame:
     """`rows` with a bucket: stretches of each key along the column `order` that hold about `target` rows.
 
-    Each key's span is cut into cells, and rows are counted per key and cell. A key's cells are put together until they hold `target`
-    rows. A cell with more is cut on between its own first and last order, which for rows of one moment differ in
-    their tie-break. So bursts, keys with a single row and keys that share one moment all keep to the target; only rows that
-    crowd within a cell, too, share a larger bucket.
+    Each key's span is cut into cells, and rows are counted per key and cell. A key's cells are put together until
+    they hold `target` rows. A cell with more is cut on between its own first and last order, which for rows of one
+    moment differ in their tie-break. So bursts, keys with a single row and keys that share one moment all keep to
+    the target; only rows that crowd within a cell, too, share a larger bucket.
     """
     spans = _by_keys(rows, keys, rows.groupBy(*keys).agg(F.min(order).alias("_low"), F.max(order).alias("_high")))
     width = (F.col("_high") - F.col("_low") + F.lit(1)).cast("double")

@@ -160,8 +160,8 @@ class City:
 
 
 def arrival(rows: DataFrame) -> Column:
-    """Order inside a batch: event time, then an id if the stream has one, else a hash of the row, so that rows of one moment have
-    the same order whenever the batch runs."""
+    """Order inside a batch: event time, then an id if the stream has one, else a hash of the row, so that rows of
+    one moment have the same order whenever the batch runs."""
     tie = F.col("event_id") if "event_id" in rows.columns else F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << 62) - 1))
     return order_key(F.col("event_time"), tie)
 
