@@ -464,3 +464,18 @@ def test_encoding(spark, sf_dir, model, size):
     back = sorted(((r.doc_id, r.text) for r in pieces.decode(rows, model).collect()), key=repr)
     assert back == sorted(((i, t or "") for i, t in texts), key=repr)
     assert pieces.encode(docs.filter("false"), model).count() == 0
+
+
+@pytest.mark.parametrize("size", [2_000_000, 0])
+def test_long_words_are_encoded_whole(spark, model, size):
+    scores = {p: (s, i) for p, i, s in model.pieces} | {None: min(s for *_, s in model.pieces) - 10}
+    rng = random.Random(11)
+    words = ["thequickbrown" * 30, "漢字かな" * 200, "".join(rng.choice("abcdeinorst") for _ in range(3000)), "3.14159" * 60, "=" * 700, "\n" * 300,
+             "x" * 255, "x" * 256, "x" * 257]
+    rows = [(k, w) for k, w in enumerate(words)] + [(20, f"a {words[0]} b {words[0]}"), (21, " " * 600)]
+    rows_of = pieces.encode(documents(spark, rows), model, size)
+    got = {r.doc_id: list(r.ids) for r in rows_of.collect()}
+    for i, t in rows:
+        signed = "▁" + t.replace(" ", "▁")
+        assert got[i] == [x for w in re.findall("▁*[^▁]+|▁+", signed) for x in best_path(w, scores, model)], i
+    assert {r.doc_id: r.text for r in pieces.decode(rows_of, model).collect()} == dict(rows)

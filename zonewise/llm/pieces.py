@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -19,7 +20,7 @@ from zonewise.llm import text as T
 from zonewise.session import checkpointed
 
 SPACE = "▁"
-#: A longer word is encoded in parts of so many characters.
+#: A longer word is not held with its ids: it is encoded where it occurs, in stretches of so many characters.
 LONGEST = 256
 #: Words that every task holds with their ids, the most frequent ones; others are joined.
 DICTIONARY = 1_000_000
@@ -93,10 +94,55 @@ def signed(text: str) -> str:
 
 
 def words_of(text: str | None, pattern: re.Pattern) -> list[str]:
-    words = pattern.findall(signed(text or ""))
-    if any(len(w) > LONGEST for w in words):
-        return [w[k:k + LONGEST] for w in words for k in range(0, len(w), LONGEST)]
-    return words
+    return pattern.findall(signed(text or ""))
+
+
+def held_words(text: str | None, pattern: re.Pattern) -> list[str]:
+    """The words that meet the vocabulary; longer ones don't."""
+    return [w for w in words_of(text, pattern) if len(w) <= LONGEST]
+
+
+class LongWords:
+    """Ids of a word of any length, by the lattice and the order of edges that `encoded` has.
+
+    The word is gone through in stretches, which carry the best scores of the last positions that a piece can reach
+    back to; of each position only its best edge stays.
+    """
+
+    def __init__(self, model: Model) -> None:
+        self.edges = {p: (s, i) for p, i, s in model.pieces}
+        self.longest = max((len(p) for p, _, _ in model.pieces), default=1)
+        self.lowest = min((s for *_, s in model.pieces), default=0.0) - UNKNOWN
+        self.of_byte = model.of_byte
+
+    def ids(self, word: str) -> np.ndarray:
+        edges, scores, sizes, numbers = self.edges, [0.0], array("i"), array("i")
+        for low in range(0, len(word), LONGEST):
+            first = max(low - self.longest, 0)  # the position of scores[0]
+            for end in range(low + 1, min(low + LONGEST, len(word)) + 1):
+                best, size, number = None, 1, -1
+                for start in range(max(end - self.longest, 0), end):
+                    edge = edges.get(word[start:end])
+                    if edge is None:
+                        if start < end - 1:
+                            continue
+                        edge = self.lowest, -1
+                    score = scores[start - first] + edge[0]
+                    if best is None or score > best:
+                        best, size, number = score, end - start, edge[1]
+                scores.append(best)
+                sizes.append(size)
+                numbers.append(number)
+            del scores[:-(self.longest + 1)]
+        out, at = array("i"), len(word)
+        while at:
+            number = numbers[at - 1]
+            if number < 0:
+                out.extend(self.of_byte[b] for b in reversed(word[at - 1].encode()))
+            else:
+                out.append(number)
+            at -= sizes[at - 1]
+        return np.frombuffer(out, np.int32)[::-1]
 
 
 def _packed(words: list[str], counts: list[int]) -> bytes:
@@ -112,7 +158,7 @@ def _unpacked(packed: bytes, size: int) -> tuple[list[bytes], list[int]]:
 
 
 def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
-    """(word, n): the different words of all texts and how often they occur, dealt out by word.
+    """(word, n): the different words of all texts, up to LONGEST characters, and how often they occur, dealt out by word.
 
     Each task counts its own words before they travel, packed by bucket; a bucket's words are counted where they
     meet.
@@ -139,7 +185,7 @@ def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
         pattern, seen = re.compile(pattern_text), Counter()
         for b in batches:
             for t in b.column(0):
-                seen.update(words_of(t.as_py(), pattern))
+                seen.update(held_words(t.as_py(), pattern))
                 if len(seen) > 150_000:
                     yield out(seen)
                     seen = Counter()
@@ -276,15 +322,15 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
 
     Different words are encoded once each. Every task holds the most frequent words with their ids; the others that
     a part of the documents, some of 2 MB, has meet the table of all words, and come back to that part, which
-    travels as one compressed row. A null or empty text has no ids; a word is encoded with the space signs before
-    it, in parts of 256 characters if it is longer. Repeated documents give a row each, rows without an id too.
-    Other columns are not read.
+    travels as one compressed row. Words of more than LONGEST characters are encoded where they occur. A null or empty
+    text has no ids; a word is encoded with the space signs before it. Repeated documents give a row each, rows
+    without an id too. Other columns are not read.
     """
     spark = docs.sparkSession
     T.small_batches(spark)
     words = _written(encoded(vocabulary(docs, model), model))
     frequent, least = dictionary(words, size)
-    frequent = spark.sparkContext.broadcast(frequent)
+    frequent, long_words = spark.sparkContext.broadcast(frequent), spark.sparkContext.broadcast(LongWords(model))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("t"))
     pattern_text = model.pattern
 
@@ -307,7 +353,7 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
     def rare(batches):
         pattern = re.compile(pattern_text)
         for mark, _, texts in parts(batches):
-            seen = list({w for t in texts for w in words_of(t, pattern)})
+            seen = list({w for t in texts for w in held_words(t, pattern)})
             known = frequent.value.find(seen)
             left = [w for w in seen if w not in known]
             if left:
@@ -331,7 +377,9 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
                 raw, ends = zstandard.decompress(packed.as_py()), np.cumsum([0, *sizes.as_py()]).tolist()
                 texts = [raw[x:y].decode() for x, y in zip(ends[:-1], ends[1:])]
                 found = [words_of(t, pattern) for t in texts]
-                known = frequent.value.find(list(set().union(*found)))
+                seen = set().union(*found)
+                known = frequent.value.find([w for w in seen if len(w) <= LONGEST])
+                known |= {w: long_words.value.ids(w).tobytes() for w in seen if len(w) > LONGEST}
                 if own.is_valid:
                     for w in own:
                         known[w["word"].as_py()] = w["ids"].values.to_numpy().astype(np.int32).tobytes()
