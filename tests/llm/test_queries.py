@@ -254,6 +254,20 @@ def test_decontamination(spark):
     assert all(r.n_hit == 0 and not r.contaminated for r in none) and len(none) == len(rows)
 
 
+@pytest.mark.parametrize("size", [4 << 20, 40])
+def test_each_row_is_judged_by_itself(spark, monkeypatch, size):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+    items = [" ".join(f"{c}{k}" for k in range(15)) for c in "abcdef"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    rest = " x" * 270  # an item of 15 words is a twentieth of 285 words, not of 555; two are one of 571
+    rows = [(None, items[0]), (None, "clean"), (1, items[1]), (1, "clean too"), (2, items[2] + rest * 2),
+            (2, items[2] + rest * 2 + " y " + items[5]), (3, items[3] + rest), (3, None), (3, "")]
+    kept = decontaminate.decontaminated(documents(spark, rows), bench)
+    want = [(None, "clean"), (1, "clean too"), rows[4], (3, None), (3, "")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert kept.columns == [c.split()[0] for c in DOCS.split(", ")]
+
+
 # op2
 
 def test_line_dedup(spark):

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from zonewise.llm import text as T
 from zonewise.session import checkpointed
@@ -181,28 +182,46 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def _cleaned(batches, suffixes: Suffixes, at: int, carried: bool, more: bool):
+    """The rows that matches up to this block don't make contaminated. What they matched follows their own columns."""
+    for b in batches:
+        texts = b.column(at).cast(pa.binary())
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for low, high in T.parts(sizes):
+            part = b.slice(low, high - low)
+            before = [c.to_pylist() for c in part.columns[-2:]] if carried else [[[]] * part.num_rows] * 2
+            lows, highs, keep = [], [], []
+            for k, (n, places, rows) in enumerate(search(texts.slice(low, high - low).to_pylist(), suffixes)):
+                starts, ends = T.merged(np.concatenate((before[0][k], places)).astype(np.int64),
+                                        np.concatenate((before[1][k], places + suffixes.lengths[rows])).astype(np.int64))
+                n_hit = int((ends - starts).sum())
+                keep.append(not n_hit or 20 * n_hit < n)
+                lows.append(starts)
+                highs.append(ends)
+            own = part.columns[:-2] if carried else part.columns
+            names = part.schema.names[:len(own)]
+            if more:
+                own += [pa.array(x, pa.list_(pa.int64())) for x in (lows, highs)]
+                names += _marks(names)
+            yield pa.RecordBatch.from_arrays(own, names).filter(pa.array(keep))
+
+
+def _marks(names: list[str]) -> list[str]:
+    """Names of two columns that aren't among `names`."""
+    lead = "_" * (1 + max(map(len, names)))
+    return [lead + "lows", lead + "highs"]
+
+
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that aren't contaminated, as they are. One pass, block after block, without a shuffle."""
+    """The documents that aren't contaminated, as they are. Each row goes through block after block with what it
+    matched and is judged by itself; without a shuffle."""
     T.small_batches(docs.sparkSession)
-    at = docs.columns.index("text")
-
-    def clean(batches, blocks):
-        for b in batches:
-            texts = b.column(at).cast(pa.binary())
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
-            for low, high in T.parts(sizes):
-                part = texts.slice(low, high - low).to_pylist()
-                seen = [[*search(part, s)] for s in blocks]
-                keep = []
-                for k, rows in enumerate(zip(*seen)):
-                    lows, highs = T.merged(np.concatenate([p for _, p, _ in rows]),
-                                           np.concatenate([p + s.lengths[r] for (_, p, r), s in zip(rows, blocks)]))
-                    n_hit = int((highs - lows).sum())
-                    keep.append(not n_hit or 20 * n_hit < rows[0][0])
-                yield b.slice(low, high - low).filter(pa.array(keep))
-
+    at, found = docs.columns.index("text"), docs
+    carried = StructType([*docs.schema.fields, *(StructField(m, ArrayType(LongType())) for m in _marks(docs.columns))])
     blocks = list(_items(items, window))
-    if len(blocks) > 1:
-        bad = matches(docs, items, window).filter("contaminated").select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti")
-    return docs.mapInArrow(lambda it: clean(it, blocks), docs.schema) if blocks else docs
+    for k, block in enumerate(blocks):
+        more = k + 1 < len(blocks)
+        found = found.mapInArrow(lambda it, s=block, c=k > 0, m=more: _cleaned(it, s, at, c, m), carried if more else docs.schema)
+        if more and k % 4 == 3:
+            found = checkpointed(found, "clean")
+    return found
