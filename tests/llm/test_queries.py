@@ -417,6 +417,23 @@ def test_held_out_accuracy(spark):
     assert got[0] < 0.2 and got[2] > 0.97  # 3,167 labelled documents; with 8,000, 0.012 and 0.998
 
 
+def test_rare_grades_get_their_share_of_the_sample(spark):
+    rows = [(k, " ".join([f"w{k % 7}"] * 5) + (f" bad{k % 5}" if k % 50 == 0 else "")) for k in range(1500)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), int(k % 50 == 0)) for k, _ in rows], "doc_id bigint, quality int, toxic int")
+    drawn = collections.Counter(g for g, *_ in quality.sampled(docs, labels, 90))
+    assert drawn == {0: 30, 1: 30, 2: 30}
+    kept = {r.doc_id for r in quality.graded(docs, quality.model(docs, labels, 90)).filter("tail_1 >= 0.5").collect()}
+    assert not any(k in kept for k in range(0, 1500, 50)) and len(kept) == 1470
+
+
+def test_slopes_summed_by_tasks_give_the_fit_of_all_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    one, two = quality.fitted(quality.sampled(docs, labels)), quality.model(docs, labels)
+    assert np.allclose(one.weights, two.weights, atol=1e-9) and np.allclose(one.thresholds, two.thresholds, atol=1e-9)
+
+
 def test_classifier_on_odd_tables(spark):
     rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x")]
     docs = documents(spark, rows)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import operator
+import pickle
 from collections import Counter
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,14 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonewise.llm import text as T
+from zonewise.session import checkpointed
 
 BITS = 18
-#: Labelled documents that the fit reads at most, those with the smallest hash of their id.
-SAMPLE = 6_000
+#: Labelled documents that the fit reads at most: an equal share of each grade, those with the smallest hash of their id.
+SAMPLE = 8_000
+#: Sampled documents that a task holds on average.
+_PART_ROWS = 500
 STEPS, RATE, DECAY = 200, 0.1, 5e-4
 #: Sampled documents that must share a feature for it to get a weight.
-LEAST = 8
+LEAST = 5
 SELECT = 0.5
+_GRID = float(1 << 34)
 _DIGIT, _UPPER, _LOWER = (bytes(range(*r)) for r in ((48, 58), (65, 91), (97, 123)))
 #: The kind of each byte: upper, lower, digit and beyond ASCII as one letter, punctuation as it is.
 _KINDS = bytes(
@@ -71,75 +77,172 @@ class Ordinal:
         return float(self.weights[keys] @ values)
 
 
-def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = 3) -> Ordinal:
-    """The most likely weights and thresholds, by Adam steps over all rows (grade, keys, values), with a small
-    decay.
+def _part(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Rows (grade, keys, values, weight) as arrays: grades, weights, the row of each feature, keys, values."""
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[1]) for r in rows])
+    keys = np.concatenate([np.zeros(0, np.int32), *(r[1] for r in rows)]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.float32), *(r[2] for r in rows)]).astype(np.float32)
+    return np.array([r[0] for r in rows], np.int32), np.array([r[3] for r in rows], float), row, keys, values
 
-    Without rows every document gets the highest grade.
-    """
-    weights = np.zeros(1 << BITS)
-    if not rows:
-        return Ordinal(weights, np.linspace(-20, -10, grades - 1))
-    y = np.array([g for g, _, _ in rows])
-    keys = np.concatenate([k for _, k, _ in rows]).astype(np.int32)
-    common = np.bincount(keys, minlength=1 << BITS) >= min(LEAST, len(rows))
-    used = common[keys]
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(k) for _, k, _ in rows])[used]
-    values = np.concatenate([v for _, _, v in rows]).astype(np.float32)[used]
-    place = (np.cumsum(common) - 1).astype(np.int32)
-    at, keys = place[keys[used]], np.flatnonzero(common)
-    del used, place
-    low = np.array([(y <= k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
-    cuts = np.log(low / (1 - low))
-    # the thresholds are the first cut and the logarithms of the gaps after it, so their order can't change
-    point = np.concatenate((np.zeros(len(keys)), cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-2))))
-    one, two, n = np.zeros_like(point), np.zeros_like(point), len(keys)
 
-    def thresholds(p):
-        return p[n] + np.concatenate(([0.0], np.cumsum(np.exp(p[n + 1:]))))
+def _tally(parts: Iterable[tuple], grades: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Rows that have each feature, the weight of each grade, and the number of rows."""
+    having, weight, rows = np.zeros(1 << BITS, np.int32), np.zeros(grades), 0
+    for y, w, _, keys, _ in parts:
+        having += np.bincount(keys, minlength=1 << BITS).astype(np.int32)
+        weight += np.bincount(y, w, grades)
+        rows += len(y)
+    return having, weight, rows
 
-    for step in range(1, STEPS + 1):
-        score = np.bincount(row, point[at] * values, len(rows))
-        theta = np.concatenate(([-np.inf], thresholds(point), [np.inf]))
+
+def _narrowed(part: tuple, common: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A part with the common features only, numbered."""
+    y, w, row, keys, values = part
+    used, place = common[keys], (np.cumsum(common) - 1).astype(np.int32)
+    return y, w, row[used], place[keys[used]], values[used]
+
+
+def _thresholds(point: np.ndarray, n: int) -> np.ndarray:
+    return point[n] + np.concatenate(([0.0], np.cumsum(np.exp(point[n + 1:]))))
+
+
+def _slopes(parts: Iterable[tuple], point: np.ndarray, n: int, grades: int) -> np.ndarray:
+    """The slopes of the loss by weight and by threshold, summed over all rows of some narrowed parts.
+
+    What is summed lies on a grid that is coarse enough for sums without rounding, so that their order does not matter.
+    """
+    theta = np.concatenate(([-np.inf], _thresholds(point, n), [np.inf]))
+    out = np.zeros(n + grades - 1)
+    for y, w, row, at, values in parts:
+        score = np.bincount(row, point[at] * values, len(y))
         upper, lower = (1 / (1 + np.exp(np.clip(score - theta[y + k], -500, 500))) for k in (1, 0))
         share = np.maximum(upper - lower, 1e-12)
-        up, down = upper * (1 - upper) / share, lower * (1 - lower) / share
-        d_score = (up - down) / len(rows)  # of the loss
-        d_theta = np.bincount(y, -up, grades)[:-1] / len(rows) + np.bincount(y, down, grades)[1:] / len(rows)
+        up, down = (np.rint(_GRID * w * x * (1 - x) / share) for x in (upper, lower))
+        out[:n] += np.bincount(at, np.rint((up - down)[row] * values), n)
+        out[n:] += np.bincount(y, down, grades)[1:] - np.bincount(y, up, grades)[:-1]
+    return out / _GRID
+
+
+def _descended(slopes: Callable[[np.ndarray], np.ndarray], keys: np.ndarray, weight: np.ndarray) -> Ordinal:
+    """The most likely weights and thresholds, by Adam steps with a small decay; `slopes` sums over all rows."""
+    low = (np.cumsum(weight)[:-1] / weight.sum()).clip(1e-3, 1 - 1e-3)
+    cuts, n = np.log(low / (1 - low)), len(keys)
+    # the thresholds are the first cut and the logarithms of the gaps after it, so their order can't change
+    point = np.concatenate((np.zeros(n), cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-2))))
+    one, two = np.zeros_like(point), np.zeros_like(point)
+    for step in range(1, STEPS + 1):
+        found = slopes(point) / weight.sum()
+        d_theta = found[n:]
         slope = np.concatenate((
-            np.bincount(at, d_score[row] * values, n) + DECAY * point[:n], [d_theta.sum()],
-            np.exp(point[n + 1:]) * np.cumsum(d_theta[::-1])[::-1][1:]))
+            found[:n] + DECAY * point[:n], [d_theta.sum()], np.exp(point[n + 1:]) * np.cumsum(d_theta[::-1])[::-1][1:]))
         one, two = 0.9 * one + 0.1 * slope, 0.999 * two + 0.001 * slope * slope
         point = point - RATE * (1 - step / (STEPS + 1)) * (one / (1 - 0.9 ** step)) / (np.sqrt(two / (1 - 0.999 ** step)) + 1e-8)
+    weights = np.zeros(1 << BITS)
     weights[keys] = point[:n]
-    return Ordinal(weights, thresholds(point))
+    return Ordinal(weights, _thresholds(point, n))
 
 
-def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Features of a bounded sample of the labelled documents: the `sample` ids with the smallest hashes."""
+def _highest(grades: int) -> Ordinal:
+    """Without rows every document gets the highest grade."""
+    return Ordinal(np.zeros(1 << BITS), np.linspace(-20, -10, grades - 1))
+
+
+def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = 3) -> Ordinal:
+    """The fit of rows (grade, keys, values) that are at hand; `model` does the same where the rows are."""
+    if not rows:
+        return _highest(grades)
+    part = _part([(*r, 1.0) for r in rows])
+    having, weight, _ = _tally([part], grades)
+    common = having >= min(LEAST, len(rows))
+    part = _narrowed(part, common)
+    keys = np.flatnonzero(common)
+    return _descended(lambda point: _slopes([part], point, len(keys), grades), keys, weight)
+
+
+def _quotas(counts: dict[int, int], sample: int) -> dict[int, int]:
+    """Rows of each grade in the sample: equal shares; what a rare grade leaves goes to the others."""
+    out, left = {}, sample
+    for k, (g, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[g] = min(n, left // (len(counts) - k))
+        left -= out[g]
+    return out
+
+
+def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """(doc_id, g, keys, values, weight): features of a bounded sample of the labelled documents, dealt out by id.
+
+    Each grade gives its ids with the smallest hashes, up to its quota; weights make up for the grades' different
+    shares, and are 1 on average.
+    """
     graded = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), grade(F.col("quality"), F.col("toxic")).alias("g")) \
         .filter("doc_id IS NOT NULL AND g IS NOT NULL").groupBy("doc_id").agg(F.min("g").alias("g"))
-    few = F.broadcast(graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    schema = pa.schema([("doc_id", pa.int64()), ("g", pa.int32()), ("keys", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))])
+    counts = {r.g: r.n for r in graded.groupBy("g").agg(F.count("*").alias("n")).collect()}
+    quotas, total = _quotas(counts, sample), sum(counts.values())
+    share = sum(quotas.values()) / max(total, 1)
+    few = graded.limit(0).withColumn("weight", F.lit(0.0))
+    for g, quota in sorted(quotas.items()):
+        if quota:
+            some = graded.filter(F.col("g") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(quota)
+            few = few.union(some.withColumn("weight", F.lit(share * counts[g] / quota)))
+    schema = pa.schema([("doc_id", pa.int64()), ("g", pa.int32()), ("weight", pa.float64()), ("keys", pa.list_(pa.int32())),
+                        ("values", pa.list_(pa.float32()))])
 
     def one(batches):
         for b in batches:
             for low in range(0, b.num_rows, 500):
                 part = b.slice(low, 500)
-                found = [features(t.as_py()) for t in part.column(2)]
-                yield T.batch(schema, part.column(0), part.column(1), [k for k, _ in found], [v for _, v in found])
-
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("t")).join(few, "doc_id") \
-        .select("doc_id", F.col("g").cast("int"), "t").mapInArrow(one, "doc_id bigint, g int, keys array<int>, values array<float>")
-    # a repeated document counts once; the order is fixed, so that the fit is
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("g", "keys", "values")).alias("r")).select("doc_id", "r.*")
-    held = rows.toArrow().sort_by("doc_id")
+                found = [features(t.as_py()) for t in part.column(3)]
+                yield T.batch(schema, *part.columns[:3], [k for k, _ in found], [v for _, v in found])
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("t")) \
+        .join(F.broadcast(few), "doc_id").select("doc_id", F.col("g").cast("int"), "weight", "t") \
+        .mapInArrow(one, "doc_id bigint, g int, weight double, keys array<int>, values array<float>")
+    # a repeated document counts once
+    return rows.repartition(-(-sum(quotas.values()) // _PART_ROWS) or 1, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("g", "keys", "values", "weight")).alias("r")).select("doc_id", "r.*")
+
+
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """The sample's rows (grade, keys, values) by id, for samples that fit the driver."""
+    held = _sample(docs, labels, sample).toArrow().sort_by("doc_id")
     keys, values = (held.column(c).combine_chunks() for c in ("keys", "values"))
     return [(g, keys[k].values.to_numpy(), values[k].values.to_numpy()) for k, g in enumerate(held.column("g").to_pylist())]
 
 
-def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
-    return fitted(sampled(docs, labels, sample))
+def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, grades: int = 3) -> Ordinal:
+    """The fit of a bounded sample. Its rows stay with the tasks, which sum the slopes of each step; the driver holds
+    a number for each feature."""
+    T.small_batches(docs.sparkSession)
+    schema = pa.schema([("part", pa.binary())])
+
+    def pack(batches):
+        for b in batches:
+            g, keys, values, weight = b.columns
+            rows = [(y, keys[k].values.to_numpy(), values[k].values.to_numpy(), w)
+                    for k, (y, w) in enumerate(zip(g.to_pylist(), weight.to_pylist()))]
+            if rows:
+                yield T.batch(schema, [pickle.dumps(_part(rows))])
+
+    packed = checkpointed(_sample(docs, labels, sample).sortWithinPartitions("doc_id").select("g", "keys", "values", "weight")
+                          .mapInArrow(pack, "part binary"), "sample")
+    parts = packed.rdd.map(lambda r: pickle.loads(r.part))
+
+    def summed(rdd, of):
+        """Each task's sums, added up."""
+        return [sum(x[1:], x[0]) for x in zip(*rdd.mapPartitions(lambda it: [of(it)]).collect())]
+
+    tallies = summed(parts, lambda it: _tally(it, grades))
+    if not tallies or not tallies[2]:
+        return _highest(grades)
+    having, weight, rows = tallies
+    common = having >= min(LEAST, rows)
+    keys = np.flatnonzero(common)
+    n = len(keys)
+    narrowed = parts.map(lambda part: _narrowed(part, common)).persist()
+    try:
+        return _descended(lambda point: summed(narrowed, lambda it: (_slopes(it, point, n, grades),))[0], keys, weight)
+    finally:
+        narrowed.unpersist()
 
 
 def graded(docs: DataFrame, fit: Ordinal) -> DataFrame:
