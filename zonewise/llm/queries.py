@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from zonewise.llm import chat, decontaminate, lines, pieces, quality, repeats, simhash, topk, warc, windows
+from zonewise.llm import chat, decontaminate, lexical, lines, pieces, quality, repeats, resample, shards, simhash, topk, warc, windows
 from zonewise.plans import Registry
 
 registry = Registry()
@@ -193,6 +193,88 @@ def op5_sentencepiece(spark, sf_dir, tokenizer: str = TOKENIZER):
     return pieces.with_digests(pieces.encode(table(spark, sf_dir, "documents"), model), model).drop("ids")
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+sums AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+held AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM d),
+tf AS (SELECT doc_id, term, n, CAST(count(*) AS BIGINT) AS tf FROM held GROUP BY doc_id, term, n),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+asked AS (SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM q GROUP BY item_id, term),
+w AS (
+  SELECT item_id, term, times, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM asked JOIN df USING (term), sums),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM w JOIN tf USING (term), sums GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
+@registry.add(OP11_SQL)
+def op11_ranked_search(spark, sf_dir):
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registry.add()
+def op12_sharding(spark, sf_dir):
+    found = shards.sharded(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: A byte's step of CRC-32 is eight of its bits: shifted, and combined with the polynomial where the last bit is 1.
+OP13_SQL = r"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: xor(c >> 1, (c & 1) * 3988292384), b)) AS tab),
+src AS (SELECT 'd' AS of, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+d AS (
+  SELECT of, id, list_filter(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM src),
+f AS (
+  SELECT of, id, unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS feature FROM d),
+n AS (SELECT of, id, feature, CAST(count(*) AS BIGINT) AS n FROM f GROUP BY of, id, feature),
+hexed AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM n)),
+bucketed AS (
+  SELECT feature, xor(list_reduce(
+    list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+  FROM hexed, steps),
+c AS (
+  SELECT bucket, coalesce(sum(n) FILTER (of = 'd'), 0) AS s, coalesce(sum(n) FILTER (of = 'b'), 0) AS t
+  FROM n JOIN bucketed USING (feature) GROUP BY bucket),
+g AS (
+  SELECT bucket, floor(1000 * ln(CAST((t + 1) * ((SELECT sum(s) FROM c) + 10000) AS DOUBLE)
+    / CAST((s + 1) * ((SELECT sum(t) FROM c) + 10000) AS DOUBLE))) AS gain FROM c),
+w AS (
+  SELECT id, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+  FROM n JOIN bucketed USING (feature) JOIN g USING (bucket) WHERE of = 'd' GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST(CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM documents LEFT JOIN w ON doc_id = id),
+placed AS (
+  SELECT *, CASE WHEN n_features >= 39 THEN row_number() OVER (PARTITION BY n_features >= 39 ORDER BY score DESC, doc_id) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= (SELECT count(*) FROM scored WHERE n_features >= 39) * 25 // 100 THEN place END AS rank
+FROM placed
+"""
+
+
+@registry.add(OP13_SQL)
+def op13_importance_resampling(spark, sf_dir):
+    found = resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @registry.add(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
