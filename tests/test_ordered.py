@@ -25,10 +25,17 @@ def frame(spark, events):
     return spark.createDataFrame(events, "i bigint, key string, x double, n int").repartition(7)
 
 
-def bucket(width):
-    if width is None:
-        return None  # chosen from the data
-    return F.floor(F.col("i") / F.lit(width)).cast("bigint")
+@pytest.fixture(params=[(1, 10_000), (7, 3), (40, 1)])
+def cuts(request, spark):
+    """Tasks and rows of an Arrow batch that a scan is cut into."""
+    confs = {"spark.sql.shuffle.partitions": request.param[0], "spark.sql.execution.arrow.maxRecordsPerBatch": request.param[1],
+             "spark.sql.adaptive.coalescePartitions.enabled": False}
+    before = {c: spark.conf.get(c) for c in confs}
+    for c, v in confs.items():
+        spark.conf.set(c, str(v).lower())
+    yield request.param
+    for c, v in before.items():
+        spark.conf.set(c, v)
 
 
 def by_key(events):
@@ -38,85 +45,74 @@ def by_key(events):
     return grouped
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000, None])
-def test_forward_fill(frame, events, width):
-    got = {r["i"]: r["last"] for r in ordered.forward_fill(
-        frame, ["key"], F.col("i"), {"last": F.col("x")}, bucket(width)).collect()}
+def test_forward_fill(cuts, frame, events):
+    got = {r["i"]: (r["last"], r["text"]) for r in ordered.forward_fill(
+        frame, ["key"], F.col("i"), {"last": F.col("x"), "text": F.when(F.col("n") > 6, F.col("n").cast("string"))}).collect()}
     assert len(got) == len(events)
     for rows in by_key(events).values():
-        last = None
-        for i, _, x, _ in rows:
+        last = text = None
+        for i, _, x, n in rows:
             last = x if x is not None else last
-            assert got[i] == last
+            text = str(n) if n > 6 else text
+            assert got[i] == (last, text)
 
 
-@pytest.mark.parametrize("width", [1, 13, None])
-def test_running_totals_and_positions(frame, events, width):
+def test_running_totals_and_positions(cuts, frame, events):
     got = {r["i"]: (r["total"], r["seen"]) for r in ordered.running_totals(
-        frame, ["key"], F.col("i"), {"total": F.col("n"), "seen": F.lit(1)}, bucket(width)).collect()}
+        frame, ["key"], F.col("i"), {"total": F.col("n"), "seen": F.lit(1)}).collect()}
     for rows in by_key(events).values():
         for j, row in enumerate(rows):
             assert got[row[0]] == (sum(r[3] for r in rows[: j + 1]), j + 1)
-    places = ordered.row_positions(frame, F.col("i"), bucket=bucket(width)).collect()
+    places = ordered.row_positions(frame, F.col("i")).collect()
     assert all(r["position"] == r["i"] for r in places)
 
 
-def bucket_sizes(frame, keys, target):
-    return {tuple(r[:-1]): r["count"] for r in ordered.dealt_out(frame, keys, "i", target).groupBy(*keys, "_bucket").count().collect()}
-
-
-def test_buckets_hold_the_target_number_of_rows(spark):
-    rows = [("hot", k) for k in range(5000)] + [("one", 17), (None, 40), (None, 41)]  # a one-row key beside a hot one
-    rows += [("burst", 10 ** 9 + k) for k in range(5000)] + [("burst", 0)]  # a burst long after an early row
-    rows += [("moment", 10 ** 18 + 7 * k) for k in range(3000)]  # one moment, told apart by the tie-break
-    frame = spark.createDataFrame(rows, "key string, i bigint")
-    sizes = bucket_sizes(frame, ["key"], 100)
-    assert max(sizes.values()) <= 200 and sum(sizes.values()) == len(rows)
-    for key, n in (("hot", 5000), ("burst", 5001), ("moment", 3000)):
-        assert len([k for k, _ in sizes if k == key]) >= n // 200
-    without_keys = bucket_sizes(frame.filter("key = 'burst'"), [], 100)
-    assert max(without_keys.values()) <= 200 and len(without_keys) >= 25
-
-
-def test_buckets_never_decrease_along_the_order(spark):
-    rows = [("a", (k * k * 7919) % 100_003) for k in range(3000)]
-    frame = spark.createDataFrame(sorted(set(rows)), "key string, i bigint")
-    found = [r["_bucket"] for r in sorted(ordered.dealt_out(frame, ["key"], "i", 50).collect(), key=lambda r: r["i"])]
-    assert found == sorted(found) and len(set(found)) > 30
-
-
-def test_scans_over_cut_keys(spark, monkeypatch):
-    monkeypatch.setattr(ordered.dealt_out, "__defaults__", (10,))
-    rows = [("hot", k, k % 7) for k in range(500)] + [("one", 3, 5), (None, 9, 1)]
-    frame = spark.createDataFrame(rows, "key string, i bigint, v int")
-    got = {(r["key"], r["i"]): r["t"] for r in ordered.running_totals(frame, ["key"], F.col("i"), {"t": F.col("v")}).collect()}
+def test_a_hot_key_lies_in_many_tasks(spark, cuts, monkeypatch):
+    """One key with most of the rows, one-row keys and a null key: no task holds the hot key as a whole."""
+    seen = {}
+    kept = ordered.checkpointed
+    monkeypatch.setattr(ordered, "checkpointed", lambda df, label: seen.setdefault("local", kept(df, label)))
+    rows = [("hot", k, k % 7) for k in range(3000)] + [("one", 3, 5), (None, 9, 1), (None, 10, 4), ("zero", 1, 1)]
+    frame = spark.createDataFrame(rows, "key string, i bigint, v int").repartition(5)
+    found = ordered.running_totals(frame, ["key"], F.col("i"), {"t": F.col("v")})
+    got = {(r["key"], r["i"]): r["t"] for r in found.collect()}
     total = {}
     for key, i, v in rows:
         total[key] = total.get(key, 0) + v
-        if key is not None:
-            assert got[key, i] == total[key]
-    one = frame.limit(1)
-    assert ordered.running_totals(one, ["key"], F.col("i"), {"t": F.lit(1)}).first()["t"] == 1
+        assert got[key, i] == total[key]
+    sizes = [r["count"] for r in seen["local"].groupBy("_task").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 3 * len(rows) / cuts[0] + 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and "Window" not in plan
+
+
+def test_scans_of_little(spark, cuts):
+    frame = spark.createDataFrame([("a", 1, 5)], "key string, i bigint, v int")
+    assert ordered.running_totals(frame, ["key"], F.col("i"), {"t": F.lit(1)}).first()["t"] == 1
     assert ordered.running_totals(frame.limit(0), ["key"], F.col("i"), {"t": F.lit(1)}).count() == 0
+    assert ordered.forward_fill(frame.limit(0), [], F.col("i"), {"t": F.col("v")}).columns == ["key", "i", "v", "t"]
+    large = frame.select("key", "i", F.lit(1 << 62).alias("v")).union(frame.select("key", F.lit(2), F.lit(1 << 62)))
+    with pytest.raises(Exception, match="64 bits"):
+        ordered.running_totals(large, ["key"], F.col("i"), {"t": F.col("v")}).collect()
 
 
-@pytest.mark.parametrize("chunk", [4, 16, 4096])
-def test_trailing_values(frame, events, chunk):
-    got = {r["i"]: list(r["history"]) for r in ordered.trailing_values(
-        frame, ["key"], F.col("i"), F.col("n"), 4, chunk=chunk, bucket=bucket(50)).collect()}
+def test_trailing_values(cuts, frame, events):
+    got = {r["i"]: (list(r["history"])) for r in ordered.trailing_values(frame, ["key"], F.col("i"), F.col("n"), 4).collect()}
+    present = {r["i"]: list(r["history"]) for r in ordered.trailing_values(frame, ["key"], F.col("i"), F.col("x"), 4).collect()}
     assert len(got) == len(events)
     for rows in by_key(events).values():
         for j, row in enumerate(rows):
             assert got[row[0]] == [r[3] for r in rows[max(0, j - 3): j + 1]]
+            assert present[row[0]] == [r[2] for r in rows[max(0, j - 3): j + 1] if r[2] is not None]
 
 
 @pytest.mark.parametrize("strict", [False, True])
-def test_as_of(spark, events, strict):
+def test_as_of(cuts, spark, events, strict):
     left = [(i, k) for i, k, x, n in events if n < 4]
     right = [(i, k, x) for i, k, x, n in events if n >= 3 and x is not None]
     joined = ordered.as_of(
         spark.createDataFrame(left, "i bigint, key string"), spark.createDataFrame(right, "i bigint, key string, x double"),
-        ["key"], "i", "x", default=75.0, strict=strict, bucket=bucket(20) if strict else None,
+        ["key"], "i", "x", default=75.0, strict=strict,
     )
     got = {r["i"]: r["x"] for r in joined.collect()}
     assert len(got) == len(left)

@@ -90,7 +90,7 @@ def test_exposure_limits(spark):
     rows = [(i, "W-01", "MN-01" if i < 185 else "SI-06", 101.0) for i in range(190)] + [(500, "W-02", "MN-01", 100.0)]
     frame = spark.createDataFrame(rows, "i long, worker_id string, zone_id string, aqi double")
     running = {(r["worker_id"], r["count"]): r["exposure_status"]
-               for r in exposure.running_exposure(frame, F.col("i"), bucket=F.floor(F.col("i") / 10)).collect()}
+               for r in exposure.running_exposure(frame, F.col("i")).collect()}
     assert running["W-01", 90] == "SAFE" and running["W-01", 91] == "WARNING"
     assert running["W-01", 180] == "WARNING" and running["W-01", 181] == "CRITICAL"
     totals = {r["worker_id"]: r for r in exposure.exposure_totals(frame, F.col("i")).collect()}

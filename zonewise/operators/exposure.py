@@ -18,10 +18,9 @@ _AQI_UNITS = float(10 ** AQI_DIGITS)
 
 def with_known_air(
     workers: DataFrame, pollution: DataFrame, order: str, aqi: str = "aqi", strict: bool = False,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """Each worker position with the latest AQI known for its zone at that moment, 75 before any."""
-    return as_of(workers, pollution, ["zone_id"], order, aqi, UNKNOWN_ZONE_AQI, strict, bucket)
+    return as_of(workers, pollution, ["zone_id"], order, aqi, UNKNOWN_ZONE_AQI, strict)
 
 
 def valid_zone(zone_id: Column, worker_id: Column, time: Column) -> Column:
@@ -55,16 +54,10 @@ def exposure_columns(profile: dims.ExposureProfile) -> dict[str, Column]:
 
 def running_exposure(
     readings: DataFrame, order: Column, profile: dims.ExposureProfile = dims.PER_READING,
-    keys: list[str] | None = None, aqi: str = "aqi", bucket: Column | None = None,
+    keys: list[str] | None = None, aqi: str = "aqi",
 ) -> DataFrame:
-    """Exposure of the worker after every reading. Add a day to `keys` to start anew each day.
-
-    The readings are read twice (for the bucket totals and for the rows), so hand in a stored table rather
-    than the result of another join.
-    """
-    totals = running_totals(
-        readings, keys or ["worker_id"], order, _measures(F.col(aqi), profile), bucket
-    )
+    """Exposure of the worker after every reading. Add a day to `keys` to start anew each day."""
+    totals = running_totals(readings, keys or ["worker_id"], order, _measures(F.col(aqi), profile))
     return totals.withColumns(exposure_columns(profile)).drop("aqi_units")
 
 

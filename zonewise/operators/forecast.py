@@ -18,10 +18,9 @@ LAGS = 3
 
 def with_history(
     readings: DataFrame, order: Column, keys: list[str] | None = None, aqi: str = "aqi", length: int = HISTORY,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """Add the zone's last readings, oldest first, as `history`."""
-    return trailing_values(readings, keys or ["zone_id"], order, F.col(aqi), length, "history", bucket=bucket)
+    return trailing_values(readings, keys or ["zone_id"], order, F.col(aqi), length, "history")
 
 
 def autoregressive_step(histories: np.ndarray, lags: int = LAGS) -> np.ndarray:

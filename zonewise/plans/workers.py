@@ -51,8 +51,7 @@ _RUNNING_WINDOW = "WINDOW w AS (PARTITION BY worker_id ORDER BY ts, event_id ROW
     AS_OF_SQL,
 ))
 def worker_exposure_running(spark, sf_dir):
-    known = checkpointed(workers_with_air(spark, sf_dir))
-    rows = exposure.running_exposure(known, F.col("seq"))
+    rows = exposure.running_exposure(workers_with_air(spark, sf_dir), F.col("seq"))
     return rows.select(
         "event_id", "worker_id", "count", "n_high", "hours_in_high_aqi", "daily_avg_aqi", "exposure_status"
     )

@@ -110,7 +110,7 @@ def pm25_readings(pollution: DataFrame) -> DataFrame:
 
 
 def filled_stations(
-    readings: DataFrame, order: Column, station: str = "station_id", bucket: Column | None = None
+    readings: DataFrame, order: Column, station: str = "station_id"
 ) -> DataFrame:
     """Per reading the last PM2.5 and NO2 its station has sent so far, 0 before the first, never negative.
 
@@ -121,7 +121,7 @@ def filled_stations(
     is_no2 = ~is_pm25 & parameter.contains("no2")
     filled = forward_fill(readings.filter(is_pm25 | is_no2), [station], order, {
         "pm25": F.when(is_pm25, clamp(F.col("value"), 0)), "no2": F.when(is_no2, clamp(F.col("value"), 0)),
-    }, bucket)
+    })
     return filled.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("pm25", "no2")})
 
 
