@@ -79,7 +79,9 @@ def records(pages: DataFrame, min_bytes: int = 0, date: str = DATE) -> DataFrame
 
     plain = page.withColumn("record", record(F.col("payload")))
     coded = record(F.base64(F.col("payload").cast("binary")), F.lit("X-Payload-Encoding: base64"))
-    return plain.select(F.when(F.instr("record", _BETWEEN) > 0, coded).otherwise(F.col("record")).alias("record"))
+    # the line separator that is written after a record may complete what stands at its end
+    unsafe = F.instr(F.concat("record", F.lit("\r\n\r\n")), _BETWEEN) > 0
+    return plain.select(F.when(unsafe, coded).otherwise(F.col("record")).alias("record"))
 
 
 def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE) -> None:
