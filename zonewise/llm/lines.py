@@ -48,19 +48,21 @@ def without_boilerplate(
 
     A line is what stands between newlines. It goes from every page of a host if more than `ratio` of the host's
     pages, and `min_pages` at least, have it; blank lines stay. Pages are rows, repeated ones too. Rows without a
-    host are one host's. A null text stays null and has no lines. A text may become empty; its row stays. Columns
-    named host or drop do no harm.
+    host are one host's. A null text stays null and has no lines. A text may become empty; its row stays. Columns of
+    `docs` named n_lines or n_dropped are replaced; other names do no harm.
     """
     found = checkpointed(boilerplate(docs, F.col(host), F.col(text), ratio, min_pages), "lines")
     n_lines = found.agg(F.sum(F.size("drop"))).first()[0] or 0
-    found = found.select(F.struct("host", "drop").alias("_site"))
+    lead = "_" * (1 + max(map(len, docs.columns)))
+    site, kept = lead + "site", lead + "kept"
+    found = found.select(F.struct("host", "drop").alias(site))
     rows = docs.join(
-        F.broadcast(found) if n_lines <= BROADCAST_LINES else found, F.col(host).eqNullSafe(F.col("_site.host")), "left")
-    drop = F.coalesce("_site.drop", F.array().cast("array<struct<a:bigint,b:bigint>>"))
+        F.broadcast(found) if n_lines <= BROADCAST_LINES else found, F.col(host).eqNullSafe(F.col(f"{site}.host")), "left")
+    drop = F.coalesce(f"{site}.drop", F.array().cast("array<struct<a:bigint,b:bigint>>"))
     lines = _lines(F.col(text))
-    kept = F.when(F.size(drop) > 0, F.filter(lines, lambda x: _blank(x) | ~F.array_contains(drop, _key(x)))).otherwise(lines)
-    rows = rows.withColumn("_kept", kept)
+    rows = rows.withColumn(kept, F.when(
+        F.size(drop) > 0, F.filter(lines, lambda x: _blank(x) | ~F.array_contains(drop, _key(x)))).otherwise(lines))
     return rows.select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text else docs[c] for c in docs.columns],
+        *[F.array_join(kept, "\n").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")],
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("bigint").alias("n_dropped"))
+        F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).cast("bigint").alias("n_dropped"))
