@@ -38,16 +38,22 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, fp) of every row with an id; a null or empty text has fingerprint 0. `fp` is signed."""
-    T.small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("binary").alias("t"))
+    return _printed(rows.filter("doc_id IS NOT NULL"))
+
+
+def _printed(rows: DataFrame) -> DataFrame:
+    """`rows`, whose columns are numbers and a binary `t` at the end, with `fp` in place of `t`."""
+    T.small_batches(rows.sparkSession)
+    names = rows.columns[:-1]
+    schema = pa.schema([(c, pa.int64()) for c in [*names, "fp"]])
 
     def one(batches):
         for b in batches:
-            prints = [fingerprint(t.as_py()) for t in b.column(1)]
-            yield T.batch(schema, b.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)))
+            prints = [fingerprint(t.as_py()) for t in b.column(len(names))]
+            yield T.batch(schema, *b.columns[:-1], pa.array(np.array(prints, np.uint64).view(np.int64)))
 
-    return docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("binary").alias("t")) \
-        .filter("doc_id IS NOT NULL").mapInArrow(one, "doc_id bigint, fp bigint")
+    return rows.mapInArrow(one, ", ".join(f"{c} bigint" for c in schema.names))
 
 
 def _syndrome(x: Column) -> Column:
@@ -113,10 +119,36 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return prints.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id; documents without an id stay.
+def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates stays, as it is: that with the smallest id, rows without an id last,
+    and the smallest hash of all its columns.
 
-    The ids that go are sent to every task if they are at most BROADCAST_IDS, and joined otherwise.
+    Groups are components of linked fingerprints, so two texts under one id are judged each by itself, and of equal
+    rows one stays. The rows that go are known by two hashes of their columns; these are sent to every task if they
+    are at most BROADCAST_IDS, and joined otherwise. An empty table stays empty.
     """
-    gone = checkpointed(near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct(), "copies")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
+    lead = "_" * (1 + max(map(len, docs.columns)))
+    one, two, mark = lead + "one", lead + "two", lead + "mark"
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumns({one: F.xxhash64(*columns), two: F.xxhash64(F.lit("row"), *columns)})
+    prints = checkpointed(_printed(marked.select(
+        F.col(id_column).cast("bigint").alias("doc_id"), F.col(one).alias("one"), F.col(two).alias("two"),
+        F.col(text_column).cast("binary").alias("t"))), "fingerprints")
+    nodes = checkpointed(prints.select("fp").distinct(), "nodes")
+    group = components(links(nodes).toDF("u", "v")).withColumnRenamed("node", "fp")
+    rows = prints.join(group, "fp", "left").select(F.coalesce("component", "fp").alias("group"), "doc_id", "one", "two") \
+        .groupBy("group", "doc_id", "one", "two").agg(F.count("*").alias("n"))
+    rows = checkpointed(rows, "groups")
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "one", "two")).alias("first"))
+    judged = rows.join(first, "group").select(
+        F.struct(F.col("one").alias("a"), F.col("two").alias("b")).alias(mark),
+        ((F.col("one") == F.col("first.one")) & (F.col("two") == F.col("first.two"))).alias("stays"), "n")
+    judged = checkpointed(judged.filter("NOT stays OR n > 1"), "copies")
+    again = judged.filter("stays").count()
+    few = judged.count() <= BROADCAST_IDS
+    sent = lambda x: F.broadcast(x.select(mark)) if few else x.select(mark)
+    same = (F.col(one) == F.col(f"{mark}.a")) & (F.col(two) == F.col(f"{mark}.b"))
+    kept = marked.join(sent(judged), same, "left_anti")
+    if again:  # rows that are there more than once and stay, once each
+        kept = kept.union(marked.join(sent(judged.filter("stays")), same, "left_semi").dropDuplicates([one, two]))
+    return kept.select(*columns)
