@@ -21,7 +21,10 @@ BITS = 18
 SAMPLE = 8_000
 #: Sampled documents that a task holds on average.
 _PART_ROWS = 500
-STEPS, RATE, DECAY = 200, 0.1, 5e-4
+#: Steps of the fit at most, each a pass over the sample as a rule; the last ones that it remembers; and its decay.
+STEPS, MEMORY, DECAY = 30, 8, 5e-4
+#: The fit ends when no slope of the mean loss is larger.
+_FLAT = 1e-6
 #: Sampled documents that must share a feature for it to get a weight.
 LEAST = 5
 SELECT = 0.5
@@ -106,37 +109,71 @@ def _thresholds(point: np.ndarray, n: int) -> np.ndarray:
     return point[n] + np.concatenate(([0.0], np.cumsum(np.exp(point[n + 1:]))))
 
 
-def _slopes(parts: Iterable[tuple], point: np.ndarray, n: int, grades: int) -> np.ndarray:
-    """The slopes of the loss by weight and by threshold, summed over all rows of some narrowed parts.
+def _losses(parts: Iterable[tuple], point: np.ndarray, n: int, grades: int) -> np.ndarray:
+    """The loss and its slopes by weight and by threshold, summed over all rows of some narrowed parts.
 
     What is summed lies on a grid that is coarse enough for sums without rounding, so that their order does not matter.
     """
     theta = np.concatenate(([-np.inf], _thresholds(point, n), [np.inf]))
-    out = np.zeros(n + grades - 1)
+    out = np.zeros(1 + n + grades - 1)
     for y, w, row, at, values in parts:
         score = np.bincount(row, point[at] * values, len(y))
         upper, lower = (1 / (1 + np.exp(np.clip(score - theta[y + k], -500, 500))) for k in (1, 0))
         share = np.maximum(upper - lower, 1e-12)
         up, down = (np.rint(_GRID * w * x * (1 - x) / share) for x in (upper, lower))
-        out[:n] += np.bincount(at, np.rint((up - down)[row] * values), n)
-        out[n:] += np.bincount(y, down, grades)[1:] - np.bincount(y, up, grades)[:-1]
+        out[0] += np.rint(-_GRID * w * np.log(share)).sum()
+        out[1:1 + n] += np.bincount(at, np.rint((up - down)[row] * values), n)
+        out[1 + n:] += np.bincount(y, down, grades)[1:] - np.bincount(y, up, grades)[:-1]
     return out / _GRID
 
 
-def _descended(slopes: Callable[[np.ndarray], np.ndarray], keys: np.ndarray, weight: np.ndarray) -> Ordinal:
-    """The most likely weights and thresholds, by Adam steps with a small decay; `slopes` sums over all rows."""
+def _direction(slope: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Downhill, bent by what the last steps tell of the curvature (limited-memory BFGS)."""
+    d, shares = -slope, []
+    for s, y in reversed(steps):
+        shares.append(s @ d / (s @ y))
+        d = d - shares[-1] * y
+    if steps:
+        s, y = steps[-1]
+        d = d * (s @ y / (y @ y))
+    for (s, y), share in zip(steps, reversed(shares)):
+        d = d + (share - y @ d / (s @ y)) * s
+    return d
+
+
+def _descended(losses: Callable[[np.ndarray], np.ndarray], keys: np.ndarray, weight: np.ndarray) -> Ordinal:
+    """The most likely weights and thresholds, with a small decay of the weights, by a quasi-Newton descent;
+    `losses` sums over all rows, once a step as a rule."""
     low = (np.cumsum(weight)[:-1] / weight.sum()).clip(1e-3, 1 - 1e-3)
     cuts, n = np.log(low / (1 - low)), len(keys)
+
+    def seen(point):
+        found = losses(point) / weight.sum()
+        d_theta = found[1 + n:]
+        slope = np.concatenate((
+            found[1:1 + n] + DECAY * point[:n], [d_theta.sum()], np.exp(point[n + 1:]) * np.cumsum(d_theta[::-1])[::-1][1:]))
+        return found[0] + DECAY / 2 * point[:n] @ point[:n], slope
+
     # the thresholds are the first cut and the logarithms of the gaps after it, so their order can't change
     point = np.concatenate((np.zeros(n), cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-2))))
-    one, two = np.zeros_like(point), np.zeros_like(point)
-    for step in range(1, STEPS + 1):
-        found = slopes(point) / weight.sum()
-        d_theta = found[n:]
-        slope = np.concatenate((
-            found[:n] + DECAY * point[:n], [d_theta.sum()], np.exp(point[n + 1:]) * np.cumsum(d_theta[::-1])[::-1][1:]))
-        one, two = 0.9 * one + 0.1 * slope, 0.999 * two + 0.001 * slope * slope
-        point = point - RATE * (1 - step / (STEPS + 1)) * (one / (1 - 0.9 ** step)) / (np.sqrt(two / (1 - 0.999 ** step)) + 1e-8)
+    loss, slope = seen(point)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        if np.abs(slope).max() <= _FLAT:
+            break
+        d = _direction(slope, steps)
+        size = 1.0 if steps else 1 / max(np.abs(d).max(), 1.0)
+        for _ in range(20):
+            new, (new_loss, new_slope) = point + size * d, seen(point + size * d)
+            if new_loss <= loss + 1e-4 * size * (slope @ d):
+                break
+            size /= 4
+        else:
+            break
+        s, y = new - point, new_slope - slope
+        if s @ y > 1e-12:
+            steps = [*steps, (s, y)][-MEMORY:]
+        point, loss, slope = new, new_loss, new_slope
     weights = np.zeros(1 << BITS)
     weights[keys] = point[:n]
     return Ordinal(weights, _thresholds(point, n))
@@ -156,7 +193,7 @@ def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = 3) -> O
     common = having >= min(LEAST, len(rows))
     part = _narrowed(part, common)
     keys = np.flatnonzero(common)
-    return _descended(lambda point: _slopes([part], point, len(keys), grades), keys, weight)
+    return _descended(lambda point: _losses([part], point, len(keys), grades), keys, weight)
 
 
 def _quotas(counts: dict[int, int], sample: int) -> dict[int, int]:
@@ -239,8 +276,16 @@ def model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, grades: int
     keys = np.flatnonzero(common)
     n = len(keys)
     narrowed = parts.map(lambda part: _narrowed(part, common)).persist()
+
+    def losses(point):
+        told = docs.sparkSession.sparkContext.broadcast(point)
+        try:
+            return summed(narrowed, lambda it: (_losses(it, told.value, n, grades),))[0]
+        finally:
+            told.destroy()
+
     try:
-        return _descended(lambda point: summed(narrowed, lambda it: (_slopes(it, point, n, grades),))[0], keys, weight)
+        return _descended(losses, keys, weight)
     finally:
         narrowed.unpersist()
 
