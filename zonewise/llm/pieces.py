@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,13 +24,14 @@ SPACE = "▁"
 LONGEST = 256
 #: Words that every task holds with their ids, the most frequent ones; others are joined.
 DICTIONARY = 1_000_000
-#: Text that a bucket of the vocabulary gets on average.
-BUCKET_BYTES = 4 << 20
+#: Words of all parts, each part's different ones, that a bucket of the vocabulary gets on average.
+BUCKET_WORDS = 60_000
 _PART_BYTES = 2 << 20
 #: What a character without a piece of its own costs below the lowest score.
 UNKNOWN = 10.0
 #: Pieces of a model at most; its table is sent to every executor.
 MOST_PIECES = 1_000_000
+_STRETCH = re.compile(" *[^ ]+| +")
 _WORD = rf"{SPACE}*[^{SPACE}]+|{SPACE}+"
 _SEEDS = (42, xxhash.xxh64_intdigest(b"word", 42))
 
@@ -97,9 +98,32 @@ def words_of(text: str | None, pattern: re.Pattern) -> list[str]:
     return pattern.findall(signed(text or ""))
 
 
-def held_words(text: str | None, pattern: re.Pattern) -> list[str]:
-    """The words that meet the vocabulary; longer ones don't."""
-    return [w for w in words_of(text, pattern) if len(w) <= LONGEST]
+class Splitter:
+    """The words of some texts as numbers, in order of their first occurrence.
+
+    A text is cut at spaces first; each different stretch between them meets the pattern once. A text that holds the
+    space sign itself is split as a whole.
+    """
+
+    def __init__(self, pattern: str) -> None:
+        self.pattern, self.numbers, self.stretches = re.compile(pattern), {}, {}
+
+    def _known(self, words: list[str]) -> list[int]:
+        return [self.numbers.setdefault(w, len(self.numbers)) for w in words]
+
+    def split(self, text: str) -> list[int]:
+        if not text:
+            return []
+        if SPACE in text:
+            return self._known(words_of(text, self.pattern))
+        out: list[int] = []
+        stretches = self.stretches
+        for x in _STRETCH.findall(" " + text):
+            found = stretches.get(x)
+            if found is None:
+                found = stretches[x] = self._known(self.pattern.findall(x.replace(" ", SPACE)))
+            out += found
+        return out
 
 
 class LongWords:
@@ -145,68 +169,39 @@ class LongWords:
         return np.frombuffer(out, np.int32)[::-1]
 
 
-def _packed(words: list[str], counts: list[int]) -> bytes:
-    raw = [w.encode() for w in words]
-    return zstandard.compress(np.array([list(map(len, raw)), counts], np.int64).tobytes() + b"".join(raw), 3)
-
-
-def _unpacked(packed: bytes, size: int) -> tuple[list[bytes], list[int]]:
-    data = zstandard.decompress(packed)
-    sizes, counts = np.frombuffer(data[:16 * size], np.int64).reshape(2, size)
-    ends = (16 * size + np.cumsum(sizes)).tolist()
-    return [data[x:y] for x, y in zip([16 * size, *ends], ends)], counts.tolist()
+def parted(docs: DataFrame, model: Model) -> DataFrame:
+    """The texts as numbers of words, written as a table: a row for a part of the documents, of some 2 MB, with their
+    doc_ids, the number of words of each, its different words, how often they occur, and the sequence of all words as
+    compressed 32-bit numbers. A text is split here and nowhere else."""
+    T.small_batches(docs.sparkSession)
+    schema = pa.schema([("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("words", pa.list_(pa.string())),
+                        ("counts", pa.list_(pa.int64())), ("sequence", pa.binary())])
+    pattern = model.pattern
 
+    def one(batches):
+        for b in batches:
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+            for low, high in T.parts(sizes, _PART_BYTES):
+                part, splitter, sequence, lengths = b.slice(low, high - low), Splitter(pattern), array("i"), []
+                for t in part.column(1):
+                    before = len(sequence)
+                    sequence.extend(splitter.split(t.as_py() or ""))
+                    lengths.append(len(sequence) - before)
+                counts = np.bincount(np.frombuffer(sequence, np.int32), minlength=len(splitter.numbers))
+                yield T.batch(schema, [part.column(0).to_pylist()], [lengths], [list(splitter.numbers)], [counts],
+                              [zstandard.compress(sequence.tobytes(), 3)])
 
-def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
-    """(word, n): the different words of all texts, up to LONGEST characters, and how often they occur, dealt out by word.
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("t"))
+    parts = rows.mapInArrow(one, "ids array<bigint>, sizes array<bigint>, words array<string>, counts array<bigint>, sequence binary")
+    return checkpointed(parts.withColumn("part", F.monotonically_increasing_id()), "parts")
 
-    Each task counts its own words before they travel, packed by bucket; a bucket's words are counted where they
-    meet.
-    """
-    text = F.col("text").cast("string")
-    buckets = 8 + (docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // BUCKET_BYTES
-    sent = pa.schema([("bucket", pa.int64()), ("size", pa.int64()), ("packed", pa.binary())])
-    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
-    pattern_text = model.pattern
-
-    def out(seen):
-        words = np.array(list(seen), object)
-        counts = np.fromiter(seen.values(), np.int64, len(seen))
-        bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows = [
-            (k, int(y - x), _packed(words[order[x:y]].tolist(), counts[order[x:y]].tolist()))
-            for k, (x, y) in enumerate(zip(edges[:-1], edges[1:])) if y > x
-        ]
-        return T.batch(sent, *zip(*rows))
-
-    def count(batches):
-        pattern, seen = re.compile(pattern_text), Counter()
-        for b in batches:
-            for t in b.column(0):
-                seen.update(held_words(t.as_py(), pattern))
-                if len(seen) > 150_000:
-                    yield out(seen)
-                    seen = Counter()
-        if seen:
-            yield out(seen)
-
-    def merge(batches):
-        seen, bucket = Counter(), None
-        for b in batches:
-            for key, size, packed in zip(*(c.to_pylist() for c in b.columns[:2]), b.column(2)):
-                if key != bucket and seen:
-                    yield T.batch(schema, [w.decode() for w in seen], list(seen.values()))
-                    seen = Counter()
-                bucket = key
-                for w, n in zip(*_unpacked(packed.as_py(), size)):
-                    seen[w] += n
-        if seen:
-            yield T.batch(schema, [w.decode() for w in seen], list(seen.values()))
 
-    return docs.select(text).mapInArrow(count, "bucket bigint, size bigint, packed binary") \
-        .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "word string, n bigint").repartition(buckets, "word")
+def vocabulary(parts: DataFrame) -> DataFrame:
+    """(word, n): the different words of all parts, up to LONGEST characters, and how often they occur, dealt out by word."""
+    rows = parts.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select("x.words", "x.counts").toDF("word", "n")
+    found = rows.filter(F.char_length("word") <= LONGEST).groupBy("word").agg(F.sum("n").alias("n"))
+    size = parts.agg(F.sum(F.size("words"))).first()[0] or 0
+    return found.repartition(8 + size // BUCKET_WORDS, "word")
 
 
 def encoded(words: DataFrame, model: Model) -> DataFrame:
@@ -317,79 +312,90 @@ def _written(words: DataFrame) -> DataFrame:
         conf.set(name, before)
 
 
-def encode(docs: DataFrame, model: Model, size: int = DICTIONARY) -> DataFrame:
-    """Per document: doc_id, n_words, ids (array of piece ids).
+def encode(docs: DataFrame, model: Model, size: int = DICTIONARY, digests: bool = False) -> DataFrame:
+    """Per document: doc_id, n_words, ids (array of piece ids); with `digests` n_tokens, ids_sha256 and text_sha256 as
+    `with_digests` has them, made in the same pass.
 
-    Different words are encoded once each. Every task holds the most frequent words with their ids; the others that
-    a part of the documents, some of 2 MB, has meet the table of all words, and come back to that part, which
-    travels as one compressed row. Words of more than LONGEST characters are encoded where they occur. A null or empty
-    text has no ids; a word is encoded with the space signs before it. Repeated documents give a row each, rows
-    without an id too. Other columns are not read.
+    Texts become numbers of words once (`parted`), and different words are encoded once each. Every task holds the most
+    frequent words with their ids; the others that a part of the documents has meet the table of all words, and come
+    back to that part, whose sequences then take ids in place of numbers. Words of more than LONGEST characters
+    are encoded where they occur. A null or empty text has no ids; a word is encoded with the space signs before it.
+    Repeated documents give a row each, rows without an id too. Other columns are not read.
     """
-    spark = docs.sparkSession
-    T.small_batches(spark)
-    words = _written(encoded(vocabulary(docs, model), model))
+    context = docs.sparkSession.sparkContext
+    parts = parted(docs, model)
+    words = _written(encoded(vocabulary(parts), model))
     frequent, least = dictionary(words, size)
-    frequent, long_words = spark.sparkContext.broadcast(frequent), spark.sparkContext.broadcast(LongWords(model))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("t"))
-    pattern_text = model.pattern
-
-    def parts(batches):
-        """Texts of about _PART_BYTES, with a number that follows from what they hold."""
-        for b in batches:
-            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
-            for low, high in T.parts(sizes, _PART_BYTES):
-                part = b.slice(low, high - low)
-                ids, texts = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
-                mark = xxhash.xxh64(repr(ids).encode())
-                for t in texts:
-                    mark.update(f"{len(t)} ".encode())
-                    mark.update(t.encode())
-                yield mark.intdigest() - (1 << 63), ids, texts
-
-    rare_schema = pa.schema([("part", pa.int64()), ("word", pa.string())])
-    sent_schema = pa.schema([("part", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("texts", pa.binary())])
+    frequent, long_words = context.broadcast(frequent), context.broadcast(LongWords(model))
+    rare_schema = pa.schema([("part", pa.int64()), ("at", pa.int32()), ("word", pa.string())])
 
     def rare(batches):
-        pattern = re.compile(pattern_text)
-        for mark, _, texts in parts(batches):
-            seen = list({w for t in texts for w in held_words(t, pattern)})
-            known = frequent.value.find(seen)
-            left = [w for w in seen if w not in known]
-            if left:
-                yield T.batch(rare_schema, [mark] * len(left), left)
-
-    def send(batches):
-        for mark, ids, texts in parts(batches):
-            raw = [t.encode() for t in texts]
-            yield T.batch(sent_schema, [mark], [ids], [list(map(len, raw))], [zstandard.compress(b"".join(raw), 6)])
-
-    wanted = rows.mapInArrow(rare, "part bigint, word string")
+        for b in batches:
+            for part, words in zip(b.column(0).to_pylist(), b.column(1)):
+                words = words.as_py()
+                known = frequent.value.find(words)
+                left = [k for k, w in enumerate(words) if w not in known and len(w) <= LONGEST]
+                if left:
+                    yield T.batch(rare_schema, [part] * len(left), left, [words[k] for k in left])
+
+    wanted = parts.select("part", "words").mapInArrow(rare, "part bigint, at int, word string")
     own = wanted.join(words.filter(~frequent_enough(least)).select("word", "ids"), "word") \
-        .groupBy("part").agg(F.collect_list(F.struct("word", "ids")).alias("own"))
-    sent = rows.mapInArrow(send, "part bigint, ids array<bigint>, sizes array<int>, texts binary")
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("ids", pa.list_(pa.int32()))])
+        .groupBy("part").agg(F.collect_list(F.struct("at", "ids")).alias("own"))
+    fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("ids", pa.list_(pa.int32()))]
+    if digests:
+        fields[2:2] = [("n_tokens", pa.int64())]
+        fields += [("ids_sha256", pa.string()), ("text_sha256", pa.string())]
+    schema, texts = pa.schema(fields), model.texts
 
     def finish(batches):
-        pattern = re.compile(pattern_text)
         for b in batches:
-            for ids, sizes, packed, own in zip(*b.columns):
-                raw, ends = zstandard.decompress(packed.as_py()), np.cumsum([0, *sizes.as_py()]).tolist()
-                texts = [raw[x:y].decode() for x, y in zip(ends[:-1], ends[1:])]
-                found = [words_of(t, pattern) for t in texts]
-                seen = set().union(*found)
-                known = frequent.value.find([w for w in seen if len(w) <= LONGEST])
-                known |= {w: long_words.value.ids(w).tobytes() for w in seen if len(w) > LONGEST}
+            for ids, sizes, words, packed, own in zip(*b.columns):
+                words = words.as_py()
+                known = frequent.value.find(words)
+                of = [known.get(w) for w in words]
+                for k, w in enumerate(words):
+                    if len(w) > LONGEST:
+                        of[k] = long_words.value.ids(w).tobytes()
                 if own.is_valid:
-                    for w in own:
-                        known[w["word"].as_py()] = w["ids"].values.to_numpy().astype(np.int32).tobytes()
-                for low in range(0, len(found), 200):
-                    some = found[low:low + 200]
-                    yield T.batch(schema, ids.values[low:low + 200], [len(f) for f in some],
-                                  [np.frombuffer(b"".join([known[w] for w in f]), np.int32) for f in some])
-
-    both = sent.join(own, "part", "left").select("ids", "sizes", "texts", "own")
-    return both.mapInArrow(finish, "doc_id bigint, n_words bigint, ids array<int>")
+                    found = own.values
+                    at, rare_ids = found.field("at").to_pylist(), found.field("ids")
+                    for k, x in zip(at, rare_ids):
+                        of[k] = x.values.to_numpy().astype(np.int32).tobytes()
+                flat, counts = np.frombuffer(b"".join(of), np.int32), np.array([len(x) // 4 for x in of], np.int64)
+                sequence = np.frombuffer(zstandard.decompress(packed.as_py()), np.int32)
+                yield from _finished(schema, ids.values, np.array(sizes.as_py(), np.int64), sequence, flat, counts, texts)
+
+    both = parts.join(own, "part", "left").select("ids", "sizes", "words", "sequence", "own")
+    return both.mapInArrow(finish, "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>, ids_sha256 string, text_sha256 string"
+                           if digests else "doc_id bigint, n_words bigint, ids array<int>")
+
+
+def _finished(schema: pa.Schema, docs: pa.Array, sizes: np.ndarray, sequence: np.ndarray, flat: np.ndarray, counts: np.ndarray,
+              texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """The rows of a part: `flat` has the ids of its words, `counts` of each, which the sequence asks for."""
+    digests, starts = len(schema) > 3, np.cumsum(counts) - counts
+    if digests:
+        numbers = [",".join(map(str, flat[a:a + n].tolist())) for a, n in zip(starts.tolist(), counts.tolist())]
+        spelled = [b"".join([texts[i] for i in flat[a:a + n].tolist()]) for a, n in zip(starts.tolist(), counts.tolist())]
+    ends = np.cumsum(sizes)
+    for low in range(0, len(sizes), 200):
+        some = sequence[ends[low] - sizes[low]:ends[min(low + 200, len(sizes)) - 1]]
+        many = counts[some]
+        offsets = np.concatenate(([0], np.cumsum(many)))
+        ids = flat[np.repeat(starts[some] - offsets[:-1], many) + np.arange(offsets[-1])]
+        borders = np.concatenate(([0], np.cumsum(sizes[low:low + 200])))
+        lists = pa.ListArray.from_arrays(pa.array(offsets[borders], pa.int32()), pa.array(ids, pa.int32()))
+        columns = [docs[low:low + 200], sizes[low:low + 200], lists]
+        if digests:
+            columns[2:2] = [np.diff(offsets[borders])]
+            listed, hashes = some.tolist(), ([], [])
+            for x, y in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                mine = listed[x:y]
+                hashes[0].append(hashlib.sha256(",".join([numbers[w] for w in mine]).encode()).hexdigest())
+                text = b"".join([spelled[w] for w in mine])
+                hashes[1].append(hashlib.sha256((text[1:] if text[:1] == b" " else text).decode(errors="replace").encode()).hexdigest())
+            columns += hashes
+        yield T.batch(schema, *columns)
 
 
 def decoded(ids: list[int] | np.ndarray, texts: list[bytes]) -> str:

@@ -190,7 +190,7 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 @registry.add()
 def op5_sentencepiece(spark, sf_dir, tokenizer: str = TOKENIZER):
     model = pieces.load(tokenizer)
-    return pieces.with_digests(pieces.encode(table(spark, sf_dir, "documents"), model), model).drop("ids")
+    return pieces.encode(table(spark, sf_dir, "documents"), model, digests=True).drop("ids")
 
 
 OP11_SQL = r"""
