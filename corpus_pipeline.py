@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_words, n_tokens, ids, and text_sha256 of the text that the ids decode to."""
     model = pieces.load(TOKENIZER)
-    return pieces.with_digests(pieces.encode(docs, model), model).select("doc_id", "n_words", "n_tokens", "ids", "text_sha256")
+    return pieces.encode(docs, model, digests=True).select("doc_id", "n_words", "n_tokens", "ids", "text_sha256")
 
 
 STAGES = [
