@@ -17,6 +17,11 @@ from zonewise.llm.order import numbered
 from zonewise.session import checkpointed
 
 BUCKETS, PERCENT, LEAST_WORDS, SEED = 10_000, 25, 20, 7
+#: Text whose n-grams are interned together.
+PART_BYTES = 1 << 20
+_ROWS = pa.schema([("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("buckets", pa.binary()),
+                   ("of", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
+_ROWS_DDL = "ids array<bigint>, sizes array<bigint>, buckets binary, of array<int>, counts array<bigint>"
 
 
 class Interned:
@@ -29,10 +34,10 @@ class Interned:
 
     def __init__(self, data: bytes, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, buckets: int) -> None:
         size = 1 << max(4, (2 * len(keys)).bit_length())
-        owner = np.full(size, -1, np.int64)
-        self.slot = np.zeros(len(keys), np.int64)
+        owner = np.full(size, -1, np.int32)
+        self.slot = np.zeros(len(keys), np.int32)
         lanes = np.lib.stride_tricks.as_strided(np.frombuffer(data + bytes(8), np.uint8), (len(data) + 1, 8), (1, 1))
-        open_, at = np.arange(len(keys)), (keys & np.uint64(size - 1)).astype(np.int64)
+        open_, at = np.arange(len(keys), dtype=np.int32), (keys & np.uint64(size - 1)).astype(np.int32)
         while len(open_):
             free = owner[at] < 0
             owner[at[free]] = open_[free]
@@ -44,8 +49,8 @@ class Interned:
         used = np.flatnonzero(owner >= 0)
         first = owner[used]
         self.count = np.bincount(self.slot, minlength=size)
-        self.bucket = np.zeros(size, np.int64)
-        self.bucket[used] = [zlib.crc32(data[a:b]) % buckets for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        self.bucket = np.zeros(size, np.uint16)
+        self.bucket[used] = np.array([zlib.crc32(data[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())], np.int64) % buckets
 
     @staticmethod
     def _equal(lanes: np.ndarray, starts: np.ndarray, ends: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -74,7 +79,7 @@ def _stretches(texts: list[bytes | None]) -> Iterator[list[tuple[int, list[bytes
                 held.append((row, last + words, len(last)))
                 last = words[-1:]
             total += len(piece)
-            if total >= T.PART_BYTES:
+            if total >= PART_BYTES:
                 yield held
                 held, total = [], 0
     yield held
@@ -101,23 +106,39 @@ def _features(stretch: list[tuple[int, list[bytes], int]], buckets: int) -> tupl
     return found, np.concatenate((rows[one], rows[two]))
 
 
-def bucket_counts(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -> dict[int, int]:
-    """Occurrences of features by bucket. A task sums its own; the driver gets a number for each bucket."""
+def hashed(docs: DataFrame, doc_id: str | None = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """The features of all texts, written as a table: for some documents at a time their ids, numbers of features and
+    the bucket of every feature in two bytes; and a row of bucket counts for each task. A text is split here and
+    nowhere else."""
+    if buckets > 1 << 16:
+        raise ValueError("a bucket takes two bytes")
     T.small_batches(docs.sparkSession)
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 
     def one(batches):
         counts = np.zeros(buckets, np.int64)
         for b in batches:
-            for stretch in _stretches(b.column(0).to_pylist()):
+            rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
+            for stretch in _stretches(b.column(1).to_pylist()):
                 if stretch:
-                    found, _ = _features(stretch, buckets)
+                    interned, at = _features(stretch, buckets)
                     # counts are below 2^53, so sums in doubles are exact
-                    counts += np.bincount(found.bucket, found.count, buckets).astype(np.int64)
-        yield T.batch(schema, np.flatnonzero(counts).astype(np.int32), counts[counts > 0])
+                    counts += np.bincount(interned.bucket, interned.count, buckets).astype(np.int64)
+                    rows.append(at)
+                    found.append(interned.bucket[interned.slot])
+            at, of = np.concatenate(rows), np.concatenate(found)
+            order = np.argsort(at, kind="stable")
+            yield T.batch(_ROWS, [b.column(0).to_pylist()], [np.bincount(at, minlength=b.num_rows)], [of[order].tobytes()], [None], [None])
+        yield T.batch(_ROWS, [None], [None], [None], [np.flatnonzero(counts).astype(np.int32)], [counts[counts > 0]])
+
+    id_column = F.col(doc_id) if doc_id else F.lit(None)
+    rows = docs.select(id_column.cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("t"))
+    return checkpointed(rows.mapInArrow(one, _ROWS_DDL), "features")
 
-    rows = docs.select(F.col(text).cast("binary").alias("t")).mapInArrow(one, "bucket int, n bigint")
-    return {r.bucket: r.n for r in rows.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+
+def bucket_counts(features: DataFrame) -> dict[int, int]:
+    """Occurrences by bucket of `hashed` features. The driver gets a number for each bucket."""
+    rows = features.select(F.explode(F.arrays_zip("of", "counts")).alias("x")).groupBy("x.of").agg(F.sum("x.counts").alias("n"))
+    return {r.of: r.n for r in rows.collect()}
 
 
 def gains(source: dict[int, int], target: dict[int, int], buckets: int = BUCKETS) -> np.ndarray:
@@ -127,23 +148,21 @@ def gains(source: dict[int, int], target: dict[int, int], buckets: int = BUCKETS
                      for k in range(buckets)], np.int64)
 
 
-def weighted(docs: DataFrame, gain: np.ndarray, text: str = "text") -> DataFrame:
+def weighted(features: DataFrame, gain: np.ndarray) -> DataFrame:
     """(doc_id, n_words, n_features, weight): the mean gain of a document's features, rounded down; 0 without any."""
-    T.small_batches(docs.sparkSession)
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_words", "n_features", "weight")])
 
     def one(batches):
         for b in batches:
-            total, n = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
-            for stretch in _stretches(b.column(1).to_pylist()):
-                if stretch:
-                    found, rows = _features(stretch, len(gain))
-                    # a stretch's sums are whole numbers far below 2^53, so their doubles are exact
-                    total += np.bincount(rows, gain[found.bucket][found.slot], b.num_rows).astype(np.int64)
-                    n += np.bincount(rows, minlength=b.num_rows)
-            yield T.batch(schema, b.column(0), (n + 1) // 2, n, total // np.maximum(n, 1))
-
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("t")).mapInArrow(
+            for ids, sizes, buckets in zip(*b.columns):
+                n, reach = np.array(sizes.as_py(), np.int64), np.frombuffer(buckets.as_py(), np.uint16)
+                sums = np.concatenate(([0], np.cumsum(gain[reach])))
+                ends = np.cumsum(n)
+                total = sums[ends] - sums[ends - n]
+                # features are words and the pairs between them
+                yield T.batch(schema, ids.values, (n + 1) // 2, n, total // np.maximum(n, 1))
+
+    return features.filter("buckets IS NOT NULL").select("ids", "sizes", "buckets").mapInArrow(
         one, "doc_id bigint, n_words bigint, n_features bigint, weight bigint")
 
 
@@ -166,9 +185,10 @@ def resampled(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least:
     noise is that of an empty id. Repeated rows are rows of their own. Other columns are not read. An empty target
     or table is fine.
     """
-    gain = gains(bucket_counts(docs), bucket_counts(target))
+    features = hashed(docs)
+    gain = gains(bucket_counts(features), bucket_counts(hashed(target, None)))
     score = F.col("weight") + noise(F.col("doc_id"), seed)
-    rows = checkpointed(weighted(docs, gain).withColumn("score", score), "weights")
+    rows = checkpointed(weighted(features, gain).withColumn("score", score), "weights")
     able = F.col("n_words") >= least
     quota = rows.filter(able).count() * percent // 100
     ranked = numbered(rows.filter(able), [F.col("score").desc(), F.col("doc_id").asc_nulls_last()])
