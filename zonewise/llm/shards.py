@@ -11,6 +11,19 @@ from zonewise.session import checkpointed
 SHARDS, ROUNDS = 16, 12
 #: Hubs of more than a quota's share 1 / _LARGE move member by member, others as one.
 _LARGE = 32
+#: Rounds may fill a shard by 1 / _SLACK beyond its quota; what is too much leaves it in the end.
+_SLACK = 8
+#: A key with more than this share of all rows is met by broadcast; there are fewer such keys than 1 / _HOT.
+_HOT = 0.001
+
+
+def _met(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """`rows` joined with `table`, which has a row for each of the keys and in `size` how many rows have it. No task
+    gets all rows of a frequent key."""
+    large = F.col(size) > _HOT * total
+    hot = table.filter(large)
+    apart = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.filter(~large), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(apart)
 
 
 def quotas(rows: int, shards: int) -> list[int]:
@@ -51,25 +64,30 @@ def propagated(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Data
     A hub stands for documents that are linked to each other, so its links are as many as its members and not as
     their pairs; a link of two is a hub of two. Each round counts every hub's members by shard and tells them to the
     members; a member wants the shard of most members that it is linked to, itself included, among its own and those
-    that aren't full, ties by a hash of the hub. The moves between shards, a table of shards x shards, are granted
+    that aren't full, ties by a hash of the hub; from a full shard it goes where other members are. The moves between shards, a table of shards x shards, are granted
     within the quotas, and made by hubs as far as these are small. `pick` is a number of the node that decides
     which members of a large hub move. A hub may hold most of the links: its counts are made before the shuffle, and
-    Spark splits the join that tells them, whose one side has a row a hub.
+    its members are told of them without one.
     """
     n, low = len(quota), min(quota)
     votes = [f"v{k}" for k in range(n)]
     links = checkpointed(links, "links")
+    total = links.count()
     for turn in range(rounds):
         held = dict(links.select("node", "shard").distinct().groupBy("shard").count().collect())
-        room = [quota[k] - held.get(k, 0) for k in range(n)]
-        hubs = links.groupBy("hub").agg(*[F.sum((F.col("shard") == k).cast("bigint")).alias(v) for k, v in enumerate(votes)])
-        told = links.join(hubs, "hub").groupBy("node", "pick", "shard").agg(F.min("hub").alias("first"), *[F.sum(v).alias(v) for v in votes])
-        # a full shard is no aim
-        aims = F.array(*[F.struct(
-            F.when((F.col("shard") == k) | F.lit(room[k] > 0), F.col(v)).otherwise(-1).alias("votes"),
-            F.xxhash64("first", F.lit(k)).alias("tie"), F.lit(k).alias("to")) for k, v in enumerate(votes)])
-        told = told.withColumn("aim", F.array_max(aims)).filter("aim.to != shard AND aim.votes > 0")
-        told = checkpointed(told.select("node", "pick", "first", "shard", F.col("aim.to").alias("to"), "aim.votes"), "aims")
+        room = [quota[k] + quota[k] // _SLACK + 1 - held.get(k, 0) for k in range(n)]
+        hubs = links.groupBy("hub").agg(F.count("*").alias("size"), *[F.sum((F.col("shard") == k).cast("bigint")).alias(v) for k, v in enumerate(votes)])
+        told = _met(links, checkpointed(hubs, "hubs"), ["hub"], "size", total).groupBy("node", "pick", "shard").agg(F.min("hub").alias("first"), *[F.sum(v).alias(v) for v in votes])
+        # a full shard is no aim, and small hubs leave it if they have members elsewhere
+        large = sum((F.col(v) for v in votes[1:]), F.col(votes[0])) * _LARGE > low
+
+        def aim(k: int, v: str) -> Column:
+            open_ = F.lit(room[k] > 0)
+            rank = F.when(F.col("shard") == k, F.when(open_ | large, 1).otherwise(0)).when(open_ & (F.col(v) > 0), 1).otherwise(-1)
+            return F.struct(rank.alias("rank"), F.col(v).alias("votes"), F.xxhash64("first", F.lit(k)).alias("tie"), F.lit(k).alias("to"))
+
+        told = told.withColumns({"aim": F.array_max(F.array(*[aim(k, v) for k, v in enumerate(votes)])), "large": large})
+        told = checkpointed(told.filter("aim.to != shard").select("node", "pick", "first", "shard", F.col("aim.to").alias("to"), "large"), "aims")
         wanted = [[0] * n for _ in range(n)]
         for r in told.groupBy("shard", "to").count().collect():
             wanted[r["shard"]][r["to"]] = r["count"]
@@ -77,8 +95,7 @@ def propagated(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Data
         if not any(map(any, wanted)):
             break
         at = F.array(*[F.array(*[F.lit(x) for x in row]) for row in share])
-        whole = F.col("votes") * _LARGE <= low
-        luck = F.when(whole, _uniform(F.col("first"), turn)).otherwise(_uniform(F.col("pick"), turn))
+        luck = F.when(F.col("large"), _uniform(F.col("pick"), turn)).otherwise(_uniform(F.col("first"), turn))
         moves = told.filter(luck < F.element_at(F.element_at(at, F.col("shard") + 1), F.col("to") + 1)).select("node", "to")
         links = checkpointed(links.join(moves, "node", "left").select(
             "hub", "node", "pick", F.coalesce("to", "shard").cast("int").alias("shard")), "links")
@@ -102,10 +119,12 @@ def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, doc_id:
     rows = checkpointed(rows.withColumns({
         "node": F.monotonically_increasing_id(), "pick": F.xxhash64("doc_id", "a"),
         "shard": F.pmod(F.xxhash64("doc_id", "b"), F.lit(shards)).cast("int")}), "rows")
-    quota = quotas(rows.count(), shards)
-    groups = rows.groupBy("a", "b").agg(F.min("node").alias("hub"), F.count("*").alias("_n")).filter("_n > 1")
-    links = propagated(rows.join(groups, ["a", "b"]).select("hub", "node", "pick", "shard"), quota, rounds)
-    kept = numbered(checkpointed(links.groupBy("hub", "shard").agg(F.count("*").alias("together")).join(links, ["hub", "shard"]), "linked"),
+    total = rows.count()
+    quota = quotas(total, shards)
+    groups = checkpointed(rows.groupBy("a", "b").agg(F.min("node").alias("hub"), F.count("*").alias("size_of")).filter("size_of > 1"), "groups")
+    links = propagated(_met(rows, groups, ["a", "b"], "size_of", total).select("hub", "node", "pick", "shard"), quota, rounds)
+    parts = checkpointed(links.groupBy("hub", "shard").agg(F.count("*").alias("together")), "parts")
+    kept = numbered(checkpointed(_met(links, parts, ["hub", "shard"], "together", total), "linked"),
                     [F.col("together").desc(), F.col("hub"), F.col("pick"), F.col("node")], by="shard")
     limit = F.element_at(F.array(*[F.lit(q).cast("bigint") for q in quota]), F.col("shard") + 1)
     kept = checkpointed(kept.filter(F.col("place") < limit).select("node", F.col("shard").alias("home")), "kept")
