@@ -546,12 +546,20 @@ def test_long_words_are_encoded_whole(spark, model, size):
 
 @pytest.mark.parametrize("text", ["a  b", " a", "a ", "  ", "a▁b", "a▁ b▁", "▁", "don't.stop  x9 y!\n\n z", "", "é½ 漢字  \t", "a▁▁b  c"])
 def test_a_split_text_has_the_words_of_the_pattern(model, text):
-    splitter = pieces.Splitter(model.pattern)
+    splitter = pieces.Splitter(re.compile(model.pattern))
     numbers = splitter.split("some words " + text) + splitter.split(text)
     words = list(splitter.numbers)
     assert [words[n] for n in numbers] == pieces.words_of("some words " + text, splitter.pattern) + pieces.words_of(text, splitter.pattern)
 
 
+@pytest.mark.parametrize("most", [0, 1, 255, 256, 70_000, 1 << 25])
+def test_numbers_and_words_come_back_from_their_packs(most):
+    numbers = np.array([most, 0, most // 2] * 5)
+    assert (pieces._unpacked(pieces._packed(numbers)) == numbers).all() and not len(pieces._unpacked(pieces._packed(numbers[:0])))
+    words = ["▁a", "", "漢字", "x" * (most % 1000), "\x00"]
+    assert pieces._words_unpacked(pieces._words_packed(words)) == words and pieces._words_unpacked(pieces._words_packed([])) == []
+
+
 def test_digests_in_one_pass_are_those_of_the_ids(spark, model):
     docs = documents(spark, odd_texts(12) + [(90, "a" * 700), (91, "▁ literal ▁"), (None, "漢 𝄞")])
     one = pieces.encode(docs, model, digests=True)

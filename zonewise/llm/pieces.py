@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,8 +25,8 @@ SPACE = "▁"
 LONGEST = 256
 #: Words that every task holds with their ids, the most frequent ones; others are joined.
 DICTIONARY = 1_000_000
-#: Words of all parts, each part's different ones, that a bucket of the vocabulary gets on average.
-BUCKET_WORDS = 60_000
+#: Packed words of all parts, each part's different ones, that a bucket of the vocabulary gets on average.
+BUCKET_BYTES = 1 << 18
 _PART_BYTES = 2 << 20
 #: What a character without a piece of its own costs below the lowest score.
 UNKNOWN = 10.0
@@ -101,12 +102,12 @@ def words_of(text: str | None, pattern: re.Pattern) -> list[str]:
 class Splitter:
     """The words of some texts as numbers, in order of their first occurrence.
 
-    A text is cut at spaces first; each different stretch between them meets the pattern once. A text that holds the
-    space sign itself is split as a whole.
+    A text is cut at spaces first; each different stretch between them meets the pattern once, as long as `met`
+    remembers it. A text that holds the space sign itself is split as a whole.
     """
 
-    def __init__(self, pattern: str) -> None:
-        self.pattern, self.numbers, self.stretches = re.compile(pattern), {}, {}
+    def __init__(self, pattern: re.Pattern, met: dict[str, list[str]] | None = None) -> None:
+        self.pattern, self.numbers, self.stretches, self.met = pattern, {}, {}, {} if met is None else met
 
     def _known(self, words: list[str]) -> list[int]:
         return [self.numbers.setdefault(w, len(self.numbers)) for w in words]
@@ -121,7 +122,12 @@ class Splitter:
         for x in _STRETCH.findall(" " + text):
             found = stretches.get(x)
             if found is None:
-                found = stretches[x] = self._known(self.pattern.findall(x.replace(" ", SPACE)))
+                words = self.met.get(x)
+                if words is None:
+                    words = self.pattern.findall(x.replace(" ", SPACE))
+                    if len(x) <= 32:
+                        self.met[x] = words
+                found = stretches[x] = self._known(words)
             out += found
         return out
 
@@ -169,39 +175,82 @@ class LongWords:
         return np.frombuffer(out, np.int32)[::-1]
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 in the bytes that they need, lowest bytes first, compressed."""
+    width = max((int(numbers.max(initial=0)).bit_length() + 7) // 8, 1)
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
+    return bytes([width]) + zstandard.compress(np.ascontiguousarray(planes.T).tobytes(), 6)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    width, planes = packed[0], np.frombuffer(zstandard.decompress(packed[1:]), np.uint8)
+    out = np.zeros((len(planes) // width, 4), np.uint8)
+    out[:, :width] = planes.reshape(width, -1).T
+    return out.view("<u4")[:, 0].astype(np.int64)
+
+
+def _words_packed(words: list[str]) -> bytes:
+    raw = [w.encode() for w in words]
+    sizes = _packed(np.array(list(map(len, raw)), np.int64))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(raw), 6)
+
+
+def _words_unpacked(packed: bytes) -> list[str]:
+    at = 4 + int.from_bytes(packed[:4], "little")
+    ends, text = np.cumsum(_unpacked(packed[4:at])).tolist(), zstandard.decompress(packed[at:])
+    return [text[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
 def parted(docs: DataFrame, model: Model) -> DataFrame:
     """The texts as numbers of words, written as a table: a row for a part of the documents, of some 2 MB, with their
-    doc_ids, the number of words of each, its different words, how often they occur, and the sequence of all words as
-    compressed 32-bit numbers. A text is split here and nowhere else."""
+    doc_ids, the number of words of each, and packed its different words, how often they occur, and the sequence of all
+    words. A text is split here and nowhere else."""
     T.small_batches(docs.sparkSession)
-    schema = pa.schema([("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("words", pa.list_(pa.string())),
-                        ("counts", pa.list_(pa.int64())), ("sequence", pa.binary())])
-    pattern = model.pattern
+    schema = pa.schema([("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
+                        ("sequence", pa.binary())])
+    pattern_text = model.pattern
 
     def one(batches):
+        pattern, met = re.compile(pattern_text), {}
         for b in batches:
             sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
             for low, high in T.parts(sizes, _PART_BYTES):
-                part, splitter, sequence, lengths = b.slice(low, high - low), Splitter(pattern), array("i"), []
+                part, splitter, sequence, lengths = b.slice(low, high - low), Splitter(pattern, met), array("i"), []
                 for t in part.column(1):
                     before = len(sequence)
                     sequence.extend(splitter.split(t.as_py() or ""))
                     lengths.append(len(sequence) - before)
-                counts = np.bincount(np.frombuffer(sequence, np.int32), minlength=len(splitter.numbers))
-                yield T.batch(schema, [part.column(0).to_pylist()], [lengths], [list(splitter.numbers)], [counts],
-                              [zstandard.compress(sequence.tobytes(), 3)])
+                numbers = np.frombuffer(sequence, np.int32)
+                yield T.batch(schema, [part.column(0).to_pylist()], [_packed(np.array(lengths, np.int64))], [_words_packed(list(splitter.numbers))],
+                              [_packed(np.bincount(numbers, minlength=len(splitter.numbers)))], [_packed(numbers)])
+                if len(met) > 400_000:
+                    met.clear()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("t"))
-    parts = rows.mapInArrow(one, "ids array<bigint>, sizes array<bigint>, words array<string>, counts array<bigint>, sequence binary")
+    parts = rows.mapInArrow(one, "ids array<bigint>, sizes binary, words binary, counts binary, sequence binary")
     return checkpointed(parts.withColumn("part", F.monotonically_increasing_id()), "parts")
 
 
 def vocabulary(parts: DataFrame) -> DataFrame:
-    """(word, n): the different words of all parts, up to LONGEST characters, and how often they occur, dealt out by word."""
-    rows = parts.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select("x.words", "x.counts").toDF("word", "n")
-    found = rows.filter(F.char_length("word") <= LONGEST).groupBy("word").agg(F.sum("n").alias("n"))
-    size = parts.agg(F.sum(F.size("words"))).first()[0] or 0
-    return found.repartition(8 + size // BUCKET_WORDS, "word")
+    """(word, n): the different words of all parts, up to LONGEST characters, and how often they occur, dealt out by
+    word. Each task adds up its own counts before they travel."""
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def one(batches):
+        seen: Counter = Counter()
+        for b in batches:
+            for words, counts in zip(b.column(0), b.column(1)):
+                for w, n in zip(_words_unpacked(words.as_py()), _unpacked(counts.as_py()).tolist()):
+                    if len(w) <= LONGEST:
+                        seen[w] += n
+                if len(seen) > 300_000:
+                    yield T.batch(schema, list(seen), list(seen.values()))
+                    seen = Counter()
+        yield T.batch(schema, list(seen), list(seen.values()))
+
+    size = parts.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    rows = parts.select("words", "counts").mapInArrow(one, "word string, n bigint")
+    return rows.repartition(8 + size // BUCKET_BYTES, "word").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encoded(words: DataFrame, model: Model) -> DataFrame:
@@ -332,7 +381,7 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY, digests: bool
     def rare(batches):
         for b in batches:
             for part, words in zip(b.column(0).to_pylist(), b.column(1)):
-                words = words.as_py()
+                words = _words_unpacked(words.as_py())
                 known = frequent.value.find(words)
                 left = [k for k, w in enumerate(words) if w not in known and len(w) <= LONGEST]
                 if left:
@@ -350,7 +399,7 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY, digests: bool
     def finish(batches):
         for b in batches:
             for ids, sizes, words, packed, own in zip(*b.columns):
-                words = words.as_py()
+                words = _words_unpacked(words.as_py())
                 known = frequent.value.find(words)
                 of = [known.get(w) for w in words]
                 for k, w in enumerate(words):
@@ -362,8 +411,7 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY, digests: bool
                     for k, x in zip(at, rare_ids):
                         of[k] = x.values.to_numpy().astype(np.int32).tobytes()
                 flat, counts = np.frombuffer(b"".join(of), np.int32), np.array([len(x) // 4 for x in of], np.int64)
-                sequence = np.frombuffer(zstandard.decompress(packed.as_py()), np.int32)
-                yield from _finished(schema, ids.values, np.array(sizes.as_py(), np.int64), sequence, flat, counts, texts)
+                yield from _finished(schema, ids.values, _unpacked(sizes.as_py()), _unpacked(packed.as_py()), flat, counts, texts)
 
     both = parts.join(own, "part", "left").select("ids", "sizes", "words", "sequence", "own")
     return both.mapInArrow(finish, "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>, ids_sha256 string, text_sha256 string"
