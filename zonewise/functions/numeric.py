@@ -93,7 +93,7 @@ def not_nan(col: Column) -> Column:
     return F.when(~F.isnan(col), col)
 
 
-_PART = float(2 ** 26)
+PART = float(2 ** 26)
 
 
 def sum_parts(col: Column) -> list[Column]:
@@ -103,13 +103,13 @@ def sum_parts(col: Column) -> list[Column]:
     in which rows or partial sums meet.
     """
     col = not_nan(col)
-    rest = (col - F.floor(col).cast("double")) * F.lit(_PART)
-    return [F.floor(col), F.floor(rest), F.floor((rest - F.floor(rest).cast("double")) * F.lit(_PART))]
+    rest = (col - F.floor(col).cast("double")) * F.lit(PART)
+    return [F.floor(col), F.floor(rest), F.floor((rest - F.floor(rest).cast("double")) * F.lit(PART))]
 
 
 def joined_sum(whole: Column, middle: Column, low: Column) -> Column:
     """The sum whose parts were added up apart."""
-    return whole.cast("double") + (middle.cast("double") + low.cast("double") / F.lit(_PART)) / F.lit(_PART)
+    return whole.cast("double") + (middle.cast("double") + low.cast("double") / F.lit(PART)) / F.lit(PART)
 
 
 def exact_mean(col: Column) -> Column:

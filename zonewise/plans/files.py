@@ -11,7 +11,8 @@ from zonewise.plans import Registry, common, sql
 from zonewise.plans.zones import NEAREST_SQL
 from zonewise.session import scratch_path
 from zonewise.sinks import files as sink
-from zonewise.sinks.tables import LatestTable, write_snapshot
+from zonewise.sinks.tables import write_snapshot
+from zonewise.streaming.state import newest_rows, stored
 from zonewise.sources import feeds, files
 
 registry = Registry()
@@ -291,16 +292,18 @@ _ALL_SPEEDS = f"(SELECT zone_id, {sql.mean('speed_kmh')} AS avg_speed FROM traff
 def latest_table(spark, sf_dir):
     """Two batches of zone means: the second only has fast zones, the others keep their first value."""
     traffic = feeds.traffic(feeds.events(spark, sf_dir))
-    schema = schemas.struct(zone_id=schemas._S, avg_speed=schemas._D)
-    table = LatestTable(spark, scratch_path(spark, "latest"), schema, ("zone_id",), 86_400)
-
-    def means(rows):
-        return rows.groupBy("zone_id").agg(exact_mean(F.col("speed_kmh")).alias("avg_speed"))
-
-    table.upsert(means(traffic), "traffic", 0)
-    table.compact("traffic", 0)
-    table.upsert(means(traffic.filter(F.col("speed_kmh") > 150)), "traffic", 1)
-    return table.read().select("zone_id", "avg_speed")
+    root = scratch_path(spark, "latest")
+
+    def send(rows, time):
+        means = rows.groupBy("zone_id").agg(exact_mean(F.col("speed_kmh")).alias("avg_speed"))
+        means.select("*", F.lit(time).cast("timestamp").alias("at")).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    send(traffic, "2024-01-01 00:00:00")
+    send(traffic.filter(F.col("speed_kmh") > 150), "2024-01-01 00:00:30")
+    stream = spark.readStream.schema("zone_id string, avg_speed double, at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    newest_rows(stream, ["zone_id"], "at", ttl_seconds=300).writeStream.outputMode("update").format("noop") \
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return stored(spark, f"{root}/checkpoint", "newest").select("zone_id", "avg_speed")
 
 
 @registry.add(sql.query("SELECT zone_id, day, zone_score FROM scored", sql.state("day")))

@@ -65,20 +65,22 @@ EVENTS = T.StructType([
     T.StructField("props", _S),
 ])
 
-# state tables of the streaming queries
-TRAFFIC_STATE = struct(zone_id=_S, avg_speed=_D, borough=_S, n_rows=_L)
-POLLUTION_STATE = struct(zone_id=_S, avg_aqi=_D, avg_pm25=_D, avg_no2=_D, n_rows=_L)
+# results and state of the streaming queries
 ZONE_SCORE = struct(zone_id=_S, avg_speed=_D, avg_aqi=_D, avg_pm25=_D, zone_score=_D, event_type=_S, borough=_S)
 ZONE_LABEL = struct(zone_id=_S, cluster=_S)
-WEATHER_STATE = struct(place=_S, temperature=_D, humidity=_D, windspeed=_D, condition=_S)
+KEPT_LABEL = struct(zone_id=_S, cluster=_S, updated_at=T.TimestampType())
 EXPOSURE_PART = struct(
     worker_id=_S, count=_L, n_high=_L, aqi_units=_L, zone_id=_S, last_order=T.DecimalType(38, 0)
 )
+CYCLE_PART = struct(
+    worker_id=_S, count=_L, n_high=_L, aqi_units=_L, zone_id=_S, last_order=T.DecimalType(38, 0), seen_at=T.TimestampType()
+)
 MODEL_STATE = struct(
     n_batches=_I, idx=_I, k=_I, centroid=T.ArrayType(_D), count=_L, lows=T.ArrayType(_D), highs=T.ArrayType(_D), inertia=_D
 )
 WORKER_ZONE = struct(worker_id=_S, zone_id=_S)
-ZONE_READING = struct(zone_id=_S, avg_aqi=_D)
+ZONE_SERIES = struct(zone_id=_S, series=T.ArrayType(struct(cycle=_L, aqi=_D)))
+ZONE_RANKING = struct(position=_I, zone_id=_S, cluster=_S, final_score=_D)
 RECOMMENDATION = struct(
     worker_id=_S, zone_id=_S, current_zone=_S, rec_zone=_S, rec_label=_S, rec_score=_D, status=_S, exposure_status=_S,
     reason=_S, hours_in_high_aqi=_D, daily_avg_aqi=_D, who_pct=_D,

@@ -1,19 +1,17 @@
-"""Stored tables in a shared folder: latest value per key with expiry, bounded history, batch snapshots.
+"""Stored results in a shared folder: versions that replace each other, bounded history, batch snapshots.
 
-A table is a folder of Parquet files under `writer=<query>/batch_id=<n>`. A batch that is run again writes
-the same folder again, so replays change nothing, and two queries never overwrite one another.
+Keyed state with expiry is not kept here but in the state store (`streaming.state`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonewise.sources.files import list_folder, path_exists
+from zonewise.sources.files import list_folder, path_exists, remove_folder
 
 # Seconds a stored value lives.
 TTL_SECONDS = {
@@ -24,120 +22,36 @@ TTL_SECONDS = {
 
 
 @dataclass(frozen=True)
-class BatchTable:
-    """Rows appended per (writer, batch), each batch exactly once.
+class Snapshots:
+    """A small table that each run writes anew under its number, from the version before.
 
-    `compact` merges the batches of a writer into a snapshot that later reads start from, so a long-running
-    query does not read ever more small files.
+    A run that is repeated replaces its own version. The version before stays for readers; older ones go, so no more
+    than a few folders are ever listed.
     """
 
     spark: SparkSession
     path: str
-    schema: T.StructType
-
-    @property
-    def _stored(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField("writer", T.StringType()),
-                             T.StructField("batch_id", T.LongType())])
-
-    def write(self, rows: DataFrame, writer: str, batch_id: int) -> None:
-        rows.select(*self.schema.fieldNames()).write.mode("overwrite") \
-            .parquet(f"{self.path}/batches/writer={writer}/batch_id={batch_id}")
-
-    def has_batch(self, writer: str, batch_id: int) -> bool:
-        return path_exists(self.spark, f"{self.path}/batches/writer={writer}/batch_id={batch_id}/_SUCCESS")
-
-    def batches(self) -> DataFrame:
-        """Every row ever written, with `writer` and `batch_id`."""
-        folder = f"{self.path}/batches"
-        if not path_exists(self.spark, folder):
-            return self.spark.createDataFrame([], self._stored)
-        return self.spark.read.schema(self._stored).parquet(folder)
-
-    def batch(self, writer: str, batch_id: int) -> DataFrame:
-        """The rows one batch has written."""
-        return self.batches().filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
-
-    def snapshots(self) -> dict[str, int]:
-        """The newest finished snapshot of each writer, by the last batch it covers."""
-        root = f"{self.path}/snapshots"
-        found: dict[str, int] = {}
-        for folder in list_folder(self.spark, root):
-            for name in list_folder(self.spark, f"{root}/{folder}"):
-                if path_exists(self.spark, f"{root}/{folder}/{name}/_SUCCESS"):
-                    writer = folder.removeprefix("writer=")
-                    found[writer] = max(found.get(writer, -1), int(name.removeprefix("upto=")))
-        return found
-
-    def read(self) -> DataFrame:
-        """All rows, merged as far as there are snapshots; the batches these cover are pruned as partitions."""
-        rows = self.batches()
-        for writer, upto in self.snapshots().items():
-            base = self.spark.read.schema(self._stored).parquet(f"{self.path}/snapshots/writer={writer}/upto={upto}")
-            covered = (F.col("writer") == writer) & (F.col("batch_id") <= upto)
-            rows = rows.filter(~covered).unionByName(base)
-        return rows
-
-    def compact(self, writer: str, upto: int, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """Store `merge` of the writer's rows up to a finished batch. The old batches stay where they are."""
-        rows = self.read().filter((F.col("writer") == writer) & (F.col("batch_id") <= upto))
-        merged = merge(rows).withColumns({"writer": F.lit(writer), "batch_id": F.lit(upto).cast("bigint")})
-        merged.select(*self._stored.fieldNames()).write.mode("overwrite") \
-            .parquet(f"{self.path}/snapshots/writer={writer}/upto={upto}")
 
+    def _at(self, n: int) -> str:
+        return f"{self.path}/n={n}"
 
-@dataclass(frozen=True)
-class LatestTable:
-    """The newest row per key, as long as it has not expired."""
+    def write(self, rows: DataFrame, n: int) -> None:
+        rows.write.mode("overwrite").parquet(self._at(n))
+        for old in [v for v in self.versions() if v < n][:-1]:
+            remove_folder(self.spark, self._at(old))
 
-    spark: SparkSession
-    path: str
-    schema: T.StructType
-    keys: tuple[str, ...]
-    ttl_seconds: int
-
-    @property
-    def _batches(self) -> BatchTable:
-        versioned = T.StructType([*self.schema.fields, T.StructField("updated_at", T.TimestampType())])
-        return BatchTable(self.spark, self.path, versioned)
-
-    def upsert(self, rows: DataFrame, writer: str, batch_id: int, now: Column | None = None) -> None:
-        stamp = F.current_timestamp() if now is None else now
-        self._batches.write(rows.withColumn("updated_at", stamp), writer, batch_id)
-
-    def batch(self, writer: str, batch_id: int) -> DataFrame:
-        """The rows one batch has written."""
-        return self._batches.batch(writer, batch_id)
-
-    def versions(self) -> DataFrame:
-        """Every row ever written, with `writer` and `batch_id`."""
-        return self._batches.batches()
-
-    def _newest_of(self, rows: DataFrame) -> DataFrame:
-        payload = [c for c in rows.columns if c not in self.keys]
-        return rows.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*payload), F.struct("updated_at", "batch_id", "writer")).alias("_r")
-        ).select(*self.keys, "_r.*")
-
-    def newest(self) -> DataFrame:
-        """The newest row per key, expired or not."""
-        return self._newest_of(self._batches.read())
-
-    def read(self, now: Column | None = None) -> DataFrame:
-        """Rows that have not expired, with `updated_at` and `expires_at`."""
-        expires = F.col("updated_at") + F.make_dt_interval(secs=F.lit(self.ttl_seconds))
-        moment = F.current_timestamp() if now is None else now
-        return self.newest().withColumn("expires_at", expires).filter(F.col("expires_at") > moment) \
-            .select(*self.schema.fieldNames(), "updated_at", "expires_at")
+    def has(self, n: int) -> bool:
+        return path_exists(self.spark, f"{self._at(n)}/_SUCCESS")
 
-    def lookup(self, dimension: DataFrame, now: Column | None = None, **defaults) -> DataFrame:
-        """Every key of the dimension with its live row, or the defaults."""
-        joined = dimension.join(self.read(now).drop("updated_at", "expires_at"), list(self.keys), "left")
-        return joined.withColumns({n: F.coalesce(n, F.lit(v)) for n, v in defaults.items()}) if defaults else joined
+    def versions(self) -> list[int]:
+        return sorted(int(name.removeprefix("n=")) for name in list_folder(self.spark, self.path))
 
-    def compact(self, writer: str, upto: int) -> None:
-        """Keep only the newest row per key of a writer's batches up to `upto` for later reads."""
-        self._batches.compact(writer, upto, self._newest_of)
+    def newest(self, schema: T.StructType, before: int | None = None) -> DataFrame | None:
+        """The newest finished version, or the newest before a number."""
+        for n in reversed(self.versions()):
+            if (before is None or n < before) and self.has(n):
+                return self.spark.read.schema(schema).parquet(self._at(n))
+        return None
 
 
 def bounded_history(rows: DataFrame, time: str = "ts", n: int = 20, max_age_seconds: int | None = None,
@@ -149,11 +63,6 @@ def bounded_history(rows: DataFrame, time: str = "ts", n: int = 20, max_age_seco
     return rows.orderBy(F.desc(time)).limit(n)
 
 
-def replace_ranking(ranked: DataFrame, path: str) -> None:
-    """Replace the stored ranking as a whole."""
-    ranked.write.mode("overwrite").parquet(path)
-
-
 def write_snapshot(rows: DataFrame, path: str, query: str, batch_id: int, file_format: str = "parquet") -> None:
     """The rows of one batch under (query, batch_id); running the batch again replaces them."""
     rows.write.mode("overwrite").format(file_format).save(f"{path}/query={query}/batch_id={batch_id}")

@@ -303,5 +303,10 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in entries]
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def _iso(now: Column | None) -> Column:
     return F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
