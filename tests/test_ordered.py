@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from zonewise.operators import forecast, ordered
+from zonewise.operators import forecast, ordered, quantiles
 from zonewise.operators.quantiles import exact_quantiles
 
 
@@ -121,21 +121,36 @@ def test_as_of(cuts, spark, events, strict):
         assert got[i] == (known[-1] if known else 75.0)
 
 
-@pytest.mark.parametrize("accuracy", [50, 10_000])
-def test_exact_quantiles(spark, accuracy):
+def test_bits_have_the_order_of_doubles(spark):
+    import struct
+    rng = np.random.default_rng(3)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2e-308, 2.2250738585072014e-308, 1.7976931348623157e308, float("inf"), -float("inf"), 1.0, 2.0, 4.0, 0.5]
+    values += [float(x) for x in rng.normal(0, 1, 200) * 10.0 ** rng.integers(-300, 300, 200)] + [np.nextafter(2.0 ** k, d) for k in range(-1030, 1020, 37) for d in (0, 9e307)]
+    frame = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, v double")
+    for r in frame.select("i", quantiles.ordered_bits(F.col("v")).alias("k")).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(values[r["i"]])))[0]
+        assert r["k"] == (-bits if values[r["i"]] < 0 else bits), values[r["i"]]
+
+
+@pytest.mark.parametrize("ranked, few", [(1, 100_000), (20, 0), (1 << 16, 100_000)])
+def test_exact_quantiles(spark, monkeypatch, ranked, few):
+    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", few)
     rng = np.random.default_rng(2)
     data = {"hot": np.round(rng.normal(0, 1, 4000), 2), "few": rng.uniform(0, 1, 3), "one": np.array([4.2]),
-            "same": np.full(500, 7.0)}
+            "same": np.full(500, 7.0), "wide": rng.normal(0, 1, 200) * 10.0 ** rng.integers(-200, 200, 200), None: np.array([1.0, 2.0])}
     rows = [(k, float(v)) for k, values in data.items() for v in values]
     frame = spark.createDataFrame(rows, "key string, v double").repartition(5)
     probabilities = [0.0, 0.167, 0.333, 0.5, 0.667, 0.833, 1.0]
-    for r in exact_quantiles(frame, ["key"], "v", probabilities, accuracy).collect():
+    for r in exact_quantiles(frame, ["key"], "v", probabilities, ranked).collect():
         values = data[r["key"]]
         assert r["n"] == len(values)
-        assert r["quantile"] == pytest.approx(np.percentile(values, r["probability"] * 100), abs=1e-12)
+        assert r["quantile"] == pytest.approx(np.percentile(values, r["probability"] * 100), rel=1e-12, abs=1e-12)
     everything = np.array([v for _, v in rows])
-    for r in exact_quantiles(frame, [], "v", probabilities, accuracy).collect():
-        assert r["quantile"] == pytest.approx(np.percentile(everything, r["probability"] * 100), abs=1e-12)
+    for r in exact_quantiles(frame, [], "v", probabilities, ranked).collect():
+        assert r["quantile"] == pytest.approx(np.percentile(everything, r["probability"] * 100), rel=1e-12, abs=1e-12)
+    assert exact_quantiles(frame.limit(0), ["key"], "v", [0.5]).count() == 0
+    nan = spark.createDataFrame([("a", float("nan")), ("a", 1.0), ("a", None)], "key string, v double")
+    assert [(r["quantile"], r["n"]) for r in exact_quantiles(nan, ["key"], "v", [0.5]).collect()] == [(1.0, 1)]
 
 
 #: Worked by hand: an exact recurrence goes on by its own rule, a short history keeps its last value, results stay in 0 to 500.
@@ -155,3 +170,33 @@ def test_forecast(spark):
         want = FORECASTS[r["i"]][1]
         assert 0.0 <= r["f"] <= 500.0
         assert want is None or r["f"] == pytest.approx(want, abs=1e-6)
+
+
+def least_squares(h):
+    """The next value by numpy's least squares of smallest norm."""
+    lags = np.stack([h[k:len(h) - 3 + k] for k in range(3)], 1)
+    return np.linalg.lstsq(lags, h[3:], rcond=None)[0] @ h[-3:]
+
+
+def test_forecast_is_the_least_squares_fit(spark):
+    rng = np.random.default_rng(1)
+    histories = []
+    for n in range(4, 13):
+        k = np.arange(n)
+        for _ in range(20):
+            histories += [rng.uniform(0, 300, n), np.round(55 + rng.normal(0, 3, n), 1), rng.integers(20, 120, n).astype(float),
+                          55 + rng.normal(0, 0.05, n), rng.integers(0, 2, n) * 40.0]
+        # constant, zero, straight, alternating, doubling, halving, a single spike, periodic
+        histories += [np.full(n, 50.0), np.zeros(n), 10.0 * k + 20, 50 + 0.1 * k, np.where(k % 2, 40.0, 60.0), 2.0 ** k, 100 * 0.5 ** k,
+                      30.0 * (k == 2), 30.0 * (k == n - 1), np.array([10.0, 20.0, 30.0] * 4)[:n], 100 + 10 * np.sin(k)]
+    frame = spark.createDataFrame([(i, h.tolist()) for i, h in enumerate(histories)], "i int, h array<double>")
+    plan = frame.select(forecast.forecast_aqi(F.col("h")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    for r in frame.select("i", forecast.autoregressive_step(F.col("h")).alias("f")).collect():
+        assert r["f"] == pytest.approx(least_squares(histories[r["i"]]), rel=1e-6, abs=1e-6), histories[r["i"]]
+
+
+def test_forecast_of_odd_histories(spark):
+    frame = spark.createDataFrame([(0, []), (1, None), (2, [1.0, 2.0, float("nan"), 4.0, 5.0]), (3, [7.0])], "i int, h array<double>")
+    got = {r["i"]: r["f"] for r in frame.select("i", forecast.forecast_aqi(F.col("h")).alias("f")).collect()}
+    assert got == {0: None, 1: None, 2: 5.0, 3: 7.0}

@@ -1,17 +1,27 @@
-"""Exact quantiles without gathering a group in one place.
+"""Exact quantiles without gathering a group in one place: radix selection.
 
-`percentile` keeps every distinct value of a group in one aggregation buffer. Here a sketch first narrows
-each wanted rank to a small value range; one aggregate counts the rows below each range, and only the
-rows inside the ranges are ranked. The sketch decides how much work is left, never the result: a range
-that misses its rank raises.
+`percentile` keeps every distinct value of a group in one aggregation buffer. Here a double becomes a whole number of the
+same order (its sign, exponent and mantissa), and counts by its upper 16 bits tell for every wanted rank of every
+group in which range of values it lies, and which rank it has there. Only ranges with many different values are cut
+on, by the next 16 bits; four passes reach single values. What is left of a range is short, and is ranked as one array.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonewise.functions.numeric import not_nan
+from zonewise.session import checkpointed
+
 SALTS = 64
+DIGIT = 16
+#: Different values of a range that are ranked as one array.
+RANKED = 1 << DIGIT
+#: Wanted ranks that are sent to every task; more are joined, salted.
+BROADCAST_ROWS = 100_000
 
 
 def interpolated(low: Column, high: Column, fraction: Column) -> Column:
@@ -20,66 +30,76 @@ def interpolated(low: Column, high: Column, fraction: Column) -> Column:
     return F.when(fraction >= 0.5, high - gap * (F.lit(1.0) - fraction)).otherwise(low + gap * fraction)
 
 
-def exact_quantiles(
-    rows: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = 10_000
-) -> DataFrame:
-    """One row per key and probability: (*keys, probability, quantile, n), linearly interpolated."""
-    present = rows.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    # the sketch is off by at most 1/accuracy of the rows; the rest of the margin covers the neighbour rank
-    margin = 3.0 / accuracy
-    low_ranks = [max(0.0, p - margin) for p in probabilities]
-    high_ranks = [min(1.0, p + margin) for p in probabilities]
-    outline = present.groupBy(*keys).agg(
-        F.count("_v").alias("n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", low_ranks, accuracy).alias("_lows"),
-        F.percentile_approx("_v", high_ranks, accuracy).alias("_highs"),
-    )
-    few = F.col("n") <= accuracy  # a margin below one row; rank them all
-    spans = F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("probability"),
-            F.when(few | F.lit(p <= margin), F.col("_min")).otherwise(F.get("_lows", F.lit(i))).alias("low"),
-            F.when(few | F.lit(p >= 1 - margin), F.col("_max")).otherwise(F.get("_highs", F.lit(i))).alias("high"),
-        )
-        for i, p in enumerate(probabilities)
-    ])
-    # Distinct values with their counts carry the same information in fewer rows.
-    counted = present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    if keys:
-        # salted, so that a key with most of the values is not joined in one task
-        salt = F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")
-        every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        spread = counted.withColumn("_salt", salt).join(
-            outline.select(*keys, "n", spans.alias("_spans"), every_salt.alias("_salt")), [*keys, "_salt"]
-        )
-    else:
-        spread = counted.select("*", outline.select(F.struct("n", spans.alias("_spans"))).scalar().alias("_o")) \
-            .select("_v", "_c", "_o.n", "_o._spans")
-    positioned = spread.select(*keys, "_v", "_c", "n", F.explode("_spans").alias("_s")) \
-        .select(*keys, "_v", "_c", "n", "_s.*").filter(F.col("_v") <= F.col("high"))
-    below = F.col("_v") < F.col("low")
-    inside = positioned.groupBy(*keys, "probability", "n", F.when(~below, F.col("_v")).alias("_v")).agg(
-        F.sum("_c").alias("_c")
-    )
-    # the rows below the range are one row with a null value, which sorts first
-    along = Window.partitionBy(*keys, "probability").orderBy(F.col("_v").asc_nulls_first())
-    upto = F.sum("_c").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = inside.withColumn("_last", upto).withColumn("_first", F.col("_last") - F.col("_c"))
-    rank = F.col("probability") * (F.col("n") - F.lit(1)).cast("double")
-    lower, upper = F.floor(rank), F.ceil(rank)
+def ordered_bits(value: Column) -> Column:
+    """A whole number of 64 bits in the order of the doubles: a double's own bits, negative for negative values. Both
+    zeros are 0."""
+    size = F.abs(value)
+    power = lambda e: F.pow(F.lit(2.0), e.cast("double"))
+    # the logarithm may be off by one near a power of two
+    guess = F.greatest(F.lit(-1022), F.least(F.lit(1023), F.floor(F.log2(size)).cast("int")))
+    exponent = F.when(size < power(guess), guess - 1).when(size / power(guess) >= 2.0, guess + 1).otherwise(guess)
+    mantissa = (size / power(exponent) - 1.0) * float(1 << 52)
+    normal = F.shiftleft((exponent + 1023).cast("bigint"), 52) + mantissa.cast("bigint")
+    tiny = (size * float(2.0 ** 537) * float(2.0 ** 537)).cast("bigint")
+    bits = F.when(size < 2.0 ** -1022, tiny).when(size == float("inf"), F.lit(2047 << 52)).otherwise(normal)
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def _picked(counts: Column, rank: Column) -> Column:
+    """Of an array of (at, n) in order: the entry that holds the rank, and the rank inside it."""
+    start = F.struct(rank.alias("rank"), F.lit(None).cast("bigint").alias("at"))
+    found = lambda acc: acc["at"].isNotNull()
+    return F.aggregate(counts, start, lambda acc, x: F.when(found(acc), acc).when(
+        acc["rank"] < x["n"], F.struct(acc["rank"].alias("rank"), x["at"].alias("at"))).otherwise(
+        F.struct((acc["rank"] - x["n"]).alias("rank"), F.lit(None).cast("bigint").alias("at"))))
 
-    def holds(position: Column) -> Column:
-        return F.col("_v").isNotNull() & (F.col("_first") <= position) & (position < F.col("_last"))
 
-    picked = ranked.groupBy(*keys, "probability", "n").agg(
-        F.max(F.when(holds(lower), F.col("_v"))).alias("_low"),
-        F.max(F.when(holds(upper), F.col("_v"))).alias("_high"),
-    )
-    missing = F.col("_low").isNull() | F.col("_high").isNull()
-    exact = F.when(missing, F.raise_error(F.lit("quantile range misses its rank; raise `accuracy`"))).otherwise(
-        interpolated(F.col("_low"), F.col("_high"), rank - F.floor(rank))
-    )
-    return picked.select(*keys, "probability", exact.cast("double").alias("quantile"), "n")
+def _joined(rows: DataFrame, table: DataFrame, on: list[str], few: bool) -> DataFrame:
+    """`rows` with the columns of a `table` of ranges; nulls are equal. No task gets all rows of a frequent range."""
+    side = table.select(*[F.col(c).alias(f"_of_{c}") for c in on], *[c for c in table.columns if c not in on])
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(F.col(f"_of_{c}")) for c in on], F.lit(True))
+    if few:
+        return rows.join(F.broadcast(side), same)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(SALTS)).cast("int"))
+    side = side.withColumn("_of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(side, same & (F.col("_salt") == F.col("_of_salt")))
 
+
+def exact_quantiles(rows: DataFrame, keys: list[str], value: str, probabilities: list[float], ranked: int = RANKED) -> DataFrame:
+    """One row per key and probability: (*keys, probability, quantile, n), linearly interpolated. Nulls and NaN are left
+    out."""
+    present = rows.select(*keys, not_nan(F.col(value)).alias("_v")).filter(F.col("_v").isNotNull())
+    # different values with their counts carry the same information in fewer rows
+    counted = checkpointed(present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_k", ordered_bits(F.col("_v"))), "values")
+    sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("n"), F.count(F.lit(1)).alias("_left"))
+    place = lambda p: F.lit(float(p)) * (F.col("n") - F.lit(1)).cast("double")
+    asks = [F.struct(F.lit(float(p)).alias("probability"), F.lit(upper).alias("upper"),
+                     (F.ceil(place(p)) if upper else F.floor(place(p))).cast("bigint").alias("rank")) for p in probabilities for upper in (False, True)]
+    wanted = sizes.select(*keys, "n", "_left", F.lit(0).cast("bigint").alias("_prefix"), F.explode(F.array(*asks)).alias("a")) \
+        .select(*keys, "n", "_left", "_prefix", "a.*")
+    shift, on = 64, [*keys, "_prefix"]
+
+    def counts(at: Column) -> DataFrame:
+        """Per range: what `at` tells apart inside it, in order, with the numbers of rows and of different values."""
+        rows = counted.withColumn("_prefix", F.shiftright("_k", shift) if shift < 64 else F.lit(0).cast("bigint"))
+        inside = _joined(rows, wanted.select(*on).distinct(), on, few) if shift < 64 else rows
+        return inside.groupBy(*on, at.alias("_at")).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"), F.min("_v").alias("_value")) \
+            .groupBy(*on).agg(F.array_sort(F.collect_list(F.struct(
+                F.col("_at").alias("at"), F.col("_n").alias("n"), F.col("_d").alias("d"), F.col("_value").alias("v")))).alias("_counts"))
+
+    wanted = checkpointed(wanted, "ranks")
+    few = wanted.count() <= BROADCAST_ROWS
+    while shift > 0 and (wanted.agg(F.max("_left")).first()[0] or 0) > ranked:
+        table = counts(F.shiftright("_k", shift - DIGIT))
+        shift -= DIGIT
+        found = _joined(wanted.withColumn("_k", F.col("rank")), table, on, False).withColumn("_p", _picked(F.col("_counts"), F.col("rank")))
+        left = F.filter("_counts", lambda x: x["at"] == F.col("_p.at"))[0]["d"]
+        wanted = checkpointed(found.select(*keys, "n", left.alias("_left"), F.col("_p.at").alias("_prefix"), "probability", "upper",
+                                           F.col("_p.rank").alias("rank")), "ranks")
+    found = _joined(wanted.withColumn("_k", F.col("rank")), counts(F.col("_k")), on, False) \
+        .withColumn("_p", _picked(F.col("_counts"), F.col("rank")))
+    values = found.withColumn("_value", F.filter("_counts", lambda x: x["at"] == F.col("_p.at"))[0]["v"])
+    picked = values.groupBy(*keys, "probability", "n").agg(
+        F.max(F.when(~F.col("upper"), F.col("_value"))).alias("_low"), F.max(F.when(F.col("upper"), F.col("_value"))).alias("_high"))
+    rank = F.col("probability") * (F.col("n") - F.lit(1)).cast("double")
+    return picked.select(*keys, "probability", interpolated(F.col("_low"), F.col("_high"), rank - F.floor(rank)).cast("double").alias("quantile"), "n")

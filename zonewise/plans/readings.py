@@ -217,8 +217,30 @@ def aqi_history(spark, sf_dir):
     )
 
 
-@registry.add()
+#: Normal equations of the three lags (a symmetric matrix, m) and their solution: with three rows or more by the inverse,
+#: with two or one by the smallest weights that fit.
+_FORECAST = """
+h AS (SELECT event_id, zone_id, aqi, list(aqi) OVER w AS h FROM pollution
+  WINDOW w AS (PARTITION BY zone_id ORDER BY ts, event_id ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)),
+x AS (SELECT *, len(h) AS n, h[1:len(h) - 3] AS x, h[2:len(h) - 2] AS y, h[3:len(h) - 1] AS z, h[4:] AS t FROM h WHERE len(h) > 3),
+m AS (SELECT event_id, n, h[n - 2] AS p, h[n - 1] AS q, h[n] AS r, list_inner_product(x, x) AS xx, list_inner_product(x, y) AS xy,
+    list_inner_product(x, z) AS xz, list_inner_product(y, y) AS yy, list_inner_product(y, z) AS yz, list_inner_product(z, z) AS zz,
+    list_inner_product(x, t) AS xt, list_inner_product(y, t) AS yt, list_inner_product(z, t) AS zt FROM x),
+c AS (SELECT *, yy * zz - yz * yz AS cxx, xz * yz - xy * zz AS cxy, xy * yz - xz * yy AS cxz, xx * zz - xz * xz AS cyy,
+    xy * xz - xx * yz AS cyz, xx * yy - xy * xy AS czz, xx + yy + zz AS trace FROM m),
+f AS (SELECT event_id, CASE
+    WHEN n > 5 THEN (p * (cxx * xt + cxy * yt + cxz * zt) + q * (cxy * xt + cyy * yt + cyz * zt) + r * (cxz * xt + cyz * yt + czz * zt))
+      / (xx * cxx + xy * cxy + xz * cxz)
+    WHEN n = 5 THEN (p * (trace * xt - xx * xt - xy * yt - xz * zt) + q * (trace * yt - xy * xt - yy * yt - yz * zt)
+      + r * (trace * zt - xz * xt - yz * yt - zz * zt)) / (cxx + cyy + czz)
+    ELSE (p * xt + q * yt + r * zt) / trace END AS step FROM c)"""
+
+
+@registry.add(sql.query(
+    "SELECT h.event_id, zone_id, aqi, round(CASE WHEN step IS NULL THEN aqi ELSE greatest(0e0, least(500e0, step)) END, 1) AS forecast_aqi FROM h LEFT JOIN f USING (event_id)",
+    _FORECAST,
+))
 def aqi_forecast(spark, sf_dir):
-    """AR(3) forecast at every reading; least squares is not plain SQL, the tests compare it with numpy."""
+    """AR(3) forecast at every reading, to a decimal."""
     rows = _histories(spark, sf_dir)
-    return rows.select("event_id", "zone_id", "aqi", forecast.forecast_aqi(F.col("history")).alias("forecast_aqi"))
+    return rows.select("event_id", "zone_id", "aqi", F.round(forecast.forecast_aqi(F.col("history")), 1).alias("forecast_aqi"))
