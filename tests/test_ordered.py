@@ -200,3 +200,15 @@ def test_forecast_of_odd_histories(spark):
     frame = spark.createDataFrame([(0, []), (1, None), (2, [1.0, 2.0, float("nan"), 4.0, 5.0]), (3, [7.0])], "i int, h array<double>")
     got = {r["i"]: r["f"] for r in frame.select("i", forecast.forecast_aqi(F.col("h")).alias("f")).collect()}
     assert got == {0: None, 1: None, 2: 5.0, 3: 7.0}
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 100, 399, 400, 1000])
+@pytest.mark.parametrize("at_once", [1, 50])
+def test_latest_rows(spark, n, at_once):
+    rng = random.Random(9)
+    times = [rng.choice([None, 5, 5, 5, 10**15, 10**15 + 7, rng.randrange(10**16), -rng.randrange(10**6)]) for _ in range(400)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, t bigint").repartition(4)
+    got = ordered.latest_rows(frame, F.col("t"), [F.col("i")], n, at_once).collect()
+    want = sorted(enumerate(times), key=lambda x: (x[1] is None, -(x[1] or 0), x[0]))[:n]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert ordered.latest_rows(frame.limit(0), F.col("t"), [], 5).count() == 0

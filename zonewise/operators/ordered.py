@@ -250,3 +250,39 @@ def as_of(
     filled = forward_fill(stacked, keys, [F.col(order), F.col("_side")], {value: F.col("_known")})
     found = filled.filter(F.col("_side") == F.lit(0 if strict else 1)).select(*left_columns, value)
     return found if default is None else found.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
+
+
+#: Rows that one task may sort for a limit, and cells that a span is counted in.
+_AT_ONCE, _CELLS = 10_000, 1024
+
+
+def latest_rows(rows: DataFrame, time: Column, then: list[Column], n: int, at_once: int = _AT_ONCE) -> DataFrame:
+    """The n rows with the largest whole number `time`, those without one last, ties by the sort columns `then`.
+
+    Counts by stretches of the span, cut finer and finer where the n-th row lies, lead to a stretch with few rows or a
+    single moment. All rows after it are in, and only its own rows are sorted for what is left, so no task holds n rows.
+    """
+    lowest = -(1 << 62)
+    at = F.coalesce(time.cast("bigint"), F.lit(lowest))
+    placed = rows.withColumn("_at", at)
+    low, high = placed.agg(F.min("_at"), F.max("_at")).first()
+    if low is None or n <= 0:
+        return rows.limit(0)
+    left = n
+    while True:
+        width = -(-(high - low + 1) // _CELLS)
+        cell = F.floor((F.lit(high) - F.col("_at")) / F.lit(width)).cast("int") if width < 1 << 40 else F.shiftright(F.lit(high) - F.col("_at"), width.bit_length()).cast("int")
+        width = width if width < 1 << 40 else 1 << width.bit_length()
+        counts = sorted((r["_cell"], r["count"]) for r in placed.filter(F.col("_at").between(low, high)).groupBy(cell.alias("_cell")).count().collect())
+        for number, count in counts:
+            if count >= left:
+                break
+            left -= count
+        else:
+            return rows  # there are fewer
+        high, low = high - number * width, max(high - (number + 1) * width + 1, low)
+        if count == left or count <= at_once or low == high:
+            break
+    after = placed.filter(F.col("_at") > high)
+    edge = placed.filter(F.col("_at").between(low, high)).orderBy(F.col("_at").desc(), *then).limit(left)
+    return after.union(edge).drop("_at")

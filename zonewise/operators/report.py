@@ -9,8 +9,12 @@ from zonewise import dims
 from zonewise.functions.geo import borough_name, zone_ordinal
 from zonewise.functions.labels import event_class_name, marker_radius, score_bucket, status_rank
 from zonewise.functions.numeric import exact_mean, exact_stddev_samp
+from zonewise.operators.ordered import latest_rows
 from zonewise.operators.quantiles import exact_quantiles
 
+#: Rows that each task may keep for a limit.
+FEW = 10_000
+
 
 def zero_filled_counts(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
     """Count per name, 0 for the names that do not occur."""
@@ -117,8 +121,12 @@ def top_zones(final: DataFrame, n: int = 15) -> DataFrame:
 
 
 def most_recent(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The latest n rows; Spark keeps n rows per task, not a full sort."""
-    return rows.orderBy(*[c.desc() for c in order]).limit(n)
+    """The latest n rows by a time and then other columns. A few are kept by each task; for many, the time of the n-th is
+    found by counting (`latest_rows`)."""
+    latest_first = [c.desc() for c in order]
+    if n <= FEW:
+        return rows.orderBy(*latest_first).limit(n)
+    return latest_rows(rows, F.unix_micros(order[0]), latest_first, n)
 
 
 def recent_history(rows: DataFrame, order: str, n: int = 15) -> DataFrame:

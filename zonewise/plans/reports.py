@@ -8,6 +8,7 @@ from zonewise import dims
 from zonewise.functions.geo import borough_name
 from zonewise.functions.numeric import exact_mean, exact_stddev_pop
 from zonewise.operators import report
+from zonewise.operators.ordered import latest_rows
 from zonewise.plans import Registry, common, sql
 from zonewise.sinks.tables import bounded_history
 from zonewise.sources import feeds
@@ -123,6 +124,14 @@ def recent_history(spark, sf_dir):
     return report.recent_history(bounded_history(_hourly(spark, sf_dir), "window_start", 20), "window_start")
 
 
+@registry.add(sql.query("SELECT event_id, segment_id, speed_kmh FROM traffic ORDER BY ts DESC, event_id DESC LIMIT 300"))
+def latest_by_counts(spark, sf_dir):
+    """The most recent 300 traffic rows, the 300th found by counting stretches of time until one holds 10 rows."""
+    rows = feeds.traffic(feeds.events(spark, sf_dir))
+    return latest_rows(rows, F.unix_micros("event_time"), [F.col("event_id").desc()], 300, at_once=10) \
+        .select("event_id", "segment_id", "speed_kmh")
+
+
 @registry.add(sql.query("SELECT event_id, segment_id, speed_kmh FROM traffic ORDER BY ts DESC, event_id DESC LIMIT 50000"))
 def recent_rows(spark, sf_dir):
     """The most recent 50,000 traffic rows."""

@@ -12,9 +12,9 @@ from zonewise.functions.air import aqi_combined, aqi_pm25_only
 from zonewise.functions.geo import nearest_zone, nth_zone_of, segment_location
 from zonewise.functions.labels import borough_lenient, borough_strict, weather_condition
 from zonewise.functions.numeric import (
-    clamp, default_if_falsy, first_number, first_text, lookup, number, round_exact,
+    clamp, default_if_falsy, first_number, first_text, lookup, not_nan, number, round_exact,
 )
-from zonewise.operators.ordered import forward_fill
+from zonewise.operators.ordered import forward_fill, latest_rows
 
 CITY_LAT, CITY_LON = 40.7128, -74.006
 
@@ -60,10 +60,10 @@ def first_latitude(points: Column, tolerant: bool = False) -> Column:
 
 
 def traffic_segments(traffic: DataFrame, tolerant: bool = False) -> DataFrame:
-    """Rows for the feature matrix: positive speed, known borough, readable latitude."""
+    """Rows for the feature matrix: positive speed that is a number, known borough, readable latitude."""
     return traffic.select(
         borough_strict(F.col("BOROUGH")).alias("borough_id"), F.col("BOROUGH").alias("borough"),
-        first_latitude(F.col("LINK_POINTS"), tolerant).alias("lat"), number(F.col("SPEED")).alias("speed"),
+        first_latitude(F.col("LINK_POINTS"), tolerant).alias("lat"), not_nan(number(F.col("SPEED"))).alias("speed"),
     ).filter((F.col("speed") > 0) & F.col("borough_id").isNotNull() & F.col("lat").isNotNull())
 
 
@@ -93,8 +93,8 @@ def latest_traffic_extract(rows: DataFrame, n: int = 50_000) -> DataFrame:
     """The most recent n rows of an open-data extract, under the CSV's column names; of rows of one moment those that come
     first by their other columns."""
     others = [c for c in EXTRACT_COLUMNS if c != "data_as_of"]
-    return rows.orderBy(F.col("data_as_of").desc(), *others).limit(n).withColumnsRenamed(EXTRACT_COLUMNS) \
-        .select(*EXTRACT_COLUMNS.values())
+    found = latest_rows(rows, F.unix_micros(F.col("data_as_of").try_cast("timestamp")), [F.col("data_as_of").desc(), *map(F.col, others)], n)
+    return found.withColumnsRenamed(EXTRACT_COLUMNS).select(*EXTRACT_COLUMNS.values())
 
 
 # --- pollution --------------------------------------------------------------------------------------
@@ -106,7 +106,7 @@ def read_pollution(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pm25_readings(pollution: DataFrame) -> DataFrame:
-    return pollution.filter((F.col("value") > 0) & (F.col("parameter") == "pm25"))
+    return pollution.filter((not_nan(F.col("value")) > 0) & (F.col("parameter") == "pm25"))
 
 
 def filled_stations(
