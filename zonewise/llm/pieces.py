@@ -102,12 +102,12 @@ def words_of(text: str | None, pattern: re.Pattern) -> list[str]:
 class Splitter:
     """The words of some texts as numbers, in order of their first occurrence.
 
-    A text is cut at spaces first; each different stretch between them meets the pattern once, as long as `met`
-    remembers it. A text that holds the space sign itself is split as a whole.
+    A text is cut at spaces first; each different stretch between them meets the pattern once. A text that holds the
+    space sign itself is split as a whole.
     """
 
-    def __init__(self, pattern: re.Pattern, met: dict[str, list[str]] | None = None) -> None:
-        self.pattern, self.numbers, self.stretches, self.met = pattern, {}, {}, {} if met is None else met
+    def __init__(self, pattern: re.Pattern) -> None:
+        self.pattern, self.numbers, self.stretches = pattern, {}, {}
 
     def _known(self, words: list[str]) -> list[int]:
         return [self.numbers.setdefault(w, len(self.numbers)) for w in words]
@@ -122,12 +122,7 @@ class Splitter:
         for x in _STRETCH.findall(" " + text):
             found = stretches.get(x)
             if found is None:
-                words = self.met.get(x)
-                if words is None:
-                    words = self.pattern.findall(x.replace(" ", SPACE))
-                    if len(x) <= 32:
-                        self.met[x] = words
-                found = stretches[x] = self._known(words)
+                found = stretches[x] = self._known(self.pattern.findall(x.replace(" ", SPACE)))
             out += found
         return out
 
@@ -211,11 +206,11 @@ def parted(docs: DataFrame, model: Model) -> DataFrame:
     pattern_text = model.pattern
 
     def one(batches):
-        pattern, met = re.compile(pattern_text), {}
+        pattern = re.compile(pattern_text)
         for b in batches:
             sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
             for low, high in T.parts(sizes, _PART_BYTES):
-                part, splitter, sequence, lengths = b.slice(low, high - low), Splitter(pattern, met), array("i"), []
+                part, splitter, sequence, lengths = b.slice(low, high - low), Splitter(pattern), array("i"), []
                 for t in part.column(1):
                     before = len(sequence)
                     sequence.extend(splitter.split(t.as_py() or ""))
@@ -223,8 +218,6 @@ def parted(docs: DataFrame, model: Model) -> DataFrame:
                 numbers = np.frombuffer(sequence, np.int32)
                 yield T.batch(schema, [part.column(0).to_pylist()], [_packed(np.array(lengths, np.int64))], [_words_packed(list(splitter.numbers))],
                               [_packed(np.bincount(numbers, minlength=len(splitter.numbers)))], [_packed(numbers)])
-                if len(met) > 400_000:
-                    met.clear()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("t"))
     parts = rows.mapInArrow(one, "ids array<bigint>, sizes binary, words binary, counts binary, sequence binary")
@@ -243,7 +236,7 @@ def vocabulary(parts: DataFrame) -> DataFrame:
                 for w, n in zip(_words_unpacked(words.as_py()), _unpacked(counts.as_py()).tolist()):
                     if len(w) <= LONGEST:
                         seen[w] += n
-                if len(seen) > 300_000:
+                if len(seen) > 150_000:
                     yield T.batch(schema, list(seen), list(seen.values()))
                     seen = Counter()
         yield T.batch(schema, list(seen), list(seen.values()))
