@@ -566,3 +566,33 @@ def test_digests_in_one_pass_are_those_of_the_ids(spark, model):
     two = pieces.with_digests(pieces.encode(docs, model), model)
     assert one.columns == two.columns
     assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
+def test_words_of_many_texts_at_once(model):
+    """The words of the pattern, whatever spaces, and none that does not occur."""
+    pattern = re.compile(model.pattern)
+    texts = ["a  b", " a", "a ", "  ", "a▁b", "a▁ b▁", "▁", "don't.stop  x9 y!\n\n z", "", "é½ 漢字  \t", "a▁▁b  c", None, " ", "m²", "plain words only"]
+    for some in (texts, texts[-1:], ["", None], []):
+        words, numbers, lengths = pieces.split_texts(pa.array(some, pa.string()), pattern, pieces._letters(pattern))
+        words, ends = words.to_pylist(), np.cumsum(lengths).tolist()
+        assert [[words[k] for k in numbers[z - n:z]] for n, z in zip(lengths.tolist(), ends)] == [pieces.words_of(t, pattern) for t in some]
+        assert sorted(words) == sorted({w for t in some for w in pieces.words_of(t, pattern)})
+
+
+def test_parts_stay_where_they_are_if_tasks_hold_all_words(spark, model):
+    """The numbers of words, most of what is on disk, were dealt out again to meet words that no task held."""
+    docs = documents(spark, [(k, f"some words {k}") for k in range(50)])
+    plan = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString()
+    all_held, some_held = pieces.encode(docs, model, digests=True), pieces.encode(docs, model, 2, digests=True)
+    assert "Join" not in plan(all_held) and "Join" in plan(some_held)
+    assert sorted(map(repr, all_held.collect())) == sorted(map(repr, some_held.collect()))
+
+
+@pytest.mark.parametrize("largest", [9, 70_000])
+def test_a_dictionary_finds_what_it_holds(spark, largest):
+    held = {f"w{k}": [k % 7, *([largest] * (k % 4))] for k in range(300)}
+    rows = spark.createDataFrame([(w, 1, ids) for w, ids in held.items()], "word string, n bigint, ids array<int>").repartition(7)
+    found, _, others = pieces.dictionary(rows)
+    asked = ["none", *held, "w300"]
+    counts, flat = found.find(pa.array(asked))
+    assert not others and counts.tolist() == [len(held.get(w, [])) for w in asked] and flat.tolist() == [i for ids in held.values() for i in ids]

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,11 +23,13 @@ from zonewise.session import checkpointed
 SPACE = "▁"
 #: A longer word is not held with its ids: it is encoded where it occurs, in stretches of so many characters.
 LONGEST = 256
-#: Words that every task holds with their ids, the most frequent ones; others are joined.
-DICTIONARY = 1_000_000
+#: Words that every task holds with their ids, the most frequent ones, in some 22 bytes each; others are joined.
+DICTIONARY = 4_000_000
 #: Packed words of all parts, each part's different ones, that a bucket of the vocabulary gets on average.
 BUCKET_BYTES = 1 << 18
-_PART_BYTES = 2 << 20
+_PART_BYTES = 8 << 20
+#: Different words that a task of the vocabulary adds up before they travel, and rows that it passes on at a time.
+_HELD, _ROWS = 1_000_000, 50_000
 #: What a character without a piece of its own costs below the lowest score.
 UNKNOWN = 10.0
 #: Pieces of a model at most; its table is sent to every executor.
@@ -127,6 +129,70 @@ class Splitter:
         return out
 
 
+def _letters(pattern: re.Pattern) -> str:
+    """A pattern of what is one word after a space sign, whatever its length: some letters, none if in doubt."""
+    found = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha() and pattern.fullmatch(f"{SPACE}a{c}a")]
+    return f"^[{''.join(found)}]+$" if found else "^a^"
+
+
+def split_texts(texts: pa.Array, pattern: re.Pattern, letters: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of some texts, frequent ones first, the numbers of all words in order, and how many each text
+    has: what `words_of` gives, for many texts at once.
+
+    Texts are cut at every space; an empty cut is a space more before the next one, or at the end. Each different
+    stretch, a cut with the spaces before it, meets the pattern once, unless it is all `letters`.
+    """
+    texts = pc.replace_substring(pc.fill_null(texts, ""), SPACE, " ")
+    lengths = np.zeros(len(texts), np.int64)
+    some = np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    if not len(some):
+        return pa.array([], pa.string()), lengths[:0], lengths
+    cuts = pc.split_pattern(texts.take(pa.array(some)), " ")
+    borders = cuts.offsets.to_numpy()
+    coded = cuts.flatten().dictionary_encode()
+    stretch, different, more = coded.indices.to_numpy(), coded.dictionary, []
+    blank = pc.equal(different, "").to_numpy(zero_copy_only=False)
+    if blank.any():
+        ends = np.zeros(len(stretch), bool)
+        ends[borders[1:] - 1] = True
+        at = np.flatnonzero(~blank[stretch] | ends)
+        text_of = np.repeat(np.arange(len(some)), np.diff(borders))[at]
+        spaces = at - np.maximum(np.concatenate(([-1], at[:-1])), borders[text_of] - 1)
+        stretch, odd = stretch[at], np.flatnonzero(spaces > 1)
+        kinds, place = np.unique(spaces[odd] * len(different) + stretch[odd], return_inverse=True)
+        more = [SPACE * (k // len(different)) + different[k % len(different)].as_py() for k in kinds.tolist()]
+        stretch = stretch.copy()
+        stretch[odd] = len(different) + place
+        borders = np.searchsorted(text_of, np.arange(len(some) + 1))
+    plain = pc.match_substring_regex(different, letters).to_numpy(zero_copy_only=False)
+    single, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+    found = [pattern.findall(SPACE + x) for x in different.take(pa.array(rest)).to_pylist()] + [pattern.findall(x) for x in more]
+    many = np.ones(len(different) + len(more), np.int64)
+    first = np.empty(len(many), np.int64)
+    others = np.concatenate((rest, np.arange(len(different), len(many))))
+    many[others] = [len(x) for x in found]
+    first[single] = np.arange(len(single))
+    first[others] = len(single) + np.cumsum(many[others]) - many[others]
+    words = pa.concat_arrays([pc.binary_join_element_wise(SPACE, different.take(pa.array(single)), ""),
+                              pa.array([w for x in found for w in x], pa.string())]).dictionary_encode()
+    each = many[stretch]
+    sequence = words.indices.to_numpy()[_ragged(first[stretch], each)]
+    sums = np.concatenate(([0], np.cumsum(each)))[borders]
+    lengths[some] = sums[1:] - sums[:-1]
+    # frequent words get small numbers, equally frequent ones lie in order
+    by_name, counts = pc.sort_indices(words.dictionary).to_numpy(), np.bincount(sequence, minlength=len(words.dictionary))
+    order = by_name[np.argsort(-counts[by_name], kind="stable")][:np.count_nonzero(counts)]
+    number = np.empty(len(counts), np.int64)
+    number[order] = np.arange(len(order))
+    return words.dictionary.take(pa.array(order)), number[sequence], lengths
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs of `sizes` from `starts`, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
 class LongWords:
     """Ids of a word of any length, by the lattice and the order of edges that `encoded` has.
 
@@ -184,20 +250,24 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return out.view("<u4")[:, 0].astype(np.int64)
 
 
-def _words_packed(words: list[str]) -> bytes:
-    raw = [w.encode() for w in words]
-    sizes = _packed(np.array(list(map(len, raw)), np.int64))
-    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(raw), 6)
+def _words_packed(words: list[str] | pa.Array) -> bytes:
+    words = pa.array(words, pa.string()) if isinstance(words, list) else words
+    sizes = _packed(pc.binary_length(words).to_numpy(zero_copy_only=False))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(words.cast(pa.binary()).to_pylist()), 6)
 
 
-def _words_unpacked(packed: bytes) -> list[str]:
+def _words_array(packed: bytes) -> pa.Array:
     at = 4 + int.from_bytes(packed[:4], "little")
-    ends, text = np.cumsum(_unpacked(packed[4:at])).tolist(), zstandard.decompress(packed[at:])
-    return [text[a:b].decode() for a, b in zip([0, *ends], ends)]
+    ends, text = np.cumsum(np.concatenate(([0], _unpacked(packed[4:at])))), zstandard.decompress(packed[at:])
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(text))
+
+
+def _words_unpacked(packed: bytes) -> list[str]:
+    return _words_array(packed).to_pylist()
 
 
 def parted(docs: DataFrame, model: Model) -> DataFrame:
-    """The texts as numbers of words, written as a table: a row for a part of the documents, of some 2 MB, with their
+    """The texts as numbers of words, written as a table: a row for a part of the documents, of some 8 MB, with their
     doc_ids, the number of words of each, and packed its different words, how often they occur, and the sequence of all
     words. A text is split here and nowhere else."""
     T.small_batches(docs.sparkSession)
@@ -205,19 +275,26 @@ def parted(docs: DataFrame, model: Model) -> DataFrame:
                         ("sequence", pa.binary())])
     pattern_text = model.pattern
 
+    def row(ids, texts, pattern, letters):
+        words, numbers, lengths = split_texts(pa.concat_arrays(texts), pattern, letters)
+        return T.batch(schema, [pa.concat_arrays(ids).to_pylist()], [_packed(lengths)], [_words_packed(words)],
+                       [_packed(np.bincount(numbers, minlength=len(words)))], [_packed(numbers)])
+
     def one(batches):
-        pattern = re.compile(pattern_text)
+        pattern, ids, texts, held = re.compile(pattern_text), [], [], 0
+        letters = _letters(pattern)
         for b in batches:
             sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
             for low, high in T.parts(sizes, _PART_BYTES):
-                part, splitter, sequence, lengths = b.slice(low, high - low), Splitter(pattern), array("i"), []
-                for t in part.column(1):
-                    before = len(sequence)
-                    sequence.extend(splitter.split(t.as_py() or ""))
-                    lengths.append(len(sequence) - before)
-                numbers = np.frombuffer(sequence, np.int32)
-                yield T.batch(schema, [part.column(0).to_pylist()], [_packed(np.array(lengths, np.int64))], [_words_packed(list(splitter.numbers))],
-                              [_packed(np.bincount(numbers, minlength=len(splitter.numbers)))], [_packed(numbers)])
+                size = sum(sizes[low:high])
+                if held and held + size > _PART_BYTES:
+                    yield row(ids, texts, pattern, letters)
+                    ids, texts, held = [], [], 0
+                ids.append(b.column(0).slice(low, high - low))
+                texts.append(b.column(1).slice(low, high - low))
+                held += size
+        if ids:
+            yield row(ids, texts, pattern, letters)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("t"))
     parts = rows.mapInArrow(one, "ids array<bigint>, sizes binary, words binary, counts binary, sequence binary")
@@ -229,17 +306,25 @@ def vocabulary(parts: DataFrame) -> DataFrame:
     word. Each task adds up its own counts before they travel."""
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
+    def added(tables):
+        found = pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"word": found["word"], "n": found["n_sum"]}, schema)
+
     def one(batches):
-        seen: Counter = Counter()
+        held, size, last = [], 0, 0
         for b in batches:
             for words, counts in zip(b.column(0), b.column(1)):
-                for w, n in zip(_words_unpacked(words.as_py()), _unpacked(counts.as_py()).tolist()):
-                    if len(w) <= LONGEST:
-                        seen[w] += n
-                if len(seen) > 150_000:
-                    yield T.batch(schema, list(seen), list(seen.values()))
-                    seen = Counter()
-        yield T.batch(schema, list(seen), list(seen.values()))
+                some = pa.table({"word": _words_array(words.as_py()), "n": _unpacked(counts.as_py())}, schema)
+                held.append(some.filter(pc.less_equal(pc.utf8_length(some["word"]), LONGEST)))
+                size += len(held[-1])
+                if size > last + _HELD:
+                    held = [added(held)]
+                    last = size = len(held[0])
+                    if size > _HELD:
+                        yield from held[0].to_batches(_ROWS)
+                        held, size, last = [], 0, 0
+        if held:
+            yield from added(held).to_batches(_ROWS)
 
     size = parts.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     rows = parts.select("words", "counts").mapInArrow(one, "word string, n bigint")
@@ -286,15 +371,18 @@ def encoded(words: DataFrame, model: Model) -> DataFrame:
 
 
 class Dictionary:
-    """Ids of words, found by two hashes. It takes some 20 bytes a word: a model's ids fit two bytes as a rule."""
-
-    def __init__(self, keys: np.ndarray, checks: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> None:
-        order = np.argsort(keys)
-        sizes = np.diff(ends).astype(np.int64)
-        at = np.repeat(ends[:-1][order] - (np.cumsum(sizes[order]) - sizes[order]), sizes[order]) + np.arange(int(sizes.sum()))
-        kind = np.uint16 if flat.max(initial=0) < 1 << 16 else np.int32
-        self.keys, self.checks, self.ids = keys[order], checks[order], flat[at].astype(kind)
-        self.sizes = sizes[order].astype(np.uint16)
+    """Ids of words, found by two hashes. It takes some 22 bytes a word: a model's ids fit two bytes as a rule."""
+
+    def __init__(self, keys: np.ndarray, checks: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> None:
+        order, starts = np.argsort(keys), np.cumsum(sizes, dtype=np.int64) - sizes
+        self.keys, self.checks, self.sizes = keys[order], checks[order], sizes[order]
+        self.ids = np.empty_like(flat)
+        at = 0
+        for low in range(0, len(order), 1 << 17):
+            some = order[low:low + (1 << 17)]
+            found = flat[_ragged(starts[some], sizes[some].astype(np.int64))]
+            self.ids[at:at + len(found)] = found
+            at += len(found)
 
     def __getstate__(self):
         return self.keys, self.checks, self.ids, self.sizes
@@ -302,20 +390,23 @@ class Dictionary:
     def __setstate__(self, state) -> None:
         self.keys, self.checks, self.ids, self.sizes = state
 
-    def find(self, words: list[str]) -> dict[str, np.ndarray]:
-        """The words that it has, with their ids as bytes of 32-bit numbers."""
-        if not len(self.keys) or not words:
-            return {}
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word the number of its ids, 0 if it isn't here, and one after the other the ids of those that are."""
+        counts = np.zeros(len(words), np.int64)
+        if not len(self.keys) or not len(words):
+            return counts, np.zeros(0, np.int32)
         if not hasattr(self, "ends"):
             self.ends = np.cumsum(self.sizes, dtype=np.int64)
-        raw = [w.encode() for w in words]
+        raw = words.cast(pa.binary()).to_pylist()
         keys = np.fromiter((xxhash.xxh64_intdigest(w, _SEEDS[0]) for w in raw), np.uint64, len(raw))
-        checks = np.fromiter((xxhash.xxh64_intdigest(w, _SEEDS[1]) & 0xFFFFFFFF for w in raw), np.uint32, len(raw))
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = np.flatnonzero((self.keys[at] == keys) & (self.checks[at] == checks))
-        ends = self.ends[at[hit]]
-        sizes = self.sizes[at[hit]].tolist()
-        return {words[h]: self.ids[e - n:e].astype(np.int32).tobytes() for h, e, n in zip(hit.tolist(), ends.tolist(), sizes)}
+        order = np.argsort(keys)  # places in order are near each other
+        at = np.empty(len(raw), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.keys, keys[order]), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == keys)
+        checks = np.fromiter((xxhash.xxh64_intdigest(raw[h], _SEEDS[1]) & 0xFFFFFFFF for h in hit.tolist()), np.uint32, len(hit))
+        hit = hit[self.checks[at[hit]] == checks]
+        counts[hit] = self.sizes[at[hit]]
+        return counts, self.ids[_ragged(self.ends[at[hit]] - counts[hit], counts[hit])].astype(np.int32)
 
 
 def _step() -> Column:
@@ -327,20 +418,49 @@ def frequent_enough(least: int | None) -> Column:
     return F.lit(False) if least is None else _step() >= least
 
 
-def dictionary(words: DataFrame, size: int = DICTIONARY) -> tuple[Dictionary, int | None]:
-    """The words (word, n, ids) that occur most often, `size` at most, and the lowest step of `n` among them: words
-    of the same step are in or out together."""
+def dictionary(words: DataFrame, size: int = DICTIONARY) -> tuple[Dictionary, int | None, bool]:
+    """The words (word, n, ids) that occur most often, `size` at most, the lowest step of `n` among them, and whether
+    there are others: words of the same step are in or out together."""
     counts = sorted(((r.s, r.c) for r in words.groupBy(_step().alias("s")).agg(F.count("*").alias("c")).collect()), reverse=True)
     least, total = None, 0
     for step, count in counts:
         if total + count > size:
             break
         least, total = step, total + count
-    held = words.filter(frequent_enough(least)).select(
-        F.xxhash64("word").alias("k"), F.xxhash64(F.lit("word"), "word").bitwiseAND(F.lit(0xFFFFFFFF)).alias("c"), "ids").toArrow()
-    ids = held.column("ids").combine_chunks()
-    flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
-    return Dictionary(held.column("k").to_numpy().view(np.uint64), held.column("c").to_numpy().astype(np.uint32), flat, ends), least
+    schema = pa.schema([(c, pa.binary()) for c in ("keys", "checks", "sizes", "narrow", "wide")])
+
+    def packed(batches):
+        """A task's words in as few bytes as they need, a row for some of them."""
+        held, size = [], 0
+        for b in itertools.chain(batches, [None]):
+            if held and (b is None or size > _HELD):
+                some = pa.Table.from_batches(held).combine_chunks()
+                flat = pc.list_flatten(some["ids"]).to_numpy()
+                kind = flat.max(initial=0) >= 1 << 16
+                yield T.batch(schema, [some["k"].to_numpy().tobytes()], [some["c"].to_numpy().astype(np.uint32).tobytes()],
+                              [pc.list_value_length(some["ids"]).to_numpy().astype(np.uint16).tobytes()],
+                              [b"" if kind else flat.astype(np.uint16).tobytes()], [flat.astype(np.int32).tobytes() if kind else b""])
+                held, size = [], 0
+            if b is not None:
+                held.append(b)
+                size += len(b)
+
+    rows = words.filter(frequent_enough(least)).select(
+        F.xxhash64("word").alias("k"), F.xxhash64(F.lit("word"), "word").bitwiseAND(F.lit(0xFFFFFFFF)).alias("c"), "ids") \
+        .mapInArrow(packed, "keys binary, checks binary, sizes binary, narrow binary, wide binary").toArrow()
+
+    def column(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in rows[name])])
+
+    if any(pc.binary_length(rows["wide"]).to_pylist()):
+        flat = np.concatenate([np.frombuffer(w.as_buffer(), np.int32) if len(w.as_buffer()) else np.frombuffer(x.as_buffer(), np.uint16)
+                               for x, w in zip(rows["narrow"], rows["wide"])])
+    else:
+        flat = column("narrow", np.uint16)
+    of = column("keys", np.uint64), column("checks", np.uint32), column("sizes", np.uint16), flat
+    del rows
+    pa.default_memory_pool().release_unused()
+    return Dictionary(*of), least, total < sum(c for _, c in counts)
 
 
 def _written(words: DataFrame) -> DataFrame:
@@ -367,22 +487,24 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY, digests: bool
     context = docs.sparkSession.sparkContext
     parts = parted(docs, model)
     words = _written(encoded(vocabulary(parts), model))
-    frequent, least = dictionary(words, size)
+    frequent, least, others = dictionary(words, size)
     frequent, long_words = context.broadcast(frequent), context.broadcast(LongWords(model))
     rare_schema = pa.schema([("part", pa.int64()), ("at", pa.int32()), ("word", pa.string())])
 
     def rare(batches):
         for b in batches:
             for part, words in zip(b.column(0).to_pylist(), b.column(1)):
-                words = _words_unpacked(words.as_py())
-                known = frequent.value.find(words)
-                left = [k for k, w in enumerate(words) if w not in known and len(w) <= LONGEST]
-                if left:
-                    yield T.batch(rare_schema, [part] * len(left), left, [words[k] for k in left])
-
-    wanted = parts.select("part", "words").mapInArrow(rare, "part bigint, at int, word string")
-    own = wanted.join(words.filter(~frequent_enough(least)).select("word", "ids"), "word") \
-        .groupBy("part").agg(F.collect_list(F.struct("at", "ids")).alias("own"))
+                words = _words_array(words.as_py())
+                counts, _ = frequent.value.find(words)
+                left = np.flatnonzero((counts == 0) & (pc.utf8_length(words).to_numpy() <= LONGEST))
+                if len(left):
+                    yield T.batch(rare_schema, np.full(len(left), part), left, words.take(pa.array(left)))
+
+    if others:
+        wanted = parts.select("part", "words").mapInArrow(rare, "part bigint, at int, word string")
+        own = wanted.join(words.filter(~frequent_enough(least)).select("word", "ids"), "word") \
+            .groupBy("part").agg(F.collect_list(F.struct("at", "ids")).alias("own"))
+        parts = parts.join(own, "part", "left")
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("ids", pa.list_(pa.int32()))]
     if digests:
         fields[2:2] = [("n_tokens", pa.int64())]
@@ -391,24 +513,27 @@ def encode(docs: DataFrame, model: Model, size: int = DICTIONARY, digests: bool
 
     def finish(batches):
         for b in batches:
-            for ids, sizes, words, packed, own in zip(*b.columns):
-                words = _words_unpacked(words.as_py())
-                known = frequent.value.find(words)
-                of = [known.get(w) for w in words]
-                for k, w in enumerate(words):
-                    if len(w) > LONGEST:
-                        of[k] = long_words.value.ids(w).tobytes()
-                if own.is_valid:
-                    found = own.values
-                    at, rare_ids = found.field("at").to_pylist(), found.field("ids")
-                    for k, x in zip(at, rare_ids):
-                        of[k] = x.values.to_numpy().astype(np.int32).tobytes()
-                flat, counts = np.frombuffer(b"".join(of), np.int32), np.array([len(x) // 4 for x in of], np.int64)
-                yield from _finished(schema, ids.values, _unpacked(sizes.as_py()), _unpacked(packed.as_py()), flat, counts, texts)
-
-    both = parts.join(own, "part", "left").select("ids", "sizes", "words", "sequence", "own")
-    return both.mapInArrow(finish, "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>, ids_sha256 string, text_sha256 string"
-                           if digests else "doc_id bigint, n_words bigint, ids array<int>")
+            for ids, sizes, words, packed, *own in zip(*b.columns):
+                words = _words_array(words.as_py())
+                counts, flat = frequent.value.find(words)
+                known = np.flatnonzero(counts)
+                more = [(k, long_words.value.ids(words[k].as_py())) for k in np.flatnonzero(pc.utf8_length(words).to_numpy() > LONGEST).tolist()]
+                if own and own[0].is_valid:
+                    found = own[0].values
+                    lists = found.field("ids")
+                    more += zip(found.field("at").to_pylist(), np.split(lists.flatten().to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())))
+                starts = np.zeros(len(words), np.int64)
+                starts[known] = np.cumsum(counts[known]) - counts[known]
+                if more:
+                    places, lists = [k for k, _ in more], [x for _, x in more]
+                    counts[places] = [len(x) for x in lists]
+                    starts[places] = len(flat) + np.cumsum(counts[places]) - counts[places]
+                    flat = np.concatenate((flat, *lists))
+                yield from _finished(schema, ids.values, _unpacked(sizes.as_py()), _unpacked(packed.as_py()), flat[_ragged(starts, counts)], counts, texts)
+
+    columns = ["ids", "sizes", "words", "sequence", *(["own"] if others else [])]
+    return parts.select(columns).mapInArrow(finish, "doc_id bigint, n_words bigint, n_tokens bigint, ids array<int>, ids_sha256 string, text_sha256 string"
+                                            if digests else "doc_id bigint, n_words bigint, ids array<int>")
 
 
 def _finished(schema: pa.Schema, docs: pa.Array, sizes: np.ndarray, sequence: np.ndarray, flat: np.ndarray, counts: np.ndarray,
@@ -416,14 +541,16 @@ def _finished(schema: pa.Schema, docs: pa.Array, sizes: np.ndarray, sequence: np
     """The rows of a part: `flat` has the ids of its words, `counts` of each, which the sequence asks for."""
     digests, starts = len(schema) > 3, np.cumsum(counts) - counts
     if digests:
-        numbers = [",".join(map(str, flat[a:a + n].tolist())) for a, n in zip(starts.tolist(), counts.tolist())]
-        spelled = [b"".join([texts[i] for i in flat[a:a + n].tolist()]) for a, n in zip(starts.tolist(), counts.tolist())]
+        of_id = pa.array([str(i) for i in range(len(texts))]).cast(pa.binary()), pa.array(texts, pa.binary())
+        ends = pa.array(np.append(starts, counts.sum()), pa.int32())
+        spelled = [pc.binary_join(pa.ListArray.from_arrays(ends, of.take(pa.array(flat))), between).to_pylist()
+                   for of, between in zip(of_id, (b",", b""))]
     ends = np.cumsum(sizes)
     for low in range(0, len(sizes), 200):
         some = sequence[ends[low] - sizes[low]:ends[min(low + 200, len(sizes)) - 1]]
         many = counts[some]
         offsets = np.concatenate(([0], np.cumsum(many)))
-        ids = flat[np.repeat(starts[some] - offsets[:-1], many) + np.arange(offsets[-1])]
+        ids = flat[_ragged(starts[some], many)]
         borders = np.concatenate(([0], np.cumsum(sizes[low:low + 200])))
         lists = pa.ListArray.from_arrays(pa.array(offsets[borders], pa.int32()), pa.array(ids, pa.int32()))
         columns = [docs[low:low + 200], sizes[low:low + 200], lists]
@@ -432,8 +559,8 @@ def _finished(schema: pa.Schema, docs: pa.Array, sizes: np.ndarray, sequence: np
             listed, hashes = some.tolist(), ([], [])
             for x, y in zip(borders[:-1].tolist(), borders[1:].tolist()):
                 mine = listed[x:y]
-                hashes[0].append(hashlib.sha256(",".join([numbers[w] for w in mine]).encode()).hexdigest())
-                text = b"".join([spelled[w] for w in mine])
+                hashes[0].append(hashlib.sha256(b",".join([spelled[0][w] for w in mine])).hexdigest())
+                text = b"".join([spelled[1][w] for w in mine])
                 hashes[1].append(hashlib.sha256((text[1:] if text[:1] == b" " else text).decode(errors="replace").encode()).hexdigest())
             columns += hashes
         yield T.batch(schema, *columns)
