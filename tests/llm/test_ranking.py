@@ -212,6 +212,20 @@ def test_only_groups_leave_no_room(spark):
     assert shards.sharded(documents(spark, [(1, "a")]).filter("false")).count() == 0
 
 
+def test_groups_that_fit_are_not_cut(spark):
+    """Only the text of half the rows is, and without loose rows the two groups of ten that fit no shard of 42 or 43."""
+    rows = [(k, "the same 3") for k in range(200)] + [(200 + k, f"text 3 {k}") for k in range(120)] + [(400 + k, f"pair 3 {k // 2}") for k in range(80)]
+    (big,) = split_groups(sharded(spark, rows, 8))
+    assert big.total() == 200
+    assert len(split_groups(sharded(spark, [(k, f"group {k // 10}") for k in range(300)], 7))) == 2
+
+
+def test_groups_at_a_border_are_packed():
+    room = [3, 9, 5]
+    assert shards.packed({7: 5, 8: 2, 9: 4, 6: 10}, room) == {7: 2, 9: 1, 8: 0} and room == [3, 9, 5]
+    assert shards.packed({}, [0, 0]) == {} and shards.packed({1: 1}, [0, 0]) == {}
+
+
 def test_moves_stay_within_the_room():
     rng = np.random.default_rng(5)
     for _ in range(50):

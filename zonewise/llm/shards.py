@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ SHARDS, ROUNDS = 16, 12
 _LARGE = 32
 #: Rounds may fill a shard by 1 / _SLACK beyond its quota; what is too much leaves it in the end.
 _SLACK = 8
+#: Groups of at most a quota's share 1 / _SMALL are let go as a whole where rounds leave them apart or a quota cuts them.
+_SMALL = 4
 #: A key with more than this share of all rows is met by broadcast; there are fewer such keys than 1 / _HOT.
 _HOT = 0.001
 
@@ -102,15 +106,59 @@ def propagated(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Data
     return links
 
 
+def packed(sizes: dict[int, int], room: list[int]) -> dict[int, int]:
+    """A shard with room for all its rows for each of a few groups, largest first; groups that fit nowhere are left out."""
+    room, homes = list(room), {}
+    for hub, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        fits = [k for k, free in enumerate(room) if free >= size]
+        if fits:
+            homes[hub] = min(fits, key=lambda k: (room[k], k))
+            room[homes[hub]] -= size
+    return homes
+
+
+def _filled(loose: DataFrame, room: list[int]) -> DataFrame:
+    """`loose` with its place, group by group and rows without links last, and as home the shard whose room that is."""
+    full = F.array(*[F.lit(e).cast("bigint") for e in accumulate(room)])
+    placed = numbered(loose, [F.col("hub").asc_nulls_last(), F.col("pick"), F.col("node")])
+    return placed.withColumn("home", F.size(F.filter(full, lambda e: e <= F.col("place"))).cast("int"))
+
+
+def _housed(homes: DataFrame, quota: list[int]) -> DataFrame:
+    """`homes` without nulls in `home`. Linked rows fill up what is left of the quotas; of these groups those at the
+    border of two shards, fewer than shards, go where they fit whole. What fits nowhere and rows without links fill
+    the rest."""
+    kept, loose = homes.filter("home IS NOT NULL"), homes.filter("home IS NULL")
+
+    def room(housed: DataFrame) -> list[int]:
+        held = dict(housed.groupBy("home").count().collect())
+        return [q - held.get(k, 0) for k, q in enumerate(quota)]
+
+    free = room(kept)
+    linked = _filled(loose.filter("hub IS NOT NULL"), free)
+    edges = [e for e in accumulate(free) if e > 0]
+    at = dict(linked.filter(F.col("place").isin(edges + [e - 1 for e in edges])).select("place", "hub").collect())
+    border = {at[e] for e in edges if e in at and at[e] == at[e - 1]}
+    sizes = dict(linked.filter(F.col("hub").isin(list(border))).groupBy("hub").count().collect())
+    done = kept.unionByName(linked.filter(~F.col("hub").isin(list(border))).drop("place"))
+    home = F.lit(None).cast("int")
+    for hub, k in packed(sizes, room(done)).items():
+        home = F.when(F.col("hub") == hub, F.lit(k)).otherwise(home)
+    loose = loose.filter(F.col("hub").isNull() | F.col("hub").isin(list(border))).withColumn("home", home)
+    done = done.unionByName(loose.filter("home IS NOT NULL"))
+    return done.unionByName(_filled(loose.filter("home IS NULL"), room(done)).drop("place"))
+
+
 def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row of `docs`: shards whose rows are at most one apart and
     which split few groups of equal texts.
 
     size counts the text's UTF-8 bytes and one more; slot is the row's place in its shard by doc_id, from 0. Rows
     start in the shard of a hash. Rows of equal texts are linked through a hub, and `propagated` brings them together.
-    Then what a shard holds beyond its quota, smallest groups' members last, and all rows without links fill up the
-    shards in order of their hub, so that only groups at a boundary are cut. Nulls are empty texts; rows without an
-    id count like others and come last in their shard; repeated rows are rows of their own. Other columns are not read.
+    Groups that are still apart are let go, large ones excepted, with what a shard holds beyond its quota, smallest
+    groups last; they and all rows without links fill up the shards as `_housed` says, so that few groups are cut.
+    Nulls are empty texts; rows without an id count like others and come last in their shard; repeated rows are rows
+    of their own. Other columns are not read.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), body.alias("t")).select(
@@ -124,23 +172,18 @@ def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, doc_id:
     groups = checkpointed(rows.groupBy("a", "b").agg(F.min("node").alias("hub"), F.count("*").alias("size_of")).filter("size_of > 1"), "groups")
     links = propagated(_met(rows, groups, ["a", "b"], "size_of", total).select("hub", "node", "pick", "shard"), quota, rounds)
     parts = checkpointed(links.groupBy("hub", "shard").agg(F.count("*").alias("together")), "parts")
-    kept = numbered(checkpointed(_met(links, parts, ["hub", "shard"], "together", total), "linked"),
+    # a small group stays if it is whole in its shard and within the quota
+    parts = parts.join(parts.groupBy("hub").agg(F.sum("together").alias("of")), "hub").withColumn("small", F.col("of") * _SMALL <= min(quota))
+    stay = checkpointed(parts.filter("together = of OR NOT small"), "stay")
+    kept = numbered(checkpointed(_met(links, stay, ["hub", "shard"], "together", total), "linked"),
                     [F.col("together").desc(), F.col("hub"), F.col("pick"), F.col("node")], by="shard")
     limit = F.element_at(F.array(*[F.lit(q).cast("bigint") for q in quota]), F.col("shard") + 1)
-    kept = checkpointed(kept.filter(F.col("place") < limit).select("node", F.col("shard").alias("home")), "kept")
-    held = dict(kept.groupBy("home").count().collect())
-    reach, ends = 0, []
-    for k, q in enumerate(quota):
-        reach += q - held.get(k, 0)
-        ends.append(reach)
+    cut = [r["hub"] for r in kept.filter((F.col("place") == limit) & F.col("small")).select("hub").collect()]
+    kept = checkpointed(kept.filter((F.col("place") < limit) & ~F.col("hub").isin(cut)).select("node", F.col("shard").alias("home")), "kept")
     homes = rows.join(kept, "node", "left").join(links.select("node", "hub"), "node", "left") \
         .select("doc_id", "size", "text_crc32", "pick", "home", "hub", "node")
     homes = checkpointed(homes, "homes")
-    loose = numbered(homes.filter("home IS NULL"), [F.col("hub").asc_nulls_last(), F.col("pick"), F.col("node")])
-    # the place of a loose row among all room that is left tells its shard
-    full = F.array(*[F.lit(e).cast("bigint") for e in ends])
-    loose = loose.withColumn("home", F.size(F.filter(full, lambda e: e <= F.col("place"))).cast("int")).drop("place")
-    placed = checkpointed(homes.filter("home IS NOT NULL").unionByName(loose).select(
+    placed = checkpointed(_housed(homes, quota).select(
         "doc_id", "size", "text_crc32", F.col("home").alias("shard"), "pick", "node"), "placed")
     slots = numbered(placed, [F.col("doc_id").asc_nulls_last(), F.col("pick"), F.col("node")], by="shard", name="slot")
     return slots.select("doc_id", "size", "text_crc32", "shard", "slot")
