@@ -153,6 +153,14 @@ def test_exact_quantiles(spark, monkeypatch, ranked, few):
     assert [(r["quantile"], r["n"]) for r in exact_quantiles(nan, ["key"], "v", [0.5]).collect()] == [(1.0, 1)]
 
 
+def test_a_rank_is_picked_in_one_pass_over_its_range(spark):
+    """Spark moves what a column holds into a lambda that uses it: a search inside another took the square of the values."""
+    values = np.random.default_rng(3).permutation(5_000) / 7
+    found = exact_quantiles(spark.createDataFrame([(float(v),) for v in values], "v double"), [], "v", [0.1, 0.5])
+    assert "filter(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["quantile"] for r in found.collect()) == pytest.approx(np.quantile(values, [0.1, 0.5]).tolist(), rel=1e-12)
+
+
 #: Worked by hand: an exact recurrence goes on by its own rule, a short history keeps its last value, results stay in 0 to 500.
 FORECASTS = [
     ([42.0], 42.0), ([55.0, 60.0, 58.0], 58.0), ([50.0] * 12, 50.0), ([0.0] * 5, 0.0),

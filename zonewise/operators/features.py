@@ -10,6 +10,7 @@ from zonewise.functions.air import aqi_proxy
 from zonewise.functions.geo import borough_id, density, nearest_zone
 from zonewise.functions.numeric import exact_mean, exact_stddev_pop, exact_stddev_samp, lookup
 from zonewise.operators.quantiles import SALTS, exact_quantiles
+from zonewise.session import checkpointed
 
 # Percent positions of the latitude breaks inside a borough.
 LATITUDE_PERCENTS = [0, 16.7, 33.3, 50, 66.7, 83.3, 100]
@@ -17,11 +18,12 @@ SLOW_MPH = 20.0
 
 
 def latitude_breaks(traffic: DataFrame) -> DataFrame:
-    """borough_id, the seven break latitudes in ascending order, and the number of rows."""
+    """borough_id, the seven break latitudes in ascending order, and the number of rows: a stored table of a row per
+    borough, so that traffic is joined with a table of known size."""
     quantiles = exact_quantiles(traffic, ["borough_id"], "lat", [p / 100 for p in LATITUDE_PERCENTS])
-    return quantiles.groupBy("borough_id").agg(
+    return checkpointed(quantiles.groupBy("borough_id").agg(
         F.array_sort(F.collect_list(F.struct("probability", "quantile"))).alias("_b"), F.first("n").alias("n")
-    ).select("borough_id", F.col("_b.quantile").alias("breaks"), "n")
+    ).select("borough_id", F.col("_b.quantile").alias("breaks"), "n"), "breaks")
 
 
 def latitude_zones(traffic: DataFrame, breaks: DataFrame) -> DataFrame:

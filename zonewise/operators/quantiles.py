@@ -46,12 +46,13 @@ def ordered_bits(value: Column) -> Column:
 
 
 def _picked(counts: Column, rank: Column) -> Column:
-    """Of an array of (at, n) in order: the entry that holds the rank, and the rank inside it."""
-    start = F.struct(rank.alias("rank"), F.lit(None).cast("bigint").alias("at"))
-    found = lambda acc: acc["at"].isNotNull()
-    return F.aggregate(counts, start, lambda acc, x: F.when(found(acc), acc).when(
-        acc["rank"] < x["n"], F.struct(acc["rank"].alias("rank"), x["at"].alias("at"))).otherwise(
-        F.struct((acc["rank"] - x["n"]).alias("rank"), F.lit(None).cast("bigint").alias("at"))))
+    """Of an array of (at, n, d, v) in order: the entry that holds the rank, and the rank inside it, in one pass."""
+    def state(rank: Column, x: Column | None = None) -> Column:
+        entry = [F.lit(None).cast(t) if x is None else x[c].cast(t) for c, t in (("at", "bigint"), ("d", "bigint"), ("v", "double"))]
+        return F.struct(rank.alias("rank"), entry[0].alias("at"), entry[1].alias("d"), entry[2].alias("v"))
+
+    return F.aggregate(counts, state(rank), lambda acc, x: F.when(acc["at"].isNotNull(), acc).when(
+        acc["rank"] < x["n"], state(acc["rank"], x)).otherwise(state(acc["rank"] - x["n"])))
 
 
 def _joined(rows: DataFrame, table: DataFrame, on: list[str], few: bool) -> DataFrame:
@@ -87,18 +88,20 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, probabilities:
             .groupBy(*on).agg(F.array_sort(F.collect_list(F.struct(
                 F.col("_at").alias("at"), F.col("_n").alias("n"), F.col("_d").alias("d"), F.col("_value").alias("v")))).alias("_counts"))
 
+    def ranged(table: DataFrame) -> DataFrame:
+        """Every wanted rank with the entry of its range that holds it. Few ranks go to the ranges, which are not copied."""
+        met = _joined(table, wanted, on, True) if few else _joined(wanted.withColumn("_k", F.col("rank")), table, on, False)
+        return met.withColumn("_p", _picked(F.col("_counts"), F.col("rank")))
+
     wanted = checkpointed(wanted, "ranks")
     few = wanted.count() <= BROADCAST_ROWS
     while shift > 0 and (wanted.agg(F.max("_left")).first()[0] or 0) > ranked:
         table = counts(F.shiftright("_k", shift - DIGIT))
         shift -= DIGIT
-        found = _joined(wanted.withColumn("_k", F.col("rank")), table, on, False).withColumn("_p", _picked(F.col("_counts"), F.col("rank")))
-        left = F.filter("_counts", lambda x: x["at"] == F.col("_p.at"))[0]["d"]
-        wanted = checkpointed(found.select(*keys, "n", left.alias("_left"), F.col("_p.at").alias("_prefix"), "probability", "upper",
+        found = ranged(table)
+        wanted = checkpointed(found.select(*keys, "n", F.col("_p.d").alias("_left"), F.col("_p.at").alias("_prefix"), "probability", "upper",
                                            F.col("_p.rank").alias("rank")), "ranks")
-    found = _joined(wanted.withColumn("_k", F.col("rank")), counts(F.col("_k")), on, False) \
-        .withColumn("_p", _picked(F.col("_counts"), F.col("rank")))
-    values = found.withColumn("_value", F.filter("_counts", lambda x: x["at"] == F.col("_p.at"))[0]["v"])
+    values = ranged(counts(F.col("_k"))).withColumn("_value", F.col("_p.v"))
     picked = values.groupBy(*keys, "probability", "n").agg(
         F.max(F.when(~F.col("upper"), F.col("_value"))).alias("_low"), F.max(F.when(F.col("upper"), F.col("_value"))).alias("_high"))
     rank = F.col("probability") * (F.col("n") - F.lit(1)).cast("double")
