@@ -224,6 +224,37 @@ def test_words_across_pieces_of_a_text(monkeypatch):
     assert simhash.fingerprint(text.encode()) == want
 
 
+def test_copies_of_fingerprints_are_never_sent(spark, tmp_path):
+    """The file of fingerprints is small, what is exploded from it isn't."""
+    spark.range(1000).toDF("fp").write.parquet(f"{tmp_path}/prints")
+    plan = simhash.links(spark.read.parquet(f"{tmp_path}/prints"))._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def joins_of(monkeypatch, make, *args):
+    """What `make` gives, and the hints of all joins that it plans on the way, '' where Spark is free to choose."""
+    plans, write = [], components.checkpointed
+    for module in (components, simhash):
+        monkeypatch.setattr(module, "checkpointed", lambda df, label="checkpoint": plans.append(df) or write(df, label))
+    out = make(*args)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in [*plans, out]]
+    return out, [(re.findall(r"strategy=(\w+)", x) or [""])[0] for plan in plans for x in re.findall(r"\bJoin .*", plan)]
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_one_row_stays_whatever_is_sent(spark, monkeypatch, most):
+    """Tables are sent to every task by their rows, not by Spark's sizes; of few rows or many the result is the same."""
+    monkeypatch.setattr(simhash, "BROADCAST_IDS", most)
+    monkeypatch.setattr(components, "BROADCAST_ROWS", most, raising=False)
+    texts = [" ".join(f"{x}{k}" for k in range(300)) for x in "wb"]
+    rows = [(k, texts[0] + f" x{k}") for k in range(5)] + [(5, "A b\tC"), (6, "a B c"), (7, texts[1]), (7, texts[1]), (None, "d e f")]
+    prints = [fingerprint(t) for _, t in rows]
+    assert len(set(prints[:5])) > 1 and all((p ^ prints[0]).bit_count() <= 3 for p in prints[:5])
+    kept, hints = joins_of(monkeypatch, simhash.keep_first, documents(spark, rows))
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([0, 5, 7, None], key=str)
+    assert len(hints) > 5 and hints.count("merge") == (len(hints) if not most else 1) and "" not in hints
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1100)] + [(5000, 5000), (1000, 1001)]
     got = dict(components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect())

@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 from zonewise.session import checkpointed
 
+#: Rows of a few numbers that a join sends to every task, some 120 bytes of the driver each; more are shuffled.
+BROADCAST_ROWS = 100_000
 
-def _lowest(edges: DataFrame) -> DataFrame:
-    """Each edge with the smallest neighbour of its `u`, or `u` itself."""
+
+def bounded(side: DataFrame, rows: int, most: int | None = None) -> DataFrame:
+    """`side` of a join, of `rows` rows at most: it is sent to every task if these are few (`most`), and never
+    otherwise. Spark would go by the size of files, which knows neither how they are packed nor what an explode makes
+    of them."""
+    return F.broadcast(side) if rows <= (BROADCAST_ROWS if most is None else most) else side.hint("merge")
+
+
+def _lowest(edges: DataFrame, rows: int) -> DataFrame:
+    """Each of at most `rows` edges with the smallest neighbour of its `u`, or `u` itself."""
     low = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
-    return edges.join(low, "u")
+    return edges.join(bounded(low, rows), "u")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,8 +42,9 @@ def components(edges: DataFrame) -> DataFrame:
                 edges.select("v", "v").distinct())
         mark = seen
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _lowest(both).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        small = _lowest(large)
+        rows = 2 * seen[0]
+        large = _lowest(both, rows).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        small = _lowest(large, rows)
         edges = small.select(F.col("v").alias("u"), F.col("low").alias("v")).filter("u != v").union(
             small.select("u", F.col("low").alias("v"))).distinct()
         edges = checkpointed(edges, "edges")
