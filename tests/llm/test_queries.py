@@ -255,6 +255,18 @@ def test_one_row_stays_whatever_is_sent(spark, monkeypatch, most):
     assert len(hints) > 5 and hints.count("merge") == (len(hints) if not most else 1) and "" not in hints
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_near_duplicates_whatever_is_sent(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "BROADCAST_ROWS", most, raising=False)
+    long = " ".join(f"w{k}" for k in range(300))
+    rows = [(k, long + f" x{k}") for k in range(5)] + [(6, "a B c"), (5, "A b\tC"), (7, "d e f"), (7, "d e f")]
+    prints = [fingerprint(t) for _, t in rows]
+    assert len(set(prints[:5])) > 1 and all((p ^ prints[0]).bit_count() <= 3 for p in prints[:5])
+    found, hints = joins_of(monkeypatch, simhash.near_duplicates, documents(spark, rows))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(k, 0) for k in range(5)] + [(5, 5), (6, 5), (7, 7), (7, 7)]
+    assert len(hints) > 5 and hints.count("merge") == (len(hints) if not most else 1) and "" not in hints
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1100)] + [(5000, 5000), (1000, 1001)]
     got = dict(components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect())

@@ -113,10 +113,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     prints = checkpointed(fingerprints(docs, id_column, text_column), "fingerprints")
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    left, right = nodes.toDF("f", "u"), nodes.toDF("g", "v")
+    n = nodes.count()
+    left, right = bounded(nodes.toDF("f", "u"), n), bounded(nodes.toDF("g", "v"), n)
     edges = links(nodes).join(left, "f").join(right, "g").select("u", "v")
-    found = nodes.join(components(edges), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(found, "fp").select("doc_id", "fp", "component_id")
+    group = components(edges)
+    found = nodes.join(bounded(group, group.count()), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(bounded(found, n), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
